@@ -14,7 +14,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from meterlake.operators import clean, reports
+from meterlake.operators import clean, features, reports
+from meterlake.sinks import messages as sink_messages
+from meterlake.sources import messages as src_messages
+from meterlake.sources import text
 from meterlake.sources.readings import readings
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -118,3 +121,60 @@ def q_submeter_latest(spark, sf_dir):
 @register("submeter_share")
 def q_submeter_share(spark, sf_dir):
     return checked(reports.submeter_share(cleaned(spark, sf_dir)))
+
+
+@register("parse_raw")
+def q_parse_raw(spark, sf_dir):
+    """Readings rendered as raw ';' lines, parsed back."""
+    lines = readings(spark, sf_dir).select(text.raw_line().alias("value"))
+    return checked(text.parse_raw_lines(lines))
+
+
+@register("parse_json")
+def q_parse_json(spark, sf_dir):
+    """Readings as wire JSON messages, parsed back."""
+    msgs = sink_messages.to_messages(readings(spark, sf_dir))
+    return checked(src_messages.parse_json(msgs))
+
+
+@register("parse_json_zone")
+def q_parse_json_zone(spark, sf_dir):
+    """Labelled readings as legacy JSON messages, parsed back."""
+    msgs = cleaned(spark, sf_dir).select(sink_messages.legacy_message_value().alias("value"))
+    return checked(src_messages.parse_json_zone(msgs))
+
+
+@register("emit_json")
+def q_emit_json(spark, sf_dir):
+    """Producer side: complete readings as JSON message text (P10, K4).
+
+    Measures carry the check rounding (9 digits) like every checked double,
+    which also keeps both engines on plain (non-exponent) number text."""
+    return sink_messages.to_messages(checked(readings(spark, sf_dir).na.drop()))
+
+
+@register("result_json")
+def q_result_json(spark, sf_dir):
+    """A report serialised as JSON objects (K6)."""
+    return sink_messages.result_json(checked(reports.latest(cleaned(spark, sf_dir), limit=100)))
+
+
+@register("row_features")
+def q_row_features(spark, sf_dir):
+    return checked(features.row_features(cleaned(spark, sf_dir)))
+
+
+@register("weekday_flags")
+def q_weekday_flags(spark, sf_dir):
+    rows = features.with_calendar(cleaned(spark, sf_dir))
+    return checked(rows.select("event_id", "datetime", "weekday", "is_weekend"))
+
+
+@register("hourly_features")
+def q_hourly_features(spark, sf_dir):
+    return checked(features.hourly_features(cleaned(spark, sf_dir)))
+
+
+@register("daily_features")
+def q_daily_features(spark, sf_dir):
+    return checked(features.daily_features(cleaned(spark, sf_dir)))

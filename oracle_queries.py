@@ -20,8 +20,14 @@ MEASURES = (
 )
 
 
+def rd(expr: str) -> str:
+    """Round to D digits; ``+ 0.0`` turns a rounded -0.0 into 0.0 as Spark's
+    decimal rounding does."""
+    return f"(round({expr}, {D}) + CAST(0 AS DOUBLE))"
+
+
 def r(expr: str, alias: str) -> str:
-    return f"round({expr}, {D}) AS {alias}"
+    return f"{rd(expr)} AS {alias}"
 
 
 def rounded_measures(prefix: str = "") -> str:
@@ -151,3 +157,63 @@ UNION ALL
 SELECT 'sub_metering_2', 'zone2', {r('s2', 'total_wh')}, {r('s2 / NULLIF(grand, 0)', 'share')} FROM g
 UNION ALL
 SELECT 'sub_metering_3', 'zone3', {r('s3', 'total_wh')}, {r('s3 / NULLIF(grand, 0)', 'share')} FROM g"""
+
+
+def raw_roundtrip(m: str) -> str:
+    return r(f"CAST(printf('%.3f', {m}) AS DOUBLE)", m)
+
+
+SQL["parse_raw"] = f"""{BASE}
+SELECT datetime, {", ".join(raw_roundtrip(m) for m in MEASURES)} FROM readings"""
+
+SQL["parse_json"] = f"""{BASE}
+SELECT datetime, {rounded_measures()} FROM readings"""
+
+SQL["parse_json_zone"] = f"""{BASE}
+SELECT strftime(datetime, '%Y-%m-%d %H:%M:%S') AS timestamp, zone,
+  {r('global_active_power', 'power')} FROM clean"""
+
+_WIRE_FIELDS = ", ".join(f"{m} := {rd(m)}" for m in MEASURES)
+
+SQL["emit_json"] = f"""{BASE}
+SELECT CAST(to_json(struct_pack(datetime := strftime(datetime, '%Y-%m-%d %H:%M:%S'), {_WIRE_FIELDS})) AS VARCHAR) AS value
+FROM readings WHERE {_NOT_MISSING}"""
+
+_RESULT_FIELDS = ", ".join(f"{m} := {rd(m)}" for m in MEASURES)
+
+SQL["result_json"] = f"""{BASE}
+SELECT CAST(to_json(struct_pack(datetime := strftime(datetime, '%Y-%m-%dT%H:%M:%S'), {_RESULT_FIELDS})) AS VARCHAR) AS json
+FROM (SELECT * FROM clean ORDER BY datetime DESC, event_id DESC LIMIT 100)"""
+
+WEEKDAY = "CAST(dayofweek(datetime) + 1 AS INTEGER)"
+
+SQL["row_features"] = f"""{BASE}
+SELECT {CLEAN_COLUMNS},
+  {WEEKDAY} AS weekday,
+  CASE WHEN {WEEKDAY} IN (1, 7) THEN 1 ELSE 0 END AS is_weekend,
+  {r('sub_metering_1 + sub_metering_2 + sub_metering_3', 'sub_total')},
+  {r('global_active_power - global_reactive_power', 'power_diff')},
+  {r('global_active_power / NULLIF(voltage, 0)', 'power_per_voltage')},
+  {r('global_reactive_power / NULLIF(global_active_power, 0)', 'reactive_ratio')}
+FROM clean"""
+
+SQL["weekday_flags"] = f"""{BASE}
+SELECT event_id, datetime, {WEEKDAY} AS weekday,
+  CASE WHEN {WEEKDAY} IN (1, 7) THEN 1 ELSE 0 END AS is_weekend
+FROM clean"""
+
+SQL["hourly_features"] = f"""{BASE}
+SELECT year, month, day, hour,
+  {r('avg(global_active_power)', 'avg_power_hourly')},
+  {r('avg(voltage)', 'avg_voltage_hourly')},
+  {r('avg(global_intensity)', 'avg_intensity_hourly')},
+  {r('sum(sub_metering_1 + sub_metering_2 + sub_metering_3)', 'total_sub_hourly')}
+FROM clean GROUP BY year, month, day, hour"""
+
+SQL["daily_features"] = f"""{BASE}
+SELECT year, month, day,
+  {r('avg(global_active_power)', 'avg_power_daily')},
+  {r('stddev_samp(voltage)', 'voltage_stability_daily')},
+  {r('sum(sub_metering_1 + sub_metering_2 + sub_metering_3)', 'total_submetering_daily')},
+  {r('avg(global_intensity)', 'avg_intensity_daily')}
+FROM clean GROUP BY year, month, day"""
