@@ -15,7 +15,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from meterlake.operators import clean, features, reports
+from meterlake.plans import catalog
+from meterlake.plans.sql import run_sql
+from meterlake.schema import PARTITION_COLUMNS
+from meterlake.session import shared_dir
 from meterlake.sinks import messages as sink_messages
+from meterlake.sinks.files import write_parquet
+from meterlake.streaming import aggregates, ingest
 from meterlake.sources import messages as src_messages
 from meterlake.sources import text
 from meterlake.sources.readings import readings
@@ -178,3 +184,84 @@ def q_hourly_features(spark, sf_dir):
 @register("daily_features")
 def q_daily_features(spark, sf_dir):
     return checked(features.daily_features(cleaned(spark, sf_dir)))
+
+
+# --- stored table, catalog and streaming --------------------------------------
+
+AVAILABLE_NOW = {"availableNow": True}
+
+
+def spool_messages(spark: SparkSession, sf_dir: str, base: str) -> str:
+    """Publish every reading as a JSON message into a file spool (K4)."""
+    path = f"{base}/spool"
+    sink_messages.write_spool(sink_messages.to_messages(readings(spark, sf_dir)), path)
+    return path
+
+
+def stored_table(spark: SparkSession, sf_dir: str, name: str = "energy_data") -> DataFrame:
+    """Cleaned readings written as the partitioned stored form (K2), behind a
+    freshly (re)created external catalog table with its partitions
+    registered (D1-D4); returns the table (S7)."""
+    base = shared_dir(spark, "stored")
+    write_parquet(ingest.to_stored(readings(spark, sf_dir)), base, partition_by=PARTITION_COLUMNS)
+    catalog.drop_table(spark, name)
+    catalog.ensure_table(spark, name, base)
+    return catalog.read_table(spark, name)
+
+
+@register("stream_ingest")
+def q_stream_ingest(spark, sf_dir):
+    """Messages → Structured Streaming → clean_stream → partitioned Parquet
+    (S4 stand-in, W1-W5, K1); returns what the sink stored."""
+    base = shared_dir(spark, "ingest")
+    spool = spool_messages(spark, sf_dir, base)
+    parsed = src_messages.parse_json(src_messages.read_spool(spark, spool))
+    query = ingest.start_ingest(spark, parsed, f"{base}/data", f"{base}/checkpoint", trigger=AVAILABLE_NOW)
+    query.awaitTermination()
+    return checked(spark.read.parquet(f"{base}/data"))
+
+
+@register("stream_hourly")
+def q_stream_hourly(spark, sf_dir):
+    """Hourly tumbling windows with a 1 h watermark over the message stream
+    (X6); append mode, so only windows the watermark has closed."""
+    base = shared_dir(spark, "hourly-stream")
+    spool = spool_messages(spark, sf_dir, base)
+    parsed = src_messages.parse_json(src_messages.read_spool(spark, spool))
+    windows = aggregates.hourly_windows(clean.clean_stream(parsed), delay="1 hour")
+    query = ingest.start_parquet_sink(windows, f"{base}/data", f"{base}/checkpoint", partition_by=(), trigger=AVAILABLE_NOW)
+    query.awaitTermination()
+    return checked(spark.read.parquet(f"{base}/data"))
+
+
+@register("catalog_count")
+def q_catalog_count(spark, sf_dir):
+    """COUNT(*) through the catalog table over the stored files."""
+    return reports.record_count(stored_table(spark, sf_dir))
+
+
+@register("catalog_hour_profile")
+def q_catalog_hour_profile(spark, sf_dir):
+    """Hour profile on the stored table: groups by the ``hour`` partition
+    column, so the timestamp column is not read."""
+    return checked(reports.hour_profile(stored_table(spark, sf_dir)))
+
+
+# The dashboard's statistics query as SQL text, run unchanged
+# over a view named like the original table.
+STATISTICS_SQL = """
+SELECT COUNT(*) AS total_records,
+       AVG(global_active_power) AS avg_active_power,
+       MAX(global_active_power) AS max_active_power,
+       MIN(global_active_power) AS min_active_power,
+       AVG(voltage) AS avg_voltage,
+       AVG(global_intensity) AS avg_intensity,
+       SUM(sub_metering_1 + sub_metering_2 + sub_metering_3) AS total_sub_metering
+FROM energy_data
+"""
+
+
+@register("sql_passthrough")
+def q_sql_passthrough(spark, sf_dir):
+    """SQL text in, DataFrame out (Q1)."""
+    return checked(run_sql(spark, STATISTICS_SQL, views={"energy_data": cleaned(spark, sf_dir)}))

@@ -217,3 +217,26 @@ SELECT year, month, day,
   {r('sum(sub_metering_1 + sub_metering_2 + sub_metering_3)', 'total_submetering_daily')},
   {r('avg(global_intensity)', 'avg_intensity_daily')}
 FROM clean GROUP BY year, month, day"""
+
+
+STORED_COLUMNS = f"datetime, {rounded_measures()}, zone, year, month, day, hour"
+
+SQL["stream_ingest"] = f"""{BASE}
+SELECT {STORED_COLUMNS} FROM clean"""
+
+SQL["stream_hourly"] = f"""{BASE},
+h AS (
+  SELECT date_trunc('hour', datetime) AS window_start,
+    avg(global_active_power) AS a, max(global_active_power) AS mx,
+    sum(global_active_power) AS s, count(*) AS n
+  FROM clean GROUP BY 1
+)
+SELECT window_start, window_start + INTERVAL 1 HOUR AS window_end,
+  {r('a', 'avg_active_power')}, {r('mx', 'max_active_power')},
+  {r('s', 'sum_active_power')}, n AS record_count
+FROM h
+WHERE window_start + INTERVAL 1 HOUR <= (SELECT max(datetime) FROM clean) - INTERVAL 1 HOUR"""
+
+SQL["catalog_count"] = SQL["record_count"]
+SQL["catalog_hour_profile"] = SQL["hour_profile"]
+SQL["sql_passthrough"] = SQL["statistics"]
