@@ -50,10 +50,10 @@ def statistics(df: DataFrame, meter: Meter = METER, by: Sequence[str] = ()) -> D
 
 
 def timeseries(
-    df: DataFrame, limit: int = 100, meter: Meter = METER, by: Sequence[str] = ()
+    df: DataFrame, limit: int | None = 100, meter: Meter = METER, by: Sequence[str] = ()
 ) -> DataFrame:
-    """A2 + T2: averages per exact timestamp, newest ``limit`` groups, returned
-    oldest first for charting."""
+    """A2 + T2: averages per exact timestamp, newest ``limit`` groups (all
+    when ``None``), returned oldest first for charting."""
     t = F.col(meter.time)
     grouped = (
         df.filter(t.isNotNull())
@@ -65,7 +65,7 @@ def timeseries(
             *[F.avg(s).alias(s) for s in meter.submeters],
         )
     )
-    newest = top_k(grouped, [t.desc()], limit, by)
+    newest = grouped if limit is None else top_k(grouped, [t.desc()], limit, by)
     return newest.orderBy(*_keys(by), t)
 
 

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from meterlake.operators import clean, features, reports
+from meterlake.operators import clean, features, insights, reports
 from meterlake.plans import catalog
 from meterlake.plans.sql import run_sql
 from meterlake.schema import PARTITION_COLUMNS
@@ -265,3 +265,52 @@ FROM energy_data
 def q_sql_passthrough(spark, sf_dir):
     """SQL text in, DataFrame out (Q1)."""
     return checked(run_sql(spark, STATISTICS_SQL, views={"energy_data": cleaned(spark, sf_dir)}))
+
+
+# --- insights -------------------------------------------------------------------
+
+
+@register("quality")
+def q_quality(spark, sf_dir):
+    return insights.quality(readings(spark, sf_dir))
+
+
+@register("timeseries_hours")
+def q_timeseries_hours(spark, sf_dir):
+    return checked(insights.timeseries_hours(cleaned(spark, sf_dir), hours=24))
+
+
+@register("weekday_profile")
+def q_weekday_profile(spark, sf_dir):
+    return checked(insights.weekday_profile(cleaned(spark, sf_dir)))
+
+
+@register("weekend_profile")
+def q_weekend_profile(spark, sf_dir):
+    return checked(insights.weekend_profile(cleaned(spark, sf_dir)))
+
+
+@register("weekday_pivot")
+def q_weekday_pivot(spark, sf_dir):
+    return checked(insights.weekday_pivot(cleaned(spark, sf_dir)))
+
+
+@register("peaks")
+def q_peaks(spark, sf_dir):
+    return checked(insights.peaks(cleaned(spark, sf_dir), k=2.0))
+
+
+@register("day_compare")
+def q_day_compare(spark, sf_dir):
+    return checked(insights.day_compare(cleaned(spark, sf_dir), days_back=7))
+
+
+@register("forecast_profile")
+def q_forecast_profile(spark, sf_dir):
+    return checked(insights.forecast_profile(cleaned(spark, sf_dir), horizon=24))
+
+
+@register("weather_impact")
+def q_weather_impact(spark, sf_dir):
+    data = cleaned(spark, sf_dir)
+    return checked(insights.weather_impact(data, insights.hourly_weather(data)))

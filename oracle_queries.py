@@ -240,3 +240,103 @@ WHERE window_start + INTERVAL 1 HOUR <= (SELECT max(datetime) FROM clean) - INTE
 SQL["catalog_count"] = SQL["record_count"]
 SQL["catalog_hour_profile"] = SQL["hour_profile"]
 SQL["sql_passthrough"] = SQL["statistics"]
+
+
+# --- insights -------------------------------------------------------------------
+
+_MISSING = ", ".join(
+    f"CAST(count_if({m} IS NULL OR isnan({m})) AS BIGINT) AS missing_{m}" for m in MEASURES
+)
+
+SQL["quality"] = f"""{BASE}
+SELECT count(*) AS total_records,
+  CAST(count_if(datetime IS NULL) AS BIGINT) AS missing_datetime,
+  {_MISSING},
+  CAST(count_if(global_active_power < 0) AS BIGINT) AS negative_active_power,
+  CAST(count_if(global_reactive_power < 0) AS BIGINT) AS negative_reactive_power,
+  CAST(count_if(global_active_power = 0) AS BIGINT) AS zero_active_power
+FROM readings"""
+
+SQL["timeseries_hours"] = f"""{BASE}
+SELECT datetime,
+  {r('avg(global_active_power)', 'avg_active_power')},
+  {r('avg(voltage)', 'avg_voltage')},
+  {r('avg(global_intensity)', 'avg_intensity')},
+  {r('avg(sub_metering_1)', 'sub_metering_1')},
+  {r('avg(sub_metering_2)', 'sub_metering_2')},
+  {r('avg(sub_metering_3)', 'sub_metering_3')}
+FROM clean
+WHERE datetime > (SELECT max(datetime) FROM clean) - INTERVAL 24 HOUR
+  AND datetime <= (SELECT max(datetime) FROM clean)
+GROUP BY datetime ORDER BY datetime"""
+
+SQL["weekday_profile"] = f"""{BASE}
+SELECT {WEEKDAY} AS weekday, CAST(hour(datetime) AS INTEGER) AS hour,
+  {r('avg(global_active_power)', 'avg_active_power')}, count(*) AS record_count,
+  CASE WHEN {WEEKDAY} IN (1, 7) THEN 1 ELSE 0 END AS is_weekend
+FROM clean GROUP BY 1, 2"""
+
+SQL["weekend_profile"] = f"""{BASE}
+SELECT CASE WHEN {WEEKDAY} IN (1, 7) THEN 1 ELSE 0 END AS is_weekend,
+  CAST(hour(datetime) AS INTEGER) AS hour,
+  {r('avg(global_active_power)', 'avg_active_power')}, count(*) AS record_count
+FROM clean GROUP BY 1, 2"""
+
+_PIVOT = ", ".join(
+    r(f"avg(global_active_power) FILTER (WHERE {WEEKDAY} = {d})", f"day_{d}") for d in range(1, 8)
+)
+
+SQL["weekday_pivot"] = f"""{BASE}
+SELECT CAST(hour(datetime) AS INTEGER) AS hour, {_PIVOT}
+FROM clean GROUP BY 1"""
+
+HOURLY = """hourly AS (
+  SELECT date_trunc('hour', datetime) AS hour_start, avg(global_active_power) AS load
+  FROM clean GROUP BY 1
+)"""
+
+SQL["peaks"] = f"""{BASE}, {HOURLY},
+stats AS (
+  SELECT CAST(hour(hour_start) AS INTEGER) AS hour, avg(load) AS m, stddev_samp(load) AS s
+  FROM hourly GROUP BY 1
+)
+SELECT h.hour_start, stats.hour, {r('h.load', 'avg_active_power')},
+  {r('stats.m', 'profile_mean')}, {r('stats.s', 'profile_std')},
+  {r('stats.m + 2.0 * stats.s', 'threshold')}
+FROM hourly h JOIN stats ON CAST(hour(h.hour_start) AS INTEGER) = stats.hour
+WHERE h.load > stats.m + 2.0 * stats.s"""
+
+SQL["day_compare"] = f"""{BASE},
+daily AS (SELECT CAST(datetime AS DATE) AS day, avg(global_active_power) AS a FROM clean GROUP BY 1)
+SELECT c.day, {r('c.a', 'avg_active_power')}, {r('p.a', 'prev_avg_active_power')},
+  {r('(c.a - p.a) / NULLIF(p.a, 0)', 'relative_change')}
+FROM daily c JOIN daily p ON p.day = CAST(c.day - INTERVAL 7 DAY AS DATE)"""
+
+SQL["forecast_profile"] = f"""{BASE},
+profile AS (
+  SELECT {WEEKDAY} AS weekday, CAST(hour(datetime) AS INTEGER) AS hour,
+    avg(global_active_power) AS f
+  FROM clean GROUP BY 1, 2
+),
+future AS (
+  SELECT date_trunc('hour', (SELECT max(datetime) FROM clean)) + INTERVAL (i) HOUR AS hour_start
+  FROM range(1, 25) t(i)
+)
+SELECT future.hour_start,
+  CAST(dayofweek(future.hour_start) + 1 AS INTEGER) AS weekday,
+  CAST(hour(future.hour_start) AS INTEGER) AS hour,
+  {r('profile.f', 'forecast_active_power')}
+FROM future LEFT JOIN profile
+  ON profile.weekday = CAST(dayofweek(future.hour_start) + 1 AS INTEGER)
+ AND profile.hour = CAST(hour(future.hour_start) AS INTEGER)"""
+
+SQL["weather_impact"] = f"""{BASE}, {HOURLY},
+weather AS (
+  SELECT DISTINCT date_trunc('hour', datetime) AS h FROM clean
+),
+weather_t AS (
+  SELECT h, CAST(5 + day(h) % 10 + hour(h) / 4e0 AS DOUBLE) AS temp_c FROM weather
+)
+SELECT count(*) AS hours, count(temp_c) AS hours_with_temp_c,
+  {r('corr(temp_c, load)', 'corr_temp_c_load')}
+FROM hourly LEFT JOIN weather_t ON weather_t.h = hourly.hour_start"""
