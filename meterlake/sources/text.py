@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from meterlake.functions.parse import raw_datetime, to_number
-from meterlake.schema import METER, RAW, RAW_HEADER, RAW_SEPARATOR, Meter
+from meterlake.schema import METER, MISSING_MARKER, RAW, RAW_HEADER, RAW_SEPARATOR, Meter
 
 RAW_DDL = ", ".join(f"{name} STRING" for name in RAW_HEADER)
 CSV_OPTIONS = {"sep": RAW_SEPARATOR, "header": "true", "mode": "PERMISSIVE"}
@@ -65,5 +65,9 @@ def raw_line(meter: Meter = METER) -> Column:
     with ``?`` for a missing measure."""
     t = F.col(meter.time)
     parts = [F.date_format(t, "d/M/yyyy"), F.date_format(t, "HH:mm:ss")]
-    parts += [F.coalesce(F.format_string("%.3f", F.col(m)), F.lit("?")) for m in meter.measures]
+    # format_string renders NULL as "nul" under %.3f, so test for NULL first
+    parts += [
+        F.when(F.col(m).isNull(), F.lit(MISSING_MARKER)).otherwise(F.format_string("%.3f", F.col(m)))
+        for m in meter.measures
+    ]
     return F.concat_ws(RAW_SEPARATOR, *parts)
