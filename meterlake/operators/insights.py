@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from meterlake.functions.calendar import hour_start, is_weekend
 from meterlake.operators.reports import timeseries
 from meterlake.plans.joins import bounded_broadcast, profile_bound
-from meterlake.plans.pruning import last_hours
+from meterlake.plans.pruning import last_hours, latest_instant
 from meterlake.schema import METER, Meter
 
 HOURS_PER_DAY = 24
@@ -52,11 +52,11 @@ def quality(df: DataFrame, meter: Meter = METER, by: Sequence[str] = ()) -> Data
     )
 
 
-def timeseries_hours(df: DataFrame, hours: int = 24, meter: Meter = METER) -> DataFrame:
+def timeseries_hours(df: DataFrame, hours: int = 24, meter: Meter = METER, partitioned: bool = False) -> DataFrame:
     """The time series of the last ``hours`` hours before the newest
-    reading (all timestamps in the window, oldest first). On stored readings
-    only the partitions of that window are read."""
-    return timeseries(last_hours(df, hours, meter), limit=None, meter=meter)
+    reading (all timestamps in the window, oldest first). On a stored
+    partitioned table (``partitioned``) only the window's partitions are read."""
+    return timeseries(last_hours(df, hours, meter, partitioned), limit=None, meter=meter)
 
 
 def weekday_profile(df: DataFrame, meter: Meter = METER, by: Sequence[str] = ()) -> DataFrame:
@@ -114,29 +114,51 @@ def peaks(df: DataFrame, k: float = 2.0, meter: Meter = METER, by: Sequence[str]
 
 
 def day_compare(df: DataFrame, days_back: int = 7, meter: Meter = METER, by: Sequence[str] = ()) -> DataFrame:
-    """Daily mean against the mean ``days_back`` days earlier; an
-    equi-join on the shifted date, so missing days stay visible as gaps
-    (a ``lag`` would silently compare with whatever day came before)."""
+    """Daily mean against the mean ``days_back`` days earlier.
+
+    A self-join on the shifted date, written as one aggregation: every daily
+    row is emitted twice, as itself and as the "earlier" value of the day
+    ``days_back`` later, and the two are grouped together again. One scan
+    and one small shuffle of daily rows, and missing days stay visible as
+    gaps (a ``lag`` would silently compare with whatever day came before).
+    """
     daily = df.groupBy(*_keys(by), F.to_date(meter.time).alias("day")).agg(
-        F.avg(meter.active).alias("avg_active_power")
+        F.avg(meter.active).alias("_avg")
     )
-    before = daily.select(
-        *by, F.date_add("day", days_back).alias("day"), F.col("avg_active_power").alias("prev_avg_active_power")
+    both = F.array(
+        F.struct(F.col("day").alias("_day"), F.col("_avg").alias("_cur"), F.lit(None).cast("double").alias("_prev")),
+        F.struct(F.date_add("day", days_back).alias("_day"), F.lit(None).cast("double").alias("_cur"), F.col("_avg").alias("_prev")),
     )
-    cur, prev = F.col("avg_active_power"), F.col("prev_avg_active_power")
-    return daily.join(before, on=[*by, "day"], how="inner").withColumn(
-        "relative_change", F.try_divide(cur - prev, prev)
+    paired = (
+        daily.select(*by, F.inline(both))
+        .groupBy(*_keys(by), F.col("_day").alias("day"))
+        .agg(F.max("_cur").alias("avg_active_power"), F.max("_prev").alias("prev_avg_active_power"))
+        .filter(F.col("avg_active_power").isNotNull() & F.col("prev_avg_active_power").isNotNull())
     )
+    cur, prev = F.col("avg_active_power"), F.col("prev_avg_active_power")
+    return paired.withColumn("relative_change", F.try_divide(cur - prev, prev))
 
 
-def forecast_profile(df: DataFrame, horizon: int = 24, meter: Meter = METER, by: Sequence[str] = ()) -> DataFrame:
+def forecast_profile(
+    df: DataFrame, horizon: int = 24, meter: Meter = METER, by: Sequence[str] = (), partitioned: bool = False
+) -> DataFrame:
     """Seasonal forecast of the ``horizon`` hours after the last hour
-    seen: mean active power of the same weekday × hour."""
+    seen: mean active power of the same weekday × hour.
+
+    Without ``by`` the last hour is one scalar (``latest_instant``: on a
+    stored partitioned table it reads partition values and one hour of data)
+    and the ≤ 168-row profile is broadcast; with ``by`` both are per group
+    and joined on (by, weekday, hour).
+    """
     t = F.col(meter.time)
     profile = df.groupBy(*_keys(by), F.dayofweek(t).alias("weekday"), F.hour(t).alias("hour")).agg(
         F.avg(meter.active).alias("forecast_active_power")
     )
-    last = df.groupBy(*_keys(by)).agg(F.date_trunc("hour", F.max(t)).alias("_last"))
+    if by:
+        last = df.groupBy(*_keys(by)).agg(F.date_trunc("hour", F.max(t)).alias("_last"))
+    else:
+        newest = latest_instant(df, meter, partitioned)
+        last = df.sparkSession.range(1).select(F.date_trunc("hour", newest).alias("_last"))
     steps = F.sequence(
         F.col("_last") + F.expr("INTERVAL 1 HOUR"),
         F.col("_last") + F.make_interval(hours=F.lit(horizon)),

@@ -33,15 +33,17 @@ def _as_col(x: Column | dt.datetime | str) -> Column:
     return F.lit(x).cast("timestamp")
 
 
-def latest_instant(df: DataFrame, meter: Meter = METER) -> Column:
+def latest_instant(df: DataFrame, meter: Meter = METER, partitioned: bool = False) -> Column:
     """``max(time)`` as a scalar subquery.
 
-    On stored readings the newest hour is found from partition values alone
-    (no data column is read), and the maximum timestamp is then taken inside
-    that one hour.
+    With ``partitioned`` (a stored table whose ``year/month/day/hour`` are
+    directory partitions) the newest hour is found from partition values
+    alone, which reads no data column, and the maximum timestamp is then
+    taken inside that one hour. On any other frame those columns would be
+    computed from the data, so the plain maximum is cheaper.
     """
     t = F.col(meter.time)
-    if has_partitions(df):
+    if partitioned and has_partitions(df):
         newest_hour = df.select(F.max(partition_hour())).scalar()
         return df.filter(partition_hour() == newest_hour).select(F.max(t)).scalar()
     return df.select(F.max(t)).scalar()
@@ -53,28 +55,33 @@ def between(
     end: Column | dt.datetime | str | None,
     meter: Meter = METER,
     include_start: bool = False,
+    partitioned: bool = False,
 ) -> DataFrame:
     """Rows with ``start < time <= end`` (``start <= time`` when
-    ``include_start``); either bound may be omitted. Adds the implied
-    partition predicates on stored readings."""
+    ``include_start``); either bound may be omitted. With ``partitioned``
+    the implied ``year/month/day/hour`` predicates are added as well, which
+    Spark applies as partition filters."""
     t = F.col(meter.time)
-    cond = F.lit(True)
-    part = F.lit(True)
-    ph = partition_hour() if has_partitions(df) else None
+    conds = []
+    ph = partition_hour() if partitioned and has_partitions(df) else None
     if start is not None:
         s = _as_col(start)
-        cond = cond & ((t >= s) if include_start else (t > s))
+        conds.append((t >= s) if include_start else (t > s))
         if ph is not None:
-            part = part & (ph >= F.date_trunc("hour", s))
+            conds.append(ph >= F.date_trunc("hour", s))
     if end is not None:
         e = _as_col(end)
-        cond = cond & (t <= e)
+        conds.append(t <= e)
         if ph is not None:
-            part = part & (ph <= e)
-    return df.filter(part).filter(cond)
-
-
-def last_hours(df: DataFrame, hours: int, meter: Meter = METER) -> DataFrame:
-    """Rows in the ``hours`` hours up to the newest reading."""
-    newest = latest_instant(df, meter)
-    return between(df, newest - F.make_interval(hours=F.lit(hours)), newest, meter)
+            conds.append(ph <= e)
+    for c in conds:
+        df = df.filter(c)
+    return df
+
+
+def last_hours(df: DataFrame, hours: int, meter: Meter = METER, partitioned: bool = False) -> DataFrame:
+    """Rows in the ``hours`` hours up to the newest reading (X9). The newest
+    reading is the upper bound by definition, so only the lower one is
+    applied."""
+    newest = latest_instant(df, meter, partitioned)
+    return between(df, newest - F.make_interval(hours=F.lit(hours)), None, meter, partitioned=partitioned)
