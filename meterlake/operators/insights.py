@@ -113,30 +113,51 @@ def peaks(df: DataFrame, k: float = 2.0, meter: Meter = METER, by: Sequence[str]
     )
 
 
+def align_shifted(
+    df: DataFrame,
+    time_col: str,
+    value_col: str,
+    shifts: dict[str, Column],
+    by: Sequence[str] = (),
+    current: str = "value",
+) -> DataFrame:
+    """A self-join on shifted time, written as one aggregation.
+
+    Every row is emitted once as itself and once per shift (its time moved
+    forward by that amount, its value under the shift's name); grouping on
+    (by, time) puts each row next to the values from the shifted-away times.
+    One shuffle of ``df`` instead of one join per shift, no skew (a key
+    holds at most 1 + len(shifts) rows), and absent times stay NULL. Keys of
+    ``df`` must be unique per (by, time).
+    """
+    names = [current, *shifts]
+    null = F.lit(None).cast("double")
+
+    def copy(at: Column, slot: str) -> Column:
+        return F.struct(at.alias("_t"), *[(F.col(value_col) if n == slot else null).alias(n) for n in names])
+
+    copies = F.array(copy(F.col(time_col), current), *[copy(F.col(time_col) + d, n) for n, d in shifts.items()])
+    return (
+        df.select(*by, F.inline(copies))
+        .groupBy(*_keys(by), F.col("_t").alias(time_col))
+        .agg(*[F.max(n).alias(n) for n in names])
+    )
+
+
 def day_compare(df: DataFrame, days_back: int = 7, meter: Meter = METER, by: Sequence[str] = ()) -> DataFrame:
     """Daily mean against the mean ``days_back`` days earlier.
 
-    A self-join on the shifted date, written as one aggregation: every daily
-    row is emitted twice, as itself and as the "earlier" value of the day
-    ``days_back`` later, and the two are grouped together again. One scan
-    and one small shuffle of daily rows, and missing days stay visible as
-    gaps (a ``lag`` would silently compare with whatever day came before).
+    A self-join on the shifted date done by ``align_shifted``: one scan and
+    one small shuffle of daily rows; missing days stay visible as gaps (a
+    ``lag`` would silently compare with whatever day came before).
     """
-    daily = df.groupBy(*_keys(by), F.to_date(meter.time).alias("day")).agg(
-        F.avg(meter.active).alias("_avg")
-    )
-    both = F.array(
-        F.struct(F.col("day").alias("_day"), F.col("_avg").alias("_cur"), F.lit(None).cast("double").alias("_prev")),
-        F.struct(F.date_add("day", days_back).alias("_day"), F.lit(None).cast("double").alias("_cur"), F.col("_avg").alias("_prev")),
-    )
-    paired = (
-        daily.select(*by, F.inline(both))
-        .groupBy(*_keys(by), F.col("_day").alias("day"))
-        .agg(F.max("_cur").alias("avg_active_power"), F.max("_prev").alias("prev_avg_active_power"))
-        .filter(F.col("avg_active_power").isNotNull() & F.col("prev_avg_active_power").isNotNull())
-    )
+    daily = df.groupBy(*_keys(by), F.to_date(meter.time).alias("day")).agg(F.avg(meter.active).alias("_avg"))
+    paired = align_shifted(
+        daily, "day", "_avg", {"prev_avg_active_power": F.make_interval(days=F.lit(days_back))},
+        by, current="avg_active_power",
+    ).withColumn("day", F.col("day").cast("date"))
     cur, prev = F.col("avg_active_power"), F.col("prev_avg_active_power")
-    return paired.withColumn("relative_change", F.try_divide(cur - prev, prev))
+    return paired.filter(cur.isNotNull() & prev.isNotNull()).withColumn("relative_change", F.try_divide(cur - prev, prev))
 
 
 def forecast_profile(
@@ -198,3 +219,67 @@ def weather_impact(
         *[F.count(c).alias(f"hours_with_{c}") for c in cols],
         *[F.corr(c, "load").alias(f"corr_{c}_load") for c in cols],
     )
+
+
+def lag_features(df: DataFrame, meter: Meter = METER, by: Sequence[str] = ()) -> DataFrame:
+    """Hourly load with its value 1 h and 24 h earlier, hour of day and the
+    weekend flag; hours lacking either lag are dropped. Lags only look back,
+    so a time-ordered split never feeds test-period values into training."""
+    hourly = hourly_load(df, meter, by)
+    aligned = align_shifted(
+        hourly,
+        "hour_start",
+        "load",
+        {"lag_1h": F.expr("INTERVAL 1 HOUR"), "lag_24h": F.expr("INTERVAL 24 HOURS")},
+        by,
+        current="load",
+    )
+    return aligned.filter(
+        F.col("load").isNotNull() & F.col("lag_1h").isNotNull() & F.col("lag_24h").isNotNull()
+    ).select(
+        *by,
+        "hour_start",
+        "load",
+        "lag_1h",
+        "lag_24h",
+        F.hour("hour_start").cast("double").alias("hour"),
+        is_weekend(F.dayofweek("hour_start")).cast("double").alias("is_weekend"),
+    )
+
+
+def ml_forecast(df: DataFrame, test_days: int = 7, meter: Meter = METER, by: Sequence[str] = ()) -> DataFrame:
+    """Linear regression on (lag 1 h, lag 24 h, hour, weekend) trained on
+    all but the last ``test_days`` days and scored on them, next to the
+    seasonal (weekday × hour) profile of the training period. Returns one
+    row per model: ``model, mae, test_hours``.
+
+    Training runs in Spark ML (distributed normal-equation solve); the split
+    is by time through a scalar bound, never random.
+    """
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.ml.regression import LinearRegression
+
+    feats = lag_features(df, meter, by)
+    cutoff = feats.select(F.max("hour_start")).scalar() - F.make_interval(days=F.lit(test_days))
+    train = feats.filter(F.col("hour_start") <= cutoff)
+    test = feats.filter(F.col("hour_start") > cutoff)
+
+    assembler = VectorAssembler(inputCols=["lag_1h", "lag_24h", "hour", "is_weekend"], outputCol="features")
+    model = LinearRegression(featuresCol="features", labelCol="load", solver="normal").fit(assembler.transform(train))
+    scored = model.transform(assembler.transform(test))
+    lr = scored.agg(
+        F.lit("linear_regression").alias("model"),
+        F.avg(F.abs(F.col("prediction") - F.col("load"))).alias("mae"),
+        F.count(F.lit(1)).alias("test_hours"),
+    )
+
+    slot = [*by, F.dayofweek("hour_start").alias("weekday"), F.hour("hour_start").alias("hour_of_day")]
+    profile = train.groupBy(*slot).agg(F.avg("load").alias("profile"))
+    profile = bounded_broadcast(profile, profile_bound(by, HOURS_PER_WEEK))
+    test_slots = test.select(*by, "hour_start", "load", *slot[len(by):])
+    seasonal = test_slots.join(profile, on=[*by, "weekday", "hour_of_day"], how="left").agg(
+        F.lit("seasonal_profile").alias("model"),
+        F.avg(F.abs(F.col("profile") - F.col("load"))).alias("mae"),
+        F.count(F.lit(1)).alias("test_hours"),
+    )
+    return lr.unionByName(seasonal)

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from meterlake.operators import clean, features, insights, reports
+from meterlake.operators import clean, dashboard, features, insights, reports
 from meterlake.plans import catalog
 from meterlake.plans.sql import run_sql
 from meterlake.schema import PARTITION_COLUMNS
@@ -314,3 +314,82 @@ def q_forecast_profile(spark, sf_dir):
 def q_weather_impact(spark, sf_dir):
     data = cleaned(spark, sf_dir)
     return checked(insights.weather_impact(data, insights.hourly_weather(data)))
+
+
+# --- dashboard presentation, ML forecast ----------------------------------------
+
+
+@register("chart_series")
+def q_chart_series(spark, sf_dir):
+    """Hour profile as chart points."""
+    return checked(dashboard.hour_chart(reports.hour_profile(cleaned(spark, sf_dir))))
+
+
+@register("statistic_cards")
+def q_statistic_cards(spark, sf_dir):
+    """Statistics with the cards' rounding."""
+    return dashboard.statistic_cards(reports.statistics(cleaned(spark, sf_dir)))
+
+
+@register("latest_table")
+def q_latest_table(spark, sf_dir):
+    """Latest readings with the table's rounding and text time."""
+    return dashboard.latest_table(reports.latest(cleaned(spark, sf_dir), limit=100))
+
+
+@register("ml_forecast")
+def q_ml_forecast(spark, sf_dir):
+    """Linear-regression forecast against the seasonal profile (X2); an
+    iterative fit, so no SQL oracle (rows-only check)."""
+    return checked(insights.ml_forecast(cleaned(spark, sf_dir), test_days=7))
+
+
+# --- per meter (``by``): user_id of the events plays the meter key -------------
+
+METER_KEY = ("meter_id",)
+
+
+def cleaned_meters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return clean.clean_stream(readings(spark, sf_dir, keep_meter=True))
+
+
+@register("statistics_by_meter")
+def q_statistics_by_meter(spark, sf_dir):
+    return checked(reports.statistics(cleaned_meters(spark, sf_dir), by=METER_KEY))
+
+
+@register("hour_profile_by_meter")
+def q_hour_profile_by_meter(spark, sf_dir):
+    return checked(reports.hour_profile(cleaned_meters(spark, sf_dir), by=METER_KEY))
+
+
+@register("latest_by_meter")
+def q_latest_by_meter(spark, sf_dir):
+    """Newest 5 readings of every meter (per-group top-k)."""
+    return checked(reports.latest(cleaned_meters(spark, sf_dir), limit=5, by=METER_KEY))
+
+
+@register("timeseries_by_meter")
+def q_timeseries_by_meter(spark, sf_dir):
+    """Newest 10 timestamps of every meter, oldest first."""
+    return checked(reports.timeseries(cleaned_meters(spark, sf_dir), limit=10, by=METER_KEY))
+
+
+@register("daily_features_by_meter")
+def q_daily_features_by_meter(spark, sf_dir):
+    return checked(features.daily_features(cleaned_meters(spark, sf_dir), by=METER_KEY))
+
+
+@register("peaks_by_meter")
+def q_peaks_by_meter(spark, sf_dir):
+    return checked(insights.peaks(cleaned_meters(spark, sf_dir), k=1.0, by=METER_KEY))
+
+
+@register("day_compare_by_meter")
+def q_day_compare_by_meter(spark, sf_dir):
+    return checked(insights.day_compare(cleaned_meters(spark, sf_dir), days_back=7, by=METER_KEY))
+
+
+@register("forecast_by_meter")
+def q_forecast_by_meter(spark, sf_dir):
+    return checked(insights.forecast_profile(cleaned_meters(spark, sf_dir), horizon=24, by=METER_KEY))

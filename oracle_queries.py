@@ -340,3 +340,114 @@ weather_t AS (
 SELECT count(*) AS hours, count(temp_c) AS hours_with_temp_c,
   {r('corr(temp_c, load)', 'corr_temp_c_load')}
 FROM hourly LEFT JOIN weather_t ON weather_t.h = hourly.hour_start"""
+
+
+# --- dashboard presentation -------------------------------------------------------
+
+SQL["chart_series"] = f"""{BASE}
+SELECT CAST(hour AS VARCHAR) || ':00' AS label, hour,
+  {r("coalesce(CASE WHEN isnan(avg(global_active_power)) THEN 0.0 ELSE avg(global_active_power) END, 0.0)", "value")}
+FROM clean WHERE hour IS NOT NULL GROUP BY hour"""
+
+SQL["statistic_cards"] = f"""{BASE}
+SELECT count(*) AS total_records,
+  round(avg(global_active_power), 2) AS avg_active_power,
+  round(avg(voltage), 1) AS avg_voltage,
+  round(avg(global_intensity), 2) AS avg_intensity
+FROM clean"""
+
+_TABLE_DIGITS = dict(zip(MEASURES, (3, 3, 2, 2, 1, 1, 1)))
+
+SQL["latest_table"] = f"""{BASE}
+SELECT strftime(datetime, '%Y-%m-%d %H:%M:%S') AS datetime,
+  {", ".join(f"round({m}, {d}) + CAST(0 AS DOUBLE) AS {m}" for m, d in _TABLE_DIGITS.items())}
+FROM clean ORDER BY clean.datetime DESC, event_id DESC LIMIT 100"""
+
+
+# --- per meter ----------------------------------------------------------------------
+
+SQL["statistics_by_meter"] = f"""{BASE}
+SELECT meter_id, count(*) AS total_records,
+  {r('avg(global_active_power)', 'avg_active_power')},
+  {r('max(global_active_power)', 'max_active_power')},
+  {r('min(global_active_power)', 'min_active_power')},
+  {r('avg(voltage)', 'avg_voltage')},
+  {r('avg(global_intensity)', 'avg_intensity')},
+  {r('sum(sub_metering_1 + sub_metering_2 + sub_metering_3)', 'total_sub_metering')}
+FROM clean GROUP BY meter_id"""
+
+SQL["hour_profile_by_meter"] = f"""{BASE}
+SELECT meter_id, hour, {r('avg(global_active_power)', 'avg_active_power')},
+  {r('avg(voltage)', 'avg_voltage')}, count(*) AS record_count
+FROM clean WHERE hour IS NOT NULL GROUP BY meter_id, hour"""
+
+SQL["latest_by_meter"] = f"""{BASE}
+SELECT meter_id, datetime, {rounded_measures()} FROM (
+  SELECT *, row_number() OVER (PARTITION BY meter_id ORDER BY datetime DESC, event_id DESC) AS rn FROM clean
+) WHERE rn <= 5"""
+
+SQL["timeseries_by_meter"] = f"""{BASE},
+g AS (
+  SELECT meter_id, datetime,
+    avg(global_active_power) AS a, avg(voltage) AS v, avg(global_intensity) AS i,
+    avg(sub_metering_1) AS s1, avg(sub_metering_2) AS s2, avg(sub_metering_3) AS s3
+  FROM clean WHERE datetime IS NOT NULL GROUP BY meter_id, datetime
+)
+SELECT meter_id, datetime, {r('a', 'avg_active_power')}, {r('v', 'avg_voltage')},
+  {r('i', 'avg_intensity')}, {r('s1', 'sub_metering_1')}, {r('s2', 'sub_metering_2')},
+  {r('s3', 'sub_metering_3')}
+FROM (SELECT *, row_number() OVER (PARTITION BY meter_id ORDER BY datetime DESC) AS rn FROM g)
+WHERE rn <= 10"""
+
+SQL["daily_features_by_meter"] = f"""{BASE}
+SELECT meter_id, year, month, day,
+  {r('avg(global_active_power)', 'avg_power_daily')},
+  {r('stddev_samp(voltage)', 'voltage_stability_daily')},
+  {r('sum(sub_metering_1 + sub_metering_2 + sub_metering_3)', 'total_submetering_daily')},
+  {r('avg(global_intensity)', 'avg_intensity_daily')}
+FROM clean GROUP BY meter_id, year, month, day"""
+
+SQL["peaks_by_meter"] = f"""{BASE},
+hourly AS (
+  SELECT meter_id, date_trunc('hour', datetime) AS hour_start, avg(global_active_power) AS load
+  FROM clean GROUP BY 1, 2
+),
+stats AS (
+  SELECT meter_id, CAST(hour(hour_start) AS INTEGER) AS hour, avg(load) AS m, stddev_samp(load) AS s
+  FROM hourly GROUP BY 1, 2
+)
+SELECT h.meter_id, h.hour_start, stats.hour, {r('h.load', 'avg_active_power')},
+  {r('stats.m', 'profile_mean')}, {r('stats.s', 'profile_std')},
+  {r('stats.m + 1.0 * stats.s', 'threshold')}
+FROM hourly h JOIN stats
+  ON h.meter_id = stats.meter_id AND CAST(hour(h.hour_start) AS INTEGER) = stats.hour
+WHERE h.load > stats.m + 1.0 * stats.s"""
+
+SQL["day_compare_by_meter"] = f"""{BASE},
+daily AS (
+  SELECT meter_id, CAST(datetime AS DATE) AS day, avg(global_active_power) AS a
+  FROM clean GROUP BY 1, 2
+)
+SELECT c.meter_id, c.day, {r('c.a', 'avg_active_power')}, {r('p.a', 'prev_avg_active_power')},
+  {r('(c.a - p.a) / NULLIF(p.a, 0)', 'relative_change')}
+FROM daily c JOIN daily p
+  ON p.meter_id = c.meter_id AND p.day = CAST(c.day - INTERVAL 7 DAY AS DATE)"""
+
+SQL["forecast_by_meter"] = f"""{BASE},
+profile AS (
+  SELECT meter_id, {WEEKDAY} AS weekday, CAST(hour(datetime) AS INTEGER) AS hour,
+    avg(global_active_power) AS f
+  FROM clean GROUP BY 1, 2, 3
+),
+last AS (SELECT meter_id, date_trunc('hour', max(datetime)) AS l FROM clean GROUP BY 1),
+future AS (
+  SELECT meter_id, l + INTERVAL (i) HOUR AS hour_start FROM last, range(1, 25) t(i)
+)
+SELECT future.meter_id, future.hour_start,
+  CAST(dayofweek(future.hour_start) + 1 AS INTEGER) AS weekday,
+  CAST(hour(future.hour_start) AS INTEGER) AS hour,
+  {r('profile.f', 'forecast_active_power')}
+FROM future LEFT JOIN profile
+  ON profile.meter_id = future.meter_id
+ AND profile.weekday = CAST(dayofweek(future.hour_start) + 1 AS INTEGER)
+ AND profile.hour = CAST(hour(future.hour_start) AS INTEGER)"""
