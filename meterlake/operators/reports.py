@@ -69,15 +69,23 @@ def timeseries(
     return newest.orderBy(*_keys(by), t)
 
 
+def default_tiebreak(df: DataFrame, meter: Meter = METER) -> list[str]:
+    """A row id when there is one, else the measures: readings equal in time
+    and every measure are indistinguishable, so either order is the same."""
+    return [c for c in ("event_id",) if c in df.columns] or list(meter.measures)
+
+
 def latest(
     df: DataFrame,
     limit: int = 100,
     meter: Meter = METER,
-    tiebreak: Sequence[str] = ("event_id",),
+    tiebreak: Sequence[str] | None = None,
     by: Sequence[str] = (),
 ) -> DataFrame:
     """Newest ``limit`` readings, newest first; ``tiebreak`` columns make
     the cut deterministic when readings share a timestamp (G8)."""
+    if tiebreak is None:
+        tiebreak = default_tiebreak(df, meter)
     order = [F.col(meter.time).desc_nulls_last(), *[F.col(c).desc() for c in tiebreak]]
     picked = top_k(df, order, limit, by)
     if by:  # per-group top-k comes back unordered
@@ -89,7 +97,7 @@ def latest_text(
     df: DataFrame,
     limit: int = 100,
     meter: Meter = METER,
-    tiebreak: Sequence[str] = ("event_id",),
+    tiebreak: Sequence[str] | None = None,
     by: Sequence[str] = (),
 ) -> DataFrame:
     """T1 + P22: as ``latest`` with the timestamp as ``yyyy-MM-dd HH:mm:ss``."""
@@ -159,7 +167,7 @@ def _submeter_rows(meter: Meter, value_of) -> Column:
 
 
 def submeter_latest(
-    df: DataFrame, meter: Meter = METER, tiebreak: Sequence[str] = ("event_id",), by: Sequence[str] = ()
+    df: DataFrame, meter: Meter = METER, tiebreak: Sequence[str] | None = None, by: Sequence[str] = ()
 ) -> DataFrame:
     """A9 (a): the newest reading's sub-meter values, one row per sub-meter."""
     newest = latest(df, 1, meter, tiebreak, by)

@@ -19,6 +19,9 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 from meterlake.operators.clean import clean_stream
 from meterlake.plans import catalog
 from meterlake.schema import METER, PARTITION_COLUMNS, Meter
+from meterlake.settings import Settings
+from meterlake.sources.messages import parse_json, read_kafka
+from meterlake.sources.text import parse_raw_lines
 
 log = logging.getLogger(__name__)
 
@@ -99,6 +102,31 @@ def start_ingest(
     return start_parquet_sink(to_stored(parsed, meter), path, checkpoint, partition_by, trigger)
 
 
+def parse_wire(messages: DataFrame, wire: str = "json", meter: Meter = METER) -> DataFrame:
+    """Message values → typed readings: ``json`` (M2) or ``raw`` ``;`` lines (M5)."""
+    if wire == "json":
+        return parse_json(messages, "value", meter)
+    if wire == "raw":
+        return parse_raw_lines(messages, "value", meter)
+    raise ValueError(f"unknown wire format {wire!r}")
+
+
+def start_kafka_ingest(
+    spark: SparkSession,
+    settings: Settings,
+    path: str,
+    checkpoint: str,
+    table: str | None = None,
+    wire: str = "json",
+    trigger: dict | None = None,
+    meter: Meter = METER,
+) -> StreamingQuery:
+    """The deployed pipeline: Kafka topic → parse → clean_stream → Parquet,
+    every ``settings.trigger_seconds`` unless another trigger is given."""
+    parsed = parse_wire(read_kafka(spark, settings), wire, meter)
+    return start_ingest(spark, parsed, path, checkpoint, table, trigger or interval(settings.trigger_seconds), meter)
+
+
 def run_until_stopped(query: StreamingQuery, on_stop: Callable[[], None] | None = None) -> None:
     """Await termination; on interrupt or error stop the query and
     re-raise, so a failure is never reported as success."""

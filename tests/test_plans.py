@@ -130,3 +130,18 @@ def test_day_compare_scans_once(spark):
     final = plan(df).split("== Initial Plan ==")[0]
     assert final.count("FileScan parquet") == 1
     assert "Join" not in final
+
+
+@pytest.mark.parametrize("name", ["latest_by_meter", "timeseries_by_meter"])
+def test_per_meter_top_k_limits_before_shuffle(spark, name):
+    limits = [line for line in plan(entry.queries()[name](spark, SF_SMALL)).splitlines() if "WindowGroupLimit" in line]
+    assert any(line.rstrip().endswith("Partial") for line in limits)
+    assert any(line.rstrip().endswith("Final") for line in limits)
+
+
+def test_latest_on_stored_table_without_row_id(spark, stored_path):
+    df = spark.read.parquet(stored_path)
+    assert "event_id" not in df.columns
+    rows = reports.latest(df, limit=10).collect()
+    assert len(rows) == 10
+    assert [r.datetime for r in rows] == sorted((r.datetime for r in rows), reverse=True)
