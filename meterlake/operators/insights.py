@@ -19,6 +19,7 @@ from meterlake.operators.reports import timeseries
 from meterlake.plans.joins import bounded_broadcast, profile_bound
 from meterlake.plans.pruning import last_hours, latest_instant
 from meterlake.schema import METER, Meter
+from meterlake.session import checkpoint_root
 
 HOURS_PER_DAY = 24
 HOURS_PER_WEEK = 7 * 24
@@ -259,7 +260,11 @@ def ml_forecast(df: DataFrame, test_days: int = 7, meter: Meter = METER, by: Seq
     from pyspark.ml.feature import VectorAssembler
     from pyspark.ml.regression import LinearRegression
 
-    feats = lag_features(df, meter, by)
+    # The fit, the split bound and both scorings all read the features:
+    # materialise them once in the shared checkpoint folder (hourly rows, far
+    # smaller than the readings); a lost executor re-reads them from there.
+    checkpoint_root(df.sparkSession)
+    feats = lag_features(df, meter, by).checkpoint(eager=True)
     cutoff = feats.select(F.max("hour_start")).scalar() - F.make_interval(days=F.lit(test_days))
     train = feats.filter(F.col("hour_start") <= cutoff)
     test = feats.filter(F.col("hour_start") > cutoff)

@@ -47,21 +47,32 @@ def pin_semantics(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.session.timeZone", "UTC")
 
 
-def shared_dir(spark: SparkSession, *parts: str) -> str:
-    """A fresh directory below the cluster's shared checkpoint folder.
+def checkpoint_root(spark: SparkSession) -> str:
+    """The cluster's shared checkpoint folder, registered with the context.
 
-    The folder comes from ``spark.checkpoint.dir`` (or the directory set with
-    ``SparkContext.setCheckpointDir``). Only when neither is set, as in local
-    tests, a temporary folder is created and registered as the checkpoint dir.
+    Taken from ``spark.checkpoint.dir`` (session or launch configuration),
+    else from a directory already set with ``setCheckpointDir``. Only when
+    neither exists, as in local tests, a temporary folder is created. The
+    result is also set as the context's checkpoint directory, so
+    ``DataFrame.checkpoint()`` writes there.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        jdir = spark.sparkContext._jsc.sc().getCheckpointDir()
-        root = jdir.get() if jdir.isDefined() else None
+    sc = spark.sparkContext
+    root = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
+    current = sc._jsc.sc().getCheckpointDir()
+    if not root and current.isDefined():
+        return current.get()
     if not root:
         root = tempfile.mkdtemp(prefix="meterlake-ckpt-")
         log.warning("spark.checkpoint.dir is unset; using local %s (tests only)", root)
-        spark.sparkContext.setCheckpointDir(root)
         spark.conf.set("spark.checkpoint.dir", root)
+    if not current.isDefined():
+        sc.setCheckpointDir(root)
+    return root
+
+
+def shared_dir(spark: SparkSession, *parts: str) -> str:
+    """A fresh directory below the cluster's shared checkpoint folder
+    (``checkpoint_root``), for stream state, spools and written tables."""
+    root = checkpoint_root(spark)
     name = "-".join(parts) if parts else "work"
     return os.path.join(root.rstrip("/"), f"{name}-{uuid.uuid4().hex[:12]}")

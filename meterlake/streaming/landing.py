@@ -38,8 +38,12 @@ def land_batch(
 ) -> int:
     """Write one batch idempotently and register its partitions."""
     target = os.path.join(path, f"{BATCH_COLUMN}={batch_id}")
-    batch.write.mode("overwrite").partitionBy(*partition_by).parquet(target)
-    parts = [r.asDict() for r in batch.select(*partition_by).distinct().collect()]
+    batch.persist()  # written and scanned for its partitions: compute once
+    try:
+        batch.write.mode("overwrite").partitionBy(*partition_by).parquet(target)
+        parts = [r.asDict() for r in batch.select(*partition_by).distinct().collect()]
+    finally:
+        batch.unpersist()
     return catalog.add_partitions(spark, table, [{BATCH_COLUMN: batch_id, **p} for p in parts])
 
 
