@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from meterlake.functions.display import datetime_text
 from meterlake.functions.measures import sub_total
+from meterlake.plans.pruning import newest
 from meterlake.schema import METER, Meter
 
 
@@ -50,11 +51,19 @@ def statistics(df: DataFrame, meter: Meter = METER, by: Sequence[str] = ()) -> D
 
 
 def timeseries(
-    df: DataFrame, limit: int | None = 100, meter: Meter = METER, by: Sequence[str] = ()
+    df: DataFrame,
+    limit: int | None = 100,
+    meter: Meter = METER,
+    by: Sequence[str] = (),
+    partitioned: bool = False,
 ) -> DataFrame:
     """A2 + T2: averages per exact timestamp, newest ``limit`` groups (all
-    when ``None``), returned oldest first for charting."""
+    when ``None``), returned oldest first for charting. On a stored
+    partitioned table (``partitioned``) only the newest partitions are read
+    in full (``pruning.newest``)."""
     t = F.col(meter.time)
+    if partitioned and limit is not None and not by:
+        df = newest(df, limit, meter, distinct=True)
     grouped = (
         df.filter(t.isNotNull())
         .groupBy(*_keys(by), t)
@@ -65,8 +74,8 @@ def timeseries(
             *[F.avg(s).alias(s) for s in meter.submeters],
         )
     )
-    newest = grouped if limit is None else top_k(grouped, [t.desc()], limit, by)
-    return newest.orderBy(*_keys(by), t)
+    picked = grouped if limit is None else top_k(grouped, [t.desc()], limit, by)
+    return picked.orderBy(*_keys(by), t)
 
 
 def default_tiebreak(df: DataFrame, meter: Meter = METER) -> list[str]:
@@ -81,11 +90,16 @@ def latest(
     meter: Meter = METER,
     tiebreak: Sequence[str] | None = None,
     by: Sequence[str] = (),
+    partitioned: bool = False,
 ) -> DataFrame:
     """Newest ``limit`` readings, newest first; ``tiebreak`` columns make
-    the cut deterministic when readings share a timestamp (G8)."""
+    the cut deterministic when readings share a timestamp (G8). On a stored
+    partitioned table (``partitioned``) only the newest partitions are read
+    in full (``pruning.newest``)."""
     if tiebreak is None:
         tiebreak = default_tiebreak(df, meter)
+    if partitioned and not by:
+        df = newest(df, limit, meter)
     order = [F.col(meter.time).desc_nulls_last(), *[F.col(c).desc() for c in tiebreak]]
     picked = top_k(df, order, limit, by)
     if by:  # per-group top-k comes back unordered
@@ -99,9 +113,10 @@ def latest_text(
     meter: Meter = METER,
     tiebreak: Sequence[str] | None = None,
     by: Sequence[str] = (),
+    partitioned: bool = False,
 ) -> DataFrame:
     """T1 + P22: as ``latest`` with the timestamp as ``yyyy-MM-dd HH:mm:ss``."""
-    rows = latest(df, limit, meter, tiebreak, by)
+    rows = latest(df, limit, meter, tiebreak, by, partitioned)
     return rows.withColumn(meter.time, datetime_text(F.col(meter.time)))
 
 
@@ -167,12 +182,16 @@ def _submeter_rows(meter: Meter, value_of) -> Column:
 
 
 def submeter_latest(
-    df: DataFrame, meter: Meter = METER, tiebreak: Sequence[str] | None = None, by: Sequence[str] = ()
+    df: DataFrame,
+    meter: Meter = METER,
+    tiebreak: Sequence[str] | None = None,
+    by: Sequence[str] = (),
+    partitioned: bool = False,
 ) -> DataFrame:
     """A9 (a): the newest reading's sub-meter values, one row per sub-meter."""
-    newest = latest(df, 1, meter, tiebreak, by)
+    newest_row = latest(df, 1, meter, tiebreak, by, partitioned)
     unpivot = F.inline(_submeter_rows(meter, F.col))
-    return newest.select(*_keys(by), unpivot)
+    return newest_row.select(*_keys(by), unpivot)
 
 
 def submeter_share(df: DataFrame, meter: Meter = METER, by: Sequence[str] = ()) -> DataFrame:

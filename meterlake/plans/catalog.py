@@ -99,6 +99,20 @@ def list_tables(spark: SparkSession, database: str | None = None) -> list[str]:
     return [t.name for t in spark.catalog.listTables(database)]
 
 
+def normalized_location(path: str) -> str:
+    p = path.rstrip("/")
+    return p if "://" in p or p.startswith("file:") else "file:" + p
+
+
+def table_location(spark: SparkSession, name: str) -> str | None:
+    """Location of an existing table from catalog metadata (no listing);
+    None when the table does not exist."""
+    if not table_exists(spark, name):
+        return None
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").filter("col_name = 'Location'").collect()
+    return normalized_location(rows[0].data_type) if rows else None
+
+
 def read_table(spark: SparkSession, name: str) -> DataFrame:
     """The catalog table as a DataFrame (partition filters prune)."""
     return spark.table(name)

@@ -85,3 +85,21 @@ def last_hours(df: DataFrame, hours: int, meter: Meter = METER, partitioned: boo
     applied."""
     newest = latest_instant(df, meter, partitioned)
     return between(df, newest - F.make_interval(hours=F.lit(hours)), None, meter, partitioned=partitioned)
+
+
+def newest_bound(df: DataFrame, k: int, meter: Meter = METER, distinct: bool = False) -> Column:
+    """The k-th newest timestamp (of distinct timestamps when ``distinct``)
+    as a scalar subquery: a top-k over the time column alone."""
+    t = F.col(meter.time)
+    times = df.select(t).filter(t.isNotNull())
+    if distinct:
+        times = times.distinct()
+    return times.orderBy(t.desc()).limit(k).select(F.min(t)).scalar()
+
+
+def newest(df: DataFrame, k: int, meter: Meter = METER, distinct: bool = False) -> DataFrame:
+    """Rows no older than the k-th newest timestamp, on a stored partitioned
+    table: the bound comes from the time column alone and prunes partitions
+    at run time, so a newest-k report reads full rows of the newest hours only.
+    Ties at the bound are kept, so a top-k over the result is exact."""
+    return between(df, newest_bound(df, k, meter, distinct), None, meter, include_start=True, partitioned=True)

@@ -8,6 +8,7 @@ SQL oracle produces: time columns as ``TIMESTAMP_NTZ`` and doubles rounded to
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -198,14 +199,28 @@ def spool_messages(spark: SparkSession, sf_dir: str, base: str) -> str:
     return path
 
 
+_STORED: dict[tuple, str] = {}
+
+
 def stored_table(spark: SparkSession, sf_dir: str, name: str = "energy_data") -> DataFrame:
-    """Cleaned readings written as the partitioned stored form (K2), behind a
-    freshly (re)created external catalog table with its partitions
-    registered (D1-D4); returns the table (S7)."""
-    base = shared_dir(spark, "stored")
-    write_parquet(ingest.to_stored(readings(spark, sf_dir)), base, partition_by=PARTITION_COLUMNS)
-    catalog.drop_table(spark, name)
-    catalog.ensure_table(spark, name, base)
+    """Cleaned readings in the stored layout behind an external catalog table.
+
+    The first call in a session writes the partitioned files (K2), creates the
+    table and registers its partitions (D1-D4); later calls for the same
+    input reuse it, as dashboard queries run against a table that exists.
+    Returns the table (S7).
+    """
+    events = os.path.join(sf_dir, "events.parquet")
+    st = os.stat(events) if os.path.exists(events) else None
+    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir), st and (st.st_mtime_ns, st.st_size))
+    base = _STORED.get(key)
+    if base is None:
+        base = shared_dir(spark, "stored")
+        write_parquet(ingest.to_stored(readings(spark, sf_dir)), base, partition_by=PARTITION_COLUMNS)
+        _STORED[key] = base
+    if catalog.table_location(spark, name) != catalog.normalized_location(base):
+        catalog.drop_table(spark, name)
+        catalog.ensure_table(spark, name, base)
     return catalog.read_table(spark, name)
 
 
@@ -247,6 +262,31 @@ def q_catalog_hour_profile(spark, sf_dir):
     return checked(reports.hour_profile(stored_table(spark, sf_dir)))
 
 
+@register("catalog_latest")
+def q_catalog_latest(spark, sf_dir):
+    """Newest 100 stored readings; full rows are read from the newest
+    partitions only. No row id is stored, so ties break on the measures."""
+    return checked(reports.latest(stored_table(spark, sf_dir), limit=100, partitioned=True))
+
+
+@register("catalog_timeseries")
+def q_catalog_timeseries(spark, sf_dir):
+    """Dashboard time series on the stored table, newest partitions only."""
+    return checked(reports.timeseries(stored_table(spark, sf_dir), limit=100, partitioned=True))
+
+
+@register("catalog_last_hours")
+def q_catalog_last_hours(spark, sf_dir):
+    """Last-24-hours series on the stored table: the window's partitions only."""
+    return checked(insights.timeseries_hours(stored_table(spark, sf_dir), hours=24, partitioned=True))
+
+
+@register("catalog_month_counts")
+def q_catalog_month_counts(spark, sf_dir):
+    """Rows per year and month: partition columns only, no data column read."""
+    return reports.month_counts(stored_table(spark, sf_dir))
+
+
 # The dashboard's statistics query as SQL text, run unchanged
 # over a view named like the original table.
 STATISTICS_SQL = """

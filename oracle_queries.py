@@ -451,3 +451,14 @@ FROM future LEFT JOIN profile
   ON profile.meter_id = future.meter_id
  AND profile.weekday = CAST(dayofweek(future.hour_start) + 1 AS INTEGER)
  AND profile.hour = CAST(hour(future.hour_start) AS INTEGER)"""
+
+
+_BY_MEASURES = ", ".join(f"{m} DESC" for m in MEASURES)
+
+SQL["catalog_latest"] = f"""{BASE}
+SELECT datetime, {rounded_measures()} FROM clean
+ORDER BY datetime DESC, {_BY_MEASURES} LIMIT 100"""
+
+SQL["catalog_timeseries"] = SQL["timeseries"]
+SQL["catalog_last_hours"] = SQL["timeseries_hours"]
+SQL["catalog_month_counts"] = SQL["month_counts"]

@@ -14,7 +14,10 @@ from meterlake.streaming import ingest
 from conftest import SF_SMALL
 
 # Registered queries that run a write or a stream when called.
-EAGER = {"stream_ingest", "stream_hourly", "catalog_count", "catalog_hour_profile"}
+EAGER = {"stream_ingest", "stream_hourly"} | {
+    "catalog_count", "catalog_hour_profile", "catalog_latest", "catalog_timeseries",
+    "catalog_last_hours", "catalog_month_counts",
+}
 PYTHON_NODES = ("BatchEvalPython", "ArrowEvalPython", "PythonUDF", "FlatMapGroupsInPandas", "MapInPandas", "PythonMapInArrow")
 
 
@@ -145,3 +148,14 @@ def test_latest_on_stored_table_without_row_id(spark, stored_path):
     rows = reports.latest(df, limit=10).collect()
     assert len(rows) == 10
     assert [r.datetime for r in rows] == sorted((r.datetime for r in rows), reverse=True)
+
+
+@pytest.mark.parametrize("report", ["latest", "timeseries"])
+def test_newest_reports_on_stored_table_read_newest_partitions(spark, stored_path, report):
+    df = spark.read.parquet(stored_path)
+    fn = getattr(reports, report)
+    fast, slow = fn(df, limit=20, partitioned=True), fn(df, limit=20)
+    assert fast.collect() == slow.collect()
+    scans = executed_scans(fast)
+    full = [s for s in scans if "global_active_power" in s["schema"]]
+    assert len(full) == 1 and full[0]["partitions"] <= 21
