@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from meterlake.functions.calendar import calendar_parts, is_weekend, weekday
@@ -73,3 +73,64 @@ def daily_features(df: DataFrame, meter: Meter = METER, by: Sequence[str] = ())
         F.sum("sub_total").alias("total_submetering_daily"),
         F.avg(meter.intensity).alias("avg_intensity_daily"),
     )
+
+
+def hourly_moments(df: DataFrame, meter: Meter = METER, by: Sequence[str] = ()) -> DataFrame:
+    """One pass over the readings: per hour the counts, sums and voltage
+    mean / second central moment that both feature tables derive from."""
+    keys = [*by, "year", "month", "day", "hour"]
+    src = _with_sub_total(_with_parts(df, meter, keys), meter)
+    v = F.col(meter.voltage)
+    return src.groupBy(*keys).agg(
+        F.count(meter.active).alias("n_active"),
+        F.sum(meter.active).alias("sum_active"),
+        F.count(v).alias("n_voltage"),
+        F.avg(v).alias("mean_voltage"),
+        (F.var_pop(v) * F.count(v)).alias("m2_voltage"),
+        F.count(meter.intensity).alias("n_intensity"),
+        F.sum(meter.intensity).alias("sum_intensity"),
+        F.sum("sub_total").alias("sum_sub_total"),
+    )
+
+
+def hourly_from_moments(moments: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """A4 from ``hourly_moments`` (same columns as ``hourly_features``)."""
+    return moments.select(
+        *by, "year", "month", "day", "hour",
+        F.try_divide("sum_active", "n_active").alias("avg_power_hourly"),
+        F.col("mean_voltage").alias("avg_voltage_hourly"),
+        F.try_divide("sum_intensity", "n_intensity").alias("avg_intensity_hourly"),
+        F.col("sum_sub_total").alias("total_sub_hourly"),
+    )
+
+
+def daily_from_moments(moments: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """A5 from ``hourly_moments``: hourly partial moments merged per day.
+
+    The day's voltage mean is spread over its (at most 24) hourly rows with a
+    window, then M2 = sum(M2_h) + sum(n_h * (mean_h - mean)^2), which stays
+    accurate when the spread is small next to the mean. The window and the
+    aggregation share one partitioning (by, year, month, day).
+    """
+    keys = [*by, "year", "month", "day"]
+    day = Window.partitionBy(*keys)
+    n, mean_h = F.col("n_voltage"), F.col("mean_voltage")
+    weighted = F.try_divide(F.sum(F.when(n > 0, n * mean_h)).over(day), F.sum(n).over(day))
+    spread = moments.withColumn("_day_mean", weighted)
+    merged = spread.groupBy(*keys).agg(
+        F.sum("sum_active").alias("_sa"),
+        F.sum("n_active").alias("_na"),
+        F.sum(n).alias("_nv"),
+        (F.sum("m2_voltage") + F.sum(F.when(n > 0, n * (mean_h - F.col("_day_mean")) ** 2))).alias("_m2"),
+        F.sum("sum_sub_total").alias("total_submetering_daily"),
+        F.sum("sum_intensity").alias("_si"),
+        F.sum("n_intensity").alias("_ni"),
+    )
+    return merged.select(
+        *keys,
+        F.try_divide("_sa", "_na").alias("avg_power_daily"),
+        F.when(F.col("_nv") > 1, F.sqrt(F.greatest(F.col("_m2"), F.lit(0.0)) / (F.col("_nv") - 1)))
+        .alias("voltage_stability_daily"),
+        "total_submetering_daily",
+        F.try_divide("_si", "_ni").alias("avg_intensity_daily"),
+    )

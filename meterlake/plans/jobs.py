@@ -14,7 +14,13 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 from meterlake.operators.clean import clean_batch, clean_stream
-from meterlake.operators.features import daily_features, hourly_features, row_features
+from meterlake.operators.features import (
+    daily_from_moments,
+    hourly_from_moments,
+    hourly_moments,
+    row_features,
+)
+from meterlake.session import shared_dir
 from meterlake.schema import METER, Meter
 from meterlake.sinks.files import write_parquet
 from meterlake.sources.text import read_raw
@@ -50,11 +56,17 @@ def feature_job(
     meter: Meter = METER,
     by: Sequence[str] = (),
 ) -> tuple[DataFrame, DataFrame]:
-    """Hourly and daily features of ``cleaned`` written to ``paths`` (K3)."""
-    hourly = hourly_features(cleaned, meter, by)
-    daily = daily_features(cleaned, meter, by)
-    write_parquet(hourly, paths.hourly, partition_by=("year", "month"))
-    write_parquet(daily, paths.daily, partition_by=("year",))
+    """Hourly and daily features of ``cleaned`` written to ``paths`` (K3).
+
+    The readings are aggregated once, into hourly moments kept in the shared
+    checkpoint folder (about 1/60 of the readings per meter); both tables
+    derive from them, so the input is scanned once rather than once per table.
+    """
+    moments_path = shared_dir(spark, "hourly-moments")
+    write_parquet(hourly_moments(cleaned, meter, by), moments_path)
+    moments = spark.read.parquet(moments_path)
+    write_parquet(hourly_from_moments(moments, by), paths.hourly, partition_by=("year", "month"))
+    write_parquet(daily_from_moments(moments, by), paths.daily, partition_by=("year",))
     if paths.rows:
         write_parquet(row_features(cleaned, meter), paths.rows, partition_by=("year", "month"))
     return spark.read.parquet(paths.hourly), spark.read.parquet(paths.daily)

@@ -66,3 +66,29 @@ def test_ml_forecast_reports_both_models(spark):
     assert set(rows) == {"linear_regression", "seasonal_profile"}
     assert rows["linear_regression"].test_hours == rows["seasonal_profile"].test_hours > 0
     assert all(r.mae is not None and r.mae >= 0 for r in rows.values())
+
+
+def _close(a, b, rel=1e-9):
+    if a is None or b is None:
+        return a is None and b is None
+    return abs(a - b) <= rel * max(1.0, abs(a), abs(b))
+
+
+def test_features_from_moments_equal_direct(spark):
+    from meterlake.operators import features
+
+    for by in ((), ("meter_id",)):
+        data = clean.clean_stream(readings(spark, "/root/testdata/sf0.01", keep_meter=True))
+        moments = features.hourly_moments(data, by=by)
+        for derived, direct, keys in (
+            (features.hourly_from_moments(moments, by), features.hourly_features(data, by=by),
+             [*by, "year", "month", "day", "hour"]),
+            (features.daily_from_moments(moments, by), features.daily_features(data, by=by),
+             [*by, "year", "month", "day"]),
+        ):
+            a = {tuple(r[k] for k in keys): r for r in derived.collect()}
+            b = {tuple(r[k] for k in keys): r for r in direct.collect()}
+            assert a.keys() == b.keys()
+            for key, row in a.items():
+                for c in direct.columns:
+                    assert _close(row[c], b[key][c]), (by, key, c, row[c], b[key][c])
