@@ -14,12 +14,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 from meterlake.operators.clean import clean_batch, clean_stream
-from meterlake.operators.features import (
-    daily_from_moments,
-    hourly_from_moments,
-    hourly_moments,
-    row_features,
-)
+from meterlake.operators import rollup
+from meterlake.operators.features import row_features
 from meterlake.session import shared_dir
 from meterlake.schema import METER, Meter
 from meterlake.sinks.files import write_parquet
@@ -58,15 +54,15 @@ def feature_job(
 ) -> tuple[DataFrame, DataFrame]:
     """Hourly and daily features of ``cleaned`` written to ``paths`` (K3).
 
-    The readings are aggregated once, into hourly moments kept in the shared
-    checkpoint folder (about 1/60 of the readings per meter); both tables
-    derive from them, so the input is scanned once rather than once per table.
+    The readings are aggregated once, into the hourly rollup kept in the
+    shared checkpoint folder (about 1/60 of the readings per meter); both
+    tables derive from it, so the input is scanned once rather than per table.
     """
-    moments_path = shared_dir(spark, "hourly-moments")
-    write_parquet(hourly_moments(cleaned, meter, by), moments_path)
-    moments = spark.read.parquet(moments_path)
-    write_parquet(hourly_from_moments(moments, by), paths.hourly, partition_by=("year", "month"))
-    write_parquet(daily_from_moments(moments, by), paths.daily, partition_by=("year",))
+    rollup_path = shared_dir(spark, "hourly-rollup")
+    write_parquet(rollup.hourly_rollup(cleaned, meter, by), rollup_path)
+    hourly_rollup = spark.read.parquet(rollup_path)
+    write_parquet(rollup.hourly_features(hourly_rollup, meter, by), paths.hourly, partition_by=("year", "month"))
+    write_parquet(rollup.daily_features(hourly_rollup, meter, by), paths.daily, partition_by=("year",))
     if paths.rows:
         write_parquet(row_features(cleaned, meter), paths.rows, partition_by=("year", "month"))
     return spark.read.parquet(paths.hourly), spark.read.parquet(paths.daily)

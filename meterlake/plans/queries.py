@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from meterlake.operators import clean, dashboard, features, insights, reports
+from meterlake.operators import clean, dashboard, features, insights, reports, rollup
 from meterlake.plans import catalog
 from meterlake.plans.sql import run_sql
 from meterlake.schema import PARTITION_COLUMNS
@@ -23,6 +23,7 @@ from meterlake.session import shared_dir
 from meterlake.sinks import messages as sink_messages
 from meterlake.sinks.files import write_parquet
 from meterlake.streaming import aggregates, ingest
+from meterlake.streaming import rollup as stream_rollup
 from meterlake.sources import messages as src_messages
 from meterlake.sources import text
 from meterlake.sources.readings import readings
@@ -433,3 +434,56 @@ def q_day_compare_by_meter(spark, sf_dir):
 @register("forecast_by_meter")
 def q_forecast_by_meter(spark, sf_dir):
     return checked(insights.forecast_profile(cleaned_meters(spark, sf_dir), horizon=24, by=METER_KEY))
+
+
+# --- reports from the hourly rollup (mergeable partial aggregates) --------------
+
+
+def hourly_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rollup.hourly_rollup(cleaned(spark, sf_dir))
+
+
+@register("rollup_statistics")
+def q_rollup_statistics(spark, sf_dir):
+    return checked(rollup.statistics(hourly_rollup(spark, sf_dir)))
+
+
+@register("rollup_hour_profile")
+def q_rollup_hour_profile(spark, sf_dir):
+    return checked(rollup.hour_profile(hourly_rollup(spark, sf_dir)))
+
+
+@register("rollup_month_counts")
+def q_rollup_month_counts(spark, sf_dir):
+    return rollup.month_counts(hourly_rollup(spark, sf_dir))
+
+
+@register("rollup_submeter_share")
+def q_rollup_submeter_share(spark, sf_dir):
+    return checked(rollup.submeter_share(hourly_rollup(spark, sf_dir)))
+
+
+@register("rollup_weekday_profile")
+def q_rollup_weekday_profile(spark, sf_dir):
+    return checked(rollup.weekday_profile(hourly_rollup(spark, sf_dir)))
+
+
+@register("rollup_daily_features")
+def q_rollup_daily_features(spark, sf_dir):
+    return checked(rollup.daily_features(hourly_rollup(spark, sf_dir)))
+
+
+@register("stream_rollup")
+def q_stream_rollup(spark, sf_dir):
+    """Daily features from an hourly rollup kept up to date by a stream: the
+    messages arrive in four files, one micro-batch each, and the per-batch
+    partials are merged when read."""
+    base = shared_dir(spark, "rollup-stream")
+    spool = f"{base}/spool"
+    by_time = readings(spark, sf_dir).repartitionByRange(4, "event_id")
+    sink_messages.write_spool(sink_messages.to_messages(by_time), spool)
+    parsed = src_messages.parse_json(src_messages.read_spool(spark, spool, max_files_per_trigger=1))
+    query = stream_rollup.start_rollup(clean.clean_stream(parsed), f"{base}/partials", f"{base}/checkpoint",
+                                       trigger=AVAILABLE_NOW)
+    query.awaitTermination()
+    return checked(rollup.daily_features(stream_rollup.read_partials(spark, f"{base}/partials")))

@@ -462,3 +462,14 @@ ORDER BY datetime DESC, {_BY_MEASURES} LIMIT 100"""
 SQL["catalog_timeseries"] = SQL["timeseries"]
 SQL["catalog_last_hours"] = SQL["timeseries_hours"]
 SQL["catalog_month_counts"] = SQL["month_counts"]
+
+
+# --- from the hourly rollup: the same answers as the direct queries ---------------
+
+SQL["rollup_statistics"] = SQL["statistics"]
+SQL["rollup_hour_profile"] = SQL["hour_profile"]
+SQL["rollup_month_counts"] = SQL["month_counts"]
+SQL["rollup_submeter_share"] = SQL["submeter_share"]
+SQL["rollup_weekday_profile"] = SQL["weekday_profile"]
+SQL["rollup_daily_features"] = SQL["daily_features"]
+SQL["stream_rollup"] = SQL["daily_features"]

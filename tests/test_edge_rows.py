@@ -185,14 +185,16 @@ def test_legacy_wire(lines_df):
     assert tuple(r) == ("2024-01-01 00:00:00", "zone2", 1.5)
 
 
-def test_daily_from_moments_edge_days(spark):
+def test_daily_from_rollup_edge_days(spark):
     df = _frame(spark, [
         _reading(spark),  # one reading: stddev NULL
         _reading(spark, datetime=dt.datetime(2006, 12, 17, 1, 0), voltage=None),  # no voltage at all
         _reading(spark, datetime=dt.datetime(2006, 12, 18, 1, 0), voltage=230.0),
         _reading(spark, datetime=dt.datetime(2006, 12, 18, 2, 0), voltage=230.0),  # zero spread
     ])
-    rows = {r.day: r for r in features.daily_from_moments(features.hourly_moments(df)).collect()}
+    from meterlake.operators import rollup
+
+    rows = {r.day: r for r in rollup.daily_features(rollup.hourly_rollup(df)).collect()}
     assert rows[16].voltage_stability_daily is None
     assert rows[17].voltage_stability_daily is None
     assert rows[18].voltage_stability_daily == 0.0

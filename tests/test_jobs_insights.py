@@ -74,16 +74,21 @@ def _close(a, b, rel=1e-9):
     return abs(a - b) <= rel * max(1.0, abs(a), abs(b))
 
 
-def test_features_from_moments_equal_direct(spark):
-    from meterlake.operators import features
+def test_features_from_rollup_equal_direct(spark):
+    from meterlake.operators import features, rollup
 
     for by in ((), ("meter_id",)):
         data = clean.clean_stream(readings(spark, "/root/testdata/sf0.01", keep_meter=True))
-        moments = features.hourly_moments(data, by=by)
+        hourly = rollup.hourly_rollup(data, by=by)
+        # split into two disjoint halves and merge back, as micro-batches would
+        halves = rollup.hourly_rollup(data.filter("event_id % 2 = 0"), by=by).unionByName(
+            rollup.hourly_rollup(data.filter("event_id % 2 = 1"), by=by))
         for derived, direct, keys in (
-            (features.hourly_from_moments(moments, by), features.hourly_features(data, by=by),
+            (rollup.hourly_features(hourly, by=by), features.hourly_features(data, by=by),
              [*by, "year", "month", "day", "hour"]),
-            (features.daily_from_moments(moments, by), features.daily_features(data, by=by),
+            (rollup.daily_features(hourly, by=by), features.daily_features(data, by=by),
+             [*by, "year", "month", "day"]),
+            (rollup.daily_features(halves, by=by), features.daily_features(data, by=by),
              [*by, "year", "month", "day"]),
         ):
             a = {tuple(r[k] for k in keys): r for r in derived.collect()}
