@@ -217,7 +217,8 @@ def stored_table(spark: SparkSession, sf_dir: str, name: str = "energy_data") ->
     base = _STORED.get(key)
     if base is None:
         base = shared_dir(spark, "stored")
-        write_parquet(ingest.to_stored(readings(spark, sf_dir)), base, partition_by=PARTITION_COLUMNS)
+        write_parquet(ingest.to_stored(readings(spark, sf_dir)), base, partition_by=PARTITION_COLUMNS,
+                      sort_by=("datetime",))
         _STORED[key] = base
     if catalog.table_location(spark, name) != catalog.normalized_location(base):
         catalog.drop_table(spark, name)
