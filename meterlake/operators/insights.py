@@ -11,13 +11,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from meterlake.functions.calendar import hour_start, is_weekend
 from meterlake.operators.reports import timeseries
 from meterlake.plans.joins import bounded_broadcast, profile_bound
-from meterlake.plans.pruning import last_hours, latest_instant
+from meterlake.plans.pruning import last_hours
 from meterlake.schema import METER, Meter
 from meterlake.session import checkpoint_root
 
@@ -95,15 +95,19 @@ def weekday_pivot(df: DataFrame, meter: Meter = METER, by: Sequence[str] = ()) -
 
 def peaks(df: DataFrame, k: float = 2.0, meter: Meter = METER, by: Sequence[str] = ()) -> DataFrame:
     """Clock hours whose mean load exceeds the mean + ``k`` sample standard
-    deviations of the hourly means at the same hour of day."""
+    deviations of the hourly means at the same hour of day.
+
+    The hour-of-day statistics are window aggregates over the hourly table,
+    partitioned by (by, hour of day): one scan of the readings, no join, and
+    a window partition holds one row per day, however hot the key.
+    """
     hourly = hourly_load(df, meter, by).withColumn("hour", F.hour("hour_start"))
-    stats = hourly.groupBy(*_keys(by), "hour").agg(
-        F.avg("load").alias("profile_mean"), F.stddev_samp("load").alias("profile_std")
+    same_hour = Window.partitionBy(*_keys(by), F.col("hour"))
+    stats = hourly.withColumns(
+        {"profile_mean": F.avg("load").over(same_hour), "profile_std": F.stddev_samp("load").over(same_hour)}
     )
-    stats = bounded_broadcast(stats, profile_bound(by, HOURS_PER_DAY))
-    joined = hourly.join(stats, on=[*by, "hour"], how="inner")
     threshold = F.col("profile_mean") + F.lit(k) * F.col("profile_std")
-    return joined.filter(F.col("load") > threshold).select(
+    return stats.filter(F.col("load") > threshold).select(
         *by,
         "hour_start",
         "hour",
@@ -161,37 +165,60 @@ def day_compare(df: DataFrame, days_back: int = 7, meter: Meter = METER, by: Seq
     return paired.filter(cur.isNotNull() & prev.isNotNull()).withColumn("relative_change", F.try_divide(cur - prev, prev))
 
 
-def forecast_profile(
-    df: DataFrame, horizon: int = 24, meter: Meter = METER, by: Sequence[str] = (), partitioned: bool = False
-) -> DataFrame:
+def forecast_profile(df: DataFrame, horizon: int = 24, meter: Meter = METER, by: Sequence[str] = ()) -> DataFrame:
     """Seasonal forecast of the ``horizon`` hours after the last hour
-    seen: mean active power of the same weekday × hour.
-
-    Without ``by`` the last hour is one scalar (``latest_instant``: on a
-    stored partitioned table it reads partition values and one hour of data)
-    and the ≤ 168-row profile is broadcast; with ``by`` both are per group
-    and joined on (by, weekday, hour).
+    seen: mean active power of the same weekday × hour (NULL for a slot
+    never seen).
+
+    One aggregation gives each (by, weekday, hour) slot its mean and newest
+    time; a window over a group's slots (at most 168 rows, whatever the data
+    size) gives the last hour seen. Each slot then emits the future hours
+    that fall on it, one row per group emits the whole horizon with NULLs,
+    and a final group-by keeps one row per hour: a left join of the horizon
+    to the profile, with one scan and no join.
     """
     t = F.col(meter.time)
-    profile = df.groupBy(*_keys(by), F.dayofweek(t).alias("weekday"), F.hour(t).alias("hour")).agg(
-        F.avg(meter.active).alias("forecast_active_power")
+    slots = df.groupBy(*_keys(by), F.dayofweek(t).alias("weekday"), F.hour(t).alias("hour")).agg(
+        F.avg(meter.active).alias("_f"), F.max(t).alias("_seen")
     )
-    if by:
-        last = df.groupBy(*_keys(by)).agg(F.date_trunc("hour", F.max(t)).alias("_last"))
-    else:
-        newest = latest_instant(df, meter, partitioned)
-        last = df.sparkSession.range(1).select(F.date_trunc("hour", newest).alias("_last"))
-    steps = F.sequence(
-        F.col("_last") + F.expr("INTERVAL 1 HOUR"),
-        F.col("_last") + F.make_interval(hours=F.lit(horizon)),
-        F.expr("INTERVAL 1 HOUR"),
+    group = Window.partitionBy(*_keys(by))
+    slots = slots.withColumns(
+        {
+            "_last": F.date_trunc("hour", F.max("_seen").over(group)),
+            "_rn": F.row_number().over(group.orderBy("weekday", "hour")),
+        }
     )
-    future = last.select(*by, F.explode(steps).alias("hour_start")).select(
-        *by, "hour_start", F.dayofweek("hour_start").alias("weekday"), F.hour("hour_start").alias("hour")
+    last = F.col("_last")
+    week = F.lit(HOURS_PER_WEEK)
+
+    def slot_of(wd: Column, hr: Column) -> Column:
+        return (wd - 1) * HOURS_PER_DAY + hr
+
+    gap = F.pmod(slot_of(F.col("weekday"), F.col("hour")) - slot_of(F.dayofweek(last), F.hour(last)), week)
+    first = F.when(gap == 0, week).otherwise(gap)
+    offsets = F.when(first <= horizon, F.sequence(first, F.lit(horizon), week)).otherwise(
+        F.array().cast("array<int>")
     )
-    profile = bounded_broadcast(profile, profile_bound(by, HOURS_PER_WEEK))
-    return future.join(profile, on=[*by, "weekday", "hour"], how="left").select(
-        *by, "hour_start", "weekday", "hour", "forecast_active_power"
+
+    def at(k: Column, value: Column) -> Column:
+        return F.struct((last + F.make_interval(hours=k)).alias("hour_start"), value.alias("f"))
+
+    seen = F.transform(offsets, lambda k: at(k, F.col("_f")))
+    horizon_rows = F.when(
+        F.col("_rn") == 1,
+        F.transform(F.sequence(F.lit(1), F.lit(horizon)), lambda k: at(k, F.lit(None).cast("double"))),
+    ).otherwise(F.array().cast("array<struct<hour_start:timestamp,f:double>>"))
+    rows = slots.select(*by, F.inline(F.concat(seen, horizon_rows)))
+    return (
+        rows.groupBy(*_keys(by), "hour_start")
+        .agg(F.max("f").alias("forecast_active_power"))
+        .select(
+            *by,
+            "hour_start",
+            F.dayofweek("hour_start").alias("weekday"),
+            F.hour("hour_start").alias("hour"),
+            "forecast_active_power",
+        )
     )
 
 

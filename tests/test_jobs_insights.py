@@ -97,3 +97,16 @@ def test_features_from_rollup_equal_direct(spark):
             for key, row in a.items():
                 for c in direct.columns:
                     assert _close(row[c], b[key][c]), (by, key, c, row[c], b[key][c])
+
+
+def test_forecast_longer_than_a_week_matches_brute_force(spark):
+    data = clean.clean_stream(readings(spark, SF_SMALL))
+    got = insights.forecast_profile(data, horizon=200).collect()
+    profile = {(r.weekday, r.hour): r.avg_active_power for r in insights.weekday_profile(data).collect()}
+    last = data.agg(F.date_trunc("hour", F.max("datetime"))).first()[0]
+    want = []
+    for k in range(1, 201):
+        h = last + dt.timedelta(hours=k)
+        wd = (h.isoweekday() % 7) + 1  # 1 = Sunday
+        want.append((h, wd, h.hour, profile.get((wd, h.hour))))
+    assert sorted((r.hour_start, r.weekday, r.hour, r.forecast_active_power) for r in got) == sorted(want)
