@@ -110,3 +110,35 @@ def test_forecast_longer_than_a_week_matches_brute_force(spark):
         wd = (h.isoweekday() % 7) + 1  # 1 = Sunday
         want.append((h, wd, h.hour, profile.get((wd, h.hour))))
     assert sorted((r.hour_start, r.weekday, r.hour, r.forecast_active_power) for r in got) == sorted(want)
+
+
+def test_command_line_clean_features_sql(spark, tmp_path):
+    import io
+    import json
+
+    from meterlake.__main__ import main
+
+    raw = str(tmp_path / "raw")
+    header = spark.createDataFrame([("Date;Time;Global_active_power;Global_reactive_power;Voltage;"
+                                     "Global_intensity;Sub_metering_1;Sub_metering_2;Sub_metering_3",)], "value string")
+    header.union(readings(spark, SF_SMALL).select(raw_line().alias("value"))).coalesce(1).write.text(raw)
+    cleaned = str(tmp_path / "clean")
+    assert main(["clean", "--raw", raw, "--out", cleaned, "--policy", "stream", "--partition-by", "year,month"]) == 0
+    assert main(["features", "--cleaned", cleaned, "--hourly", str(tmp_path / "h"), "--daily", str(tmp_path / "d")]) == 0
+    buf = io.StringIO()
+    sql = "SELECT hour, COUNT(*) AS n FROM energy_data GROUP BY hour ORDER BY hour"
+    assert main(["sql", "--view", f"energy_data={cleaned}", sql], out=buf) == 0
+    rows = [json.loads(line) for line in buf.getvalue().splitlines()]
+    assert [r["hour"] for r in rows] == sorted(r["hour"] for r in rows)
+    assert sum(r["n"] for r in rows) == clean.clean_stream(readings(spark, SF_SMALL)).count()
+    days = clean.clean_stream(readings(spark, SF_SMALL)).select(F.to_date("datetime")).distinct().count()
+    assert spark.read.parquet(str(tmp_path / "d")).count() == days
+
+
+def test_command_line_ingest_needs_kafka(spark, tmp_path):
+    import pytest
+
+    from meterlake.__main__ import main
+
+    with pytest.raises(Exception, match="(?i)kafka"):
+        main(["ingest", "--path", str(tmp_path / "p"), "--checkpoint", str(tmp_path / "c")])
