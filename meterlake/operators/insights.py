@@ -1,10 +1,12 @@
 """Forward-looking analytics.
 
-Each is a handful of partial aggregations and equi-joins on small,
-pre-aggregated tables: readings are reduced to hourly or daily means before
-any join, and a join side is broadcast only when its size has a static
-bound (``plans.joins``). No window spans a whole table, so no single task
-ever holds an unbounded group.
+Readings are first reduced by partial aggregations to hourly, daily or
+weekday × hour rows; everything after that works on those small tables.
+Windows run only over such pre-aggregated rows with a per-key bound (one
+row per day for a (meter, hour of day) key, at most 168 slots per meter),
+joins only where there are two inputs, and a join side is broadcast only
+with a static size bound (``plans.joins``). No task ever holds an
+unbounded group of readings.
 """
 
 from __future__ import annotations

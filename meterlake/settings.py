@@ -20,11 +20,14 @@ ENV_NAMES = {
     "latest_limit": "LATEST_LIMIT",
     "starting_offsets": "KAFKA_STARTING_OFFSETS",
     "fail_on_data_loss": "KAFKA_FAIL_ON_DATA_LOSS",
+    "max_offsets_per_trigger": "KAFKA_MAX_OFFSETS_PER_TRIGGER",
+    "min_partitions": "KAFKA_MIN_PARTITIONS",
 }
 
 
 @dataclass(frozen=True)
 class Settings:
+    # Default topic and table names of the original deployment.
     kafka_brokers: str = "localhost:9092"
     kafka_topic: str = "energy_stream"
     starting_offsets: str = "earliest"
@@ -34,6 +37,8 @@ class Settings:
     table_name: str = "energy_data"
     trigger_seconds: int = 60
     latest_limit: int = 100
+    max_offsets_per_trigger: int = 0  # 0: no cap on a micro-batch
+    min_partitions: int = 0  # 0: one task per topic partition
 
     @classmethod
     def from_env(cls, env: dict[str, str] | None = None) -> "Settings":

@@ -17,13 +17,20 @@ MESSAGE_SCHEMA = "value string"
 
 
 def kafka_options(settings: Settings, topic: str | None = None, starting_offsets: str | None = None) -> dict[str, str]:
-    """Source options (S4, S5, W3): brokers, one topic, offsets, loss policy."""
-    return {
+    """Source options (S4, S5, W3): brokers, one topic, offsets, loss policy;
+    optionally a cap on records per micro-batch (bounded batch size after a
+    backlog) and more read tasks than topic partitions."""
+    opts = {
         "kafka.bootstrap.servers": ",".join(settings.brokers),
         "subscribe": topic or settings.kafka_topic,
         "startingOffsets": starting_offsets or settings.starting_offsets,
         "failOnDataLoss": str(settings.fail_on_data_loss).lower(),
     }
+    if settings.max_offsets_per_trigger:
+        opts["maxOffsetsPerTrigger"] = str(settings.max_offsets_per_trigger)
+    if settings.min_partitions:
+        opts["minPartitions"] = str(settings.min_partitions)
+    return opts
 
 
 def read_kafka(spark: SparkSession, settings: Settings, **overrides: str) -> DataFrame:

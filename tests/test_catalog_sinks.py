@@ -135,6 +135,9 @@ def test_kafka_options():
     opts = messages.kafka_options(Settings(kafka_brokers="k1:9092,k2:9093"), starting_offsets="latest")
     assert opts == {"kafka.bootstrap.servers": "k1:9092,k2:9093", "subscribe": "energy_stream",
                     "startingOffsets": "latest", "failOnDataLoss": "false"}
+    capped = messages.kafka_options(Settings.from_env({"KAFKA_MAX_OFFSETS_PER_TRIGGER": "100000",
+                                                       "KAFKA_MIN_PARTITIONS": "64"}))
+    assert capped["maxOffsetsPerTrigger"] == "100000" and capped["minPartitions"] == "64"
 
 
 def test_missing_path_raises(spark, tmp_path):
