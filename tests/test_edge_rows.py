@@ -198,3 +198,20 @@ def test_daily_from_rollup_edge_days(spark):
     assert rows[16].voltage_stability_daily is None
     assert rows[17].voltage_stability_daily is None
     assert rows[18].voltage_stability_daily == 0.0
+
+
+def test_binary_message_values_parse(spark):
+    from meterlake.sinks.messages import to_messages
+
+    msgs = to_messages(_frame(spark, [_reading(spark)])).selectExpr("CAST(value AS BINARY) AS value")
+    assert msgs.schema["value"].dataType.simpleString() == "binary"
+    r = messages.parse_json(msgs).first()
+    assert r.voltage == 230.0 and r.datetime.replace(tzinfo=None) == dt.datetime(2006, 12, 16, 17, 24)
+
+
+def test_header_names_with_spaces_read_by_position(spark, tmp_path):
+    p = tmp_path / "spaced.txt"
+    p.write_text(" Date ; Time ;Global_active_power ; Global_reactive_power;Voltage;Global_intensity;"
+                 "Sub_metering_1;Sub_metering_2;Sub_metering_3\n" + NORMAL + "\n")
+    r = text.read_raw(spark, str(p)).first()
+    assert r.global_active_power == 4.216 and r.sub_metering_3 == 17.0
