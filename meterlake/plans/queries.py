@@ -12,7 +12,6 @@ import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from meterlake.operators import clean, dashboard, features, insights, reports, rollup
@@ -34,15 +33,16 @@ CHECK_DIGITS = 9
 
 
 def checked(df: DataFrame, digits: int = CHECK_DIGITS) -> DataFrame:
-    cols = []
+    exprs = []
     for f in df.schema.fields:
-        c = F.col(f"`{f.name}`")
+        name = "`" + f.name.replace("`", "``") + "`"
         if isinstance(f.dataType, T.TimestampType):
-            c = c.cast(T.TimestampNTZType())
+            exprs.append(f"CAST({name} AS TIMESTAMP_NTZ) AS {name}")
         elif isinstance(f.dataType, T.DoubleType):
-            c = F.round(c, digits)
-        cols.append(c.alias(f.name))
-    return df.select(*cols)
+            exprs.append(f"round({name}, {digits}) AS {name}")
+        else:
+            exprs.append(name)
+    return df.selectExpr(*exprs)
 
 
 def cleaned(spark: SparkSession, sf_dir: str) -> DataFrame:
