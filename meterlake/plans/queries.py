@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 from meterlake.operators import clean, dashboard, features, insights, reports, rollup
 from meterlake.plans import catalog
 from meterlake.plans.sql import run_sql
-from meterlake.schema import PARTITION_COLUMNS
+from meterlake.schema import PARTITION_COLUMNS, RAW_HEADER
 from meterlake.session import shared_dir
 from meterlake.sinks import messages as sink_messages
 from meterlake.sinks.files import write_parquet
@@ -131,11 +131,40 @@ def q_submeter_share(spark, sf_dir):
     return checked(reports.submeter_share(cleaned(spark, sf_dir)))
 
 
+_RAW_FILES: dict[tuple, str] = {}
+
+
+def _input_key(spark: SparkSession, sf_dir: str) -> tuple:
+    events = os.path.join(sf_dir, "events.parquet")
+    st = os.stat(events) if os.path.exists(events) else None
+    return (spark.sparkContext.applicationId, os.path.abspath(sf_dir), st and (st.st_mtime_ns, st.st_size))
+
+
+def raw_text_file(spark: SparkSession, sf_dir: str) -> str:
+    """The readings rendered once per session as a raw ';' text file with a
+    header line, like the household dataset (M1); returns its directory."""
+    key = _input_key(spark, sf_dir)
+    if key not in _RAW_FILES:
+        path = shared_dir(spark, "raw-text")
+        header = spark.createDataFrame([(";".join(RAW_HEADER),)], "value string")
+        lines = readings(spark, sf_dir).select(text.raw_line().alias("value"))
+        header.union(lines).coalesce(1).write.text(path)
+        _RAW_FILES[key] = path
+    return _RAW_FILES[key]
+
+
 @register("parse_raw")
 def q_parse_raw(spark, sf_dir):
-    """Readings rendered as raw ';' lines, parsed back."""
-    lines = readings(spark, sf_dir).select(text.raw_line().alias("value"))
-    return checked(text.parse_raw_lines(lines))
+    """The raw text file through the CSV reader: header, '?' markers, day-first
+    dates, padded numbers (S1-S3, P1-P6, F6, T5)."""
+    return checked(text.read_raw(spark, raw_text_file(spark, sf_dir)))
+
+
+@register("parse_raw_lines")
+def q_parse_raw_lines(spark, sf_dir):
+    """The same file as one message value per line, through the line parser
+    used for raw-line streams (S8, M5)."""
+    return checked(text.parse_raw_lines(text.read_raw_lines(spark, raw_text_file(spark, sf_dir))))
 
 
 @register("parse_json")
@@ -211,9 +240,7 @@ def stored_table(spark: SparkSession, sf_dir: str, name: str = "energy_data") ->
     input reuse it, as dashboard queries run against a table that exists.
     Returns the table (S7).
     """
-    events = os.path.join(sf_dir, "events.parquet")
-    st = os.stat(events) if os.path.exists(events) else None
-    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir), st and (st.st_mtime_ns, st.st_size))
+    key = _input_key(spark, sf_dir)
     base = _STORED.get(key)
     if base is None:
         base = shared_dir(spark, "stored")

@@ -166,6 +166,8 @@ def raw_roundtrip(m: str) -> str:
 SQL["parse_raw"] = f"""{BASE}
 SELECT datetime, {", ".join(raw_roundtrip(m) for m in MEASURES)} FROM readings"""
 
+SQL["parse_raw_lines"] = SQL["parse_raw"]
+
 SQL["parse_json"] = f"""{BASE}
 SELECT datetime, {rounded_measures()} FROM readings"""
 

@@ -14,7 +14,7 @@ from meterlake.streaming import ingest
 from conftest import SF_SMALL
 
 # Registered queries that run a write or a stream when called.
-EAGER = {"stream_ingest", "stream_hourly", "stream_rollup"} | {
+EAGER = {"stream_ingest", "stream_hourly", "stream_rollup", "parse_raw", "parse_raw_lines"} | {
     "catalog_count", "catalog_hour_profile", "catalog_latest", "catalog_timeseries",
     "catalog_last_hours", "catalog_month_counts",
 }
