@@ -222,11 +222,21 @@ def q_daily_features(spark, sf_dir):
 AVAILABLE_NOW = {"availableNow": True}
 
 
-def spool_messages(spark: SparkSession, sf_dir: str, base: str) -> str:
-    """Publish every reading as a JSON message into a file spool (K4)."""
-    path = f"{base}/spool"
-    sink_messages.write_spool(sink_messages.to_messages(readings(spark, sf_dir)), path)
-    return path
+_SPOOLS: dict[tuple, str] = {}
+
+
+def spool_messages(spark: SparkSession, sf_dir: str) -> str:
+    """Every reading published once per session as a JSON message into a file
+    spool, the stand-in for the topic (K4). Four files in time order, so a
+    stream reading one file per trigger sees four micro-batches; each
+    streaming query consumes the spool with its own checkpoint."""
+    key = _input_key(spark, sf_dir)
+    if key not in _SPOOLS:
+        path = shared_dir(spark, "spool")
+        by_time = readings(spark, sf_dir).repartitionByRange(4, "event_id")
+        sink_messages.write_spool(sink_messages.to_messages(by_time), path)
+        _SPOOLS[key] = path
+    return _SPOOLS[key]
 
 
 _STORED: dict[tuple, str] = {}
@@ -258,7 +268,7 @@ def q_stream_ingest(spark, sf_dir):
     """Messages → Structured Streaming → clean_stream → partitioned Parquet
     (S4 stand-in, W1-W5, K1); returns what the sink stored."""
     base = shared_dir(spark, "ingest")
-    spool = spool_messages(spark, sf_dir, base)
+    spool = spool_messages(spark, sf_dir)
     parsed = src_messages.parse_json(src_messages.read_spool(spark, spool))
     query = ingest.start_ingest(spark, parsed, f"{base}/data", f"{base}/checkpoint", trigger=AVAILABLE_NOW)
     query.awaitTermination()
@@ -270,7 +280,7 @@ def q_stream_hourly(spark, sf_dir):
     """Hourly tumbling windows with a 1 h watermark over the message stream
     (X6); append mode, so only windows the watermark has closed."""
     base = shared_dir(spark, "hourly-stream")
-    spool = spool_messages(spark, sf_dir, base)
+    spool = spool_messages(spark, sf_dir)
     parsed = src_messages.parse_json(src_messages.read_spool(spark, spool))
     windows = aggregates.hourly_windows(clean.clean_stream(parsed), delay="1 hour")
     query = ingest.start_parquet_sink(windows, f"{base}/data", f"{base}/checkpoint", partition_by=(), trigger=AVAILABLE_NOW)
@@ -507,9 +517,7 @@ def q_stream_rollup(spark, sf_dir):
     messages arrive in four files, one micro-batch each, and the per-batch
     partials are merged when read."""
     base = shared_dir(spark, "rollup-stream")
-    spool = f"{base}/spool"
-    by_time = readings(spark, sf_dir).repartitionByRange(4, "event_id")
-    sink_messages.write_spool(sink_messages.to_messages(by_time), spool)
+    spool = spool_messages(spark, sf_dir)
     parsed = src_messages.parse_json(src_messages.read_spool(spark, spool, max_files_per_trigger=1))
     query = stream_rollup.start_rollup(clean.clean_stream(parsed), f"{base}/partials", f"{base}/checkpoint",
                                        trigger=AVAILABLE_NOW)
