@@ -11,7 +11,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from meterlake.schema import METER, PARTITION_COLUMNS, Meter
@@ -87,9 +87,25 @@ def last_hours(df: DataFrame, hours: int, meter: Meter = METER, partitioned: boo
     return between(df, newest - F.make_interval(hours=F.lit(hours)), None, meter, partitioned=partitioned)
 
 
+def newest_hours_bound(df: DataFrame, k: int) -> Column:
+    """On a stored partitioned table: the start of the oldest hour that must be
+    read so that the newest hours hold at least ``k`` rows (scalar subquery).
+
+    Rows per hour partition come from a scan that needs no data column (only
+    Parquet footers); the running count runs over one row per hour, a table
+    bounded by the time span, not by the data volume.
+    """
+    counts = df.groupBy(partition_hour().alias("_h")).agg(F.count(F.lit(1)).alias("_n"))
+    newer = Window.orderBy(F.col("_h").desc()).rowsBetween(Window.unboundedPreceding, -1)
+    before = F.coalesce(F.sum("_n").over(newer), F.lit(0))
+    return counts.withColumn("_before", before).filter(F.col("_before") < k).select(F.min("_h")).scalar()
+
+
 def newest_bound(df: DataFrame, k: int, meter: Meter = METER, distinct: bool = False) -> Column:
     """The k-th newest timestamp (of distinct timestamps when ``distinct``)
-    as a scalar subquery: a top-k over the time column alone."""
+    as a scalar subquery: a top-k over the time column alone. With
+    ``distinct`` the distinct step shuffles first, so the final top-k merges
+    k rows per shuffle partition, not per input split."""
     t = F.col(meter.time)
     times = df.select(t).filter(t.isNotNull())
     if distinct:
@@ -98,8 +114,16 @@ def newest_bound(df: DataFrame, k: int, meter: Meter = METER, distinct: bool = F
 
 
 def newest(df: DataFrame, k: int, meter: Meter = METER, distinct: bool = False) -> DataFrame:
-    """Rows no older than the k-th newest timestamp, on a stored partitioned
-    table: the bound comes from the time column alone and prunes partitions
-    at run time, so a newest-k report reads full rows of the newest hours only.
-    Ties at the bound are kept, so a top-k over the result is exact."""
-    return between(df, newest_bound(df, k, meter, distinct), None, meter, include_start=True, partitioned=True)
+    """Rows no older than needed for a newest-k report, on a stored
+    partitioned table: full rows are read from the newest partitions only.
+
+    For newest-k rows the bound is an hour from per-partition row counts;
+    for newest-k distinct timestamps it is the k-th newest distinct time.
+    Everything at or after the bound is kept, so a top-k over the result is
+    exact.
+    """
+    if distinct:
+        bound = newest_bound(df, k, meter, distinct=True)
+    else:
+        bound = newest_hours_bound(df, k)
+    return between(df, bound, None, meter, include_start=True, partitioned=True)
