@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 
 from meterlake.operators import clean, dashboard, features, insights, reports, rollup
 from meterlake.plans import catalog
-from meterlake.plans.sql import run_sql
+from meterlake.plans.sql import parquet_source, run_sql
 from meterlake.schema import PARTITION_COLUMNS, RAW_HEADER
 from meterlake.session import shared_dir
 from meterlake.sinks import messages as sink_messages
@@ -320,6 +320,21 @@ def q_catalog_last_hours(spark, sf_dir):
     return checked(insights.timeseries_hours(stored_table(spark, sf_dir), hours=24, partitioned=True))
 
 
+@register("catalog_zone_counts")
+def q_catalog_zone_counts(spark, sf_dir):
+    """Rows per zone on the catalog table (reads the zone column only)."""
+    return reports.zone_counts(stored_table(spark, sf_dir))
+
+
+@register("sql_over_files")
+def q_sql_over_files(spark, sf_dir):
+    """The dashboard's statistics SQL run directly on the stored files,
+    ``FROM parquet.`path``` (S6, Q1)."""
+    stored_table(spark, sf_dir)
+    path = _STORED[_input_key(spark, sf_dir)]
+    return checked(run_sql(spark, STATISTICS_SQL.replace("FROM energy_data", f"FROM {parquet_source(path)}")))
+
+
 @register("catalog_month_counts")
 def q_catalog_month_counts(spark, sf_dir):
     """Rows per year and month: partition columns only, no data column read."""

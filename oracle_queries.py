@@ -475,3 +475,5 @@ SQL["rollup_submeter_share"] = SQL["submeter_share"]
 SQL["rollup_weekday_profile"] = SQL["weekday_profile"]
 SQL["rollup_daily_features"] = SQL["daily_features"]
 SQL["stream_rollup"] = SQL["daily_features"]
+SQL["catalog_zone_counts"] = SQL["zone_counts"]
+SQL["sql_over_files"] = SQL["statistics"]
