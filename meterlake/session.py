@@ -31,16 +31,19 @@ SESSION_DEFAULTS: dict[str, str] = {
 # Suggested settings for ~100 TB of readings on ~1000 executors (passed as
 # ``build_session(conf=LARGE_CLUSTER_CONF)`` or through spark-submit):
 # 256 MB input splits and shuffle targets keep a task's data well inside an
-# executor's memory while giving ~400k scan tasks; 8000 initial shuffle
-# partitions are coalesced by AQE for the small aggregated stages; skewed
-# shuffle partitions above 512 MB are split; streaming state goes to RocksDB
-# so large watermark state is not held on the JVM heap.
+# executor's memory while giving ~400k scan tasks. Batch shuffles start at
+# 8000 partitions that AQE coalesces for small aggregated stages and splits
+# when skewed above 512 MB. Streaming does not use AQE: its stateful
+# operators take ``spark.sql.shuffle.partitions`` as the number of state
+# partitions, fixed in the checkpoint at first start, so that stays at 2000
+# (two per executor), with state in RocksDB rather than on the JVM heap.
 LARGE_CLUSTER_CONF: dict[str, str] = {
     "spark.sql.files.maxPartitionBytes": str(256 * 1024 * 1024),
-    "spark.sql.shuffle.partitions": "8000",
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "8000",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(256 * 1024 * 1024),
-    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(512 * 1024 * 1024),
     "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(512 * 1024 * 1024),
+    "spark.sql.shuffle.partitions": "2000",
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }
