@@ -20,8 +20,8 @@ from meterlake.plans.sql import parquet_source, run_sql
 from meterlake.schema import PARTITION_COLUMNS, RAW_HEADER
 from meterlake.session import shared_dir
 from meterlake.sinks import messages as sink_messages
-from meterlake.sinks.files import write_parquet
-from meterlake.streaming import aggregates, ingest
+from meterlake.sinks.files import compact, export_csv, write_parquet
+from meterlake.streaming import aggregates, ingest, landing
 from meterlake.streaming import rollup as stream_rollup
 from meterlake.sources import messages as src_messages
 from meterlake.sources import text
@@ -538,3 +538,64 @@ def q_stream_rollup(spark, sf_dir):
                                        trigger=AVAILABLE_NOW)
     query.awaitTermination()
     return checked(rollup.daily_features(stream_rollup.read_partials(spark, f"{base}/partials")))
+
+
+# --- sinks and stream operators checked end to end --------------------------------
+
+
+@register("csv_export")
+def q_csv_export(spark, sf_dir):
+    """The hour profile exported as CSV (X10) and read back with its schema."""
+    profile = reports.hour_profile(cleaned(spark, sf_dir))
+    path = shared_dir(spark, "csv-export")
+    export_csv(profile, path)
+    back = spark.read.schema(profile.schema).option("header", "true").csv(path)
+    return checked(back)
+
+
+@register("compacted_month_counts")
+def q_compacted_month_counts(spark, sf_dir):
+    """The stored table rewritten into a year/month layout (X13), counted."""
+    stored_table(spark, sf_dir)
+    path = shared_dir(spark, "compacted")
+    compact(spark.read.parquet(_STORED[_input_key(spark, sf_dir)]), path, partition_by=("year", "month"))
+    return reports.month_counts(spark.read.parquet(path))
+
+
+@register("stream_landing")
+def q_stream_landing(spark, sf_dir):
+    """The message stream landed batch by batch with foreachBatch into a
+    catalog table whose partitions are added per batch (X8): readable
+    without any repair."""
+    base = shared_dir(spark, "landing")
+    spool = spool_messages(spark, sf_dir)
+    parsed = src_messages.parse_json(src_messages.read_spool(spark, spool, max_files_per_trigger=1))
+    table = "energy_landing"
+    catalog.drop_table(spark, table)
+    query = landing.start_landing(spark, ingest.to_stored(parsed), f"{base}/data", f"{base}/checkpoint", table,
+                                  trigger=AVAILABLE_NOW)
+    query.awaitTermination()
+    return checked(spark.table(table).drop(landing.BATCH_COLUMN))
+
+
+@register("stream_dedup")
+def q_stream_dedup(spark, sf_dir):
+    """Every message published twice (a publisher that retried all sends);
+    repeats dropped within a one-day watermark (X7)."""
+    key = _input_key(spark, sf_dir)
+    if key not in _TWICE:
+        path = shared_dir(spark, "spool-twice")
+        msgs = sink_messages.to_messages(readings(spark, sf_dir))
+        sink_messages.write_spool(msgs, path)
+        sink_messages.write_spool(msgs, path, mode="append")
+        _TWICE[key] = path
+    base = shared_dir(spark, "dedup")
+    parsed = src_messages.parse_json(src_messages.read_spool(spark, _TWICE[key]))
+    deduped = aggregates.drop_repeats(parsed.filter(parsed.datetime.isNotNull()), delay="1 day")
+    query = ingest.start_parquet_sink(deduped, f"{base}/data", f"{base}/checkpoint", partition_by=(),
+                                      trigger=AVAILABLE_NOW)
+    query.awaitTermination()
+    return checked(spark.read.parquet(f"{base}/data"))
+
+
+_TWICE: dict[tuple, str] = {}

@@ -477,3 +477,10 @@ SQL["rollup_daily_features"] = SQL["daily_features"]
 SQL["stream_rollup"] = SQL["daily_features"]
 SQL["catalog_zone_counts"] = SQL["zone_counts"]
 SQL["sql_over_files"] = SQL["statistics"]
+
+SQL["csv_export"] = SQL["hour_profile"]
+SQL["compacted_month_counts"] = SQL["month_counts"]
+SQL["stream_landing"] = SQL["stream_ingest"]
+
+SQL["stream_dedup"] = f"""{BASE}
+SELECT DISTINCT datetime, {rounded_measures()} FROM readings WHERE datetime IS NOT NULL"""

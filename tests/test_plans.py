@@ -14,7 +14,8 @@ from meterlake.streaming import ingest
 from conftest import SF_SMALL
 
 # Registered queries that run a write or a stream when called.
-EAGER = {"stream_ingest", "stream_hourly", "stream_rollup", "parse_raw", "parse_raw_lines"} | {
+EAGER = {"stream_ingest", "stream_hourly", "stream_rollup", "stream_landing", "stream_dedup",
+         "parse_raw", "parse_raw_lines", "csv_export", "compacted_month_counts"} | {
     "catalog_count", "catalog_hour_profile", "catalog_latest", "catalog_timeseries",
     "catalog_last_hours", "catalog_month_counts", "catalog_zone_counts", "sql_over_files",
 }
