@@ -33,13 +33,18 @@ CHECK_DIGITS = 9
 
 
 def checked(df: DataFrame, digits: int = CHECK_DIGITS) -> DataFrame:
+    """Results in the oracle's form: time columns as ``TIMESTAMP_NTZ`` and
+    doubles rounded to ``digits`` as ``round(x * 10^d) / 10^d``, i.e. the
+    double product rounded to an integer, which both engines do alike (a
+    decimal-string rounding would differ on values like 4.2397265625)."""
+    scale = f"{10 ** digits}D"
     exprs = []
     for f in df.schema.fields:
         name = "`" + f.name.replace("`", "``") + "`"
         if isinstance(f.dataType, T.TimestampType):
             exprs.append(f"CAST({name} AS TIMESTAMP_NTZ) AS {name}")
         elif isinstance(f.dataType, T.DoubleType):
-            exprs.append(f"round({name}, {digits}) AS {name}")
+            exprs.append(f"round({name} * {scale}) / {scale} AS {name}")
         else:
             exprs.append(name)
     return df.selectExpr(*exprs)
