@@ -24,4 +24,10 @@ def hour_label(hour: Column) -> Column:
 
 
 def rounded(c: Column, digits: int) -> Column:
-    return F.round(c, digits)
+    """Round for display as ``round(x * 10^d) / 10^d``: the binary value
+    scaled by 10^d, rounded half away from zero (the C / DuckDB rule). It
+    follows the page's ``toFixed`` (1.005 → 1.00, where Spark's decimal-text
+    ``round(x, d)`` gives 1.01) except where the scaling itself lands exactly
+    on a tie (2.675 * 100 == 267.5 → 2.68; ``toFixed`` gives 2.67)."""
+    scale = F.lit(float(10**digits))
+    return F.round(c * scale) / scale

@@ -215,3 +215,14 @@ def test_header_names_with_spaces_read_by_position(spark, tmp_path):
                  "Sub_metering_1;Sub_metering_2;Sub_metering_3\n" + NORMAL + "\n")
     r = text.read_raw(spark, str(p)).first()
     assert r.global_active_power == 4.216 and r.sub_metering_3 == 17.0
+
+
+def test_display_rounding_follows_binary_value(spark):
+    from meterlake.functions.display import rounded
+
+    values = [1.005, -1.005, 0.125, 2.675, 123.4567]
+    df = spark.createDataFrame([(v,) for v in values], "x double")
+    got = [r.y for r in df.select(rounded(F.col("x"), 2).alias("y")).collect()]
+    # the scaled binary value rounded half away from zero, as C and DuckDB do
+    want = [math.copysign(math.floor(abs(v) * 100 + 0.5), v) / 100 for v in values]
+    assert got == want == [1.0, -1.0, 0.13, 2.68, 123.46]
