@@ -73,9 +73,11 @@ def checkpoint_root(spark: SparkSession) -> str:
 
     Taken from ``spark.checkpoint.dir`` (session or launch configuration),
     else from a directory already set with ``setCheckpointDir``. Only when
-    neither exists, as in local tests, a temporary folder is created. The
-    result is also set as the context's checkpoint directory, so
-    ``DataFrame.checkpoint()`` writes there.
+    neither exists and the master is local (tests) is a temporary folder
+    created; on a cluster that is an error, since a machine-local folder is
+    invisible to the other executors. The result is also set as the
+    context's checkpoint directory, so ``DataFrame.checkpoint()`` writes
+    there.
     """
     sc = spark.sparkContext
     root = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
@@ -83,8 +85,13 @@ def checkpoint_root(spark: SparkSession) -> str:
     if not root and current.isDefined():
         return current.get()
     if not root:
+        if not sc.master.startswith("local"):
+            raise RuntimeError(
+                "set spark.checkpoint.dir to a folder every executor can reach "
+                "(stream state, spools and written tables go below it)"
+            )
         root = tempfile.mkdtemp(prefix="meterlake-ckpt-")
-        log.warning("spark.checkpoint.dir is unset; using local %s (tests only)", root)
+        log.warning("spark.checkpoint.dir is unset; using local %s (local mode only)", root)
         spark.conf.set("spark.checkpoint.dir", root)
     if not current.isDefined():
         sc.setCheckpointDir(root)

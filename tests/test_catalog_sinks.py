@@ -181,3 +181,22 @@ def test_other_meter_layout(spark):
     assert features.daily_features(cleaned, m).count() > 0
     assert insights.peaks(cleaned, meter=m).count() >= 0
     assert reports.latest(cleaned, 5, m).columns == ["ts", "p", "q", "u", "i", "a", "b"]
+
+
+def test_shared_dir_refuses_machine_local_folder_on_a_cluster():
+    from types import SimpleNamespace
+
+    from meterlake.session import checkpoint_root
+
+    unset = SimpleNamespace(isDefined=lambda: False)
+    sc = SimpleNamespace(
+        master="yarn",
+        getConf=lambda: SimpleNamespace(get=lambda key, default=None: default),
+        _jsc=SimpleNamespace(sc=lambda: SimpleNamespace(getCheckpointDir=lambda: unset)),
+    )
+    fake = SimpleNamespace(sparkContext=sc, conf=SimpleNamespace(get=lambda key, default=None: default))
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        checkpoint_root(fake)
+    named = SimpleNamespace(sparkContext=SimpleNamespace(**{**vars(sc), "setCheckpointDir": lambda d: None}),
+                            conf=SimpleNamespace(get=lambda key, default=None: "hdfs://shared/ckpt"))
+    assert checkpoint_root(named) == "hdfs://shared/ckpt"
