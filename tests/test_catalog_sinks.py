@@ -200,3 +200,11 @@ def test_shared_dir_refuses_machine_local_folder_on_a_cluster():
     named = SimpleNamespace(sparkContext=SimpleNamespace(**{**vars(sc), "setCheckpointDir": lambda d: None}),
                             conf=SimpleNamespace(get=lambda key, default=None: "hdfs://shared/ckpt"))
     assert checkpoint_root(named) == "hdfs://shared/ckpt"
+
+
+def test_publish_kafka_without_connector_raises(spark):
+    from meterlake.sinks.messages import publish_kafka, to_messages
+
+    msgs = to_messages(readings(spark, SF_SMALL).limit(3))
+    with pytest.raises(Exception, match="(?i)kafka"):
+        publish_kafka(msgs, Settings(kafka_brokers="localhost:1"))
