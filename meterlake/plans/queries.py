@@ -56,11 +56,16 @@ def cleaned(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 REGISTRY: dict[str, Query] = {}
+# Queries that write data (a stream run to completion, a file or a table)
+# when called, at least the first time in a session.
+WRITES_ON_CALL: set[str] = set()
 
 
-def register(name: str):
+def register(name: str, writes: bool = False):
     def deco(fn: Query) -> Query:
         REGISTRY[name] = fn
+        if writes:
+            WRITES_ON_CALL.add(name)
         return fn
 
     return deco
@@ -158,14 +163,14 @@ def raw_text_file(spark: SparkSession, sf_dir: str) -> str:
     return _RAW_FILES[key]
 
 
-@register("parse_raw")
+@register("parse_raw", writes=True)
 def q_parse_raw(spark, sf_dir):
     """The raw text file through the CSV reader: header, '?' markers, day-first
     dates, padded numbers (S1-S3, P1-P6, F6, T5)."""
     return checked(text.read_raw(spark, raw_text_file(spark, sf_dir)))
 
 
-@register("parse_raw_lines")
+@register("parse_raw_lines", writes=True)
 def q_parse_raw_lines(spark, sf_dir):
     """The same file as one message value per line, through the line parser
     used for raw-line streams (S8, M5)."""
@@ -268,7 +273,7 @@ def stored_table(spark: SparkSession, sf_dir: str, name: str = "energy_data") ->
     return catalog.read_table(spark, name)
 
 
-@register("stream_ingest")
+@register("stream_ingest", writes=True)
 def q_stream_ingest(spark, sf_dir):
     """Messages → Structured Streaming → clean_stream → partitioned Parquet
     (S4 stand-in, W1-W5, K1); returns what the sink stored."""
@@ -280,7 +285,7 @@ def q_stream_ingest(spark, sf_dir):
     return checked(spark.read.parquet(f"{base}/data"))
 
 
-@register("stream_hourly")
+@register("stream_hourly", writes=True)
 def q_stream_hourly(spark, sf_dir):
     """Hourly tumbling windows with a 1 h watermark over the message stream
     (X6); append mode, so only windows the watermark has closed."""
@@ -293,45 +298,45 @@ def q_stream_hourly(spark, sf_dir):
     return checked(spark.read.parquet(f"{base}/data"))
 
 
-@register("catalog_count")
+@register("catalog_count", writes=True)
 def q_catalog_count(spark, sf_dir):
     """COUNT(*) through the catalog table over the stored files."""
     return reports.record_count(stored_table(spark, sf_dir))
 
 
-@register("catalog_hour_profile")
+@register("catalog_hour_profile", writes=True)
 def q_catalog_hour_profile(spark, sf_dir):
     """Hour profile on the stored table: groups by the ``hour`` partition
     column, so the timestamp column is not read."""
     return checked(reports.hour_profile(stored_table(spark, sf_dir)))
 
 
-@register("catalog_latest")
+@register("catalog_latest", writes=True)
 def q_catalog_latest(spark, sf_dir):
     """Newest 100 stored readings; full rows are read from the newest
     partitions only. No row id is stored, so ties break on the measures."""
     return checked(reports.latest(stored_table(spark, sf_dir), limit=100, partitioned=True))
 
 
-@register("catalog_timeseries")
+@register("catalog_timeseries", writes=True)
 def q_catalog_timeseries(spark, sf_dir):
     """Dashboard time series on the stored table, newest partitions only."""
     return checked(reports.timeseries(stored_table(spark, sf_dir), limit=100, partitioned=True))
 
 
-@register("catalog_last_hours")
+@register("catalog_last_hours", writes=True)
 def q_catalog_last_hours(spark, sf_dir):
     """Last-24-hours series on the stored table: the window's partitions only."""
     return checked(insights.timeseries_hours(stored_table(spark, sf_dir), hours=24, partitioned=True))
 
 
-@register("catalog_zone_counts")
+@register("catalog_zone_counts", writes=True)
 def q_catalog_zone_counts(spark, sf_dir):
     """Rows per zone on the catalog table (reads the zone column only)."""
     return reports.zone_counts(stored_table(spark, sf_dir))
 
 
-@register("sql_over_files")
+@register("sql_over_files", writes=True)
 def q_sql_over_files(spark, sf_dir):
     """The dashboard's statistics SQL run directly on the stored files,
     ``FROM parquet.`path``` (S6, Q1)."""
@@ -340,7 +345,7 @@ def q_sql_over_files(spark, sf_dir):
     return checked(run_sql(spark, STATISTICS_SQL.replace("FROM energy_data", f"FROM {parquet_source(path)}")))
 
 
-@register("catalog_month_counts")
+@register("catalog_month_counts", writes=True)
 def q_catalog_month_counts(spark, sf_dir):
     """Rows per year and month: partition columns only, no data column read."""
     return reports.month_counts(stored_table(spark, sf_dir))
@@ -531,7 +536,7 @@ def q_rollup_daily_features(spark, sf_dir):
     return checked(rollup.daily_features(hourly_rollup(spark, sf_dir)))
 
 
-@register("stream_rollup")
+@register("stream_rollup", writes=True)
 def q_stream_rollup(spark, sf_dir):
     """Daily features from an hourly rollup kept up to date by a stream: the
     messages arrive in four files, one micro-batch each, and the per-batch
@@ -548,7 +553,7 @@ def q_stream_rollup(spark, sf_dir):
 # --- sinks and stream operators checked end to end --------------------------------
 
 
-@register("csv_export")
+@register("csv_export", writes=True)
 def q_csv_export(spark, sf_dir):
     """The hour profile exported as CSV (X10) and read back with its schema."""
     profile = reports.hour_profile(cleaned(spark, sf_dir))
@@ -558,7 +563,7 @@ def q_csv_export(spark, sf_dir):
     return checked(back)
 
 
-@register("compacted_month_counts")
+@register("compacted_month_counts", writes=True)
 def q_compacted_month_counts(spark, sf_dir):
     """The stored table rewritten into a year/month layout (X13), counted."""
     stored_table(spark, sf_dir)
@@ -567,7 +572,7 @@ def q_compacted_month_counts(spark, sf_dir):
     return reports.month_counts(spark.read.parquet(path))
 
 
-@register("stream_landing")
+@register("stream_landing", writes=True)
 def q_stream_landing(spark, sf_dir):
     """The message stream landed batch by batch with foreachBatch into a
     catalog table whose partitions are added per batch (X8): readable
@@ -583,7 +588,7 @@ def q_stream_landing(spark, sf_dir):
     return checked(spark.table(table).drop(landing.BATCH_COLUMN))
 
 
-@register("stream_dedup")
+@register("stream_dedup", writes=True)
 def q_stream_dedup(spark, sf_dir):
     """Every message published twice (a publisher that retried all sends);
     repeats dropped within a one-day watermark (X7)."""

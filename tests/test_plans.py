@@ -7,6 +7,7 @@ import pytest
 import __spark_entry__ as entry
 from meterlake.operators import insights, reports
 from meterlake.plans.joins import bounded_broadcast
+from meterlake.plans.queries import WRITES_ON_CALL
 from meterlake.sinks.files import write_parquet
 from meterlake.sources.readings import readings
 from meterlake.streaming import ingest
@@ -14,11 +15,7 @@ from meterlake.streaming import ingest
 from conftest import SF_SMALL
 
 # Registered queries that run a write or a stream when called.
-EAGER = {"stream_ingest", "stream_hourly", "stream_rollup", "stream_landing", "stream_dedup",
-         "parse_raw", "parse_raw_lines", "csv_export", "compacted_month_counts"} | {
-    "catalog_count", "catalog_hour_profile", "catalog_latest", "catalog_timeseries",
-    "catalog_last_hours", "catalog_month_counts", "catalog_zone_counts", "sql_over_files",
-}
+EAGER = WRITES_ON_CALL
 PYTHON_NODES = ("BatchEvalPython", "ArrowEvalPython", "PythonUDF", "FlatMapGroupsInPandas", "MapInPandas", "PythonMapInArrow")
 
 
