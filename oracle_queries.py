@@ -2,8 +2,11 @@
 
 Written from the definitions, not generated from the Spark code. Rules shared
 with ``meterlake.plans.queries.checked``: every DOUBLE result is rounded to 9
-digits, calendar parts are INT, counts BIGINT, Spark ``dayofweek`` equals
-DuckDB ``dayofweek + 1``, and ``try_divide(a, b)`` is ``a / NULLIF(b, 0)``.
+digits (DuckDB's ``round(x, 9)`` rounds the scaled binary value; the Spark
+side computes ``round(x * 10^9) / 10^9`` to match, and ``+ 0.0`` here turns a
+rounded -0.0 into 0.0), calendar parts are INT, counts BIGINT, Spark
+``dayofweek`` equals DuckDB ``dayofweek + 1``, and ``try_divide(a, b)`` is
+``a / NULLIF(b, 0)``.
 """
 
 from __future__ import annotations

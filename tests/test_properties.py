@@ -55,3 +55,27 @@ def test_stream_policy_matches_python_rule(spark, rows):
                  for r in clean.clean_stream(df).collect())
     want = sorted((r[0], max(r[1], 0.0), max(r[2], 0.0)) for r in rows if all(v is not None for v in r))
     assert got == want
+
+
+@SLOW
+@given(
+    st.dictionaries(
+        st.integers(min_value=0, max_value=40),
+        st.one_of(st.none(), st.integers(min_value=-1000, max_value=1000).map(lambda i: i / 10)),
+        min_size=1,
+        max_size=30,
+    ),
+    st.lists(st.integers(min_value=1, max_value=9), min_size=1, max_size=3, unique=True),
+)
+def test_align_shifted_equals_brute_force_join(spark, series, shifts):
+    from pyspark.sql import functions as F
+
+    from meterlake.operators.insights import align_shifted
+
+    df = spark.createDataFrame([(t, v) for t, v in series.items()], "t int, v double")
+    got = align_shifted(df, "t", "v", {f"lag_{s}": F.lit(s) for s in shifts}, current="cur").collect()
+    got = {r.t: tuple(r[c] for c in ["cur", *[f"lag_{s}" for s in shifts]]) for r in got}
+    # brute force: every time that is an input time or an input time + shift
+    times = set(series) | {t + s for t in series for s in shifts}
+    want = {t: (series.get(t), *[series.get(t - s) for s in shifts]) for t in times}
+    assert got == want
