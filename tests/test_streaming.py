@@ -220,3 +220,34 @@ def test_stream_rollup_merges_batches_and_compacts(spark, tmp_path):
     spark.read.parquet(os.path.join(parts, first)).write.mode("overwrite").parquet(os.path.join(str(tmp_path), "copy"))
     spark.read.parquet(os.path.join(str(tmp_path), "copy")).write.mode("overwrite").parquet(os.path.join(parts, first))
     assert rollup.statistics(stream_rollup.read_partials(spark, parts)).first().total_records == n_before
+
+
+def test_landing_survives_a_failure_after_the_write(spark, tmp_path):
+    import pytest
+
+    spool, path, ck = (str(tmp_path / n) for n in ("spool", "landing", "ck"))
+    write_spool(to_messages(readings(spark, SF_SMALL).repartitionByRange(3, "event_id")), spool)
+    table = "landing_crash_tbl"
+    catalog.drop_table(spark, table)
+    catalog.create_table(spark, table, path, schema=landing.landing_schema(),
+                         partition_by=["batch_id", "year", "month", "day", "hour"])
+    failed = []
+
+    def each(batch, batch_id):
+        landing.land_batch(spark, batch, batch_id, path, table)
+        if batch_id == 1 and not failed:
+            failed.append(batch_id)
+            raise RuntimeError("lost after writing batch 1, before the commit")
+
+    def run():
+        stored = ingest.to_stored(messages.parse_json(messages.read_spool(spark, spool, max_files_per_trigger=1)))
+        q = stored.writeStream.foreachBatch(each).option("checkpointLocation", ck).trigger(availableNow=True).start()
+        q.awaitTermination()
+
+    with pytest.raises(Exception):
+        run()
+    run()  # restart: batch 1 is replayed and overwrites its own directory
+    assert failed == [1]
+    assert sorted(d for d in os.listdir(path) if d.startswith("batch_id=")) == ["batch_id=0", "batch_id=1", "batch_id=2"]
+    assert spark.table(table).count() == clean.clean_stream(readings(spark, SF_SMALL)).count()
+    catalog.drop_table(spark, table)
