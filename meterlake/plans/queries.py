@@ -494,6 +494,27 @@ def q_day_compare_by_meter(spark, sf_dir):
     return checked(insights.day_compare(cleaned_meters(spark, sf_dir), days_back=7, by=METER_KEY))
 
 
+@register("quality_by_meter")
+def q_quality_by_meter(spark, sf_dir):
+    return insights.quality(readings(spark, sf_dir, keep_meter=True), by=METER_KEY)
+
+
+@register("zone_counts_by_meter")
+def q_zone_counts_by_meter(spark, sf_dir):
+    return reports.zone_counts(cleaned_meters(spark, sf_dir), by=METER_KEY)
+
+
+@register("submeter_share_by_meter")
+def q_submeter_share_by_meter(spark, sf_dir):
+    return checked(reports.submeter_share(cleaned_meters(spark, sf_dir), by=METER_KEY))
+
+
+@register("weather_impact_by_meter")
+def q_weather_impact_by_meter(spark, sf_dir):
+    data = cleaned_meters(spark, sf_dir)
+    return checked(insights.weather_impact(data, insights.hourly_weather(data), by=METER_KEY))
+
+
 @register("forecast_by_meter")
 def q_forecast_by_meter(spark, sf_dir):
     return checked(insights.forecast_profile(cleaned_meters(spark, sf_dir), horizon=24, by=METER_KEY))

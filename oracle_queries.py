@@ -487,3 +487,40 @@ SQL["stream_landing"] = SQL["stream_ingest"]
 
 SQL["stream_dedup"] = f"""{BASE}
 SELECT DISTINCT datetime, {rounded_measures()} FROM readings WHERE datetime IS NOT NULL"""
+
+
+SQL["quality_by_meter"] = f"""{BASE}
+SELECT meter_id, count(*) AS total_records,
+  CAST(count_if(datetime IS NULL) AS BIGINT) AS missing_datetime,
+  {_MISSING},
+  CAST(count_if(global_active_power < 0) AS BIGINT) AS negative_active_power,
+  CAST(count_if(global_reactive_power < 0) AS BIGINT) AS negative_reactive_power,
+  CAST(count_if(global_active_power = 0) AS BIGINT) AS zero_active_power
+FROM readings GROUP BY meter_id"""
+
+SQL["zone_counts_by_meter"] = f"""{BASE}
+SELECT meter_id, zone, count(*) AS record_count FROM clean GROUP BY meter_id, zone"""
+
+SQL["submeter_share_by_meter"] = f"""{BASE},
+t AS (SELECT meter_id, sum(sub_metering_1) AS s1, sum(sub_metering_2) AS s2, sum(sub_metering_3) AS s3
+      FROM clean GROUP BY meter_id),
+g AS (SELECT *, coalesce(s1, 0) + coalesce(s2, 0) + coalesce(s3, 0) AS grand FROM t)
+SELECT meter_id, 'sub_metering_1' AS submeter, 'zone1' AS zone, {r('s1', 'total_wh')}, {r('s1 / NULLIF(grand, 0)', 'share')} FROM g
+UNION ALL
+SELECT meter_id, 'sub_metering_2', 'zone2', {r('s2', 'total_wh')}, {r('s2 / NULLIF(grand, 0)', 'share')} FROM g
+UNION ALL
+SELECT meter_id, 'sub_metering_3', 'zone3', {r('s3', 'total_wh')}, {r('s3 / NULLIF(grand, 0)', 'share')} FROM g"""
+
+SQL["weather_impact_by_meter"] = f"""{BASE},
+hourly AS (
+  SELECT meter_id, date_trunc('hour', datetime) AS hour_start, avg(global_active_power) AS load
+  FROM clean GROUP BY 1, 2
+),
+weather_t AS (
+  SELECT h, CAST(5 + day(h) % 10 + hour(h) / 4e0 AS DOUBLE) AS temp_c
+  FROM (SELECT DISTINCT date_trunc('hour', datetime) AS h FROM clean)
+)
+SELECT meter_id, count(*) AS hours, count(temp_c) AS hours_with_temp_c,
+  {r('corr(temp_c, load)', 'corr_temp_c_load')}
+FROM hourly LEFT JOIN weather_t ON weather_t.h = hourly.hour_start
+GROUP BY meter_id"""
