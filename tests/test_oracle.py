@@ -43,3 +43,13 @@ def test_matches_oracle(spark, duck, name):
         assert SPARK_TO_DUCK.get(spark_type, spark_type) == dtypes[f.name], f.name
     assert len(srows) == len(drows)
     assert rows_key(df.columns, srows) == rows_key(dnames, drows)
+
+
+def test_query_order_does_not_matter_for_the_catalog_table(spark):
+    """The pass-through view must not shadow the stored catalog table."""
+    queries = entry.queries()
+    first = queries["sql_passthrough"](spark, SF_SMALL).collect()
+    queries["catalog_count"](spark, SF_SMALL).collect()
+    kinds = [t.tableType for t in spark.catalog.listTables() if t.name == "energy_data"]
+    assert kinds == ["EXTERNAL"]
+    assert queries["sql_over_files"](spark, SF_SMALL).collect() == first
