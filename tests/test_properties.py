@@ -79,3 +79,41 @@ def test_align_shifted_equals_brute_force_join(spark, series, shifts):
     times = set(series) | {t + s for t in series for s in shifts}
     want = {t: (series.get(t), *[series.get(t - s) for s in shifts]) for t in times}
     assert got == want
+
+
+@SLOW
+@given(
+    st.lists(
+        st.tuples(
+            st.integers(min_value=0, max_value=71),  # hour offset within three days
+            st.one_of(st.none(), st.integers(min_value=2000, max_value=2500).map(lambda i: i / 10)),  # voltage
+            st.integers(min_value=0, max_value=3000).map(lambda i: i / 1000),  # active power
+            st.integers(min_value=0, max_value=3),  # which split (micro-batch) holds the row
+        ),
+        min_size=1,
+        max_size=80,
+    )
+)
+def test_rollup_of_splits_merges_to_rollup_of_whole(spark, rows):
+    from meterlake.operators import features, reports, rollup
+
+    base = dt.datetime(2024, 1, 1)
+    data = [(base + dt.timedelta(hours=h, minutes=i % 60), a, 0.1, v, 1.0, 1.0, 2.0, 3.0, part)
+            for i, (h, v, a, part) in enumerate(rows)]
+    df = spark.createDataFrame(data, SCHEMA + ", part int")
+    splits = None
+    for p in sorted({r[-1] for r in data}):
+        one = rollup.hourly_rollup(df.filter(f"part = {p}").drop("part"))
+        splits = one if splits is None else splits.unionByName(one)
+    whole = df.drop("part")
+    key = ["year", "month", "day"]
+    got = {tuple(r[k] for k in key): r for r in rollup.daily_features(splits).collect()}
+    want = {tuple(r[k] for k in key): r for r in features.daily_features(whole).collect()}
+    assert got.keys() == want.keys()
+    for k, r in want.items():
+        for c in ("avg_power_daily", "voltage_stability_daily", "total_submetering_daily", "avg_intensity_daily"):
+            a, b = got[k][c], r[c]
+            assert (a is None and b is None) or abs(a - b) <= 1e-9 * max(1.0, abs(b)), (k, c, a, b)
+    stats_split, stats_whole = rollup.statistics(splits).first(), reports.statistics(whole).first()
+    assert stats_split.total_records == stats_whole.total_records == len(data)
+    assert stats_split.max_active_power == stats_whole.max_active_power
