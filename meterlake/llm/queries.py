@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from meterlake.llm import decontaminate as leaks
-from meterlake.llm import packing, token_files
+from meterlake.llm import near_dedup, packing, token_files
 from meterlake.llm.deploy import ship
 from meterlake.session import shared_dir
 
@@ -37,6 +37,12 @@ def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
     return str(public_tokenizers.path(name))
 
 
+@register
+def op1_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents linked at 85 percent of their shingles."""
+    return near_dedup.near_duplicates(_table(spark, sf_dir, "documents"), percent=85, size=5)
+
+
 @register
 def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every piece of every document and its place in a packed sequence."""
