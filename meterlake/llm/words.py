@@ -37,7 +37,7 @@ ALNUM[0x30:0x3A] = ALNUM[0x61:0x7B] = ALNUM[0x80:] = True
 ALNUM_ANY_CASE = ALNUM.copy()
 ALNUM_ANY_CASE[0x41:0x5B] = True
 
-PIECE_BYTES = 4 << 20
+PIECE_BYTES = 2 << 20
 
 
 def mix(h: np.ndarray) -> np.ndarray:
