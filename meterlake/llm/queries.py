@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from meterlake.llm import decontaminate as leaks
-from meterlake.llm import fingerprints, near_dedup, packing, substring_dedup, token_files
+from meterlake.llm import fingerprints, katz, near_dedup, packing, substring_dedup, token_files
 from meterlake.llm.deploy import ship
 from meterlake.session import shared_dir
 
@@ -69,6 +69,14 @@ FROM d LEFT JOIN removed r USING (doc_id) LEFT JOIN kept k USING (doc_id)
 """
 
 
+@register
+def op6_katz_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Katz and unigram log probabilities of every document."""
+    remainder = F.crc32(F.col("doc_id").cast("string")) % 10
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", (remainder != 0).alias("train"))
+    return katz.katz_scores(docs, train_col="train")
+
+
 @register
 def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every piece of every document and its place in a packed sequence."""
