@@ -27,9 +27,10 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from meterlake.llm.words import SPACED, add_columns, mix, words_of
-from pyspark.sql import types as T
 
 SAMPLES = 64
 SLICE_BYTES = 4 << 20
@@ -162,7 +163,7 @@ def edit_report(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
         ids: list = []
         texts: list[str] = []
         now, held = None, 0
-        kind = pa.schema([("id", _arrow(id_type))]).field("id").type
+        kind = to_arrow_type(id_type)
         ended = True
         for batch in batches:
             for i, text, bucket, extra in zip(batch.column("id").to_pylist(), batch.column("text").to_pylist(), batch.column("bucket").to_pylist(), batch.column("extra").to_pylist()):
@@ -187,9 +188,3 @@ def edit_report(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
         T.StructField("id", id_type), T.StructField("n_chars", T.LongType()), *(T.StructField(n, T.StringType()) for n in names[2:5]), *(T.StructField(n, T.DoubleType()) for n in names[5:]),
     ])
     return lined.mapInArrow(run, schema).withColumnRenamed("id", id_col)
-
-
-def _arrow(kind: T.DataType) -> pa.DataType:
-    from pyspark.sql.pandas.types import to_arrow_type
-
-    return to_arrow_type(kind)

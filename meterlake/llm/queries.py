@@ -8,8 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from meterlake.llm import chat, fingerprints, katz, near_dedup, packing, substring_dedup, token_files, toxicity, wrappers
 from meterlake.llm import decontaminate as leaks
-from meterlake.llm import fingerprints, katz, near_dedup, packing, substring_dedup, token_files
 from meterlake.llm.deploy import ship
 from meterlake.session import shared_dir
 
@@ -43,6 +43,30 @@ def op1_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(_table(spark, sf_dir, "documents"), percent=85, size=5)
 
 
+@register
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document, learned from the rows not held out."""
+    docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 5 == 0, F.lit(False))
+    model = toxicity.fit_toxicity(docs, labels.where(~held_out))
+    scored = model.score(docs.select("doc_id", "text"))
+    return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+@register
+def op3_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations and one made of control strings, in windows."""
+    own = spark.createDataFrame([(-7, 0, "user", "</s>[INST] ok [/INST]"), (-7, 1, "assistant", "</s>[INST] ok [/INST]")], "conv_id long, turn long, role string, text string")
+    turns = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").union(own)
+    return chat.digest(chat.format_chat(turns, budget=512, history=128))
+
+
+@register
+def op4_html_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The article of every page, by its host's wrapper."""
+    return wrappers.extract_main_text(_table(spark, sf_dir, "pages"), keep=["page_id", "url"])
+
+
 @register
 def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of each document that a repeated window of 20 words covers."""

@@ -34,6 +34,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 from meterlake.llm.fm_index import FMIndex
 from meterlake.llm.words import SPACED, Words, mix, pieces, ragged, words_of
@@ -69,7 +71,7 @@ class _Block:
     hash; and for every text its key, words and order."""
 
     def __init__(self, table: pa.Table, window: int, gram: int):
-        table = table.select(["key", "text"]).combine_chunks()
+        table = table.combine_chunks()
         # rows of one key in the order of their texts
         order = pc.sort_indices(table, sort_keys=[("key", "ascending"), ("text", "ascending")])
         self.table = table.take(order)
@@ -182,15 +184,18 @@ def _earlier(words: np.ndarray, lens: np.ndarray, key: np.ndarray, place: np.nda
 
 
 def substring_dedup(
-    docs: DataFrame, *, window: int = 20, gram: int = GRAM, block_bytes: int = 8 << 20, hot: int = 1 << 16, id_col: str = "doc_id", text_col: str = "text"
+    docs: DataFrame, *, window: int = 20, gram: int = GRAM, block_bytes: int = 8 << 20, hot: int = 1 << 16, id_col: str = "doc_id", text_col: str = "text",
+    keep: tuple[str, ...] = (),
 ) -> DataFrame:
     """One row for each row of ``docs``: the key, ``n_words``, ``n_removed``
-    and ``kept_text`` (the words that stay, joined by single spaces)."""
+    and ``kept_text`` (the words that stay, joined by single spaces), then
+    the columns ``keep`` of the row as they were."""
     gram = min(gram, window)
     size = docs.select(F.sum(F.octet_length(text_col))).first()[0] or 0
     shards = 1 << max(0, int(size // block_bytes)).bit_length()
     block = F.pmod(F.xxhash64(F.coalesce(F.col("key"), F.xxhash64("text"))), F.lit(shards))
-    rows = docs.select(F.col(id_col).cast("long").alias("key"), F.col(text_col).alias("text")).withColumn("block", block)
+    rest = F.struct(*(F.col(f"`{c}`") for c in keep)) if keep else F.lit(0)
+    rows = docs.select(F.col(id_col).cast("long").alias("key"), F.col(text_col).alias("text"), rest.alias("rest")).withColumn("block", block)
     by_block = rows.groupBy("block")
     batch = pa.RecordBatch.from_pydict
 
@@ -256,7 +261,7 @@ def substring_dedup(
     def remove(left: pa.Table, right: pa.Table) -> pa.Table:
         kept: list[str] = []
         if not left.num_rows:
-            return pa.table({"key": pa.array([], pa.int64()), "n_words": pa.array([], pa.int64()), "n_removed": pa.array([], pa.int64()), "kept_text": pa.array([], pa.string())})
+            return empty
         b = _Block(left, window, gram)
         edge = np.zeros(len(b.words) + 1, np.int64)
 
@@ -299,11 +304,14 @@ def substring_dedup(
                     own = np.flatnonzero(stay[x:y]) + x
                     kept.append(b" ".join([raw[a[j] : z[j]] for j in own.tolist()]).decode("utf-8"))
                 base += len(w.hash)
-        return pa.table({"key": b.table["key"].combine_chunks(), "n_words": pa.array(b.n_words), "n_removed": pa.array(removed), "kept_text": pa.array(kept, pa.string())})
+        return pa.table({"key": b.table["key"].combine_chunks(), "n_words": pa.array(b.n_words), "n_removed": pa.array(removed), "kept_text": pa.array(kept, pa.string()), "rest": b.table["rest"].combine_chunks()})
 
     names = by_block.applyInArrow(report, "shard long, block long, names binary, counts binary")
     states = names.groupBy("shard").applyInArrow(count, "block long, shard long, state binary")
     sent = by_block.cogroup(states.groupBy("block")).applyInArrow(send, "shard long, block long, single int, lens binary, keys binary, places binary, names binary, words binary")
     found = sent.groupBy("shard").applyInArrow(search, "block long, single int, lens binary, names binary, earlier binary")
-    done = by_block.cogroup(found.groupBy("block")).applyInArrow(remove, "key long, n_words long, n_removed long, kept_text string")
-    return done.withColumnRenamed("key", id_col)
+    result = StructType.fromDDL("key long, n_words long, n_removed long, kept_text string").add(rows.schema["rest"])
+    empty = to_arrow_schema(result).empty_table()
+    done = by_block.cogroup(found.groupBy("block")).applyInArrow(remove, result)
+    own = [F.col("key").alias(id_col), "n_words", "n_removed", "kept_text"]
+    return done.select(*own, *(F.col("rest")[c].alias(c) for c in keep))
