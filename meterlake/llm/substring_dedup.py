@@ -192,8 +192,9 @@ def substring_dedup(
     the columns ``keep`` of the row as they were."""
     gram = min(gram, window)
     size = docs.select(F.sum(F.octet_length(text_col))).first()[0] or 0
-    shards = 1 << max(0, int(size // block_bytes)).bit_length()
-    block = F.pmod(F.xxhash64(F.coalesce(F.col("key"), F.xxhash64("text"))), F.lit(shards))
+    blocks = int(size // block_bytes) + 1
+    shards = 1 << (4 * blocks - 1).bit_length()  # an index takes more memory than the words it holds
+    block = F.pmod(F.xxhash64(F.coalesce(F.col("key"), F.xxhash64("text"))), F.lit(blocks))
     rest = F.struct(*(F.col(f"`{c}`") for c in keep)) if keep else F.lit(0)
     rows = docs.select(F.col(id_col).cast("long").alias("key"), F.col(text_col).alias("text"), rest.alias("rest")).withColumn("block", block)
     by_block = rows.groupBy("block")
