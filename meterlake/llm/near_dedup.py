@@ -3,17 +3,20 @@
 Every document becomes its set of distinct word shingles. Documents with the
 same set form one class, so copies are never paired. For each class, 160
 minima under universal hash functions form 32 bands of 5; classes that share
-a band share a bucket. In a bucket the signatures of two classes are
-compared, and pairs whose share of equal minima is within 0.11 of the
-threshold or above it (3.5 standard deviations at the threshold) are
-confirmed by the exact overlap of their sets. A band of a pair at 0.8 is
-equal with probability 0.33, so all 32 differ in 3 of a million such pairs.
+a band share a bucket. In a bucket the signatures of two classes, 256 more
+minima of 8 bits each, are compared, and pairs whose share of equal minima
+is within 0.08 of the threshold or above it (3.5 standard deviations at the
+threshold) are confirmed by the exact overlap of their sets. A band of a pair
+at 0.8 is equal with probability 0.33, so all 32 differ in 3 of a million
+such pairs.
 
 Links are confirmed in two rounds. First each class with its likeliest
 partner of every bucket, which joins a group of copies to what they were
 made from; then all remaining pairs of a bucket that still lie in different
-components, so no link between different texts is lost and pairs inside a
-component are never spelled out. A bucket with more than ``BLOCK`` classes is
+components. For those, the sets of the classes that have such a pair are
+sent to the bucket, and only confirmed links leave it, so no link between
+different texts is lost, and neither pairs inside a component nor pairs that
+fail are ever spelled out. A bucket with more than ``BLOCK`` classes is
 split into blocks, and every pair of blocks is compared by a task of its
 own. A pair is looked at in the first bucket it shares only.
 
@@ -36,11 +39,11 @@ from meterlake.llm.words import SPACED, mix, pieces, words_of
 from meterlake.session import checkpoint_root
 
 BANDS, ROWS, BLOCK = 32, 5, 2048
-SLACK = 0.11
+SLACK, MINIMA = 0.08, 256
 _PAIRS_AT_ONCE = 1 << 15
 _rng = np.random.default_rng(20240501)
-_A = _rng.integers(0, 2**63, BANDS * ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_B = _rng.integers(0, 2**63, BANDS * ROWS, dtype=np.uint64)
+_A = _rng.integers(0, 2**63, BANDS * ROWS + MINIMA, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_B = _rng.integers(0, 2**63, BANDS * ROWS + MINIMA, dtype=np.uint64)
 
 
 def shingle_sets(texts: pa.Array, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -64,11 +67,11 @@ def shingle_sets(texts: pa.Array, size: int) -> tuple[np.ndarray, np.ndarray]:
     return grams[new], np.bincount(doc[new], minlength=len(n_words))
 
 
-def signatures(shingles: np.ndarray, counts: np.ndarray) -> np.ndarray:
+def signatures(shingles: np.ndarray, counts: np.ndarray, functions: int = BANDS * ROWS) -> np.ndarray:
     """A row of 32-bit minima for each set that has members."""
     counts = counts[counts > 0]
     ends = np.cumsum(counts)
-    out = np.empty((len(counts), len(_A)), np.uint32)
+    out = np.empty((len(counts), functions), np.uint32)
     # a few thousand shingles at a time stay in the processor's cache
     first = 0
     while first < len(counts):
@@ -76,7 +79,7 @@ def signatures(shingles: np.ndarray, counts: np.ndarray) -> np.ndarray:
         begin = int(ends[first] - counts[first])
         part = shingles[begin : ends[last - 1]]
         at = ends[first:last] - counts[first:last] - begin
-        for j in range(len(_A)):
+        for j in range(functions):
             out[first:last, j] = np.minimum.reduceat(part * _A[j] + _B[j], at) >> np.uint64(32)
         first = last
     return out
@@ -93,7 +96,8 @@ def band_keys(sig: np.ndarray) -> np.ndarray:
 
 def _sets_of(docs: DataFrame, size: int, *, full: bool) -> DataFrame:
     """``key``, ``n`` and the set's 128-bit name; then its bands, or (``full``)
-    its signature and all of its shingles."""
+    its signature (32 bits of each band, then 8 of each further minimum) and
+    all of its shingles."""
     extra = "sig binary, members binary" if full else "bands array<bigint>"
 
     def run(batches):
@@ -107,10 +111,12 @@ def _sets_of(docs: DataFrame, size: int, *, full: bool) -> DataFrame:
                 if len(members):
                     hi[some] = np.add.reduceat(mix(members), at)
                     lo[some] = np.add.reduceat(mix(members ^ _B[0]), at)
-                    sig = signatures(members, counts)
+                    sig = signatures(members, counts, len(_A) if full else BANDS * ROWS)
                 row = np.cumsum(some) - 1
                 if full:
                     raw = memoryview(members.astype("<u8").tobytes())
+                    short = band_keys(sig[:, : BANDS * ROWS]).astype("<u4").view(np.uint8)
+                    sig = np.concatenate([short, sig[:, BANDS * ROWS :].astype(np.uint8)], axis=1)
                     end = np.cumsum(counts)
                     cols = [
                         pa.array([sig[r].tobytes() if s else None for r, s in zip(row, some)], pa.binary()),
@@ -129,17 +135,31 @@ def _sets_of(docs: DataFrame, size: int, *, full: bool) -> DataFrame:
     return docs.mapInArrow(run, f"key {kind}, n bigint, hi bigint, lo bigint, {extra}")
 
 
-_PAIR = T.StructType([T.StructField(n, T.LongType()) for n in ("a_hi", "a_lo", "a", "b_hi", "b_lo", "b")])
+_NODE = [("hi", T.LongType()), ("rep", T.LongType())]
+_PAIR = T.StructType([T.StructField(f"{s}_{n}", t) for s in "ab" for n, t in _NODE])
+_SPOT = T.StructType([T.StructField(n, T.LongType()) for n in ("bucket", "bi", "bj", "hi")])
 
 
-def _bucket_pairs(rows: DataFrame, least: float, best_only: bool) -> DataFrame:
-    """Pairs of classes of one bucket (or of two blocks of it) that are
-    likely enough, lie in different components, and share no earlier band.
-    ``best_only``: for each class of the bucket, its likeliest partner."""
+def _overlap(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
+    """Whether two sorted sets share enough."""
+    if min(len(x), len(y)) * 100 < percent * max(len(x), len(y)):
+        return False
+    at = np.minimum(np.searchsorted(x, y), len(x) - 1)
+    shared = int(np.count_nonzero(x[at] == y))
+    return 100 * shared >= percent * (len(x) + len(y) - shared)
+
+
+def _in_buckets(rows: DataFrame, percent: int, want: str) -> DataFrame:
+    """Look at the pairs of classes of every bucket (or of two blocks of it)
+    that are likely enough, lie in different components and share no earlier
+    band. ``want``: "best" gives for each class its likeliest pair, "spots"
+    the classes that have a pair, "links" (with sets) the confirmed pairs."""
+    least = percent / 100 - SLACK
 
     def judge(t: pa.Table):
         col = lambda n: t.column(n).to_numpy()
-        sig = np.frombuffer(b"".join(t.column("sig").to_pylist()), np.uint32).reshape(t.num_rows, BANDS * ROWS)
+        sig = np.frombuffer(b"".join(t.column("sig").to_pylist()), np.uint8).reshape(t.num_rows, BANDS * 4 + MINIMA)
+        bands, low = np.ascontiguousarray(sig[:, : BANDS * 4]).view("<u4"), sig[:, BANDS * 4 :]
         bucket, bi, bj, block, band, root = (col(n) for n in ("bucket", "bi", "bj", "block", "band", "root"))
         edge = np.flatnonzero((np.diff(bucket) != 0) | (np.diff(bi) != 0) | (np.diff(bj) != 0)) + 1
         end_of = np.repeat(np.append(edge, t.num_rows), np.diff(np.concatenate([[0], edge, [t.num_rows]])))
@@ -155,16 +175,19 @@ def _bucket_pairs(rows: DataFrame, least: float, best_only: bool) -> DataFrame:
             x, y = x[ok], y[ok]
             for s in range(0, len(x), _PAIRS_AT_ONCE):
                 p, q = x[s : s + _PAIRS_AT_ONCE], y[s : s + _PAIRS_AT_ONCE]
-                same = sig[p] == sig[q]
-                share = same.mean(axis=1)
-                first = same.reshape(len(p), BANDS, ROWS).all(axis=2).argmax(axis=1)
-                good = (share >= least) & (first == band[p])
-                kept.append((p[good], q[good], share[good]))
+                share = (low[p] == low[q]).mean(axis=1)
+                p, q, share = p[share >= least], q[share >= least], share[share >= least]
+                first = (bands[p] == bands[q]).argmax(axis=1) == band[p]
+                kept.append((p[first], q[first], share[first]))
             row = to
         if not kept:
             return
         x, y, share = (np.concatenate(z) for z in zip(*kept))
-        if best_only and len(x):
+        if want == "spots":
+            i = np.unique(np.concatenate([x, y]))
+            yield pa.RecordBatch.from_arrays([pa.array(col(n)[i].astype(np.int64)) for n in _SPOT.names], names=_SPOT.names)
+            return
+        if want == "best" and len(x):
             node, other, s = np.concatenate([x, y]), np.concatenate([y, x]), np.concatenate([share, share])
             order = np.lexsort((other, -s, node))
             node, other = node[order], other[order]
@@ -172,10 +195,13 @@ def _bucket_pairs(rows: DataFrame, least: float, best_only: bool) -> DataFrame:
             lead[1:] = node[1:] != node[:-1]
             x, y = np.minimum(node[lead], other[lead]), np.maximum(node[lead], other[lead])
             x, y = np.unique(np.stack([x, y]), axis=1)
-        hi, lo, key = col("hi"), col("lo"), col("rep")
-        swap = (hi[x] > hi[y]) | ((hi[x] == hi[y]) & (lo[x] > lo[y]))
+        if want == "links" and len(x):
+            sets = [np.frombuffer(v.as_buffer(), np.uint64) for v in t.column("members")]
+            good = np.array([_overlap(sets[i], sets[j], percent) for i, j in zip(x.tolist(), y.tolist())])
+            x, y = x[good], y[good]
+        swap = col("hi")[x] > col("hi")[y]
         a, b = np.where(swap, y, x), np.where(swap, x, y)
-        yield pa.RecordBatch.from_arrays([pa.array(v) for v in (hi[a], lo[a], key[a], hi[b], lo[b], key[b])], names=_PAIR.names)
+        yield pa.RecordBatch.from_arrays([pa.array(col(n)[i]) for i in (a, b) for n, _ in _NODE], names=_PAIR.names)
 
     def run(batches):
         held: pa.Table | None = None
@@ -190,25 +216,22 @@ def _bucket_pairs(rows: DataFrame, least: float, best_only: bool) -> DataFrame:
         if held is not None and held.num_rows:
             yield from judge(held)
 
-    return rows.mapInArrow(run, _PAIR).distinct()
+    lined = rows.repartition("bucket", "bi", "bj").sortWithinPartitions("bucket", "bi", "bj")
+    return lined.mapInArrow(run, _SPOT if want == "spots" else _PAIR)
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs whose whole sets overlap enough."""
-    side = lambda s: sets.select(F.col("hi").alias(f"{s}_hi"), F.col("lo").alias(f"{s}_lo"), F.col("members").alias(f"{s}_set"))
-    both = pairs.join(side("a"), ["a_hi", "a_lo"]).join(side("b"), ["b_hi", "b_lo"]).select("a", "b", "a_set", "b_set")
+    side = lambda s: sets.select(F.col("hi").alias(f"{s}_hi"), F.col("members").alias(f"{s}_set"))
+    both = pairs.join(side("a"), "a_hi").join(side("b"), "b_hi").select("a_rep", "b_rep", "a_set", "b_set")
 
     def run(batches):
         for batch in batches:
-            good = []
-            for x, y in zip(batch.column("a_set"), batch.column("b_set")):
-                x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
-                at = np.minimum(np.searchsorted(x, y), len(x) - 1)
-                shared = int(np.count_nonzero(x[at] == y))
-                good.append(100 * shared >= percent * (len(x) + len(y) - shared))
-            yield batch.select(["a", "b"]).filter(pa.array(good))
+            views = [[np.frombuffer(v.as_buffer(), np.uint64) for v in batch.column(c)] for c in ("a_set", "b_set")]
+            good = [_overlap(x, y, percent) for x, y in zip(*views)]
+            yield batch.select(["a_rep", "b_rep"]).filter(pa.array(good, pa.bool_()))
 
-    return both.mapInArrow(run, "a bigint, b bigint")
+    return both.mapInArrow(run, "a_rep bigint, b_rep bigint").withColumnsRenamed({"a_rep": "a", "b_rep": "b"})
 
 
 def near_duplicates(docs: DataFrame, *, percent: int = 80, size: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -221,41 +244,42 @@ def near_duplicates(docs: DataFrame, *, percent: int = 80, size: int = 5, id_col
     named = all_sets.where("key is not null and n > 0")
     classes = named.groupBy("hi", "lo", "n").agg(F.min("key").alias("rep"))
 
-    # buckets: the rows that stand for their class
-    own = named.join(classes.select("hi", "lo", F.col("rep").alias("key")), ["hi", "lo", "key"]).dropDuplicates(["hi", "lo"])
-    banded = own.select("hi", "lo", F.col("key").alias("rep"), F.posexplode("bands").alias("band", "bucket"))
+    # buckets: the rows that stand for their class, named by half of its name
+    own = named.join(classes.select("hi", "lo", F.col("rep").alias("key")), ["hi", "lo", "key"]).dropDuplicates(["hi"])
+    banded = own.select("hi", F.posexplode("bands").alias("band", "bucket"))
     full = banded.groupBy("bucket").agg(F.count(F.lit(1)).alias("in_bucket")).where("in_bucket > 1")
     shared = banded.join(full, "bucket").checkpoint()
 
-    wanted = shared.select("hi", "lo", F.col("rep").alias("key")).distinct()
+    wanted = own.select("hi", "lo", "key").join(shared.select("hi").distinct(), "hi", "left_semi")
     texts = rows.join(wanted.select("key").distinct(), "key", "left_semi")
-    sets = _sets_of(texts, size, full=True).join(wanted, ["key", "hi", "lo"], "left_semi").dropDuplicates(["hi", "lo"]).select("hi", "lo", "sig", "members").checkpoint()
+    sets = _sets_of(texts, size, full=True).join(wanted, ["key", "hi", "lo"], "left_semi").dropDuplicates(["hi"]).select("hi", F.col("key").alias("rep"), "sig", "members").checkpoint()
 
     parts = F.ceil(F.col("in_bucket") / BLOCK).cast("int")
     dealt = (
-        shared.withColumn("parts", parts).withColumn("block", F.pmod(F.xxhash64("hi", "lo"), F.col("parts")).cast("int"))
+        shared.withColumn("parts", parts).withColumn("block", F.pmod(F.xxhash64("hi"), F.col("parts")).cast("int"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
         .withColumn("bi", F.least("block", "other")).withColumn("bj", F.greatest("block", "other")).drop("parts", "other", "in_bucket")
     )
-
-    def pairs(roots: DataFrame | None, best_only: bool) -> DataFrame:
-        if roots is None:
-            labelled = dealt.withColumn("root", F.xxhash64("hi", "lo"))
-        else:
-            labels = shared.select("bucket", "rep").join(roots, F.col("rep") == F.col("node"), "left").select("bucket", "rep", F.coalesce("root", "rep").alias("root"))
-            open_buckets = labels.groupBy("bucket").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x != y").select("bucket")
-            labelled = dealt.join(open_buckets, "bucket", "left_semi").join(roots.withColumnsRenamed({"node": "rep"}), "rep", "left").withColumn("root", F.coalesce("root", "rep"))
-        lined = labelled.join(sets.select("hi", "lo", "sig"), ["hi", "lo"]).repartition("bucket", "bi", "bj").sortWithinPartitions("bucket", "bi", "bj")
-        return _bucket_pairs(lined, percent / 100 - SLACK, best_only)
+    signed = sets.select("hi", "rep", "sig")
+
+    def remaining(roots: DataFrame) -> DataFrame:
+        """Links of buckets that hold several components."""
+        rooted = sets.select("hi", "rep").join(roots.withColumnRenamed("node", "rep"), "rep", "left").select("hi", F.coalesce("root", "rep").alias("root"))
+        labelled = dealt.join(rooted, "hi")
+        several = labelled.groupBy("bucket").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x != y").select("bucket")
+        opened = labelled.join(several, "bucket", "left_semi").checkpoint()
+        spots = _in_buckets(opened.join(signed, "hi"), percent, "spots")
+        spots = spots.withColumns({"bi": F.col("bi").cast("int"), "bj": F.col("bj").cast("int")})
+        return _in_buckets(opened.join(spots, ["bucket", "bi", "bj", "hi"], "left_semi").join(sets, "hi"), percent, "links").select(F.col("a_rep").alias("a"), F.col("b_rep").alias("b"))
 
     # rows of one key belong together, whatever their texts
     of_key = named.join(classes.select("hi", "lo", "rep"), ["hi", "lo"]).select("key", "rep")
     several = of_key.groupBy("key").agg(F.min("rep").alias("x"), F.max("rep").alias("y")).where("x != y").select("key")
     same_key = of_key.join(several, "key", "left_semi").select(F.col("key").alias("a"), F.col("rep").alias("b"))
 
-    links = _confirmed(pairs(None, True), sets, percent).checkpoint()
-    roots = components(links)
-    links = links.union(_confirmed(pairs(roots, False), sets, percent)).union(same_key).checkpoint()
+    likeliest = _in_buckets(dealt.withColumn("root", F.col("hi")).join(signed, "hi"), percent, "best").distinct()
+    links = _confirmed(likeliest, sets, percent).checkpoint()
+    links = links.union(remaining(components(links))).union(same_key).checkpoint()
     roots = components(links)
 
     placed = all_sets.select("key", "n", "hi", "lo").join(classes.select("hi", "lo", "n", "rep"), ["hi", "lo", "n"], "left")
