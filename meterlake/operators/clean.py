@@ -3,7 +3,7 @@
 Two named policies, because the batch and stream rules of the original
 disagree and must never be mixed silently:
 
-* ``clean_stream`` — drop rows with any NULL/NaN, raise negative active and
+* ``clean_stream`` — drop rows whose time or a measure is NULL/NaN, raise negative active and
   reactive power to 0 (zero is kept), add partition columns and the zone.
 * ``clean_batch`` — drop rows whose active power is NULL or not strictly
   positive; other columns are left as they are.
@@ -33,8 +33,9 @@ def with_zone(df: DataFrame, meter: Meter = METER, name: str = "zone") -> DataFr
 
 
 def clean_stream(df: DataFrame, meter: Meter = METER) -> DataFrame:
-    """Streaming policy; the same function is used on bounded input."""
-    complete = df.na.drop(how="any")
+    """Streaming policy; the same function is used on bounded input. A row
+    needs its time and every measure; other columns may be NULL."""
+    complete = df.na.drop(how="any", subset=[meter.time, *meter.measures])
     clamped = complete.withColumns(
         {
             meter.active: clamp_negative(F.col(meter.active)),

@@ -11,7 +11,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from meterlake.schema import METER, PARTITION_COLUMNS, Meter
@@ -88,17 +88,12 @@ def last_hours(df: DataFrame, hours: int, meter: Meter = METER, partitioned: boo
 
 
 def newest_hours_bound(df: DataFrame, k: int) -> Column:
-    """On a stored partitioned table: the start of the oldest hour that must be
-    read so that the newest hours hold at least ``k`` rows (scalar subquery).
-
-    Rows per hour partition come from a scan that needs no data column (only
-    Parquet footers); the running count runs over one row per hour, a table
-    bounded by the time span, not by the data volume.
-    """
-    counts = df.groupBy(partition_hour().alias("_h")).agg(F.count(F.lit(1)).alias("_n"))
-    newer = Window.orderBy(F.col("_h").desc()).rowsBetween(Window.unboundedPreceding, -1)
-    before = F.coalesce(F.sum("_n").over(newer), F.lit(0))
-    return counts.withColumn("_before", before).filter(F.col("_before") < k).select(F.min("_h")).scalar()
+    """On a stored partitioned table: the k-th newest hour that it has
+    (scalar subquery). Every stored hour holds a reading, so the newest k
+    hours hold the newest k rows and the newest k timestamps; the bound comes
+    from partition values, and no data column is read for it."""
+    hours = df.select(partition_hour().alias("_h")).distinct()
+    return hours.orderBy(F.col("_h").desc()).limit(k).select(F.min("_h")).scalar()
 
 
 def newest_bound(df: DataFrame, k: int, meter: Meter = METER, distinct: bool = False) -> Column:
@@ -117,13 +112,11 @@ def newest(df: DataFrame, k: int, meter: Meter = METER, distinct: bool = False)
     """Rows no older than needed for a newest-k report, on a stored
     partitioned table: full rows are read from the newest partitions only.
 
-    For newest-k rows the bound is an hour from per-partition row counts;
-    for newest-k distinct timestamps it is the k-th newest distinct time.
-    Everything at or after the bound is kept, so a top-k over the result is
-    exact.
+    The newest k hours come from partition values; the k-th newest time (of
+    distinct times, when ``distinct``) from the time column of those hours
+    alone. Everything at or after it is kept, so a top-k over the result is
+    exact, and no step of it runs over the whole table's data.
     """
-    if distinct:
-        bound = newest_bound(df, k, meter, distinct=True)
-    else:
-        bound = newest_hours_bound(df, k)
+    recent = between(df, newest_hours_bound(df, k), None, meter, include_start=True, partitioned=True)
+    bound = newest_bound(recent, k, meter, distinct)
     return between(df, bound, None, meter, include_start=True, partitioned=True)

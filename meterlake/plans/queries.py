@@ -8,16 +8,17 @@ SQL oracle produces: time columns as ``TIMESTAMP_NTZ`` and doubles rounded to
 
 from __future__ import annotations
 
-import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from meterlake.operators import clean, dashboard, features, insights, reports, rollup
 from meterlake.plans import catalog
 from meterlake.plans.sql import parquet_source, run_sql
-from meterlake.schema import PARTITION_COLUMNS, RAW_HEADER
+from meterlake.paths import qualified, total_bytes, version
+from meterlake.schema import METER, PARTITION_COLUMNS
 from meterlake.session import shared_dir
 from meterlake.sinks import messages as sink_messages
 from meterlake.sinks.files import compact, export_csv, write_parquet
@@ -81,6 +82,15 @@ def q_clean_stream(spark, sf_dir):
     return checked(cleaned(spark, sf_dir))
 
 
+@register("clean_stream_extras")
+def q_clean_stream_extras(spark, sf_dir):
+    """The same rows with NULLs in columns that are no reading (F1)."""
+    rows = readings(spark, sf_dir, keep_meter=True).withColumns(
+        {"note": F.lit(None).cast("string"), "meter_id": F.expr("CASE WHEN event_id % 3 = 0 THEN NULL ELSE meter_id END")}
+    )
+    return checked(clean.clean_stream(rows))
+
+
 @register("clean_batch")
 def q_clean_batch(spark, sf_dir):
     return checked(clean.clean_batch(readings(spark, sf_dir)))
@@ -145,20 +155,16 @@ _RAW_FILES: dict[tuple, str] = {}
 
 
 def _input_key(spark: SparkSession, sf_dir: str) -> tuple:
-    events = os.path.join(sf_dir, "events.parquet")
-    st = os.stat(events) if os.path.exists(events) else None
-    return (spark.sparkContext.applicationId, os.path.abspath(sf_dir), st and (st.st_mtime_ns, st.st_size))
+    return (spark.sparkContext.applicationId, *version(spark, f"{sf_dir}/events.parquet"))
 
 
 def raw_text_file(spark: SparkSession, sf_dir: str) -> str:
-    """The readings rendered once per session as a raw ';' text file with a
-    header line, like the household dataset (M1); returns its directory."""
+    """The readings rendered once per session as raw ';' text files, each with
+    a header line, like the household dataset (M1); returns their directory."""
     key = _input_key(spark, sf_dir)
     if key not in _RAW_FILES:
         path = shared_dir(spark, "raw-text")
-        header = spark.createDataFrame([(";".join(RAW_HEADER),)], "value string")
-        lines = readings(spark, sf_dir).select(text.raw_line().alias("value"))
-        header.union(lines).coalesce(1).write.text(path)
+        text.write_raw(readings(spark, sf_dir), path)
         _RAW_FILES[key] = path
     return _RAW_FILES[key]
 
@@ -237,21 +243,28 @@ _SPOOLS: dict[tuple, str] = {}
 
 def spool_messages(spark: SparkSession, sf_dir: str) -> str:
     """Every reading published once per session as a JSON message into a file
-    spool, the stand-in for the topic (K4). Four files in time order, so a
-    stream reading one file per trigger sees four micro-batches; each
-    streaming query consumes the spool with its own checkpoint."""
+    spool, the stand-in for the topic (K4), in the input's own partitioning;
+    each streaming query consumes the spool with its own checkpoint."""
     key = _input_key(spark, sf_dir)
     if key not in _SPOOLS:
         path = shared_dir(spark, "spool")
-        by_time = readings(spark, sf_dir).repartitionByRange(4, "event_id")
-        sink_messages.write_spool(sink_messages.to_messages(by_time), path)
+        sink_messages.write_spool(sink_messages.to_messages(readings(spark, sf_dir)), path)
         _SPOOLS[key] = path
     return _SPOOLS[key]
 
 
+# What a micro-batch of the queries takes from a spool at most.
+BATCH_BYTES = 64 << 20
+
+
 _STORED: dict[tuple, str] = {}
 
 
+def own_table(spark: SparkSession, name: str) -> str:
+    """A table name of this application, so that no other table is met."""
+    return f"{name}_{spark.sparkContext.applicationId.replace('-', '_')}".lower()
+
+
 def stored_table(spark: SparkSession, sf_dir: str, name: str = "energy_data") -> DataFrame:
     """Cleaned readings in the stored layout behind an external catalog table.
 
@@ -267,10 +280,10 @@ def stored_table(spark: SparkSession, sf_dir: str, name: str = "energy_data") ->
         write_parquet(ingest.to_stored(readings(spark, sf_dir)), base, partition_by=PARTITION_COLUMNS,
                       sort_by=("datetime",))
         _STORED[key] = base
-    if catalog.table_location(spark, name) != catalog.normalized_location(base):
-        catalog.drop_table(spark, name)
-        catalog.ensure_table(spark, name, base)
-    return catalog.read_table(spark, name)
+    own = own_table(spark, name)
+    if catalog.table_location(spark, own) != qualified(spark, base):
+        catalog.ensure_table(spark, own, base)
+    return catalog.read_table(spark, own)
 
 
 @register("stream_ingest", writes=True)
@@ -351,18 +364,16 @@ def q_catalog_month_counts(spark, sf_dir):
     return reports.month_counts(stored_table(spark, sf_dir))
 
 
-# The dashboard's statistics query as SQL text over a source
-# (a view or a ``parquet.`path``` reference).
-STATISTICS_SQL = """
-SELECT COUNT(*) AS total_records,
-       AVG(global_active_power) AS avg_active_power,
-       MAX(global_active_power) AS max_active_power,
-       MIN(global_active_power) AS min_active_power,
-       AVG(voltage) AS avg_voltage,
-       AVG(global_intensity) AS avg_intensity,
-       SUM(sub_metering_1 + sub_metering_2 + sub_metering_3) AS total_sub_metering
-FROM {source}
-"""
+# What the statistics report holds (``reports.statistics``), as SQL text for
+# the pass-through query and for files.
+STATISTICS = (
+    ("total_records", "count(*)"),
+    *((f"{fn}_active_power", f"{fn}(global_active_power)") for fn in ("avg", "max", "min")),
+    ("avg_voltage", "avg(voltage)"),
+    ("avg_intensity", "avg(global_intensity)"),
+    ("total_sub_metering", "sum(" + " + ".join(METER.submeters) + ")"),
+)
+STATISTICS_SQL = "SELECT " + ", ".join(f"{expr} AS {name}" for name, expr in STATISTICS) + " FROM {source}"
 
 # A temporary view shadows a catalog table of the same name, so the view for
 # the pass-through query must not be called like the stored table.
@@ -565,11 +576,11 @@ def q_rollup_daily_features(spark, sf_dir):
 @register("stream_rollup", writes=True)
 def q_stream_rollup(spark, sf_dir):
     """Daily features from an hourly rollup kept up to date by a stream: the
-    messages arrive in four files, one micro-batch each, and the per-batch
-    partials are merged when read."""
+    messages arrive in batches of bounded size, and the per-batch partials
+    are merged when read."""
     base = shared_dir(spark, "rollup-stream")
     spool = spool_messages(spark, sf_dir)
-    parsed = src_messages.parse_json(src_messages.read_spool(spark, spool, max_files_per_trigger=1))
+    parsed = src_messages.parse_json(src_messages.read_spool(spark, spool, max_bytes_per_trigger=BATCH_BYTES))
     query = stream_rollup.start_rollup(clean.clean_stream(parsed), f"{base}/partials", f"{base}/checkpoint",
                                        trigger=AVAILABLE_NOW)
     query.awaitTermination()
@@ -605,8 +616,8 @@ def q_stream_landing(spark, sf_dir):
     without any repair."""
     base = shared_dir(spark, "landing")
     spool = spool_messages(spark, sf_dir)
-    parsed = src_messages.parse_json(src_messages.read_spool(spark, spool, max_files_per_trigger=1))
-    table = "energy_landing"
+    parsed = src_messages.parse_json(src_messages.read_spool(spark, spool, max_bytes_per_trigger=BATCH_BYTES))
+    table = own_table(spark, "energy_landing")
     catalog.drop_table(spark, table)
     query = landing.start_landing(spark, ingest.to_stored(parsed), f"{base}/data", f"{base}/checkpoint", table,
                                   trigger=AVAILABLE_NOW)
@@ -616,17 +627,21 @@ def q_stream_landing(spark, sf_dir):
 
 @register("stream_dedup", writes=True)
 def q_stream_dedup(spark, sf_dir):
-    """Every message published twice (a publisher that retried all sends);
-    repeats dropped within a one-day watermark (X7)."""
+    """Every message of every meter published twice (a publisher that retried
+    all sends), the copies in a later micro-batch; repeats dropped by message
+    id within a one-day watermark (X7)."""
     key = _input_key(spark, sf_dir)
     if key not in _TWICE:
         path = shared_dir(spark, "spool-twice")
-        msgs = sink_messages.to_messages(readings(spark, sf_dir))
+        rows = readings(spark, sf_dir, keep_meter=True).withColumnRenamed("event_id", "message_id")
+        msgs = sink_messages.to_messages(rows, carry=("message_id", "meter_id"))
         sink_messages.write_spool(msgs, path)
         sink_messages.write_spool(msgs, path, mode="append")
         _TWICE[key] = path
     base = shared_dir(spark, "dedup")
-    parsed = src_messages.parse_json(src_messages.read_spool(spark, _TWICE[key]))
+    half = total_bytes(spark, _TWICE[key]) // 2 + 1
+    carry = [T.StructField("message_id", T.LongType()), T.StructField("meter_id", T.LongType())]
+    parsed = src_messages.parse_json(src_messages.read_spool(spark, _TWICE[key], max_bytes_per_trigger=half), carry=carry)
     deduped = aggregates.drop_repeats(parsed.filter(parsed.datetime.isNotNull()), delay="1 day")
     query = ingest.start_parquet_sink(deduped, f"{base}/data", f"{base}/checkpoint", partition_by=(),
                                       trigger=AVAILABLE_NOW)

@@ -68,8 +68,13 @@ def _doubles(names) -> list[T.StructField]:
 # M1: raw text, every column read as text and converted afterwards.
 RAW = T.StructType([T.StructField(n, T.StringType(), True) for n in RAW_HEADER])
 
-# M2: JSON value of a wire message.
-WIRE = T.StructType([T.StructField("datetime", T.StringType(), True), *_doubles(METER.measures)])
+def wire_schema(meter: Meter = METER, carry=()) -> T.StructType:
+    """M2: JSON value of a wire message for a meter's measures, with the
+    fields ``carry`` after them."""
+    return T.StructType([T.StructField("datetime", T.StringType(), True), *_doubles(meter.measures), *carry])
+
+
+WIRE = wire_schema()
 
 # M4: legacy JSON value.
 WIRE_LEGACY = T.StructType(

@@ -7,36 +7,25 @@ lazy read has finished.
 
 from __future__ import annotations
 
-import os
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from meterlake.schema import PARTITION_COLUMNS
-
-
-def _norm(path: str) -> str:
-    p = path.rstrip("/")
-    if "://" not in p:
-        p = "file://" + os.path.abspath(p)
-    return p + "/"
-
-
-def input_paths(df: DataFrame) -> list[str]:
-    try:
-        return list(df.inputFiles())
-    except Exception:  # noqa: BLE001  (streaming or non-file sources)
-        return []
+from meterlake.paths import qualified, root_paths
+from meterlake.schema import METER, PARTITION_COLUMNS, Meter
 
 
 def guard_overlap(df: DataFrame, target: str) -> None:
-    """Refuse when the target equals, contains or lies inside an input path."""
-    t = _norm(target)
-    for f in input_paths(df):
-        src = _norm(f if "://" in f else f)
+    """Refuse when the target equals, contains or lies inside a directory or
+    file that the frame reads. Both are compared as Hadoop qualifies them;
+    the files below a root are not listed."""
+    spark = df.sparkSession
+    t = qualified(spark, target) + "/"
+    for root in root_paths(df):
+        src = qualified(spark, root) + "/"
         if src.startswith(t) or t.startswith(src):
-            raise ValueError(f"output {target!r} overlaps input {f!r}; write to a new directory")
+            raise ValueError(f"output {target!r} overlaps input {root!r}; write to a new directory")
 
 
 def write_parquet(
@@ -90,20 +79,23 @@ def compact(
     path: str,
     partition_by: Sequence[str] = ("year", "month"),
     rows_per_file: int = 5_000_000,
+    meter: Meter = METER,
 ) -> None:
     """Rewrite readings into a coarser layout in a *new* directory.
 
-    Rows are range-partitioned on the coarse partition columns plus the time
-    column, so files are sorted by time and sized by ``maxRecordsPerFile``.
+    Rows are range-partitioned on the coarse partition columns, the time
+    column and a hash of the row, so the readings that all meters took in one
+    minute can be split; files are sorted by time and sized by
+    ``maxRecordsPerFile``.
     Never run this in place under a streaming file sink: readers of that path
     trust its ``_spark_metadata`` log.
     """
     guard_overlap(df, path)
     fine = [c for c in PARTITION_COLUMNS if c not in partition_by]
     out = df.drop(*[c for c in fine if c in df.columns])
-    order = [*partition_by, "datetime"] if "datetime" in out.columns else list(partition_by)
+    order = [*partition_by, meter.time] if meter.time in out.columns else list(partition_by)
     (
-        out.repartitionByRange(*[F.col(c) for c in order])
+        out.repartitionByRange(*[F.col(c) for c in order], F.xxhash64(*out.columns))
         .sortWithinPartitions(*order)
         .write.mode("overwrite")
         .option("maxRecordsPerFile", str(rows_per_file))

@@ -7,6 +7,8 @@ sends its own partition, unlike a row loop on one machine.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -22,15 +24,16 @@ RESULT_JSON_OPTIONS = {
 }
 
 
-def message_value(meter: Meter = METER) -> Column:
-    """One reading → its wire JSON (M2): datetime text + the seven measures."""
+def message_value(meter: Meter = METER, carry: Sequence[str] = ()) -> Column:
+    """One reading → its wire JSON (M2): datetime text, the measures, and the
+    columns ``carry`` (a message id, a meter key)."""
     t = F.col(meter.time)
-    return F.to_json(F.struct(datetime_text(t).alias("datetime"), *[F.col(m) for m in meter.measures]))
+    return F.to_json(F.struct(datetime_text(t).alias("datetime"), *[F.col(m) for m in (*meter.measures, *carry)]))
 
 
-def to_messages(df: DataFrame, meter: Meter = METER) -> DataFrame:
+def to_messages(df: DataFrame, meter: Meter = METER, carry: Sequence[str] = ()) -> DataFrame:
     """Readings → ``value`` column of JSON messages (K4)."""
-    return df.select(message_value(meter).alias("value"))
+    return df.select(message_value(meter, carry).alias("value"))
 
 
 def legacy_message_value(meter: Meter = METER) -> Column:

@@ -6,11 +6,14 @@ everything else (parsing, the file-spool stream used in tests) works without.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from meterlake.functions.parse import binary_text, iso_datetime
-from meterlake.schema import METER, WIRE, WIRE_LEGACY, Meter
+from meterlake.schema import METER, WIRE_LEGACY, Meter, wire_schema
 from meterlake.settings import Settings
 
 MESSAGE_SCHEMA = "value string"
@@ -38,7 +41,9 @@ def read_kafka(spark: SparkSession, settings: Settings, **overrides: str) -> Dat
     return spark.readStream.format("kafka").options(**kafka_options(settings, **overrides)).load()
 
 
-def read_spool(spark: SparkSession, path: str, stream: bool = True, max_files_per_trigger: int | None = None) -> DataFrame:
+def read_spool(
+    spark: SparkSession, path: str, stream: bool = True, max_files_per_trigger: int | None = None, max_bytes_per_trigger: int | None = None
+) -> DataFrame:
     """Messages written one per line under ``path`` (a Kafka stand-in):
     ``value`` text, as a stream (default) or a batch frame."""
     if not stream:
@@ -46,17 +51,20 @@ def read_spool(spark: SparkSession, path: str, stream: bool = True, max_files_pe
     reader = spark.readStream.schema(MESSAGE_SCHEMA)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
+    if max_bytes_per_trigger:
+        reader = reader.option("maxBytesPerTrigger", str(max_bytes_per_trigger))
     return reader.text(path)
 
 
-def parse_json(df: DataFrame, column: str = "value", meter: Meter = METER) -> DataFrame:
-    """JSON message values → typed readings.
+def parse_json(df: DataFrame, column: str = "value", meter: Meter = METER, carry: Sequence[T.StructField] = ()) -> DataFrame:
+    """JSON message values → typed readings (P7-P9), with the fields
+    ``carry`` that a publisher added (a message id, a meter key).
 
     PERMISSIVE parsing: a malformed document gives all NULLs, a field of the
     wrong type gives NULL for that field only; the datetime text is converted
     with ``try_cast``. Batch or stream.
     """
-    data = F.from_json(binary_text(F.col(column)), WIRE)
+    data = F.from_json(binary_text(F.col(column)), wire_schema(meter, carry))
     out = df.select(data.alias("_m")).select("_m.*").withColumn("datetime", iso_datetime(F.col("datetime")))
     return out if meter.time == "datetime" else out.withColumnRenamed("datetime", meter.time)
 

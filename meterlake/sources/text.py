@@ -43,6 +43,15 @@ def read_raw_lines(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path)
 
 
+def write_raw(df: DataFrame, path: str, meter: Meter = METER) -> None:
+    """Readings as raw text files (M1) in the frame's own partitioning, each
+    file with the header line. The line is the only column, so the separator
+    of the writer is one that no line holds."""
+    lines = df.select(raw_line(meter).alias(RAW_SEPARATOR.join(RAW_HEADER)))
+    options = {"header": "true", "sep": "\u0001", "quote": "", "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+    lines.write.options(**options).csv(path)
+
+
 def is_data_line(line: Column) -> Column:
     """Not blank and not the header line."""
     text = F.trim(line)

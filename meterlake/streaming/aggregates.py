@@ -12,6 +12,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from meterlake.schema import METER, Meter
 
@@ -48,19 +49,29 @@ def hourly_windows(
 
 def drop_repeats(
     df: DataFrame,
-    delay: str = "10 minutes",
-    keys: Sequence[str] | None = None,
+    delay: str | None = None,
+    keys: Sequence[str] = ("message_id",),
     meter: Meter = METER,
 ) -> DataFrame:
     """Drop messages repeated by a retrying publisher.
 
-    Two copies of one message agree on every field, so the default key is the
-    time plus all measures (plus ``meter_id`` when present); a key of the time
-    alone would also drop distinct readings that share a minute. Works on
-    streams (state bounded by the watermark) and on batch frames.
+    ``keys`` must tell messages apart, so they name a message id (or a meter
+    key and the time); measures alone do not, as two meters may well read
+    alike. On a stream ``delay`` must be given: rows that arrive later than
+    that behind the newest time are dropped by Spark's watermark rule, and
+    ``late_rows`` tells how many.
     """
-    if keys is None:
-        keys = [*(["meter_id"] if "meter_id" in df.columns else []), meter.time, *meter.measures]
+    missing = [k for k in keys if k not in df.columns]
+    if missing or not keys:
+        raise ValueError(f"keys must name columns that tell messages apart; missing: {missing}")
     if df.isStreaming:
+        if not delay:
+            raise ValueError("a stream needs a delay: how late a copy may arrive")
         return df.withWatermark(meter.time, delay).dropDuplicatesWithinWatermark(list(keys))
     return df.dropDuplicates(list(keys))
+
+
+def late_rows(query: StreamingQuery) -> int:
+    """Rows that a query's watermark has dropped, over the batches whose
+    progress it still reports."""
+    return sum(int(s.get("numRowsDroppedByWatermark", 0)) for p in query.recentProgress for s in p["stateOperators"])

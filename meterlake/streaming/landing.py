@@ -4,8 +4,8 @@
 at-least-once. Here every micro-batch overwrites its own ``batch_id=<n>``
 directory, so a replayed batch replaces its first attempt instead of adding
 to it, and the batch's partitions are added to the catalog table right after
-the write. Collecting the batch's *distinct partition values* is the one
-driver-side step: a handful of hours per batch, never the readings.
+the write. They are read from the directories just written, so the batch is
+computed once and never kept.
 """
 
 from __future__ import annotations
@@ -38,15 +38,22 @@ def land_batch(
 ) -> int:
     """Write one batch idempotently and register its partitions."""
     target = os.path.join(path, f"{BATCH_COLUMN}={batch_id}")
-    batch.persist()  # written and scanned for its partitions: compute once
-    try:
-        batch.write.mode("overwrite").partitionBy(*partition_by).parquet(target)
-        parts = [r.asDict() for r in batch.select(*partition_by).distinct().collect()]
-    finally:
-        batch.unpersist()
+    # a few files for each partition, and a hot one split, whatever the number of tasks
+    batch.hint("rebalance", *partition_by).write.mode("overwrite").partitionBy(*partition_by).parquet(target)
+    parts = written_partitions(spark, target, partition_by)
     return catalog.add_partitions(spark, table, [{BATCH_COLUMN: batch_id, **p} for p in parts])
 
 
+def written_partitions(spark: SparkSession, target: str, partition_by: Sequence[str]) -> list[dict[str, str]]:
+    """Partition values of the directories below ``target``: a listing of
+    names, one level for each partition column."""
+    sc = spark.sparkContext
+    top = sc._jvm.org.apache.hadoop.fs.Path(os.path.join(target, *["*=*"] * len(partition_by)))
+    found = top.getFileSystem(sc._jsc.hadoopConfiguration()).globStatus(top) or []
+    paths = [f.getPath().toString() for f in found]
+    return [dict(part.split("=", 1) for part in p.split("/")[-len(partition_by):]) for p in paths]
+
+
 def start_landing(
     spark: SparkSession,
     stored: DataFrame,

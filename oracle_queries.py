@@ -55,7 +55,7 @@ readings AS (
 )"""
 
 _NOT_MISSING = " AND ".join(
-    ["event_id IS NOT NULL", "datetime IS NOT NULL"]
+    ["datetime IS NOT NULL"]
     + [f"{m} IS NOT NULL AND NOT isnan({m})" for m in MEASURES]
 )
 
@@ -91,6 +91,11 @@ SELECT event_id, datetime, {rounded_measures()} FROM readings"""
 SQL["clean_stream"] = f"""{BASE}
 SELECT {CLEAN_COLUMNS} FROM clean"""
 
+# NULLs in columns that are neither the time nor a measure drop nothing
+SQL["clean_stream_extras"] = f"""{BASE}
+SELECT {CLEAN_COLUMNS}, CAST(NULL AS VARCHAR) AS note,
+  CASE WHEN event_id % 3 = 0 THEN NULL ELSE meter_id END AS meter_id FROM clean"""
+
 SQL["clean_batch"] = f"""{BASE}
 SELECT event_id, datetime, {rounded_measures()} FROM readings
 WHERE global_active_power IS NOT NULL AND NOT isnan(global_active_power)
@@ -486,7 +491,8 @@ SQL["compacted_month_counts"] = SQL["month_counts"]
 SQL["stream_landing"] = SQL["stream_ingest"]
 
 SQL["stream_dedup"] = f"""{BASE}
-SELECT DISTINCT datetime, {rounded_measures()} FROM readings WHERE datetime IS NOT NULL"""
+SELECT event_id AS message_id, meter_id, datetime, {rounded_measures()}
+FROM readings WHERE datetime IS NOT NULL"""
 
 
 SQL["quality_by_meter"] = f"""{BASE}

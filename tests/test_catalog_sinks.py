@@ -56,6 +56,41 @@ def test_ensure_table_recreates_unpartitioned_table(spark, stored, tmp_path):
     catalog.drop_table(spark, "flat_tbl")
 
 
+def test_managed_tables_are_never_dropped(spark, tmp_path):
+    spark.range(3).write.mode("overwrite").saveAsTable("own_tbl")
+    with pytest.raises(ValueError):
+        catalog.ensure_table(spark, "own_tbl", str(tmp_path / "t"))
+    with pytest.raises(ValueError):
+        catalog.drop_table(spark, "own_tbl")
+    assert spark.table("own_tbl").count() == 3
+    spark.sql("DROP TABLE own_tbl")
+
+
+def test_ensure_table_follows_the_location(spark, stored, tmp_path):
+    one, two = str(tmp_path / "it's one"), str(tmp_path / "two")
+    files.write_parquet(stored, one, partition_by=("year", "month", "day", "hour"))
+    files.write_parquet(stored.limit(5), two, partition_by=("year", "month", "day", "hour"))
+    assert catalog.ensure_table(spark, "moved_tbl", one) is True
+    assert spark.table("moved_tbl").count() == stored.count()
+    with pytest.raises(ValueError):
+        catalog.create_table(spark, "moved_tbl", two)
+    assert catalog.ensure_table(spark, "moved_tbl", two) is True
+    assert spark.table("moved_tbl").count() == 5
+    assert catalog.ensure_table(spark, "moved_tbl", "file:" + two) is False
+    catalog.drop_table(spark, "moved_tbl")
+    with pytest.raises(ValueError):
+        catalog.add_partitions(spark, "moved_tbl", [{"year": None}])
+
+
+@pytest.mark.parametrize("form", ["{}", "file:{}", "file://{}", "{}/", "{}/below"])
+def test_overlap_in_every_spelling(spark, stored, tmp_path, form):
+    path = str(tmp_path / "t")
+    files.write_parquet(stored, path)
+    with pytest.raises(ValueError):
+        files.write_parquet(spark.read.parquet(path).filter("voltage > 1"), form.format(path))
+    files.write_parquet(spark.read.parquet(path), path + "-beside")
+
+
 def test_add_partitions(spark, stored, tmp_path):
     path = str(tmp_path / "t")
     files.write_parquet(stored, path, partition_by=("year", "month", "day", "hour"))

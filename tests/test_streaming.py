@@ -5,10 +5,13 @@ from __future__ import annotations
 
 import os
 
+import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from meterlake.operators import clean
 from meterlake.plans import catalog
+from meterlake.schema import METER, Meter
 from meterlake.sinks.messages import to_messages, write_spool
 from meterlake.sources import messages
 from meterlake.sources.readings import readings
@@ -97,21 +100,45 @@ def test_hourly_windows_emit_only_closed_windows(spark, tmp_path):
 
 def test_drop_repeats_in_stream(spark, tmp_path):
     spool, ck = str(tmp_path / "spool"), str(tmp_path / "ck")
-    msgs = to_messages(readings(spark, SF_SMALL).na.drop())
+    rows = readings(spark, SF_SMALL).na.drop().withColumnRenamed("event_id", "message_id")
+    msgs = to_messages(rows, carry=("message_id",))
+    carry = [T.StructField("message_id", T.LongType())]
     write_spool(msgs, spool)
     write_spool(msgs.limit(50), spool, mode="append")  # a publisher retried 50 sends
-    parsed = messages.parse_json(messages.read_spool(spark, spool))
+    # one file a batch: the copies come in another batch than the originals
+    parsed = messages.parse_json(messages.read_spool(spark, spool, max_files_per_trigger=1), carry=carry)
     deduped = aggregates.drop_repeats(parsed, delay="1 day")
     q = ingest.start_memory_sink(deduped, "dedup_out", trigger=NOW)
     q.awaitTermination()
     got = spark.table("dedup_out")
-    expected = messages.parse_json(messages.read_spool(spark, spool, stream=False)).distinct()
+    assert aggregates.late_rows(q) >= 0 and q.lastProgress["batchId"] >= 1
+    expected = messages.parse_json(messages.read_spool(spark, spool, stream=False), carry=carry).distinct()
     assert got.count() == expected.count() == msgs.distinct().count()
 
 
 def test_drop_repeats_keeps_distinct_readings_in_same_minute(spark):
     df = readings(spark, SF_SMALL).na.drop()
-    assert aggregates.drop_repeats(df).count() == df.distinct().count() == df.count()
+    twice = df.union(df)
+    assert aggregates.drop_repeats(twice, keys=("event_id",)).count() == df.distinct().count() == df.count()
+
+
+def test_drop_repeats_keeps_equal_readings_of_two_meters(spark):
+    df = readings(spark, SF_SMALL).na.drop().drop("event_id")
+    both = df.selectExpr("*", "1 AS meter_id").union(df.selectExpr("*", "2 AS meter_id"))
+    keys = ("meter_id", "datetime", *METER.measures)
+    assert aggregates.drop_repeats(both, keys=keys).count() == 2 * df.distinct().count()
+    with pytest.raises(ValueError):
+        aggregates.drop_repeats(both)
+    with pytest.raises(ValueError):
+        aggregates.drop_repeats(both, keys=())
+
+
+def test_messages_of_another_meter_layout_carry_their_key(spark):
+    meter = Meter(active="kw", submeters=("kitchen",))
+    rows = spark.createDataFrame([(7, 1.5, 0.1, 230.0, 4.0, 2.0)], "meter_id long, kw double, global_reactive_power double, voltage double, global_intensity double, kitchen double")
+    rows = rows.selectExpr("timestamp'2024-01-01 00:05:00' AS datetime", "*")
+    back = messages.parse_json(to_messages(rows, meter, carry=("meter_id",)), meter=meter, carry=[T.StructField("meter_id", T.LongType())])
+    assert back.select(rows.columns).collect() == rows.collect()
 
 
 def test_landing_is_replay_safe_and_registers_partitions(spark, tmp_path):
