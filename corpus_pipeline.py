@@ -38,11 +38,15 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     """One document of each group linked at 80 percent of its 5-word
     shingles: the one with the smallest key; of rows with one key, one."""
     ship(spark)
-    dropped = near_dedup.near_duplicates(docs, percent=80, size=5).where(~F.col("kept")).select("doc_id").distinct()
-    kept = docs.join(dropped, "doc_id", "left_anti")
-    several = docs.where("doc_id is not null").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("doc_id")
-    once = kept.join(several, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return kept.join(several, "doc_id", "left_anti").union(once).select(*docs.columns)
+    found = near_dedup.near_duplicates(docs, percent=80, size=5).checkpoint()
+    dropped = found.where(~F.col("kept")).select(F.col("doc_id").alias("key")).distinct()
+    several = found.where("doc_id is not null").groupBy(F.col("doc_id").alias("key")).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key")
+    # most rows are in neither list and stay where they are; the joins see the rest
+    concerned = F.coalesce(near_dedup.key_filter(dropped.union(several))(F.col("doc_id")), F.lit(False))
+    rest = docs.where(concerned & F.col("doc_id").isNotNull()).withColumn("key", F.col("doc_id"))
+    rest = rest.join(dropped, "key", "left_anti").dropDuplicates(["key"])
+    clear = docs.where(~concerned | F.col("doc_id").isNull())
+    return clear.select(*docs.columns).union(rest.select(*docs.columns))
 
 
 def drop_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -46,13 +46,13 @@ def _draws(term: np.ndarray, weight: np.ndarray, samples: int) -> np.ndarray:
     for at in range(0, len(term), _PAIRS_AT_ONCE):
         t, w = term[at : at + _PAIRS_AT_ONCE, None], weight[at : at + _PAIRS_AT_ONCE, None]
         x, y = mix(t * _MUL[0, :samples]), mix(t * _MUL[1, :samples])
-        u = lambda bits, n: (bits.astype(np.float64) + 0.5) / 2.0**n
+        u = lambda bits, n: (bits.astype(np.float32) + np.float32(0.5)) * np.float32(2.0**-n)
         low = lambda bits, n: bits & np.uint64((1 << n) - 1)
-        r = -np.log(u(x >> np.uint64(32), 32) * u(low(x, 32), 32))
-        c = -np.log(u(y >> np.uint64(43), 21) * u(low(y >> np.uint64(22), 21), 21))
+        r = np.maximum(-np.log(u(x >> np.uint64(32), 32) * u(low(x, 32), 32)), np.float32(1e-6))
+        c = np.maximum(-np.log(u(y >> np.uint64(43), 21) * u(low(y >> np.uint64(22), 21), 21)), np.float32(1e-6))
         beta = u(low(y, 22), 22)
         quantum = np.floor(np.log(w) / r + beta)
-        arrival = (np.log(c) - r * (quantum - beta) - r).astype(np.float32).view(np.int32)
+        arrival = (np.log(c) - r * (quantum - beta) - r).view(np.int32)
         # order of floats as order of unsigned integers
         sortable = np.where(arrival < 0, ~arrival, arrival | np.int32(-(2**31))).view(np.uint32).astype(np.uint64)
         name = mix(t ^ (quantum.astype(np.int64).view(np.uint64) * _MUL[1, :1])) >> np.uint64(48)
@@ -76,7 +76,7 @@ def fingerprints(texts: pa.Array, samples: int = SAMPLES) -> tuple[np.ndarray, n
     weight = np.diff(np.append(begin, len(doc)))
     doc, term = doc[begin], term[begin]
     _, first, inverse = np.unique(mix(term + weight.astype(np.uint64)), return_index=True, return_inverse=True)
-    drawn = _draws(term[first], weight[first].astype(np.float64), samples)
+    drawn = _draws(term[first], weight[first].astype(np.float32), samples)
     starts = np.flatnonzero(np.diff(np.concatenate([[-1], doc])))
     stops = np.append(starts[1:], len(doc))
     row = np.flatnonzero(some)

@@ -28,9 +28,12 @@ with nothing, have no component, and are kept.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
+import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -234,6 +237,25 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.mapInArrow(run, "a_rep bigint, b_rep bigint").withColumnsRenamed({"a_rep": "a", "b_rep": "b"})
 
 
+def key_filter(keys: DataFrame, bits: int = 1 << 23) -> Callable[[Column], Column]:
+    """A test that is true for every key of ``keys`` (a column ``key``) and
+    false for most others, as a bitmap of ``bits`` hash slots, whatever their
+    number: rows that fail it need no join. With very many keys it passes
+    all, and the join behind it decides alone, as it always does."""
+    slot = lambda key: F.pmod(F.xxhash64(key), F.lit(bits)).cast("int")
+    taken = keys.select(slot(F.col("key")).alias("slot")).distinct().toArrow().column("slot").to_numpy()
+    bitmap = np.zeros(bits, bool)
+    bitmap[taken] = True
+    held = keys.sparkSession.sparkContext.broadcast(np.packbits(bitmap))  # bits / 8 bytes
+
+    @F.pandas_udf("boolean")
+    def known(slots: pd.Series) -> pd.Series:
+        at = slots.to_numpy()
+        return pd.Series((held.value[at >> 3] >> (7 - (at & 7)) & 1).astype(bool))
+
+    return lambda key: known(slot(key))
+
+
 def near_duplicates(docs: DataFrame, *, percent: int = 80, size: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row for each row of ``docs``: the key, ``n_shingles``,
     ``component_id`` (the smallest key reachable over links of ``percent``
@@ -251,7 +273,8 @@ def near_duplicates(docs: DataFrame, *, percent: int = 80, size: int = 5, id_col
     shared = banded.join(full, "bucket").checkpoint()
 
     wanted = own.select("hi", "lo", "key").join(shared.select("hi").distinct(), "hi", "left_semi")
-    texts = rows.join(wanted.select("key").distinct(), "key", "left_semi")
+    needed = wanted.select("key").distinct()
+    texts = rows.where(key_filter(needed)(F.col("key"))).join(needed, "key", "left_semi")
     sets = _sets_of(texts, size, full=True).join(wanted, ["key", "hi", "lo"], "left_semi").dropDuplicates(["hi"]).select("hi", F.col("key").alias("rep"), "sig", "members").checkpoint()
 
     parts = F.ceil(F.col("in_bucket") / BLOCK).cast("int")
