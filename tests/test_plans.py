@@ -5,6 +5,7 @@ from __future__ import annotations
 import pytest
 
 import __spark_entry__ as entry
+from meterlake.plans.queries import REGISTRY
 from meterlake.operators import insights, reports
 from meterlake.plans.joins import bounded_broadcast
 from meterlake.plans.queries import WRITES_ON_CALL
@@ -59,7 +60,7 @@ def stored_path(spark, tmp_path_factory):
     return path
 
 
-@pytest.mark.parametrize("name", sorted(set(entry.queries()) - EAGER))
+@pytest.mark.parametrize("name", sorted(set(REGISTRY) - EAGER))
 def test_no_python_in_plan(spark, name):
     p = plan(entry.queries()[name](spark, SF_SMALL))
     assert not any(node in p for node in PYTHON_NODES), name
