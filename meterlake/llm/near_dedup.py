@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from meterlake.llm.components import components
-from meterlake.llm.words import SPACED, mix, pieces, words_of
+from meterlake.llm.words import SPACED, mix, pieces, tidy_batches, words_of
 from meterlake.session import checkpoint_root
 
 BANDS, ROWS, BLOCK = 32, 5, 2048
@@ -103,6 +103,7 @@ def _sets_of(docs: DataFrame, size: int, *, full: bool) -> DataFrame:
     all of its shingles."""
     extra = "sig binary, members binary" if full else "bands array<bigint>"
 
+    @tidy_batches
     def run(batches):
         for batch in batches:
             for part in pieces(batch, "text"):
@@ -206,6 +207,7 @@ def _in_buckets(rows: DataFrame, percent: int, want: str) -> DataFrame:
         a, b = np.where(swap, y, x), np.where(swap, x, y)
         yield pa.RecordBatch.from_arrays([pa.array(col(n)[i]) for i in (a, b) for n, _ in _NODE], names=_PAIR.names)
 
+    @tidy_batches
     def run(batches):
         held: pa.Table | None = None
         for batch in batches:
@@ -228,6 +230,7 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     side = lambda s: sets.select(F.col("hi").alias(f"{s}_hi"), F.col("members").alias(f"{s}_set"))
     both = pairs.join(side("a"), "a_hi").join(side("b"), "b_hi").select("a_rep", "b_rep", "a_set", "b_set")
 
+    @tidy_batches
     def run(batches):
         for batch in batches:
             views = [[np.frombuffer(v.as_buffer(), np.uint64) for v in batch.column(c)] for c in ("a_set", "b_set")]

@@ -30,6 +30,7 @@ from pyspark.sql import Window
 
 from meterlake.llm.encode import encoder
 from meterlake.llm.words import pieces as slices
+from meterlake.llm.words import tidy_batches
 from meterlake.session import checkpoint_root
 
 _PIECE = [("piece", T.IntegerType()), ("start", T.LongType()), ("length", T.LongType()), ("ids_crc32", T.LongType())]
@@ -131,6 +132,7 @@ def cut(docs: DataFrame, *, tokenizer: str, end_id: int, capacity: int, id_col:
     fields = [T.StructField(id_col, docs.schema[id_col].dataType), *(T.StructField(n, t) for n, t in _PIECE)]
     fields += [T.StructField("ids", T.ArrayType(T.IntegerType()))] * ids
 
+    @tidy_batches
     def run(batches):
         enc = encoder(tokenizer)
         for batch in batches:
@@ -174,6 +176,7 @@ def pack(pieces: DataFrame, *, capacity: int, key_cols: list[str], length_col: s
     kept = [c for c in numbered.columns if c != "__number"]
     schema = T.StructType([*(numbered.schema[c] for c in kept), T.StructField("sequence_id", T.LongType()), T.StructField("offset", T.LongType())])
 
+    @tidy_batches
     def run(batches):
         table = held.value
         wide = int(table[:, 2].max(initial=0)) + 1

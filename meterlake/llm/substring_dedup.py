@@ -38,7 +38,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
 from meterlake.llm.fm_index import FMIndex
-from meterlake.llm.words import SPACED, Words, mix, pieces, ragged, words_of
+from meterlake.llm.words import SPACED, Words, mix, pieces, ragged, tidy, words_of
 
 GRAM = 5
 _LAST = np.iinfo(np.int64).max
@@ -200,6 +200,7 @@ def substring_dedup(
     by_block = rows.groupBy("block")
     batch = pa.RecordBatch.from_pydict
 
+    @tidy
     def report(table: pa.Table) -> pa.Table:
         b = _Block(table, window, gram)
         names, counts = np.unique(b.min, return_counts=True)
@@ -211,6 +212,7 @@ def substring_dedup(
             "counts": pa.array([np.minimum(counts[edges[s] : edges[s + 1]], 255).astype(np.uint8).tobytes() for s in some], pa.binary()),
         })
 
+    @tidy
     def count(table: pa.Table) -> pa.Table:
         raw = [np.frombuffer(x.as_buffer(), np.uint64) for x in table["names"]]
         names, inverse = np.unique(np.concatenate(raw), return_inverse=True)
@@ -219,6 +221,7 @@ def substring_dedup(
         cuts = np.cumsum([len(x) for x in raw])[:-1]
         return pa.table({"block": table["block"].combine_chunks(), "shard": table["shard"].combine_chunks(), "state": pa.array([x.tobytes() for x in np.split(state, cuts)], pa.binary())})
 
+    @tidy
     def send(left: pa.Table, right: pa.Table) -> pa.Table:
         out: dict[str, list] = {n: [] for n in ("shard", "block", "single", "lens", "keys", "places", "names", "words")}
         if left.num_rows and right.num_rows:
@@ -247,6 +250,7 @@ def substring_dedup(
         kinds = (pa.int64(), pa.int64(), pa.int32(), *(pa.binary(),) * 5)
         return pa.table({n: pa.array(v, k) for (n, v), k in zip(out.items(), kinds)})
 
+    @tidy
     def search(table: pa.Table) -> pa.Table:
         part = lambda n, t: np.concatenate([np.frombuffer(x.as_buffer(), t) for x in table[n]])
         lens = part("lens", "<u4").astype(np.int64)
@@ -259,6 +263,7 @@ def substring_dedup(
             "earlier": pa.array([np.packbits(x).tobytes() for x in np.split(flags, np.cumsum(of_row)[:-1])], pa.binary()),
         })
 
+    @tidy
     def remove(left: pa.Table, right: pa.Table) -> pa.Table:
         kept: list[str] = []
         if not left.num_rows:

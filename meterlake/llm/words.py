@@ -13,6 +13,8 @@ probability about 2^-64 for a pair.
 
 from __future__ import annotations
 
+import ctypes
+import inspect
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
@@ -138,6 +140,48 @@ def ragged(starts: np.ndarray, lens: np.ndarray) -> np.ndarray:
     return np.arange(total, dtype=np.int64) + np.repeat(starts - at, lens)
 
 
+def give_back() -> None:
+    """Return freed memory to the system. Spark keeps its Python workers
+    between tasks, and what they hold free counts against the executor."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except AttributeError:  # another C library than glibc
+        pass
+
+
+def tidy(fn: Callable) -> Callable:
+    """A function of one group or of two cogroups, for ``applyInArrow``, that
+    gives back its memory after each."""
+
+    def one(table):
+        try:
+            return fn(table)
+        finally:
+            give_back()
+
+    def two(left, right):
+        try:
+            return fn(left, right)
+        finally:
+            give_back()
+
+    return one if len(inspect.signature(fn).parameters) == 1 else two
+
+
+def tidy_batches(run: Callable) -> Callable:
+    """A function of batches, for ``mapInArrow``, that gives back its memory
+    when the task ends."""
+
+    def whole(batches):
+        try:
+            yield from run(batches)
+        finally:
+            give_back()
+
+    return whole
+
+
 def add_columns(
     df: DataFrame, text_col: str, fields: list[T.StructField], fn: Callable[[pa.RecordBatch], dict[str, pa.Array]], keep: list[str] | None = None
 ) -> DataFrame:
@@ -148,6 +192,7 @@ def add_columns(
     schema = T.StructType([df.schema[c] for c in kept] + fields)
     source = df.select(*dict.fromkeys([*(f"`{c}`" for c in kept), f"`{text_col}`"]))
 
+    @tidy_batches
     def run(batches):
         for batch in batches:
             for piece in pieces(batch, text_col):
