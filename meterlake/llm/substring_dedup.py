@@ -195,7 +195,8 @@ def substring_dedup(
     blocks = int(size // block_bytes) + 1
     shards = 1 << (4 * blocks - 1).bit_length()  # an index takes more memory than the words it holds
     block = F.pmod(F.xxhash64(F.coalesce(F.col("key"), F.xxhash64("text"))), F.lit(blocks))
-    rest = F.struct(*(F.col(f"`{c}`") for c in keep)) if keep else F.lit(0)
+    others = [c for c in keep if c != text_col]  # the text itself travels once
+    rest = F.struct(*(F.col(f"`{c}`") for c in others)) if others else F.lit(0)
     rows = docs.select(F.col(id_col).cast("long").alias("key"), F.col(text_col).alias("text"), rest.alias("rest")).withColumn("block", block)
     by_block = rows.groupBy("block")
     batch = pa.RecordBatch.from_pydict
@@ -265,7 +266,7 @@ def substring_dedup(
 
     @tidy
     def remove(left: pa.Table, right: pa.Table) -> pa.Table:
-        kept: list[str] = []
+        kept: list[pa.Array] = []
         if not left.num_rows:
             return empty
         b = _Block(left, window, gram)
@@ -305,19 +306,24 @@ def substring_dedup(
                 w = words_of(part.column("text"), SPACED, lower=False)
                 raw, stay = w.data.tobytes(), ~gone[base : base + len(w.hash)]
                 a, z = w.start.tolist(), w.end.tolist()
+                texts: list[bytes] = []
                 for i in range(part.num_rows):
                     x, y = int(w.first[i]), int(w.first[i + 1])
                     own = np.flatnonzero(stay[x:y]) + x
-                    kept.append(b" ".join([raw[a[j] : z[j]] for j in own.tolist()]).decode("utf-8"))
+                    texts.append(b" ".join([raw[a[j] : z[j]] for j in own.tolist()]))
+                kept.append(pa.array(texts, pa.binary()).cast(pa.string()))
                 base += len(w.hash)
-        return pa.table({"key": b.table["key"].combine_chunks(), "n_words": pa.array(b.n_words), "n_removed": pa.array(removed), "kept_text": pa.array(kept, pa.string()), "rest": b.table["rest"].combine_chunks()})
+        cols = {"key": b.table["key"], "n_words": pa.array(b.n_words), "n_removed": pa.array(removed), "kept_text": pa.chunked_array(kept, pa.string()), "rest": b.table["rest"]}
+        return pa.table(cols | ({"text": b.table["text"]} if text_col in keep else {}))
 
     names = by_block.applyInArrow(report, "shard long, block long, names binary, counts binary")
     states = names.groupBy("shard").applyInArrow(count, "block long, shard long, state binary")
     sent = by_block.cogroup(states.groupBy("block")).applyInArrow(send, "shard long, block long, single int, lens binary, keys binary, places binary, names binary, words binary")
     found = sent.groupBy("shard").applyInArrow(search, "block long, single int, lens binary, names binary, earlier binary")
     result = StructType.fromDDL("key long, n_words long, n_removed long, kept_text string").add(rows.schema["rest"])
+    if text_col in keep:
+        result = result.add("text", rows.schema["text"].dataType)
     empty = to_arrow_schema(result).empty_table()
     done = by_block.cogroup(found.groupBy("block")).applyInArrow(remove, result)
     own = [F.col("key").alias(id_col), "n_words", "n_removed", "kept_text"]
-    return done.select(*own, *(F.col("rest")[c].alias(c) for c in keep))
+    return done.select(*own, *((F.col("text") if c == text_col else F.col("rest")[c]).alias(c) for c in keep))
