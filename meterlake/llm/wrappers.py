@@ -45,7 +45,12 @@ _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<![^>]*>|<\?[^>]*>|<(/?)([a-zA-Z][a-zA-Z
 _NAMED = re.compile(r"(class|id|role|itemprop)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 # Elements by how HTML treats them.
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-_RAW = frozenset("script style noscript template textarea title iframe svg math object canvas audio video select button".split())
+# Left out: elements whose content is no markup, and ones with elements inside.
+_RAW = frozenset("script style textarea title iframe".split())
+_HIDDEN = frozenset("noscript template svg math object canvas audio video select button".split())
+_NESTED = frozenset("template svg math object".split())  # may hold their like
+_END = {t: re.compile(rf"</{t}(?=[\s/>])", re.I) for t in _RAW | _NESTED}
+_NEXT = {t: re.compile(rf"<(/?){t}(?=[\s/>])", re.I) for t in _HIDDEN - _NESTED}
 _BLOCK = frozenset(
     "address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 head header hgroup hr "
     "html legend li main menu nav ol option p pre section summary table tbody td tfoot th thead tr ul".split()
@@ -53,7 +58,7 @@ _BLOCK = frozenset(
 _ENDS = {"p": {"p"}, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 _NO_P = frozenset(_BLOCK - {"body", "html", "head"})
 _HOLDS = frozenset("table ul ol dl div article section main body blockquote td th aside nav header footer form".split())
-_OUT = frozenset("nav header footer aside form menu dialog head".split()) | _RAW
+_OUT = frozenset("nav header footer aside form menu dialog head".split())
 _OUT_NAMES = re.compile(
     r"(?:^|[\s_-])(?:nav|navbar|navigation|menu|menus|header|masthead|footer|sidebar|side|aside|ad|ads|advert|adverts|advertisement|banner|promo|sponsor|sponsored|cookie|cookies|"
     r"consent|gdpr|notice|notices|popup|modal|overlay|alert|comment|comments|commentlist|reply|replies|respond|discussion|disqus|share|sharing|social|related|recommended|breadcrumb|"
@@ -89,56 +94,80 @@ class Node:
 
 def events(html: str) -> Iterator[tuple[str, str, str]]:
     """``("open", tag, name)``, ``("close", tag, "")`` and ``("text", text, "")``
-    of a page, with implied ends; the content of raw elements is left out."""
+    of a page, with implied ends; raw and hidden elements are left out. Raw
+    ones (scripts) end at their end tag, whatever stands before it. Hidden
+    ones (buttons, drawings) end with their parent at the latest, and one
+    that the page does not close at the next block."""
     stack: list[str] = []
-    at, raw = 0, ""
-    for m in _TOKEN.finditer(html):
-        if m.start() > at and not raw:
+    at, hidden, closed = 0, -1, True  # place in the stack of the outermost hidden element, and whether it has an end
+    ends: dict[str, tuple[int, bool]] = {}
+
+    def has_end(tag: str) -> bool:
+        """Whether an element opened before ``at`` has its own end tag."""
+        if tag not in ends or ends[tag][0] < at:
+            m = (_END if tag in _NESTED else _NEXT)[tag].search(html, at)
+            ends[tag] = (m.start(), tag in _NESTED or m[1] == "/") if m else (len(html), False)
+        return ends[tag][1]
+
+    def shut(to: int) -> Iterator[tuple[str, str, str]]:
+        """Close all elements from place ``to`` on."""
+        nonlocal hidden
+        while len(stack) > to:
+            last = stack.pop()
+            if hidden < 0:
+                yield "close", last, ""
+            elif len(stack) == hidden:
+                hidden = -1
+
+    while m := _TOKEN.search(html, at):
+        if m.start() > at and hidden < 0:
             yield "text", html[at : m.start()], ""
         at = m.end()
         tag = (m[2] or "").lower()
-        if raw:
-            if m[1] and tag == raw:
-                raw = ""
-            continue
         if not tag:
             continue
         if m[1]:
             if tag in stack:
-                while True:
-                    last = stack.pop()
-                    yield "close", last, ""
-                    if last == tag:
-                        break
+                yield from shut(len(stack) - 1 - stack[::-1].index(tag))
             continue
-        if tag in _NO_P and "p" in stack and "p" not in _HOLDS:
-            yield from _close_to(stack, {"p"}, _HOLDS)
+        if hidden >= 0 and tag in _BLOCK and (not closed or (stack[hidden] in ("svg", "math") and "foreignobject" not in stack[hidden:])):
+            yield from shut(hidden)
+        if tag in _NO_P and "p" in stack:
+            yield from shut(_place(stack, {"p"}, _HOLDS | _HIDDEN))
         if tag in _ENDS:
-            yield from _close_to(stack, _ENDS[tag], _HOLDS - {"tr"} if tag in ("td", "th", "tr") else _HOLDS)
+            yield from shut(_place(stack, _ENDS[tag], (_HOLDS - {"tr"} if tag in ("td", "th", "tr") else _HOLDS) | _HIDDEN))
+        empty = tag in _VOID or m[3].endswith("/")
         if tag in _RAW:
-            raw = "" if m[3].endswith("/") else tag
+            if not empty:
+                end = _END[tag].search(html, at)
+                at = end.start() if end else len(html)
+            continue
+        if hidden >= 0 or tag in _HIDDEN:
+            if not empty:
+                if hidden < 0:
+                    hidden, closed = len(stack), has_end(tag)
+                stack.append(tag)
             continue
         found = sorted((k.lower(), " ".join((a or b or c).split())) for k, a, b, c in _NAMED.findall(m[3])) if m[3] else ()
         yield "open", tag, " ".join([tag, *(v for _, v in found)])
-        if tag in _VOID or m[3].endswith("/"):
+        if empty:
             yield "close", tag, ""
         else:
             stack.append(tag)
-    if not raw and at < len(html):
+    if hidden < 0 and at < len(html):
         yield "text", html[at:], ""
-    while stack:
-        yield "close", stack.pop(), ""
+    yield from shut(0)
 
 
-def _close_to(stack: list[str], ends: set[str], holds: frozenset[str]) -> Iterator[tuple[str, str, str]]:
-    """Close an open element of ``ends`` that no holder stands above."""
+def _place(stack: list[str], ends: set[str], holds: frozenset[str]) -> int:
+    """Place of the open element of ``ends`` that no holder stands above, or
+    the length of the stack."""
     for i in range(len(stack) - 1, -1, -1):
         if stack[i] in ends:
-            while len(stack) > i:
-                yield "close", stack.pop(), ""
-            return
+            return i
         if stack[i] in holds:
-            return
+            break
+    return len(stack)
 
 
 def wrapper_of(html: str) -> Node:

@@ -35,6 +35,21 @@ def test_one_page(body, want):
     assert w.main_text(page, w.region(w.wrapper_of(page))) == "\n\n".join(want)
 
 
+@pytest.mark.parametrize(
+    "before",
+    [
+        "<script>for(i=0;i<n;i++){t(i);}</script>", "<SCRIPT>var a='<!--';</Script >", "<script>if(a<b&&c>d){e='<p>\\'';}</script>", "<style>a:before{content:'<!--'}</style>",
+        "<div><button>Send</div>", "<div><video src=x></div>", "<video src=x>", "<svg><path d=x>", "<p><noscript>off", "<div><button>A<button>B</button></div>", "<textarea><n;></textarea>",
+        "<button><div>Share</div></button>", "<svg><title>t</title><g><text>z</text></g></svg>",
+    ],
+)
+def test_article_after_scripts_and_unclosed_elements(before):
+    page = f"<html><body>{before}<article><p>One<p>Two</article><script>x</script></body></html>"
+    assert w.main_text(page, None) == "One\n\nTwo"
+    page = f"<html><body><article><h1>Zero</h1>{before}<p>One<p>Two</article></body></html>"
+    assert w.main_text(page, None) == "Zero\n\nOne\n\nTwo"
+
+
 def test_alignment_makes_options_and_groups():
     whole = None
     for body in ("<p>a</p><p>b</p>", "<h2>s</h2><p>c</p>", "<p>d</p><h2>t</h2><p>e</p><h2>u</h2>"):
