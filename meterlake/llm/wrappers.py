@@ -7,23 +7,29 @@ an element that only one side has becomes optional; equal neighbours become
 a repeated group; elements that come back after others make their sequence
 a repeated group of optional members; a text that differs between pages is
 a slot, one that never does is part of the template. An element's name is
-its tag with its class, id and role.
+its tag with its class, id and role; html and body go by their tags.
 
 Alignment is associative up to the order of optional members, so every task
 aligns its own pages first, and only wrappers are shuffled: first by host and
 a salt, then by host. A wrapper has each name once below its parent; its size
 follows the template, not the number or length of pages.
 
-The wrapper then names the region that holds the article: among the paths
-that are not menus, headers, footers, sidebars, notices, adverts, forms,
-scripts, styles or comments, an ``article`` or ``main`` element or one named like
-one, else the deepest element that holds most of the text outside links. Every
-page of the host is read from that path; pages without it, and hosts of one
-page, are judged by their own wrapper.
+What is template is counted first, over all pages of a host: a block's whole
+text that stands on nine pages of ten (hosts of ``FEW`` pages or more) is no
+part of an article, wherever it stands and whatever its class, unless it is a
+heading with a text of the article right behind it, or the page's article has
+nothing else. The rest is the varying text, and the wrapper names the region
+that holds it: an ``article`` or ``main`` element or one named like one, else
+the deepest element that holds most of the varying text outside links. Lists
+of names (menus, headers, footers, sidebars, notices, adverts, forms,
+comments) decide on varying text only, and never on an element that holds
+most of it (for a single page, nine tenths of its text). Every page of the
+host is read from the region's path; pages without it, and hosts of one page,
+are judged by their own wrapper.
 
 Defined cases: null and empty html give the empty text; a null or malformed
 address is the host ""; unclosed elements end where HTML has them end, and a
-truncated page ends all; rows may repeat.
+truncated page ends all; rows may repeat, and each counts as a page.
 """
 
 from __future__ import annotations
@@ -31,15 +37,20 @@ from __future__ import annotations
 import html as entities
 import json
 import re
+from collections import Counter
 from collections.abc import Iterator
+from functools import lru_cache
+from hashlib import blake2b
+from typing import NamedTuple
 
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from meterlake.llm.words import add_columns
+from meterlake.session import checkpoint_root
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<![^>]*>|<\?[^>]*>|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<(?=[a-zA-Z/!])[^<>]*\Z", re.S)
 _NAMED = re.compile(r"(class|id|role|itemprop)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
@@ -71,16 +82,66 @@ _IN_NAMES = re.compile(r"(?:^|[\s_-])(?:article|articlebody|content|post|entry|s
 #: Elements nested deeper belong to the slot of the one at this depth; texts
 #: are read at any depth.
 DEPTH = 60
+#: Pages of a host from which on a text that nine of ten have is template.
+FEW = 5
+#: Longer words name no element. Bytes of a table of hosts that is sent to
+#: every task; a larger one is joined by a shuffle, with the same result.
+WORD, SENT = 64, 16 << 20
+_HEADS = frozenset("h1 h2 h3 h4 h5 h6 dt th".split())
+
+
+class Known(NamedTuple):
+    """What all pages of a host tell: the words that name elements (None: any
+    word does), and hashes of the texts of its template."""
+
+    words: frozenset[str] | None = None
+    texts: frozenset[int] = frozenset()
+
+
+NOTHING = Known()
+
+
+@lru_cache(maxsize=1 << 14)
+def short(name: str, words: frozenset[str] | None) -> str:
+    """An element's name."""
+    tag, *own = name.split()
+    if tag in ("html", "body"):
+        return tag
+    return " ".join([tag, *own])
+
+
+def digest(pieces: list[str]) -> int | None:
+    """Hash of a block's whole text, None if it has none."""
+    whole = " ".join(entities.unescape("".join(pieces)).split())
+    return int.from_bytes(blake2b(whole.encode("utf-8", "replace"), digest_size=8).digest(), "little", signed=True) if whole else None
+
+
+def words_and_texts(html: str) -> tuple[set[str], set[int]]:
+    """Words that name the blocks of a page, and hashes of their texts."""
+    words: set[str] = set()
+    texts: set[int | None] = set()
+    pieces: list[str] = []
+    for kind, value, name in events(html):
+        if kind == "text":
+            pieces.append(value)
+        elif value in _BLOCK:
+            texts.add(digest(pieces))
+            pieces.clear()
+            words.update(w for w in name.split()[1:] if len(w) <= WORD)
+        elif value == "br" and kind == "open":
+            pieces.append(" ")
+    texts.add(digest(pieces))
+    return words, texts - {None}
 
 
 class Node:
     """An element of a page or of a wrapper."""
 
-    __slots__ = ("name", "kids", "text", "links", "pages", "optional", "repeated", "looped", "sample", "varies")
+    __slots__ = ("name", "kids", "text", "links", "fixed", "pages", "optional", "repeated", "looped", "sample", "varies")
 
     def __init__(self, name: str):
         self.name, self.kids = name, {}
-        self.text = self.links = 0  # characters of its own text, and of those inside links
+        self.text = self.links = self.fixed = 0  # characters of its own text, of those inside links, and of others that are template
         self.pages, self.optional, self.repeated, self.looped = 1, False, False, False
         self.sample: str | None = None
         self.varies = False
@@ -170,37 +231,54 @@ def _place(stack: list[str], ends: set[str], holds: frozenset[str]) -> int:
     return len(stack)
 
 
-def wrapper_of(html: str) -> Node:
+def wrapper_of(html: str, known: Known = NOTHING) -> Node:
     """The wrapper of one page."""
     root = Node("#")
     path, inline, below = [root], [], 0
+    pieces: list[str] = []
+    plain = 0  # characters outside links of the block's text so far
     for kind, value, name in events(html):
         top = path[-1]
         if kind == "text":
+            if known.texts:
+                pieces.append(value)
             n = len(value.split())
             if n:
                 size = len(" ".join(value.split()))
                 top.text += size
-                top.links += size if "a" in inline else 0
+                if "a" in inline:
+                    top.links += size
+                else:
+                    plain += size
                 if top.sample is None:
                     top.sample = value.strip()[:40]
                 elif top.sample != value.strip()[:40]:
                     top.varies = True
-        elif value not in _BLOCK:
+            continue
+        if value not in _BLOCK:
             if kind == "open":
                 inline.append(value)
+                if value == "br":
+                    pieces.append(" ")
             elif value in inline:
                 inline.remove(value)
-        elif kind == "open":
+            continue
+        if plain and known.texts and digest(pieces) in known.texts:
+            top.fixed += plain
+        pieces.clear()
+        plain = 0
+        if kind == "open":
             if len(path) > DEPTH:
                 below += 1
             else:
-                path.append(Node(name))
+                path.append(Node(short(name, known.words)))
         elif below:
             below -= 1
         else:
             done = path.pop()
             _add(path[-1], done)
+    if plain and known.texts and digest(pieces) in known.texts:
+        path[-1].fixed += plain
     return root
 
 
@@ -226,6 +304,7 @@ def _merge(a: Node, b: Node) -> Node:
     """Align ``b`` with ``a``."""
     a.text += b.text
     a.links += b.links
+    a.fixed += b.fixed
     a.pages += b.pages
     a.optional |= b.optional
     a.repeated |= b.repeated
@@ -267,13 +346,13 @@ def merge(a: Node | None, b: Node) -> Node:
 
 
 def dump(n: Node) -> list:
-    return [n.name, n.text, n.links, n.pages, n.optional, n.repeated, n.looped, n.sample, n.varies, [dump(k) for k in n.kids.values()]]
+    return [n.name, n.text, n.links, n.fixed, n.pages, n.optional, n.repeated, n.looped, n.sample, n.varies, [dump(k) for k in n.kids.values()]]
 
 
 def load(x: list) -> Node:
     n = Node(x[0])
-    n.text, n.links, n.pages, n.optional, n.repeated, n.looped, n.sample, n.varies = x[1:9]
-    n.kids = {k[0]: load(k) for k in x[9]}
+    n.text, n.links, n.fixed, n.pages, n.optional, n.repeated, n.looped, n.sample, n.varies = x[1:10]
+    n.kids = {k[0]: load(k) for k in x[10]}
     return n
 
 
@@ -291,13 +370,50 @@ def expression(n: Node) -> str:
     return f"<{n.name}> {inner} </>" if inner else f"<{n.name}/>"
 
 
+def varying(root: Node) -> dict[int, int]:
+    """Characters of varying text outside links below each node, by its id;
+    of all text outside links where nothing varies."""
+    size: dict[int, int] = {}
+
+    def total(n: Node, all_text: bool) -> int:
+        size[id(n)] = n.text - n.links - (0 if all_text else n.fixed) + sum(total(k, all_text) for k in n.kids.values())
+        return size[id(n)]
+
+    if not total(root, False):
+        total(root, True)
+    return size
+
+
+def held(root: Node) -> dict[int, str]:
+    """Elements that the name lists would leave out but that hold most of the
+    varying text: their paths by their ids."""
+    size = varying(root)
+    found: dict[int, str] = {}
+    share = 5 if root.pages > 1 else 9  # one page does not show what varies
+
+    def visit(n: Node, path: str) -> None:
+        for k in n.kids.values():
+            if 10 * size[id(k)] > share * size[id(root)] and k.tag() != "head":
+                own = f"{path}\x1f{k.name}"
+                if k.out():
+                    found[id(k)] = own
+                visit(k, own)
+
+    visit(root, "")
+    return found
+
+
 def region(root: Node) -> list[str]:
     """Path of names to the element that holds the article."""
     best: tuple[tuple, list[str]] | None = None
     size: dict[int, int] = {}
+    kept, whole = held(root), varying(root)
+
+    def left_out(k: Node) -> bool:
+        return k.out() and id(k) not in kept
 
     def total(n: Node) -> int:
-        size[id(n)] = n.text - n.links + sum(total(k) for k in n.kids.values() if not k.out())
+        size[id(n)] = whole[id(n)] - sum(whole[id(k)] for k in n.kids.values()) + sum(total(k) for k in n.kids.values() if not left_out(k))
         return size[id(n)]
 
     total(root)
@@ -305,7 +421,7 @@ def region(root: Node) -> list[str]:
     def visit(n: Node, path: list[str]) -> None:
         nonlocal best
         for k in n.kids.values():
-            if k.out():
+            if left_out(k):
                 continue
             own = [*path, k.name]
             rank = 4 if k.tag() == "article" else 3 if k.tag() == "main" or re.search(r"(?:^|\s)(?:main|articleBody)(?:$|\s)", k.name.partition(" ")[2]) else 0
@@ -320,7 +436,7 @@ def region(root: Node) -> list[str]:
         return best[1]
     path, n = [], root
     while True:  # down as long as one element holds most of the text
-        inner = [k for k in n.kids.values() if not k.out() and k.tag() in _HOLDS | {"html"}]
+        inner = [k for k in n.kids.values() if not left_out(k) and k.tag() in _HOLDS | {"html"}]
         top = max(inner, key=lambda k: size[id(k)], default=None)
         if top is None or 10 * size[id(top)] < 8 * size[id(n)] or not size[id(n)]:
             return path
@@ -328,22 +444,23 @@ def region(root: Node) -> list[str]:
         n = top
 
 
-def blocks(html: str, path: list[str]) -> list[str] | None:
+def blocks(html: str, path: list[str], known: Known = NOTHING, kept: frozenset[str] = frozenset()) -> list[str] | None:
     """Texts of the blocks inside every element at ``path``, in page order,
-    without left-out elements; None if the page has no such element."""
-    out: list[str] = []
+    without left-out elements (but with those of ``kept``) and template texts;
+    None if the page has no such element."""
+    out: list[tuple[str, bool, bool]] = []  # text, whether of the template, whether a heading
     text: list[str] = []
-    stack: list[tuple[str, bool, int]] = [("", False, 0)]  # name, left out, length of path matched
+    stack: list[tuple[str, bool, int, str]] = [("", False, 0, "")]  # name, left out, length of path matched, own path
     found = not path
 
     def flush() -> None:
         whole = " ".join(entities.unescape("".join(text)).split())
-        text.clear()
         if whole:
-            out.append(whole)
+            out.append((whole, bool(known.texts) and digest(text) in known.texts, stack[-1][0].split(" ", 1)[0] in _HEADS))
+        text.clear()
 
     for kind, value, name in events(html):
-        _, hidden, depth = stack[-1]
+        _, hidden, depth, at = stack[-1]
         inside = depth == len(path) and not hidden
         if kind == "text":
             if inside:
@@ -357,44 +474,110 @@ def blocks(html: str, path: list[str]) -> list[str] | None:
             if kind == "open":
                 # a path is matched from the top, element by element
                 level = len(stack) - 1
+                name = short(name, known.words)
+                own = f"{at}\x1f{name}" if kept and level < DEPTH else ""
                 if depth == len(path):
-                    stack.append((name, hidden or Node(name).out(), depth))
+                    stack.append((name, hidden or (Node(name).out() and own not in kept), depth, own))
                 elif depth == level and name == path[depth]:
-                    stack.append((name, hidden, depth + 1))
+                    stack.append((name, hidden, depth + 1, own))
                     found |= depth + 1 == len(path)
                 else:
-                    stack.append((name, hidden, depth if depth == len(path) else -1))
+                    stack.append((name, hidden, -1, own))
             elif len(stack) > 1:
                 stack.pop()
     flush()
-    return out if found else None
+    if not found:
+        return None
+    behind = [*(fixed for _, fixed, _ in out[1:]), True]
+    own = [t for (t, fixed, head), last in zip(out, behind) if not fixed or (head and not last)]
+    return own or [t for t, _, _ in out]
 
 
-def main_text(html: str | None, path: list[str] | None) -> str:
+def main_text(html: str | None, path: list[str] | None, known: Known = NOTHING, kept: frozenset[str] = frozenset()) -> str:
     """The article of a page, read from ``path`` or from its own wrapper."""
     if not html:
         return ""
-    got = blocks(html, path) if path is not None else None
+    got = blocks(html, path, known, kept) if path is not None else None
     if got is None:
-        got = blocks(html, region(wrapper_of(html))) or []
+        page = wrapper_of(html, known)
+        got = blocks(html, region(page), known, frozenset(held(page).values())) or []
     return "\n\n".join(got)
 
 
 _HOST = r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)"
 
 
+def _host(url_col: str) -> Column:
+    return F.lower(F.regexp_extract(F.coalesce(F.col(url_col), F.lit("")), _HOST, 1))
+
+
+def _beside(rows: DataFrame, hosts: DataFrame) -> DataFrame:
+    """``rows`` left joined with ``hosts`` on ``host``: without a shuffle of
+    rows where the table of hosts is small."""
+    size = hosts.agg(F.sum(F.length(F.to_json(F.struct("*"))))).first()[0] or 0
+    return rows.join(F.broadcast(hosts) if size <= SENT else hosts, "host", "left")
+
+
+@lru_cache(maxsize=256)
+def _known(told: str | None) -> Known:
+    x = json.loads(told) if told else None
+    return Known(frozenset(x["words"]), frozenset(x["texts"])) if x else NOTHING
+
+
+@lru_cache(maxsize=256)
+def _plan(told: str | None) -> tuple[list[str] | None, Known, frozenset[str]]:
+    x = json.loads(told) if told else {}
+    return x.get("path"), _known(x.get("known")), frozenset(x.get("held", ()))
+
+
+def _rows(pages: DataFrame, url_col: str, html_col: str) -> DataFrame:
+    return pages.select(_host(url_col).alias("host"), F.coalesce(F.col(html_col), F.lit("")).alias("html")).where("html != ''")
+
+
+def known_of_hosts(pages: DataFrame, *, url_col: str = "url", html_col: str = "html") -> DataFrame:
+    """``host`` and ``known`` (JSON) of every host with two pages or more: the
+    words and texts that enough of its pages have, counted over all of them."""
+
+    def count(batches):
+        seen: Counter[tuple] = Counter()
+
+        def done():
+            hosts, words, texts = zip(*seen)
+            return pa.RecordBatch.from_arrays([pa.array(hosts, pa.string()), pa.array(words, pa.string()), pa.array(texts, pa.int64()), pa.array(list(seen.values()), pa.int64())], names=["host", "word", "text", "n"])
+
+        for batch in batches:
+            for h, page in zip(batch.column("host").to_pylist(), batch.column("html").to_pylist()):
+                words, texts = words_and_texts(page)
+                seen[h, None, None] += 1
+                seen.update((h, w, None) for w in words)
+                seen.update((h, None, t) for t in texts)
+                if len(seen) > 100_000:
+                    yield done()
+                    seen.clear()
+        if seen:
+            yield done()
+
+    local = _rows(pages, url_col, html_col).mapInArrow(count, "host string, word string, text long, n long")
+    counts = local.groupBy("host", "word", "text").agg(F.sum("n").alias("n")).where("n > 1").checkpoint()
+    of_host = counts.where("word is null and text is null").select("host", F.col("n").alias("pages"))
+    enough = "(word is null and text is null) or (word is not null and 2 * n >= pages) or (text is not null and 10 * n >= 9 * pages and pages >= " + str(FEW) + ")"
+    known = _beside(counts, of_host).where(enough).groupBy("host").agg(F.sort_array(F.collect_set("word")).alias("words"), F.sort_array(F.collect_set("text")).alias("texts"))
+    return known.select("host", F.to_json(F.struct("words", "texts")).alias("known"))
+
+
 def infer_wrappers(pages: DataFrame, *, url_col: str = "url", html_col: str = "html", salts: int = 256) -> DataFrame:
-    """``host``, ``wrapper`` (JSON), ``expression``, ``path`` and ``pages`` of
-    every host, over all of its pages."""
-    host = F.lower(F.regexp_extract(F.coalesce(F.col(url_col), F.lit("")), _HOST, 1))
-    rows = pages.select(host.alias("host"), F.coalesce(F.col(html_col), F.lit("")).alias("html")).where("html != ''")
+    """``host``, ``wrapper`` (JSON), ``expression``, ``path``, ``held``,
+    ``pages`` and ``known`` (JSON) of every host, over all of its pages."""
+    checkpoint_root(pages.sparkSession)
+    known = known_of_hosts(pages, url_col=url_col, html_col=html_col).checkpoint()
+    rows = _beside(_rows(pages, url_col, html_col), known)
 
     def align(batches):
         salt = TaskContext.get().partitionId() % salts
         for batch in batches:
             own: dict[str, Node] = {}
-            for h, page in zip(batch.column("host").to_pylist(), batch.column("html").to_pylist()):
-                own[h] = merge(own.get(h), wrapper_of(page))
+            for h, page, told in zip(*(batch.column(c).to_pylist() for c in ("host", "html", "known"))):
+                own[h] = merge(own.get(h), wrapper_of(page, _known(told)))
             yield pa.RecordBatch.from_arrays([pa.array(list(own), pa.string()), pa.array([salt] * len(own), pa.int32()), pa.array([json.dumps(dump(n)) for n in own.values()], pa.string())], names=["host", "salt", "wrapper"])
 
     def join(table: pa.Table) -> Node:
@@ -408,11 +591,12 @@ def infer_wrappers(pages: DataFrame, *, url_col: str = "url", html_col: str = "h
 
     def all_of(table: pa.Table) -> pa.Table:
         n = join(table)
-        return pa.table({"host": [table["host"][0].as_py()], "wrapper": [json.dumps(dump(n))], "expression": [expression(n)], "path": pa.array([region(n)], pa.list_(pa.string())), "pages": pa.array([n.pages], pa.int64())})
+        return pa.table({"host": [table["host"][0].as_py()], "wrapper": [json.dumps(dump(n))], "expression": [expression(n)], "path": pa.array([region(n)], pa.list_(pa.string())), "held": pa.array([sorted(held(n).values())], pa.list_(pa.string())), "pages": pa.array([n.pages], pa.int64())})
 
     local = rows.mapInArrow(align, "host string, salt int, wrapper string")
     salted = local.groupBy("host", "salt").applyInArrow(some, "host string, wrapper string")
-    return salted.groupBy("host").applyInArrow(all_of, "host string, wrapper string, expression string, path array<string>, pages long")
+    whole = salted.groupBy("host").applyInArrow(all_of, "host string, wrapper string, expression string, path array<string>, held array<string>, pages long")
+    return _beside(whole, known)
 
 
 def extract_main_text(pages: DataFrame, *, url_col: str = "url", html_col: str = "html", keep: list[str] | None = None) -> DataFrame:
@@ -420,14 +604,13 @@ def extract_main_text(pages: DataFrame, *, url_col: str = "url", html_col: str =
     the article. Pages meet their host's path in a join that Spark may
     broadcast where the paths are small, and split where a host is hot."""
     kept = [c for c in (keep or pages.columns) if c not in ("text", "n_chars")]
-    paths = infer_wrappers(pages, url_col=url_col, html_col=html_col).select(F.col("host").alias("__host"), F.col("path").alias("__path"))
-    host = F.lower(F.regexp_extract(F.coalesce(F.col(url_col), F.lit("")), _HOST, 1))
-    rows = pages.select(*(F.col(f"`{c}`") for c in kept if c != html_col), F.col(html_col).alias("__html"), *([F.col(html_col)] if html_col in kept else []), host.alias("__key"))
-    joined = rows.join(paths, F.col("__key") == F.col("__host"), "left").drop("__key", "__host")
+    paths = infer_wrappers(pages, url_col=url_col, html_col=html_col).select("host", F.to_json(F.struct("path", "held", "known")).alias("__plan")).checkpoint()
+    rows = pages.select(*(F.col(f"`{c}`").alias(f"__{c}") for c in kept if c != html_col), F.col(html_col).alias("___html"), _host(url_col).alias("host"))
+    joined = _beside(rows, paths).select(*(F.col(f"`__{c}`").alias(c) for c in kept if c != html_col), F.col("___html").alias("__html"), *([F.col("___html").alias(html_col)] if html_col in kept else []), "__plan")
 
     def run(batch: pa.RecordBatch) -> dict[str, pa.Array]:
-        texts = [main_text(h, p) for h, p in zip(batch.column("__html").to_pylist(), batch.column("__path").to_pylist())]
+        texts = [main_text(h, *_plan(p)) for h, p in zip(batch.column("__html").to_pylist(), batch.column("__plan").to_pylist())]
         return {"text": pa.array(texts, pa.string()), "n_chars": pa.array([len(t) for t in texts], pa.int64())}
 
     fields = [T.StructField("text", T.StringType()), T.StructField("n_chars", T.LongType())]
-    return add_columns(joined, "__html", fields, run).drop("__html", "__path")
+    return add_columns(joined, "__html", fields, run).drop("__html", "__plan")

@@ -88,6 +88,32 @@ def test_pages_of_a_host(llm_spark):
     assert {r.host: r.pages for r in w.infer_wrappers(pages).collect()} == {"h0.example": 20, "h1.example": 22, "h2.example": 20, "": 1}
 
 
+def _host_pages(llm_spark, bodies, host="h"):
+    rows = [(i, f"http://{host}.example/{i}", b) for i, b in enumerate(bodies)]
+    return llm_spark.createDataFrame(rows, "page_id long, url string, html string").repartition(4)
+
+
+def test_what_pages_share_is_left_out_and_what_varies_stays(llm_spark):
+    def page(i):
+        return (
+            f"<html><body class='page has-sidebar'><div class='q1'><div class=bx7>Read our guide first</div><div class='story-comment'><h2>Summary</h2><p>Fact {i} is long and new {i * 7}</p>"
+            f"<p>More of fact {i} follows here</p></div><div class=related><p>See {i}</p></div><h3>About us</h3><p>We are the site</p></div></body></html>"
+        )
+
+    got = {r.page_id: r.text for r in w.extract_main_text(_host_pages(llm_spark, map(page, range(40)))).collect()}
+    assert got == {i: f"Summary\n\nFact {i} is long and new {i * 7}\n\nMore of fact {i} follows here" for i in range(40)}
+    assert w.main_text("<html><body class='page has-sidebar'><article>Text</article></body></html>", None) == "Text"
+    same = {r.text for r in w.extract_main_text(_host_pages(llm_spark, ["<article><p>a</p><p>b</p></article>"] * 9)).collect()}
+    assert same == {"a\n\nb"}
+
+
+def test_large_tables_of_hosts_are_joined_alike(llm_spark, monkeypatch):
+    pages = _host_pages(llm_spark, [_page(f"<p>Text {i}</p>") for i in range(12)])
+    sent = sorted(w.extract_main_text(pages).collect())
+    monkeypatch.setattr(w, "SENT", -1)
+    assert sorted(w.extract_main_text(pages).collect()) == sent
+
+
 def test_given_pages(llm_spark):
     """The given pages' articles, by a plain rule for their one template."""
     pages = llm_spark.read.parquet("/root/testdata/sf0.001/pages.parquet")
