@@ -7,12 +7,15 @@ an element that only one side has becomes optional; equal neighbours become
 a repeated group; elements that come back after others make their sequence
 a repeated group of optional members; a text that differs between pages is
 a slot, one that never does is part of the template. An element's name is
-its tag with its class, id and role; html and body go by their tags.
+its tag with those words of its class, id and role that stand on half of the
+host's pages or more; of other words only what the name lists know is kept
+(``post`` of ``post-812``), and html and body go by their tags.
 
 Alignment is associative up to the order of optional members, so every task
 aligns its own pages first, and only wrappers are shuffled: first by host and
 a salt, then by host. A wrapper has each name once below its parent; its size
-follows the template, not the number or length of pages.
+follows the template, not the number or length of pages, as a page has few
+words that half of the pages have.
 
 What is template is counted first, over all pages of a host: a block's whole
 text that stands on nine pages of ten (hosts of ``FEW`` pages or more) is no
@@ -103,10 +106,13 @@ NOTHING = Known()
 
 @lru_cache(maxsize=1 << 14)
 def short(name: str, words: frozenset[str] | None) -> str:
-    """An element's name."""
+    """An element's name, of words that are known or listed."""
     tag, *own = name.split()
     if tag in ("html", "body"):
         return tag
+    if words is not None:
+        listed = ((w, w in words or _OUT_NAMES.search(w) or _IN_NAMES.search(w)) for w in own)
+        own = list(dict.fromkeys(w if m is True else m[0].strip(" _-") for w, m in listed if m))
     return " ".join([tag, *own])
 
 

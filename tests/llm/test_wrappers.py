@@ -107,6 +107,16 @@ def test_what_pages_share_is_left_out_and_what_varies_stays(llm_spark):
     assert same == {"a\n\nb"}
 
 
+def test_names_of_single_pages_do_not_make_the_wrapper_grow(llm_spark):
+    def page(i):
+        return f"<html><body class='postid-{i} single'><div id='wrap-{i}' class='wrap x{i}'><article id='post-{i}' class='slug-{chr(97 + i % 26) * (i + 1)} hentry'><p>Text {i}</p></article></div></body></html>"
+
+    few, many = (w.infer_wrappers(_host_pages(llm_spark, map(page, range(n)))).first() for n in (10, 60))
+    assert few.expression == many.expression and many.pages == 60
+    assert many.path == ["html", "body", "div wrap", "article hentry post"]
+    assert all(w.blocks(page(i), many.path, w._known(many.known)) == [f"Text {i}"] for i in range(60))
+
+
 def test_large_tables_of_hosts_are_joined_alike(llm_spark, monkeypatch):
     pages = _host_pages(llm_spark, [_page(f"<p>Text {i}</p>") for i in range(12)])
     sent = sorted(w.extract_main_text(pages).collect())
