@@ -2,15 +2,18 @@
 
 Every text becomes a row of densities: words of a fixed lexicon of insults
 and of a lexicon learned from labelled texts, how near they stand to a second
-person, capitals, punctuation, and disguised spellings. Spark's boosted trees
-are fitted on a bounded sample of the labelled rows (``max_rows``, the ones
-with the least hash of their key), the learned lexicon and the isotonic
-calibration on parts of the same sample that do not overlap those the trees
-see (with fewer than ``SPLIT`` rows of a label, all three use all of it). Every text of the input is then scored whole, without a shuffle.
+person, capitals, punctuation, and disguised spellings. The lexicon is counted
+over all labelled texts; while fitting, a text meets the lexicon of the
+``FOLDS - 1`` folds it is not in. Spark's boosted trees are fitted on four
+fifths of a bounded sample of the labelled rows (of each label at most half of
+``max_rows``, the ones with the least hash of their key), the isotonic
+calibration on the fifth that the trees do not see, every row weighing as many
+labelled rows as it stands for. Every text of the input is then scored whole,
+without a shuffle.
 
 Defined cases: null and empty texts get the score of a text without words;
 labelled keys without a text, and null labels, teach nothing; a key labelled
-twice counts twice; without labels of both kinds every score is the mean
+twice counts twice; without two keys of each label every score is the mean
 label (0 where there is none).
 """
 
@@ -24,10 +27,11 @@ import pyarrow as pa
 from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import IsotonicRegression, IsotonicRegressionModel
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from meterlake.llm.near_dedup import key_filter
 from meterlake.llm.words import add_columns
 
 # Common insults.
@@ -86,33 +90,46 @@ def features(text: str | None, learned: dict[str, float]) -> list[float]:
     ]
 
 
-def with_features(docs: DataFrame, text_col: str, learned: dict[str, float]) -> DataFrame:
-    """``docs`` with an array column ``__features``."""
-    held = docs.sparkSession.sparkContext.broadcast(learned)  # at most LEXICON words
+def with_features(docs: DataFrame, text_col: str, learned: dict[str, float] | list[dict[str, float]]) -> DataFrame:
+    """``docs`` with an array column ``__features``; with a list of lexicons,
+    column ``__fold`` tells each row's."""
+    held = docs.sparkSession.sparkContext.broadcast(learned)  # at most max_words words each
 
     def run(batch: pa.RecordBatch) -> dict[str, pa.Array]:
-        rows = [features(t, held.value) for t in batch.column(text_col).to_pylist()]
-        return {"__features": pa.array(rows, pa.list_(pa.float64()))}
+        texts = batch.column(text_col).to_pylist()
+        own = [held.value[f] for f in batch.column("__fold").to_pylist()] if isinstance(held.value, list) else [held.value] * len(texts)
+        return {"__features": pa.array(list(map(features, texts, own)), pa.list_(pa.float64()))}
 
     return add_columns(docs, text_col, [T.StructField("__features", T.ArrayType(T.DoubleType()))], run)
 
 
-#: Words of the learned lexicon, and rows of the rarer label from which on
-#: the sample is split into parts.
-LEXICON, SPLIT = 300, 500
+#: Folds of the labelled rows.
+FOLDS = 5
 
 
-def learn_lexicon(labelled: DataFrame, text_col: str, label_col: str) -> dict[str, float]:
-    """Words that more toxic than clean texts have: log odds, for the
-    ``LEXICON`` words surest to have them (4 standard errors at least)."""
-    words = F.array_distinct(F.transform(F.split(F.lower(text_col), r"\s+"), lambda w: F.regexp_replace(w, r"^[^\p{L}\p{N}]+|[^\p{L}\p{N}]+$", "")))
-    one = labelled.select(F.col(label_col).alias("y"), F.explode(words).alias("word")).where("word != ''")
-    seen = one.groupBy("word").agg(F.sum("y").alias("t"), F.sum(1 - F.col("y")).alias("c")).where("t >= 5")
-    total = labelled.agg(F.sum(label_col), F.sum(1 - F.col(label_col))).first()
-    bad, good = (float(x or 0) for x in total)
+def fold(key: str) -> Column:
+    return F.pmod(F.xxhash64(key, F.lit("part")), F.lit(FOLDS)).cast("int")
+
+
+def count_words(labelled: DataFrame, text_col: str, label_col: str, fold_col: str) -> DataFrame:
+    """For each word, the toxic (``t0`` ...) and clean (``c0`` ...) texts of
+    each fold that have it; the word "" stands for all texts."""
+    words = F.array_distinct(F.concat(F.array(F.lit("")), F.transform(F.split(F.lower(text_col), r"\s+"), lambda w: F.regexp_replace(w, r"^[^\p{L}\p{N}]+|[^\p{L}\p{N}]+$", ""))))
+    one = labelled.select(F.col(label_col).alias("y"), F.col(fold_col).alias("f"), F.explode(words).alias("word"))
+    return one.groupBy("word").agg(*(F.sum(F.when(F.col("f") == f, n).otherwise(0.0)).alias(f"{s}{f}") for s, n in (("t", F.col("y")), ("c", 1 - F.col("y"))) for f in range(FOLDS)))
+
+
+def learn_lexicon(counts: DataFrame, *, without: int | None = None, max_words: int = 10_000, min_texts: int = 5) -> dict[str, float]:
+    """Words that more toxic than clean texts of all folds (but ``without``)
+    have: log odds, for the ``max_words`` words surest to have them (4
+    standard errors and ``min_texts`` toxic texts at least)."""
+    folds = [f for f in range(FOLDS) if f != without]
+    seen = counts.select("word", *(sum((F.col(f"{s}{f}") for f in folds), F.lit(0.0)).alias(s) for s in "tc"))
+    total = seen.where("word = ''").first()
+    bad, good = (total.t, total.c) if total else (0.0, 0.0)
     odds = F.log((F.col("t") + 0.5) / (bad - F.col("t") + 0.5)) - F.log((F.col("c") + 0.5) / (good - F.col("c") + 0.5))
     error = F.sqrt(1 / (F.col("t") + 0.5) + 1 / (F.col("c") + 0.5) + 1 / (bad - F.col("t") + 0.5) + 1 / (good - F.col("c") + 0.5))
-    best = seen.select("word", odds.alias("odds"), (odds / error).alias("z")).where("z > 4 and odds > 1").orderBy(F.desc("z"), "word").limit(LEXICON)
+    best = seen.where((F.col("word") != "") & (F.col("t") >= min_texts)).select("word", odds.alias("odds"), (odds / error).alias("z")).where("z > 4 and odds > 1").orderBy(F.desc("z"), "word").limit(max_words)
     return {r.word: r.odds for r in best.collect()}
 
 
@@ -136,34 +153,40 @@ class ToxicityModel:
 
 
 def fit_toxicity(
-    docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", max_rows: int = 20_000, rounds: int = 30, depth: int = 4
+    docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", max_rows: int = 20_000, rounds: int = 30, depth: int = 4, max_words: int = 10_000, min_texts: int = 5
 ) -> ToxicityModel:
-    """Fit on at most ``max_rows`` of the labelled rows."""
-    spark = docs.sparkSession
-    rows = labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull()).select(F.col(id_col).alias("__id"), F.col(label_col).cast("double").alias("__label"))
-    sample = rows.orderBy(F.xxhash64("__id"), "__id", "__label").limit(max_rows)
+    """Fit trees and curve on at most ``max_rows`` of the labelled rows (half
+    of them of each label), the lexicon (``max_words`` words, each of
+    ``min_texts`` toxic texts at least) on all of them."""
     texts = docs.select(F.col(id_col).alias("__id"), F.coalesce(F.col(text_col), F.lit("")).alias("__text"))
-    # max_rows pairs of numbers at most
-    joined = texts.join(F.broadcast(sample), "__id").withColumn("__part", F.pmod(F.xxhash64("__id", F.lit("part")), F.lit(10)))
-    held = joined.persist()
+    rows = labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull()).select(F.col(id_col).cast(docs.schema[id_col].dataType).alias("__id"), F.col(label_col).cast("double").alias("__label"))
+    texts = texts.where(key_filter(rows.select(F.col("__id").alias("key")))(F.col("__id")))
+    held = [taught := rows.join(texts.select("__id"), "__id", "left_semi").persist()]
     try:
-        kinds = {r["__label"]: r["n"] for r in held.groupBy("__label").agg(F.count(F.lit(1)).alias("n")).collect()}
-        total = sum(kinds.values())
-        mean = kinds.get(1.0, 0) / total if total else 0.0
-        if len(kinds) < 2:
+        kinds = {r["__label"]: (r["n"], r["ids"]) for r in taught.groupBy("__label").agg(F.count(F.lit(1)).alias("n"), F.countDistinct("__id").alias("ids")).collect()}
+        total = sum(n for n, _ in kinds.values())
+        mean = kinds.get(1.0, (0, 0))[0] / total if total else 0.0
+        if len(kinds) < 2 or min(ids for _, ids in kinds.values()) < 2:
             return ToxicityModel({}, None, None, mean)
-        # words are learned from part 0 to 3, trees from 4 to 7, the curve from 8 and 9
-        words, grown, level = ("__part < 4", "__part between 4 and 7", "__part > 7") if min(kinds.values()) >= SPLIT else ("true",) * 3
-        learned = learn_lexicon(held.where(words), "__text", "__label")
-        featured = with_features(held.where(f"({grown}) or ({level})").select("__id", "__label", "__part", "__text"), "__text", learned).drop("__text").repartition(6, "__id").persist()
-        try:
-            grower = GBTClassifier(featuresCol="__vector", labelCol="__label", predictionCol="__class", maxIter=rounds, maxDepth=depth, stepSize=0.2, maxBins=64, minInstancesPerNode=10, subsamplingRate=0.8, seed=7)
-            grower.setProbabilityCol("__probability").setRawPredictionCol("__raw")
-            trees = grower.fit(featured.where(grown).withColumn("__vector", array_to_vector("__features")))
-            model = ToxicityModel(learned, trees, None, mean)
-            model.curve = IsotonicRegression(featuresCol="__margin", labelCol="__label", predictionCol="__score").fit(model._margin(featured.where(level)))
-        finally:
-            featured.unpersist()
+        held.append(counts := count_words(texts.join(taught, "__id").withColumn("__fold", fold("__id")), "__text", "__label", "__fold").where(" + ".join(f"t{f}" for f in range(FOLDS)) + f" >= {min_texts} or word = ''").persist())
+        learned = learn_lexicon(counts, max_words=max_words, min_texts=min_texts)
+        others = [learn_lexicon(counts, without=f, max_words=max_words, min_texts=min_texts) for f in range(FOLDS)]
+        sample = None
+        for label, (n, _) in kinds.items():
+            own = taught.where(F.col("__label") == label).orderBy(F.xxhash64("__id"), "__id").limit(max_rows // 2)
+            # every fifth key is for the curve, the second first
+            place = F.dense_rank().over(Window.partitionBy("__label").orderBy(F.xxhash64("__id"), "__id"))
+            own = own.withColumn("__level", place % FOLDS == 2).withColumn("__weight", F.lit(n / min(n, max_rows // 2)))
+            sample = own if sample is None else sample.union(own)
+        # max_rows rows of numbers at most
+        joined = texts.join(F.broadcast(sample), "__id").withColumn("__fold", fold("__id"))
+        held.append(featured := with_features(joined, "__text", others).drop("__text").repartition(6, "__id").persist())
+        grower = GBTClassifier(featuresCol="__vector", labelCol="__label", predictionCol="__class", maxIter=rounds, maxDepth=depth, stepSize=0.2, maxBins=64, minInstancesPerNode=10, subsamplingRate=0.8, seed=7)
+        grower.setProbabilityCol("__probability").setRawPredictionCol("__raw")
+        trees = grower.fit(featured.where("not __level").withColumn("__vector", array_to_vector("__features")))
+        model = ToxicityModel(learned, trees, None, mean)
+        model.curve = IsotonicRegression(featuresCol="__margin", labelCol="__label", predictionCol="__score", weightCol="__weight").fit(model._margin(featured.where("__level")))
         return model
     finally:
-        held.unpersist()
+        for frame in held:
+            frame.unpersist()

@@ -45,3 +45,27 @@ def test_fitted_model_on_edge_rows(llm_spark, edge):
     scores = {r.doc_id: r.score for r in model.score(docs).collect()}
     assert min(scores[i] for i in scores if i % 3 == 0) > max(scores[i] for i in scores if i % 3)
     assert model.score(edge.where("false")).count() == 0
+
+
+def test_rare_labels_are_learned_from_all_rows_and_calibrated_apart(llm_spark):
+    """One text in 40 is toxic, or looks so, by a word of its own group of 12; the sample
+    holds a quarter of the clean rows, and scores still are shares of all."""
+    docs = llm_spark.range(12_000).select(
+        F.col("id").alias("doc_id"),
+        F.when(F.col("id") % 40 == 0, F.concat(F.lit("what a blurb"), F.chr((97 + F.floor(F.col("id") / 40) % 25).cast("long")), F.lit(" day"))).otherwise(F.concat(F.lit("what a fine day "), F.col("id") % 50)).alias("text"),
+    )
+    # half of the labels of such texts are noise
+    labels = docs.select("doc_id", ((F.col("doc_id") % 40 == 0) & (F.xxhash64("doc_id") % 2 == 0)).cast("int").alias("toxic"))
+    model = tox.fit_toxicity(docs, labels.where("toxic = 0 or doc_id % 40 = 0"), max_rows=6000, rounds=5, min_texts=2)
+    assert len({w for w in model.learned if w.startswith("blurb")}) >= 20
+    got = model.score(docs).groupBy((F.col("doc_id") % 40 == 0).alias("odd")).agg(F.avg("score").alias("score")).collect()
+    score = {r.odd: r.score for r in got}
+    assert 0.3 < score[True] < 0.7 and score[False] < 0.02
+
+
+def test_lexicons_of_folds(llm_spark):
+    rows = [(i, "awful thing" if i % 2 else "good thing", float(i % 2)) for i in range(200)] + [(5000 + i, "good thing", 0.0) for i in range(4000)] + [(1000 + i, "onlyhere", 1.0) for i in range(20)]
+    labelled = llm_spark.createDataFrame(rows, "id long, text string, y double").withColumn("f", F.when(F.col("id").between(1000, 4999), 3).otherwise(F.col("id") % 5).cast("int"))
+    counts = tox.count_words(labelled, "text", "y", "f")
+    assert set(tox.learn_lexicon(counts)) == {"awful", "onlyhere"} and set(tox.learn_lexicon(counts, without=3)) == {"awful"}
+    assert len(tox.learn_lexicon(counts, max_words=1)) == 1 and set(tox.learn_lexicon(counts, min_texts=50)) == {"awful"}
