@@ -5,8 +5,8 @@ same set form one class, so copies are never paired. For each class, 160
 minima under universal hash functions form 32 bands of 5; classes that share
 a band share a bucket. In a bucket the signatures of two classes, 256 more
 minima of 8 bits each, are compared, and pairs whose share of equal minima
-is within 0.08 of the threshold or above it (3.5 standard deviations at the
-threshold) are confirmed by the exact overlap of their sets. A band of a pair
+is within 0.13 of the threshold or above it (5 standard deviations at the
+threshold: fewer than one in a million pairs at 0.8 or more fall below) are confirmed by the exact overlap of their sets. A band of a pair
 at 0.8 is equal with probability 0.33, so all 32 differ in 3 of a million
 such pairs.
 
@@ -14,8 +14,8 @@ Links are confirmed in two rounds. First each class with its likeliest
 partner of every bucket, which joins a group of copies to what they were
 made from; then all remaining pairs of a bucket that still lie in different
 components. For those, the sets of the classes that have such a pair are
-sent to the bucket, and only confirmed links leave it, so no link between
-different texts is lost, and neither pairs inside a component nor pairs that
+sent to the bucket, and only confirmed links leave it, so a link between
+different texts is lost only where all bands differ or the signatures do, and neither pairs inside a component nor pairs that
 fail are ever spelled out. A bucket with more than ``BLOCK`` classes is
 split into blocks, and every pair of blocks is compared by a task of its
 own. A pair is looked at in the first bucket it shares only.
@@ -42,7 +42,7 @@ from meterlake.llm.words import SPACED, mix, pieces, tidy_batches, words_of
 from meterlake.session import checkpoint_root
 
 BANDS, ROWS, BLOCK = 32, 5, 2048
-SLACK, MINIMA = 0.08, 256
+SLACK, MINIMA = 0.13, 256
 _PAIRS_AT_ONCE = 1 << 15
 _rng = np.random.default_rng(20240501)
 _A = _rng.integers(0, 2**63, BANDS * ROWS + MINIMA, dtype=np.uint64) * np.uint64(2) + np.uint64(1)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import random
 import re
 
@@ -79,3 +80,11 @@ def test_components(llm_spark):
         up[y] = x
     got = {r.node: r.root for r in components(llm_spark.createDataFrame(edges, "a long, b long")).collect()}
     assert got == {x: find(x) for x in up if find(x) != x}
+
+
+@pytest.mark.parametrize("percent", [80, 85])
+def test_signatures_keep_pairs_at_the_threshold(percent):
+    """Fewer than one in a million pairs at the threshold fail the signature test."""
+    n, p = near_dedup.MINIMA, percent / 100
+    least = percent / 100 - near_dedup.SLACK
+    assert sum(math.comb(n, k) * p**k * (1 - p) ** (n - k) for k in range(n + 1) if k / n < least) < 1e-6
