@@ -18,7 +18,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from meterlake.functions.display import datetime_text
-from meterlake.functions.measures import sub_total
 from meterlake.plans.pruning import newest
 from meterlake.schema import METER, Meter
 
@@ -35,19 +34,29 @@ def top_k(df: DataFrame, order: Sequence[Column], k: int, by: Sequence[str] = ()
     return df.withColumn("_rank", rank).filter(F.col("_rank") <= k).drop("_rank")
 
 
+def statistics_columns(meter: Meter = METER) -> dict[str, str]:
+    """What the statistics report holds: each output column and the SQL
+    aggregate it is. The report and SQL text over files or views are both
+    built from it."""
+    active, total = meter.active, " + ".join(meter.submeters)
+    return {
+        "total_records": "count(*)",
+        **{f"{fn}_active_power": f"{fn}({active})" for fn in ("avg", "max", "min")},
+        "avg_voltage": f"avg({meter.voltage})",
+        "avg_intensity": f"avg({meter.intensity})",
+        # a row with any sub-meter NULL is skipped, not counted as 0
+        "total_sub_metering": f"sum({total})",
+    }
+
+
 def statistics(df: DataFrame, meter: Meter = METER, by: Sequence[str] = ()) -> DataFrame:
     """A1: whole-table statistics; empty input gives count 0 and NULLs."""
-    active = F.col(meter.active)
-    return df.groupBy(*_keys(by)).agg(
-        F.count(F.lit(1)).alias("total_records"),
-        F.avg(active).alias("avg_active_power"),
-        F.max(active).alias("max_active_power"),
-        F.min(active).alias("min_active_power"),
-        F.avg(meter.voltage).alias("avg_voltage"),
-        F.avg(meter.intensity).alias("avg_intensity"),
-        # a row with any sub-meter NULL is skipped, not counted as 0
-        F.sum(sub_total([F.col(s) for s in meter.submeters])).alias("total_sub_metering"),
-    )
+    return df.groupBy(*_keys(by)).agg(*[F.expr(e).alias(name) for name, e in statistics_columns(meter).items()])
+
+
+def statistics_sql(source: str, meter: Meter = METER) -> str:
+    """A1 as SQL text over a view, a table or a file path."""
+    return "SELECT " + ", ".join(f"{e} AS {name}" for name, e in statistics_columns(meter).items()) + f" FROM {source}"
 
 
 def timeseries(

@@ -355,7 +355,7 @@ def q_sql_over_files(spark, sf_dir):
     ``FROM parquet.`path``` (S6, Q1)."""
     stored_table(spark, sf_dir)
     path = _STORED[_input_key(spark, sf_dir)]
-    return checked(run_sql(spark, STATISTICS_SQL.format(source=parquet_source(path))))
+    return checked(run_sql(spark, reports.statistics_sql(parquet_source(path))))
 
 
 @register("catalog_month_counts", writes=True)
@@ -364,17 +364,6 @@ def q_catalog_month_counts(spark, sf_dir):
     return reports.month_counts(stored_table(spark, sf_dir))
 
 
-# What the statistics report holds (``reports.statistics``), as SQL text for
-# the pass-through query and for files.
-STATISTICS = (
-    ("total_records", "count(*)"),
-    *((f"{fn}_active_power", f"{fn}(global_active_power)") for fn in ("avg", "max", "min")),
-    ("avg_voltage", "avg(voltage)"),
-    ("avg_intensity", "avg(global_intensity)"),
-    ("total_sub_metering", "sum(" + " + ".join(METER.submeters) + ")"),
-)
-STATISTICS_SQL = "SELECT " + ", ".join(f"{expr} AS {name}" for name, expr in STATISTICS) + " FROM {source}"
-
 # A temporary view shadows a catalog table of the same name, so the view for
 # the pass-through query must not be called like the stored table.
 PASSTHROUGH_VIEW = "energy_readings"
@@ -383,8 +372,8 @@ PASSTHROUGH_VIEW = "energy_readings"
 @register("sql_passthrough")
 def q_sql_passthrough(spark, sf_dir):
     """SQL text in, DataFrame out (Q1)."""
-    text = STATISTICS_SQL.format(source=PASSTHROUGH_VIEW)
-    return checked(run_sql(spark, text, views={PASSTHROUGH_VIEW: cleaned(spark, sf_dir)}))
+    sql = reports.statistics_sql(PASSTHROUGH_VIEW)
+    return checked(run_sql(spark, sql, views={PASSTHROUGH_VIEW: cleaned(spark, sf_dir)}))
 
 
 # --- insights -------------------------------------------------------------------

@@ -19,7 +19,7 @@ from meterlake.sources import messages, text
 from meterlake.sources.readings import readings
 from meterlake.streaming import ingest
 
-from conftest import SF_SMALL
+from data_dirs import SF_SMALL
 
 
 @pytest.fixture()

@@ -11,7 +11,7 @@ from meterlake.plans import jobs
 from meterlake.sources.readings import readings
 from meterlake.sources.text import raw_line
 
-from conftest import SF_SMALL
+from data_dirs import SF_SMALL
 
 
 def test_clean_and_feature_jobs(spark, tmp_path):

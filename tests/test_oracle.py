@@ -9,7 +9,7 @@ import __spark_entry__ as entry
 from meterlake.plans.queries import REGISTRY
 from tools.oracle_check import SPARK_TO_DUCK, duck_connection, rows_key
 
-from conftest import SF_SMALL
+from data_dirs import SF_SMALL
 
 SQL = {name: sql for name, sql in entry.oracle_sql().items() if name in REGISTRY}
 

@@ -13,7 +13,7 @@ from meterlake.sinks.files import write_parquet
 from meterlake.sources.readings import readings
 from meterlake.streaming import ingest
 
-from conftest import SF_SMALL
+from data_dirs import SF_SMALL
 
 # Registered queries that run a write or a stream when called.
 EAGER = WRITES_ON_CALL

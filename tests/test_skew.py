@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from meterlake.operators import clean, insights, reports
 from meterlake.sources.readings import readings
 
-from conftest import SF_CHECK
+from data_dirs import SF_CHECK
 
 BY = ("meter_id",)
 

@@ -17,7 +17,7 @@ from meterlake.sources import messages
 from meterlake.sources.readings import readings
 from meterlake.streaming import aggregates, ingest, landing
 
-from conftest import SF_SMALL
+from data_dirs import SF_SMALL
 
 NOW = {"availableNow": True}
 
