@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meterlake.llm import chat, fingerprints, katz, near_dedup, packing, substring_dedup, token_files, toxicity, wrappers
+from meterlake.llm import chat, filter_audit, fingerprints, katz, near_dedup, neighbours, packing, substring_dedup, token_files, toxicity, whitening, wrappers
 from meterlake.llm import decontaminate as leaks
 from meterlake.llm.deploy import ship
 from meterlake.session import shared_dir
@@ -159,3 +159,76 @@ FROM d LEFT JOIN words_hit h USING (doc_id) LEFT JOIN found f USING (doc_id)
 def op10_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprints of every document and of its edited text."""
     return fingerprints.edit_report(_table(spark, sf_dir, "documents"))
+
+
+@register
+def op11_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest others of every vector whose id 20 divides."""
+    return neighbours.nearest(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
+
+
+SQL["op11_nearest_neighbours"] = r"""
+WITH e AS (
+  SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+pairs AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.v, c.v) AS score
+  FROM e q JOIN e c ON q.vec_id % 20 = 0 AND q.vec_id <> c.vec_id),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM pairs)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM ranked WHERE rank <= 20
+"""
+
+
+@register
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What five filters remove in each of their 120 orders, by language."""
+    audit = filter_audit.filter_audit(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+    return audit.select("part", "filter_order", "step", "kept", "removed", "redundant", "unique_fails", "good_lost", "toxic_lost", "shapley")
+
+
+SQL["op12_filter_audit"] = r"""
+WITH RECURSIVE flags AS (
+  SELECT doc_id, max(CASE WHEN quality = 1 THEN 1 ELSE 0 END) AS good, max(CASE WHEN toxic = 1 THEN 1 ELSE 0 END) AS toxic
+  FROM labels GROUP BY doc_id),
+d AS (
+  SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+masks AS (
+  SELECT part, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic,
+         CASE WHEN len(w) < 100 THEN 1 ELSE 0 END
+         + CASE WHEN 100 * len(list_distinct(w)) < 80 * len(w) THEN 2 ELSE 0 END
+         + CASE WHEN 100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 10 * length(t) THEN 4 ELSE 0 END
+         + CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 8 ELSE 0 END
+         + CASE WHEN doc_id > min(doc_id) OVER (PARTITION BY t) THEN 16 ELSE 0 END AS mask
+  FROM d LEFT JOIN flags USING (doc_id)),
+cells AS (SELECT part, mask, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic FROM masks GROUP BY part, mask),
+letters(letter, bit) AS (VALUES ('A', 1), ('B', 2), ('C', 4), ('D', 8), ('E', 16)),
+walk(prefix, step, letter, bit, before) AS (
+  SELECT letter, 1, letter, bit, 0 FROM letters
+  UNION ALL
+  SELECT prefix || l.letter, step + 1, l.letter, l.bit, before | walk.bit
+  FROM walk JOIN letters l ON ((before | walk.bit) & l.bit) = 0),
+steps AS (
+  SELECT o.prefix AS filter_order, w.step, w.letter, w.bit, w.before
+  FROM walk o JOIN walk w ON o.step = 5 AND starts_with(o.prefix, w.prefix)),
+counts AS (
+  SELECT c.part, s.filter_order, s.step, s.letter,
+         coalesce(sum(n) FILTER (mask & (before | bit) = 0), 0) AS kept,
+         coalesce(sum(n) FILTER (mask & bit <> 0 AND mask & before = 0), 0) AS removed,
+         coalesce(sum(n) FILTER (mask & bit <> 0 AND mask & before <> 0), 0) AS redundant,
+         coalesce(sum(n) FILTER (mask = bit), 0) AS unique_fails,
+         coalesce(sum(good) FILTER (mask & bit <> 0 AND mask & before = 0), 0) AS good_lost,
+         coalesce(sum(toxic) FILTER (mask & bit <> 0 AND mask & before = 0), 0) AS toxic_lost
+  FROM steps s CROSS JOIN cells c GROUP BY ALL)
+SELECT part, filter_order, CAST(step AS INTEGER) AS step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed,
+       CAST(redundant AS BIGINT) AS redundant, CAST(unique_fails AS BIGINT) AS unique_fails, CAST(good_lost AS BIGINT) AS good_lost,
+       CAST(toxic_lost AS BIGINT) AS toxic_lost, CAST(sum(removed) OVER (PARTITION BY part, letter) AS BIGINT) AS shapley
+FROM counts
+"""
+
+
+@register
+def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whitened values of every embedding, a row a component."""
+    return whitening.components_long(whitening.whiten(_table(spark, sf_dir, "embeddings"), components=32))
