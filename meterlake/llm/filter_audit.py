@@ -88,13 +88,16 @@ def mask_cells(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", te
     """``part, mask, n, good, toxic``: documents of each part with each mask,
     and those labelled good or toxic among them."""
     source = docs.select(F.col(id_col).alias("key"), F.coalesce(F.col(part_col).cast("string"), F.lit("")).alias("part"), F.col(text_col).alias("text"))
-    rows = _marked(source).groupBy("key", "part", "mask", "hi", "lo").agg(F.count(F.lit(1)).alias("n"))
+
+    def rows(some: DataFrame) -> DataFrame:
+        return _marked(some).groupBy("key", "part", "mask", "hi", "lo").agg(F.count(F.lit(1)).alias("n"))
+
     one = lambda c: F.max(F.coalesce(F.col(c) == 1, F.lit(False)))
     flags = labels.where(F.col("doc_id").isNotNull()).groupBy(F.col("doc_id").alias("key")).agg(one("quality").alias("good"), one("toxic").alias("toxic"))
     no = F.lit(False)
-    # rows without a key would all meet in one task of the join
-    known = rows.where("key is not null").join(flags, "key", "left").withColumns({c: F.coalesce(c, no) for c in ("good", "toxic")})
-    labelled = known.unionByName(rows.where("key is null").withColumns({"good": no, "toxic": no}))
+    # rows without a key would all meet in one task of the join; each text is read by one of the two scans
+    known = rows(source.where("key is not null")).join(flags, "key", "left").withColumns({c: F.coalesce(c, no) for c in ("good", "toxic")})
+    labelled = known.unionByName(rows(source.where("key is null")).withColumns({"good": no, "toxic": no}))
 
     named = F.when(F.col("key").isNotNull(), F.struct("key", "n"))
     texts = labelled.groupBy("hi", "lo", "part", "mask", "good", "toxic").agg(F.sum("n").alias("n"), F.min(named).alias("first"), F.sum(F.when(F.col("key").isNull(), F.col("n")).otherwise(0)).alias("nameless"))
