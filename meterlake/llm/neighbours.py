@@ -170,7 +170,9 @@ def _searched(classes: DataFrame, asking: DataFrame, k: int) -> DataFrame:
     none = F.lit(None).cast("array<bigint>")
     left = queries.select("dim", place(blocks, 1).alias("block"), every(stripes).alias("stripe"), F.lit(0).alias("side"), "key", "v", none.alias("ids"))
     right = classes.select("dim", every(blocks).alias("block"), place(stripes, 2).alias("stripe"), F.lit(1).alias("side"), F.lit(None).cast("binary").alias("key"), "v", "ids")
-    tiles = left.union(right).repartition("dim", "block", "stripe").sortWithinPartitions("dim", "block", "stripe", "side")
+    # work, not bytes, decides how tiles are spread, so their number is given
+    tasks = min(4 * blocks * stripes, 1 << 16)
+    tiles = left.union(right).repartition(tasks, "dim", "block", "stripe").sortWithinPartitions("dim", "block", "stripe", "side")
 
     @tidy_batches
     def run(batches):
