@@ -37,7 +37,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from meterlake.llm.components import components
+from meterlake.llm.components import components, release
 from meterlake.llm.words import SPACED, mix, pieces, tidy_batches, words_of
 from meterlake.session import checkpoint_root
 
@@ -267,7 +267,8 @@ def near_duplicates(docs: DataFrame, *, percent: int = 80, size: int = 5, id_col
     rows = docs.select(F.col(id_col).cast("long").alias("key"), F.col(text_col).alias("text"))
     all_sets = _sets_of(rows, size, full=False).checkpoint()
     named = all_sets.where("key is not null and n > 0")
-    classes = named.groupBy("hi", "lo", "n").agg(F.min("key").alias("rep"))
+    # written, so that joins of a hot class's rows shuffle both sides and can be split
+    classes = named.groupBy("hi", "lo", "n").agg(F.min("key").alias("rep")).checkpoint()
 
     # buckets: the rows that stand for their class, named by half of its name
     own = named.join(classes.select("hi", "lo", F.col("rep").alias("key")), ["hi", "lo", "key"]).dropDuplicates(["hi"])
@@ -279,6 +280,7 @@ def near_duplicates(docs: DataFrame, *, percent: int = 80, size: int = 5, id_col
     needed = wanted.select("key").distinct()
     texts = rows.where(key_filter(needed)(F.col("key"))).join(needed, "key", "left_semi")
     sets = _sets_of(texts, size, full=True).join(wanted, ["key", "hi", "lo"], "left_semi").dropDuplicates(["hi"]).select("hi", F.col("key").alias("rep"), "sig", "members").checkpoint()
+    release(docs.sparkSession)
 
     parts = F.ceil(F.col("in_bucket") / BLOCK).cast("int")
     dealt = (
@@ -305,7 +307,9 @@ def near_duplicates(docs: DataFrame, *, percent: int = 80, size: int = 5, id_col
 
     likeliest = _in_buckets(dealt.withColumn("root", F.col("hi")).join(signed, "hi"), percent, "best").distinct()
     links = _confirmed(likeliest, sets, percent).checkpoint()
+    release(docs.sparkSession)
     links = links.union(remaining(components(links))).union(same_key).checkpoint()
+    release(docs.sparkSession)
     roots = components(links)
 
     placed = all_sets.select("key", "n", "hi", "lo").join(classes.select("hi", "lo", "n", "rep"), ["hi", "lo", "n"], "left")
