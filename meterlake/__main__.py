@@ -3,6 +3,7 @@
     python -m meterlake ingest   --path P --checkpoint C [--table T] [--wire json|raw]
     python -m meterlake clean    --raw R --out O [--policy batch|stream] [--partition-by year,month]
     python -m meterlake features --cleaned C --hourly H --daily D [--rows R]
+    python -m meterlake fold     --root R [--partition-by year,month,day] [--at-least N] [--keep-hours H]
     python -m meterlake sql      [--view name=parquet_path ...] "SELECT ..."
 
 Kafka brokers, topic, offsets and the trigger interval come from the
@@ -18,6 +19,7 @@ from collections.abc import Sequence
 
 from meterlake.plans import jobs
 from meterlake.plans.sql import run_sql
+from meterlake.schema import PARTITION_COLUMNS
 from meterlake.session import build_session
 from meterlake.settings import Settings
 from meterlake.sinks.messages import result_json
@@ -50,6 +52,12 @@ def parser() -> argparse.ArgumentParser:
     fe.add_argument("--daily", required=True)
     fe.add_argument("--rows")
 
+    fo = sub.add_parser("fold", help="fold the landed batches of a snapshot table, remove what left it long ago")
+    fo.add_argument("--root", required=True)
+    fo.add_argument("--partition-by", type=_split, default=PARTITION_COLUMNS)
+    fo.add_argument("--at-least", type=int, default=2, help="live directories from which folding is worth it")
+    fo.add_argument("--keep-hours", type=float, default=24.0, help="how long replaced directories stay for readers")
+
     sq = sub.add_parser("sql", help="run SQL text, print JSON lines")
     sq.add_argument("--view", action="append", default=[], help="name=parquet_path, may repeat")
     sq.add_argument("text")
@@ -69,6 +77,8 @@ def main(argv: Sequence[str] | None = None, out=None) -> int:
     elif args.command == "features":
         paths = jobs.FeaturePaths(args.hourly, args.daily, args.rows)
         jobs.feature_job(spark, spark.read.parquet(args.cleaned), paths)
+    elif args.command == "fold":
+        jobs.fold_job(spark, args.root, args.partition_by, args.at_least, args.keep_hours * 3600)
     elif args.command == "sql":
         views = {}
         for item in args.view:

@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from meterlake.functions.calendar import hour_start, is_weekend
+from meterlake.operators import regression
 from meterlake.operators.reports import timeseries
 from meterlake.plans.joins import bounded_broadcast, profile_bound
 from meterlake.plans.pruning import last_hours
@@ -224,26 +225,21 @@ def forecast_profile(df: DataFrame, horizon: int = 24, meter: Meter = METER, by:
     )
 
 
-def hourly_weather(df: DataFrame, meter: Meter = METER) -> DataFrame:
-    """Synthetic hourly weather over the hours the readings cover: ``h,
-    temp_c`` (stand-in for an external weather table with the same shape).
-
-    Fixed values: temp_c = 5 + day-of-month % 10 + hour / 4.
-    """
-    h = hour_start(F.col(meter.time))
-    hours = df.select(h.alias("h")).distinct()
-    temp = F.lit(5) + F.dayofmonth("h") % 10 + F.hour("h") / F.lit(4e0)
-    return hours.select("h", temp.cast("double").alias("temp_c"))
+def hourly_means(series: DataFrame, values: Sequence[str], meter: Meter = METER) -> DataFrame:
+    """An irregular series by the hour: ``h`` and the mean of each value."""
+    return series.groupBy(hour_start(F.col(meter.time)).alias("h")).agg(*[F.avg(v).alias(v) for v in values])
 
 
 def weather_impact(
     df: DataFrame, weather: DataFrame, meter: Meter = METER, by: Sequence[str] = ()
 ) -> DataFrame:
-    """Hourly load left-joined to hourly weather (``h`` + numeric
-    columns); Pearson correlation of each weather column with the load."""
+    """Hourly load left-joined to hourly weather (``h`` + numeric columns);
+    Pearson correlation of each weather column with the load. Several weather
+    rows of an hour count as their mean, so no hour of load counts twice."""
     load = hourly_load(df, meter, by)
     cols = [c for c in weather.columns if c != "h"]
-    joined = load.join(weather.withColumnRenamed("h", "hour_start"), on="hour_start", how="left")
+    hours = weather.groupBy(F.col("h").alias("hour_start")).agg(*[F.avg(c).alias(c) for c in cols])
+    joined = load.join(hours, on="hour_start", how="left")
     return joined.groupBy(*_keys(by)).agg(
         F.count(F.lit(1)).alias("hours"),
         *[F.count(c).alias(f"hours_with_{c}") for c in cols],
@@ -251,69 +247,73 @@ def weather_impact(
     )
 
 
-def lag_features(df: DataFrame, meter: Meter = METER, by: Sequence[str] = ()) -> DataFrame:
-    """Hourly load with its value 1 h and 24 h earlier, hour of day and the
-    weekend flag; hours lacking either lag are dropped. Lags only look back,
-    so a time-ordered split never feeds test-period values into training."""
+LAGS = {"lag_1h": "INTERVAL 1 HOUR", "lag_24h": "INTERVAL 24 HOURS"}
+FORECAST_FEATURES = (*LAGS, "hour", "is_weekend")
+
+
+def lag_features(
+    df: DataFrame, meter: Meter = METER, by: Sequence[str] = (), features: Sequence[str] = FORECAST_FEATURES
+) -> DataFrame:
+    """Hourly load with the named ``features``: its value 1 h and 24 h
+    earlier, hour of day, the weekend flag. Hours lacking a named lag are
+    dropped. Lags only look back, so a time-ordered split never feeds
+    test-period values into training."""
     hourly = hourly_load(df, meter, by)
-    aligned = align_shifted(
-        hourly,
-        "hour_start",
-        "load",
-        {"lag_1h": F.expr("INTERVAL 1 HOUR"), "lag_24h": F.expr("INTERVAL 24 HOURS")},
-        by,
-        current="load",
-    )
-    return aligned.filter(
-        F.col("load").isNotNull() & F.col("lag_1h").isNotNull() & F.col("lag_24h").isNotNull()
-    ).select(
-        *by,
-        "hour_start",
-        "load",
-        "lag_1h",
-        "lag_24h",
-        F.hour("hour_start").cast("double").alias("hour"),
-        is_weekend(F.dayofweek("hour_start")).cast("double").alias("is_weekend"),
+    lags = [c for c in features if c in LAGS]
+    if lags:
+        shifts = {c: F.expr(LAGS[c]) for c in lags}
+        hourly = align_shifted(hourly, "hour_start", "load", shifts, by, current="load")
+    made = {"hour": F.hour("hour_start").cast("double"), "is_weekend": is_weekend(F.dayofweek("hour_start")).cast("double")}
+    return hourly.dropna(subset=["load", *lags]).select(
+        *by, "hour_start", "load", *[made[c].alias(c) if c in made else F.col(c) for c in features]
     )
 
 
-def ml_forecast(df: DataFrame, test_days: int = 7, meter: Meter = METER, by: Sequence[str] = ()) -> DataFrame:
-    """Linear regression on (lag 1 h, lag 24 h, hour, weekend) trained on
-    all but the last ``test_days`` days and scored on them, next to the
-    seasonal (weekday × hour) profile of the training period. Returns one
-    row per model: ``model, mae, test_hours``.
-
-    Training runs in Spark ML (distributed normal-equation solve); the split
-    is by time through a scalar bound, never random.
+def ml_forecast(
+    df: DataFrame,
+    test_days: int = 7,
+    meter: Meter = METER,
+    by: Sequence[str] = (),
+    features: Sequence[str] = FORECAST_FEATURES,
+    daily: bool = False,
+) -> DataFrame:
+    """Linear regression on ``features`` trained on all but the last
+    ``test_days`` days (of the whole input) and scored on them, next to the
+    seasonal (weekday × hour) profile of the training period. One row per
+    group and model: ``by, model, mae, test_hours``; groups without a test
+    hour have none.
+
+    The fit is one aggregation to moments, solved on columns in every group
+    (``operators.regression``); with ``daily`` the moments are kept per day
+    and merged, as a job that adds one day at a time does. The split is by
+    time through a scalar bound, never random.
     """
-    from pyspark.ml.feature import VectorAssembler
-    from pyspark.ml.regression import LinearRegression
-
     # The fit, the split bound and both scorings all read the features:
     # materialise them once in the shared checkpoint folder (hourly rows, far
     # smaller than the readings); a lost executor re-reads them from there.
     checkpoint_root(df.sparkSession)
-    feats = lag_features(df, meter, by).checkpoint(eager=True)
+    feats = lag_features(df, meter, by, features).checkpoint(eager=True)
     cutoff = feats.select(F.max("hour_start")).scalar() - F.make_interval(days=F.lit(test_days))
     train = feats.filter(F.col("hour_start") <= cutoff)
     test = feats.filter(F.col("hour_start") > cutoff)
 
-    assembler = VectorAssembler(inputCols=["lag_1h", "lag_24h", "hour", "is_weekend"], outputCol="features")
-    model = LinearRegression(featuresCol="features", labelCol="load", solver="normal").fit(assembler.transform(train))
-    scored = model.transform(assembler.transform(test))
-    lr = scored.agg(
-        F.lit("linear_regression").alias("model"),
-        F.avg(F.abs(F.col("prediction") - F.col("load"))).alias("mae"),
-        F.count(F.lit(1)).alias("test_hours"),
-    )
+    if daily:
+        parts = regression.moments(train.withColumn("day", F.to_date("hour_start")), features, "load", [*by, "day"])
+        fit = regression.merge(parts, len(features), by)
+    else:
+        fit = regression.moments(train, features, "load", by)
+    scored = regression.predict(test, regression.solve(fit, len(features), by), features, by)
+
+    def score(rows: DataFrame, model: str, value: str) -> DataFrame:
+        return rows.groupBy(*_keys(by)).agg(
+            F.lit(model).alias("model"),
+            F.avg(F.abs(F.col(value) - F.col("load"))).alias("mae"),
+            F.count(F.lit(1)).alias("test_hours"),
+        )
 
     slot = [*by, F.dayofweek("hour_start").alias("weekday"), F.hour("hour_start").alias("hour_of_day")]
     profile = train.groupBy(*slot).agg(F.avg("load").alias("profile"))
     profile = bounded_broadcast(profile, profile_bound(by, HOURS_PER_WEEK))
     test_slots = test.select(*by, "hour_start", "load", *slot[len(by):])
-    seasonal = test_slots.join(profile, on=[*by, "weekday", "hour_of_day"], how="left").agg(
-        F.lit("seasonal_profile").alias("model"),
-        F.avg(F.abs(F.col("profile") - F.col("load"))).alias("mae"),
-        F.count(F.lit(1)).alias("test_hours"),
-    )
-    return lr.unionByName(seasonal)
+    seasonal = test_slots.join(profile, on=[*by, "weekday", "hour_of_day"], how="left")
+    return score(scored, "linear_regression", "prediction").unionByName(score(seasonal, "seasonal_profile", "profile"))

@@ -4,10 +4,9 @@ Every report is ``DataFrame → DataFrame`` and takes ``by`` (extra grouping
 keys such as a meter id; ``()`` reproduces the single-household results).
 Aggregates are all algebraic (count/sum/avg/min/max), so Spark runs them as a
 partial aggregate before the shuffle and a hot key never reaches one task
-with its raw rows. Top-k uses ``orderBy().limit()``, which plans as
-``TakeOrderedAndProject`` (per-partition top-k, then a k-row merge); per-group
-top-k uses ``row_number() <= k``, which Spark turns into a partial
-``WindowGroupLimit`` below the shuffle.
+with its raw rows. Top-k uses ``row_number() <= k``, which Spark turns into a
+partial ``WindowGroupLimit`` below the shuffle: per group, or per bucket of
+input splits with a last merge of k rows a bucket.
 """
 
 from __future__ import annotations
@@ -26,10 +25,20 @@ def _keys(by: Sequence[str]) -> list[Column]:
     return [F.col(b) for b in by]
 
 
-def top_k(df: DataFrame, order: Sequence[Column], k: int, by: Sequence[str] = ()) -> DataFrame:
-    """The first ``k`` rows in ``order``, overall or per ``by`` group."""
+#: Buckets of input splits whose best rows are merged apart, before the last merge.
+TOP_K_BUCKETS = 256
+
+
+def top_k(df: DataFrame, order: Sequence[Column], k: int, by: Sequence[str] = (), buckets: int = TOP_K_BUCKETS) -> DataFrame:
+    """The first ``k`` rows in ``order``, overall or per ``by`` group.
+
+    Overall in two levels: every task keeps its first ``k`` rows, the tasks'
+    rows meet in ``buckets`` groups that keep ``k`` each, and the last merge
+    reads ``buckets * k`` rows at most, however many input splits there are.
+    """
     if not by:
-        return df.orderBy(*order).limit(k)
+        rows = df.withColumn("_bucket", F.pmod(F.spark_partition_id(), F.lit(buckets)))
+        return top_k(rows, order, k, ["_bucket"]).drop("_bucket").orderBy(*order).limit(k)
     rank = F.row_number().over(Window.partitionBy(*_keys(by)).orderBy(*order))
     return df.withColumn("_rank", rank).filter(F.col("_rank") <= k).drop("_rank")
 

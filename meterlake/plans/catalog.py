@@ -119,6 +119,11 @@ def _literal(x: object) -> str:
     return str(int(x)) if isinstance(x, (int, bool)) else _text(str(x))
 
 
+def partitions(spark: SparkSession, name: str) -> DataFrame:
+    """The catalog's list of a table's partitions, one ``a=1/b=2`` a row."""
+    return spark.sql(f"SHOW PARTITIONS {quoted(name)}")
+
+
 def list_tables(spark: SparkSession, database: str | None = None) -> list[str]:
     """D6."""
     return [t.name for t in spark.catalog.listTables(database)]

@@ -19,6 +19,7 @@ from meterlake.operators.features import row_features
 from meterlake.session import shared_dir
 from meterlake.schema import METER, Meter
 from meterlake.sinks.files import write_parquet
+from meterlake.sinks.snapshots import Record, SnapshotTable
 from meterlake.sources.text import read_raw
 
 
@@ -66,3 +67,22 @@ def feature_job(
     if paths.rows:
         write_parquet(row_features(cleaned, meter), paths.rows, partition_by=("year", "month"))
     return spark.read.parquet(paths.hourly), spark.read.parquet(paths.daily)
+
+
+def fold_job(
+    spark: SparkSession,
+    root: str,
+    partition_by: Sequence[str],
+    at_least: int = 2,
+    keep_seconds: float = 24 * 3600,
+    meter: Meter = METER,
+) -> Record:
+    """Fold the landed batches of the snapshot table at ``root`` once there
+    are ``at_least`` of them, beside running streams and readers, and remove
+    directories that left the table longer than ``keep_seconds`` ago (X13)."""
+    table = SnapshotTable(spark, root, partition_by=partition_by)
+    record = table.record()
+    if len(record.live) >= at_least:
+        record = table.fold(sort_by=(meter.time,))
+    table.vacuum(keep_seconds)
+    return record

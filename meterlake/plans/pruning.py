@@ -11,9 +11,10 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from meterlake.plans import catalog
 from meterlake.schema import METER, PARTITION_COLUMNS, Meter
 
 
@@ -120,3 +121,44 @@ def newest(df: DataFrame, k: int, meter: Meter = METER, distinct: bool = False)
     recent = between(df, newest_hours_bound(df, k), None, meter, include_start=True, partitioned=True)
     bound = newest_bound(recent, k, meter, distinct)
     return between(df, bound, None, meter, include_start=True, partitioned=True)
+
+
+# --- catalog tables: bounds from the partition list, without opening a file ----
+
+
+def newest_hours_of_table(spark: SparkSession, table: str, k: int) -> list[dt.datetime]:
+    """The ``k`` newest hours for which ``table`` has a partition, newest
+    first. They come from the catalog's list of partitions; no directory is
+    listed and no file is opened."""
+    values = [F.regexp_extract("partition", f"(?:^|/){c}=([0-9]+)(?:/|$)", 1).try_cast("int") for c in PARTITION_COLUMNS]
+    hours = catalog.partitions(spark, table).select(F.try_make_timestamp(*values, F.lit(0), F.lit(0)).alias("_h"))
+    return [r["_h"] for r in hours.dropna().distinct().orderBy(F.col("_h").desc()).limit(k).collect()]
+
+
+def newest_in_table(spark: SparkSession, table: str, k: int, meter: Meter = METER, distinct: bool = False) -> DataFrame:
+    """Rows of a catalog table that a newest-``k`` report needs. The first
+    guess is its ``k`` newest hours, of which each normally holds a row; the
+    rows (distinct times) there are counted, and hours are added while they
+    are too few, as hours may be registered that hold none. Every bound is a
+    literal, so only those partitions are planned, listed and read."""
+    df, hours, t = catalog.read_table(spark, table), k, F.col(meter.time)
+    while True:
+        found = newest_hours_of_table(spark, table, hours)
+        if not found:
+            return df.filter(F.lit(False))
+        recent = between(df, found[-1], None, meter, include_start=True, partitioned=True)
+        times = recent.select(t).filter(t.isNotNull())
+        enough = (times.distinct() if distinct else times).limit(k).count() >= k
+        if enough or len(found) < hours:  # all hours there are
+            return recent
+        hours *= 4
+
+
+def last_hours_in_table(spark: SparkSession, table: str, hours: int, meter: Meter = METER) -> DataFrame:
+    """The ``hours`` hours up to the newest reading of a catalog table (X9);
+    the newest reading is sought in the newest hours that hold one."""
+    newest_row = newest_in_table(spark, table, 1, meter).select(F.max(meter.time).alias("t")).first()
+    df = catalog.read_table(spark, table)
+    if newest_row is None or newest_row["t"] is None:
+        return df.filter(F.lit(False))
+    return between(df, newest_row["t"] - dt.timedelta(hours=hours), None, meter, partitioned=True)

@@ -15,18 +15,20 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from meterlake.operators import clean, dashboard, features, insights, reports, rollup
-from meterlake.plans import catalog
+from meterlake.operators.asof import asof_join
+from meterlake.plans import catalog, pruning
 from meterlake.plans.sql import parquet_source, run_sql
 from meterlake.paths import qualified, total_bytes, version
 from meterlake.schema import METER, PARTITION_COLUMNS
 from meterlake.session import shared_dir
 from meterlake.sinks import messages as sink_messages
+from meterlake.sinks import snapshots
 from meterlake.sinks.files import compact, export_csv, write_parquet
 from meterlake.streaming import aggregates, ingest, landing
 from meterlake.streaming import rollup as stream_rollup
 from meterlake.sources import messages as src_messages
 from meterlake.sources import text
-from meterlake.sources.readings import readings
+from meterlake.sources.readings import prices, readings
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -326,21 +328,35 @@ def q_catalog_hour_profile(spark, sf_dir):
 
 @register("catalog_latest", writes=True)
 def q_catalog_latest(spark, sf_dir):
-    """Newest 100 stored readings; full rows are read from the newest
-    partitions only. No row id is stored, so ties break on the measures."""
-    return checked(reports.latest(stored_table(spark, sf_dir), limit=100, partitioned=True))
+    """Newest 100 stored readings, read from the newest partitions that the
+    catalog lists. No row id is stored, so ties break on the measures."""
+    stored_table(spark, sf_dir)
+    return checked(reports.latest(pruning.newest_in_table(spark, own_table(spark, "energy_data"), 100), limit=100))
 
 
 @register("catalog_timeseries", writes=True)
 def q_catalog_timeseries(spark, sf_dir):
     """Dashboard time series on the stored table, newest partitions only."""
-    return checked(reports.timeseries(stored_table(spark, sf_dir), limit=100, partitioned=True))
+    stored_table(spark, sf_dir)
+    rows = pruning.newest_in_table(spark, own_table(spark, "energy_data"), 100, distinct=True)
+    return checked(reports.timeseries(rows, limit=100))
 
 
 @register("catalog_last_hours", writes=True)
 def q_catalog_last_hours(spark, sf_dir):
     """Last-24-hours series on the stored table: the window's partitions only."""
-    return checked(insights.timeseries_hours(stored_table(spark, sf_dir), hours=24, partitioned=True))
+    stored_table(spark, sf_dir)
+    rows = pruning.last_hours_in_table(spark, own_table(spark, "energy_data"), 24)
+    return checked(reports.timeseries(rows, limit=None))
+
+
+@register("catalog_between", writes=True)
+def q_catalog_between(spark, sf_dir):
+    """Stored readings of a stated time window (X9): two literal bounds, from
+    which the partitions follow."""
+    table = stored_table(spark, sf_dir)
+    rows = pruning.between(table, "2024-01-09 22:30:00", "2024-01-11 03:15:00", partitioned=True)
+    return checked(rows.select(*ingest.stored_columns()))
 
 
 @register("catalog_zone_counts", writes=True)
@@ -421,8 +437,16 @@ def q_forecast_profile(spark, sf_dir):
 
 @register("weather_impact")
 def q_weather_impact(spark, sf_dir):
-    data = cleaned(spark, sf_dir)
-    return checked(insights.weather_impact(data, insights.hourly_weather(data)))
+    """Hourly load against the hourly mean of a second series."""
+    second = insights.hourly_means(prices(spark, sf_dir), ["price"])
+    return checked(insights.weather_impact(cleaned(spark, sf_dir), second))
+
+
+@register("asof_price")
+def q_asof_price(spark, sf_dir):
+    """Each reading with the last price before it, if of the last hour."""
+    rows = cleaned(spark, sf_dir).select("event_id", "datetime", "global_active_power")
+    return checked(asof_join(rows, prices(spark, sf_dir), ["price"], tolerance_seconds=3600))
 
 
 # --- dashboard presentation, ML forecast ----------------------------------------
@@ -448,11 +472,17 @@ def q_latest_table(spark, sf_dir):
 
 @register("ml_forecast")
 def q_ml_forecast(spark, sf_dir):
-    """Linear-regression forecast against the seasonal profile (X2); an
-    iterative fit, so no SQL oracle (rows-only check)."""
+    """Linear-regression forecast against the seasonal profile (X2), fitted
+    from one aggregation to moments."""
     return checked(insights.ml_forecast(cleaned(spark, sf_dir), test_days=7))
 
 
+@register("ml_forecast_daily")
+def q_ml_forecast_daily(spark, sf_dir):
+    """The same forecast from moments kept per day and merged."""
+    return checked(insights.ml_forecast(cleaned(spark, sf_dir), test_days=7, daily=True))
+
+
 # --- per meter (``by``): user_id of the events plays the meter key -------------
 
 METER_KEY = ("meter_id",)
@@ -516,8 +546,15 @@ def q_submeter_share_by_meter(spark, sf_dir):
 
 @register("weather_impact_by_meter")
 def q_weather_impact_by_meter(spark, sf_dir):
-    data = cleaned_meters(spark, sf_dir)
-    return checked(insights.weather_impact(data, insights.hourly_weather(data), by=METER_KEY))
+    second = insights.hourly_means(prices(spark, sf_dir), ["price"])
+    return checked(insights.weather_impact(cleaned_meters(spark, sf_dir), second, by=METER_KEY))
+
+
+@register("asof_price_by_meter")
+def q_asof_price_by_meter(spark, sf_dir):
+    """Each reading with its own meter's last price, at most two days old."""
+    rows = cleaned_meters(spark, sf_dir).select("meter_id", "event_id", "datetime", "global_active_power")
+    return checked(asof_join(rows, prices(spark, sf_dir), ["price"], tolerance_seconds=2 * 86400, by=METER_KEY))
 
 
 @register("forecast_by_meter")
@@ -525,6 +562,14 @@ def q_forecast_by_meter(spark, sf_dir):
     return checked(insights.forecast_profile(cleaned_meters(spark, sf_dir), horizon=24, by=METER_KEY))
 
 
+@register("ml_forecast_by_meter")
+def q_ml_forecast_by_meter(spark, sf_dir):
+    """A regression of its own for every meter, on hour of day and weekend
+    (most meters lack the hour before or the day before a reading)."""
+    data = cleaned_meters(spark, sf_dir)
+    return checked(insights.ml_forecast(data, test_days=7, by=METER_KEY, features=("hour", "is_weekend")))
+
+
 # --- reports from the hourly rollup (mergeable partial aggregates) --------------
 
 
@@ -614,6 +659,56 @@ def q_stream_landing(spark, sf_dir):
     return checked(spark.table(table).drop(landing.BATCH_COLUMN))
 
 
+def _two_spools(spark: SparkSession, sf_dir: str, base: str) -> tuple[str, list[DataFrame]]:
+    """A spool directory and the messages of the readings in two halves, for
+    queries that publish the second after something has happened."""
+    rows = readings(spark, sf_dir)
+    return f"{base}/spool", [sink_messages.to_messages(rows.filter(F.col("event_id") % 2 == i)) for i in (0, 1)]
+
+
+@register("snapshot_landing", writes=True)
+def q_snapshot_landing(spark, sf_dir):
+    """Batches landed in a snapshot table, folded into one directory, and the
+    stream gone on into the folded table (X8, X13): all rows of the table."""
+    base = shared_dir(spark, "snapshots")
+    spool, halves = _two_spools(spark, sf_dir, base)
+    table = snapshots.SnapshotTable(spark, f"{base}/table", partition_by=("year", "month", "day"))
+    for half in halves:
+        sink_messages.write_spool(half, spool, mode="append")
+        parsed = src_messages.parse_json(src_messages.read_spool(spark, spool, max_bytes_per_trigger=BATCH_BYTES))
+        snapshots.start_landing(table, ingest.to_stored(parsed), f"{base}/checkpoint", AVAILABLE_NOW).awaitTermination()
+        table.fold(sort_by=("datetime",))
+    return checked(table.read())
+
+
+@register("snapshot_rollup", writes=True)
+def q_snapshot_rollup(spark, sf_dir):
+    """Daily features from an hourly rollup whose batch partials are folded
+    into one row an hour between batches (X6, X13)."""
+    base = shared_dir(spark, "snapshot-rollup")
+    spool, halves = _two_spools(spark, sf_dir, base)
+    schema = rollup.hourly_rollup(cleaned(spark, sf_dir)).schema
+    table = snapshots.SnapshotTable(spark, f"{base}/table", schema, partition_by=("year", "month"))
+    for half in halves:
+        sink_messages.write_spool(half, spool, mode="append")
+        parsed = src_messages.parse_json(src_messages.read_spool(spark, spool, max_bytes_per_trigger=BATCH_BYTES))
+        query = snapshots.start_landing(table, clean.clean_stream(parsed), f"{base}/checkpoint", AVAILABLE_NOW, of=rollup.hourly_rollup)
+        query.awaitTermination()
+        table.fold(lambda rows: rollup.merge(rows, PARTITION_COLUMNS, with_m2=True))
+    return checked(rollup.daily_features(table.read()))
+
+
+@register("compacted_readings", writes=True)
+def q_compacted_readings(spark, sf_dir):
+    """All rows of the stored table after its rewrite into a year/month
+    layout (X13)."""
+    stored_table(spark, sf_dir)
+    path = shared_dir(spark, "compacted")
+    compact(spark.read.parquet(_STORED[_input_key(spark, sf_dir)]), path, partition_by=("year", "month"))
+    columns = [c for c in ingest.stored_columns() if c not in ("day", "hour")]
+    return checked(spark.read.parquet(path).select(*columns))
+
+
 @register("stream_dedup", writes=True)
 def q_stream_dedup(spark, sf_dir):
     """Every message of every meter published twice (a publisher that retried

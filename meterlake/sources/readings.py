@@ -48,3 +48,10 @@ def readings_from_events(events: DataFrame, keep_meter: bool = False) -> DataFra
 
 def readings(spark: SparkSession, sf_dir: str, keep_meter: bool = False) -> DataFrame:
     return readings_from_events(read_table(spark, sf_dir, "events"), keep_meter=keep_meter)
+
+
+def prices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A second series with times of its own, at full precision: the value of
+    every purchase event, ``datetime, price, meter_id``."""
+    events = read_table(spark, sf_dir, "events")
+    return events.filter("event_type = 'purchase' AND value IS NOT NULL").selectExpr("ts AS datetime", "value AS price", "user_id AS meter_id")

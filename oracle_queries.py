@@ -340,16 +340,29 @@ FROM future LEFT JOIN profile
   ON profile.weekday = CAST(dayofweek(future.hour_start) + 1 AS INTEGER)
  AND profile.hour = CAST(hour(future.hour_start) AS INTEGER)"""
 
-SQL["weather_impact"] = f"""{BASE}, {HOURLY},
-weather AS (
-  SELECT DISTINCT date_trunc('hour', datetime) AS h FROM clean
-),
-weather_t AS (
-  SELECT h, CAST(5 + day(h) % 10 + hour(h) / 4e0 AS DOUBLE) AS temp_c FROM weather
-)
-SELECT count(*) AS hours, count(temp_c) AS hours_with_temp_c,
-  {r('corr(temp_c, load)', 'corr_temp_c_load')}
-FROM hourly LEFT JOIN weather_t ON weather_t.h = hourly.hour_start"""
+PRICES = """
+prices AS (
+  SELECT ts, value AS price, user_id AS meter_id FROM events WHERE event_type = 'purchase' AND value IS NOT NULL),
+hourly_prices AS (SELECT date_trunc('hour', ts) AS h, avg(price) AS price FROM prices GROUP BY 1)"""
+
+SQL["weather_impact"] = f"""{BASE}, {HOURLY}, {PRICES}
+SELECT count(*) AS hours, count(price) AS hours_with_price, {r('corr(price, load)', 'corr_price_load')}
+FROM hourly LEFT JOIN hourly_prices ON h = hourly.hour_start"""
+
+
+def _asof(seconds: int, key: str = "") -> str:
+    """The last price at or before each reading; of equal times the greatest."""
+    own, on = (f"{key}, ", f"c.{key} = s.{key} AND ") if key else ("", "")
+    near = f"epoch_us(c.datetime) - epoch_us(s.ts) <= {seconds * 1_000_000}"
+    return f"""{BASE}, {PRICES},
+s AS (SELECT {own}ts, max(price) AS price FROM prices GROUP BY ALL)
+SELECT {f"c.{key}, " if key else ""}event_id, datetime, {r("global_active_power", "global_active_power")},
+  CASE WHEN {near} THEN {rd("s.price")} END AS price,
+  CASE WHEN {near} THEN {rd("(epoch_us(c.datetime) - epoch_us(s.ts)) / 1e6")} END AS age_seconds
+FROM clean c ASOF LEFT JOIN s ON {on}c.datetime >= s.ts"""
+
+
+SQL["asof_price"] = _asof(3600)
 
 
 # --- dashboard presentation -------------------------------------------------------
@@ -489,6 +502,13 @@ SQL["sql_over_files"] = SQL["statistics"]
 SQL["csv_export"] = SQL["hour_profile"]
 SQL["compacted_month_counts"] = SQL["month_counts"]
 SQL["stream_landing"] = SQL["stream_ingest"]
+SQL["snapshot_landing"] = SQL["stream_ingest"]
+SQL["snapshot_rollup"] = SQL["daily_features"]
+SQL["compacted_readings"] = f"""{BASE}
+SELECT datetime, {rounded_measures()}, zone, year, month FROM clean"""
+SQL["catalog_between"] = f"""{BASE}
+SELECT {STORED_COLUMNS} FROM clean
+WHERE datetime > TIMESTAMP '2024-01-09 22:30:00' AND datetime <= TIMESTAMP '2024-01-11 03:15:00'"""
 
 SQL["stream_dedup"] = f"""{BASE}
 SELECT event_id AS message_id, meter_id, datetime, {rounded_measures()}
@@ -521,12 +541,76 @@ SQL["weather_impact_by_meter"] = f"""{BASE},
 hourly AS (
   SELECT meter_id, date_trunc('hour', datetime) AS hour_start, avg(global_active_power) AS load
   FROM clean GROUP BY 1, 2
-),
-weather_t AS (
-  SELECT h, CAST(5 + day(h) % 10 + hour(h) / 4e0 AS DOUBLE) AS temp_c
-  FROM (SELECT DISTINCT date_trunc('hour', datetime) AS h FROM clean)
-)
-SELECT meter_id, count(*) AS hours, count(temp_c) AS hours_with_temp_c,
-  {r('corr(temp_c, load)', 'corr_temp_c_load')}
-FROM hourly LEFT JOIN weather_t ON weather_t.h = hourly.hour_start
+), {PRICES}
+SELECT meter_id, count(*) AS hours, count(price) AS hours_with_price, {r('corr(price, load)', 'corr_price_load')}
+FROM hourly LEFT JOIN hourly_prices ON h = hourly.hour_start
 GROUP BY meter_id"""
+
+SQL["asof_price_by_meter"] = _asof(2 * 86400, "meter_id")
+
+
+# --- regression forecast: normal equations in SQL ----------------------------------
+
+
+def _det(m: list[list[str]]) -> str:
+    """Determinant of a matrix of expressions, expanded along its first row."""
+    if len(m) == 1:
+        return m[0][0]
+    terms = [f"({m[0][j]}) * ({_det([row[:j] + row[j + 1:] for row in m[1:]])})" for j in range(len(m))]
+    return " ".join(("-" if j % 2 else "+") + t for j, t in enumerate(terms))
+
+
+def _forecast(features: list[str], lags: bool, by: str = "") -> str:
+    """Cramer's rule on the centred moments; with two features, one that does
+    not vary (or only with the first) has the coefficient 0."""
+    k, key = len(features), f"{by}, " if by else ""
+    on = f"USING ({by})" if by else "ON TRUE"
+    group = f"GROUP BY {by}" if by else ""
+    joins = ""
+    if lags:
+        joins = """JOIN hourly p ON p.hour_start = h.hour_start - INTERVAL 1 HOUR
+  JOIN hourly q ON q.hour_start = h.hour_start - INTERVAL 24 HOURS"""
+    cov = lambda a, b: f"covar_pop({a}, {b})"
+    mat = [[f"c{min(i, j)}{max(i, j)}" for j in range(k)] for i in range(k)]
+    if k == 2:
+        d = "(c11 - c01 * c01 / c00)"
+        second = f"CASE WHEN c00 > 0 THEN (CASE WHEN {d} > 1e-9 * c11 THEN (y1 - c01 * y0 / c00) / {d} ELSE 0 END) WHEN c11 > 0 THEN y1 / c11 ELSE 0 END"
+        coefs = [f"CASE WHEN c00 > 0 THEN (y0 - c01 * ({second})) / c00 ELSE 0 END", second]
+    else:
+        whole = _det(mat)
+        coefs = [f"({_det([[f'y{i}' if j == p else mat[i][j] for j in range(k)] for i in range(k)])}) / ({whole})" for p in range(k)]
+    return f"""{BASE},
+hourly AS (
+  SELECT {key}date_trunc('hour', datetime) AS hour_start, avg(global_active_power) AS load
+  FROM clean GROUP BY ALL),
+feats AS (
+  SELECT h.*, {"p.load AS lag_1h, q.load AS lag_24h, " if lags else ""}CAST(hour(h.hour_start) AS DOUBLE) AS hour,
+    CASE WHEN dayofweek(h.hour_start) IN (0, 6) THEN 1e0 ELSE 0e0 END AS is_weekend
+  FROM hourly h {joins}
+  WHERE h.load IS NOT NULL),
+bound AS (SELECT max(hour_start) - INTERVAL 7 DAYS AS cutoff FROM feats),
+train AS (SELECT feats.* FROM feats, bound WHERE hour_start <= cutoff),
+test AS (SELECT feats.* FROM feats, bound WHERE hour_start > cutoff),
+m AS (
+  SELECT {key}avg(load) AS mean_y, {", ".join(f"avg({f}) AS mean_{i}" for i, f in enumerate(features))},
+    {", ".join(f"{cov(features[i], features[j])} AS c{i}{j}" for i in range(k) for j in range(i, k))},
+    {", ".join(f"{cov(f, 'load')} AS y{i}" for i, f in enumerate(features))}
+  FROM train {group}),
+fit AS (SELECT *, {", ".join(f"{c} AS b{i}" for i, c in enumerate(coefs))} FROM m),
+linear AS (
+  SELECT {key}'linear_regression' AS model,
+    {r("avg(abs(mean_y + " + " + ".join(f"b{i} * ({f} - mean_{i})" for i, f in enumerate(features)) + " - load))", "mae")},
+    count(*) AS test_hours
+  FROM test LEFT JOIN fit {on} {group}),
+profile AS (
+  SELECT {key}dayofweek(hour_start) AS wd, hour(hour_start) AS hr, avg(load) AS profile FROM train GROUP BY ALL),
+seasonal AS (
+  SELECT {key}'seasonal_profile' AS model, {r("avg(abs(profile - load))", "mae")}, count(*) AS test_hours
+  FROM (SELECT *, dayofweek(hour_start) AS wd, hour(hour_start) AS hr FROM test)
+    LEFT JOIN profile USING ({key}wd, hr) {group})
+SELECT * FROM linear UNION ALL SELECT * FROM seasonal"""
+
+
+SQL["ml_forecast"] = _forecast(["lag_1h", "lag_24h", "hour", "is_weekend"], lags=True)
+SQL["ml_forecast_daily"] = SQL["ml_forecast"]
+SQL["ml_forecast_by_meter"] = _forecast(["hour", "is_weekend"], lags=False, by="meter_id")
