@@ -69,3 +69,14 @@ def test_lexicons_of_folds(llm_spark):
     counts = tox.count_words(labelled, "text", "y", "f")
     assert set(tox.learn_lexicon(counts)) == {"awful", "onlyhere"} and set(tox.learn_lexicon(counts, without=3)) == {"awful"}
     assert len(tox.learn_lexicon(counts, max_words=1)) == 1 and set(tox.learn_lexicon(counts, min_texts=50)) == {"awful"}
+
+
+def test_fits_are_repeatable(llm_spark):
+    """Other partitions and another run give the same model and scores."""
+    docs = llm_spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    labels = llm_spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
+    runs = []
+    for n in (2, 7, 7):
+        model = tox.fit_toxicity(docs.repartition(n), labels.repartition(n), rounds=8)
+        runs.append({r.doc_id: r.score for r in model.score(docs).collect()})
+    assert runs[0] == runs[1] == runs[2] and len(set(runs[0].values())) > 2
