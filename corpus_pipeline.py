@@ -54,7 +54,8 @@ def drop_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     place has. A text that loses nothing stays as it is; the words that stay
     of another are joined by single spaces, and may be none."""
     ship(spark)
-    done = substring_dedup.substring_dedup(docs, window=20, keep=tuple(c for c in docs.columns if c != "doc_id"))
+    # smaller blocks than the operator's own: the stages before have filled the executors' heaps
+    done = substring_dedup.substring_dedup(docs, window=20, block_bytes=4 << 20, keep=tuple(c for c in docs.columns if c != "doc_id"))
     text = F.when(F.col("n_removed") > 0, F.col("kept_text")).otherwise(F.col("text"))
     whole = done.withColumn("text", text).withColumn("n_chars", F.when(F.col("n_removed") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars")))
     return whole.select(*docs.columns)
