@@ -3,6 +3,7 @@
     python -m meterlake ingest   --path P --checkpoint C [--table T] [--wire json|raw]
     python -m meterlake clean    --raw R --out O [--policy batch|stream] [--partition-by year,month]
     python -m meterlake features --cleaned C --hourly H --daily D [--rows R]
+    python -m meterlake publish  --raw R [--spool S]
     python -m meterlake fold     --root R [--partition-by year,month,day] [--at-least N] [--keep-hours H]
     python -m meterlake sql      [--view name=parquet_path ...] "SELECT ..."
 
@@ -52,6 +53,10 @@ def parser() -> argparse.ArgumentParser:
     fe.add_argument("--daily", required=True)
     fe.add_argument("--rows")
 
+    pu = sub.add_parser("publish", help="raw ';' text -> JSON messages in the topic, or in a spool folder")
+    pu.add_argument("--raw", required=True)
+    pu.add_argument("--spool")
+
     fo = sub.add_parser("fold", help="fold the landed batches of a snapshot table, remove what left it long ago")
     fo.add_argument("--root", required=True)
     fo.add_argument("--partition-by", type=_split, default=PARTITION_COLUMNS)
@@ -77,6 +82,8 @@ def main(argv: Sequence[str] | None = None, out=None) -> int:
     elif args.command == "features":
         paths = jobs.FeaturePaths(args.hourly, args.daily, args.rows)
         jobs.feature_job(spark, spark.read.parquet(args.cleaned), paths)
+    elif args.command == "publish":
+        jobs.publish_job(spark, args.raw, args.spool, None if args.spool else Settings.from_env())
     elif args.command == "fold":
         jobs.fold_job(spark, args.root, args.partition_by, args.at_least, args.keep_hours * 3600)
     elif args.command == "sql":

@@ -20,7 +20,9 @@ from meterlake.session import shared_dir
 from meterlake.schema import METER, Meter
 from meterlake.sinks.files import write_parquet
 from meterlake.sinks.snapshots import Record, SnapshotTable
-from meterlake.sources.text import read_raw
+from meterlake.settings import Settings
+from meterlake.sinks.messages import publish_kafka, to_messages, write_spool
+from meterlake.sources.text import line_id, numbered_lines, parse_raw_lines, read_raw
 
 
 @dataclass(frozen=True)
@@ -69,6 +71,41 @@ def feature_job(
     return spark.read.parquet(paths.hourly), spark.read.parquet(paths.daily)
 
 
+MESSAGE_ID = "message_id"
+
+
+def readings_to_publish(spark: SparkSession, raw_path: str, meter: Meter = METER) -> DataFrame:
+    """Readings of raw text files with the id that a rerun gives them again."""
+    lines = numbered_lines(spark, raw_path).withColumn(MESSAGE_ID, line_id())
+    return parse_raw_lines(lines, "value", meter, carry=(MESSAGE_ID,))
+
+
+def publish_job(
+    spark: SparkSession,
+    raw_path: str,
+    spool: str | None = None,
+    settings: Settings | None = None,
+    meter: Meter = METER,
+    key: str = MESSAGE_ID,
+) -> None:
+    """Publish raw text files as JSON messages (K4), to a spool folder or to
+    the topic of ``settings``.
+
+    Each message carries the file, number and hash of its line as
+    ``message_id``: a publisher that failed is run again whole, and readers
+    drop what came twice by that id (``drop_repeats``). Messages are keyed by
+    the id, so no topic partition gets more than its share, or by ``key``.
+    Blank and header lines are no messages; a missing measure stays absent.
+    """
+    if (spool is None) == (settings is None):
+        raise ValueError("publish to a spool folder or to a topic")
+    messages = to_messages(readings_to_publish(spark, raw_path, meter), meter, carry=(MESSAGE_ID,), key=key)
+    if spool is not None:
+        write_spool(messages, spool)
+    else:
+        publish_kafka(messages, settings)
+
+
 def fold_job(
     spark: SparkSession,
     root: str,

@@ -9,6 +9,7 @@ SQL oracle produces: time columns as ``TIMESTAMP_NTZ`` and doubles rounded to
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,7 +17,7 @@ from pyspark.sql import types as T
 
 from meterlake.operators import clean, dashboard, features, insights, reports, rollup
 from meterlake.operators.asof import asof_join
-from meterlake.plans import catalog, pruning
+from meterlake.plans import catalog, jobs, pruning
 from meterlake.plans.sql import parquet_source, run_sql
 from meterlake.paths import qualified, total_bytes, version
 from meterlake.schema import METER, PARTITION_COLUMNS
@@ -24,7 +25,7 @@ from meterlake.session import shared_dir
 from meterlake.sinks import messages as sink_messages
 from meterlake.sinks import snapshots
 from meterlake.sinks.files import compact, export_csv, write_parquet
-from meterlake.streaming import aggregates, ingest, landing
+from meterlake.streaming import aggregates, alerts, ingest, landing, late, live, screening
 from meterlake.streaming import rollup as stream_rollup
 from meterlake.sources import messages as src_messages
 from meterlake.sources import text
@@ -734,3 +735,104 @@ def q_stream_dedup(spark, sf_dir):
 
 
 _TWICE: dict[tuple, str] = {}
+
+
+ID_FIELD = T.StructField("event_id", T.LongType())
+
+
+def _publish(rows: DataFrame, spool: str) -> None:
+    """Readings with their event id added to a spool."""
+    sink_messages.write_spool(sink_messages.to_messages(rows, carry=("event_id",)), spool)
+
+
+def _parsed(spark: SparkSession, spool: str, raw: str | None = None) -> DataFrame:
+    """The stream of a spool; all that was published since is one batch."""
+    return src_messages.parse_json(src_messages.read_spool(spark, spool), carry=[ID_FIELD], raw=raw)
+
+
+@register("stream_screened", writes=True)
+def q_stream_screened(spark, sf_dir):
+    """Every message with its outcome: those that the streaming policy drops
+    are stored beside the others with what they lack (X12)."""
+    base = shared_dir(spark, "screened")
+    spool = f"{base}/spool"
+    rows = readings(spark, sf_dir)
+    table = None
+    for i in (0, 1):
+        _publish(rows.filter(F.col("event_id") % 2 == i), spool)
+        parsed = _parsed(spark, spool, raw="message")
+        table = table or screening.screened_table(spark, f"{base}/table", parsed.schema)
+        screening.start_screening(table, parsed, f"{base}/checkpoint", AVAILABLE_NOW).awaitTermination()
+        table.fold(sort_by=("datetime",))
+    out = table.read().withColumn("reasons", F.array_join("reasons", ","))
+    return checked(out.drop("message"))
+
+
+@register("stream_reject_counts")
+def q_stream_reject_counts(spark, sf_dir):
+    """Rejected rows by reason: the missing values that ``quality`` counts."""
+    return screening.reject_counts(clean.screen(readings(spark, sf_dir)).where("outcome = 'rejected'"))
+
+
+@register("stream_late_rows", writes=True)
+def q_stream_late_rows(spark, sf_dir):
+    """Even readings published first, then all of them: the copies are dropped
+    and what is behind the watermark by then is stored as late (X7)."""
+    base = shared_dir(spark, "once")
+    spool = f"{base}/spool"
+    rows = readings(spark, sf_dir)
+    table = None
+    for part in (rows.filter("event_id % 2 = 0"), rows):
+        _publish(part, spool)
+        parsed = _parsed(spark, spool)
+        table = table or late.once_table(spark, f"{base}/table", parsed.schema)
+        late.start_once(table, parsed, f"{base}/checkpoint", ("event_id",), timedelta(days=1), AVAILABLE_NOW).awaitTermination()
+    return checked(table.read().drop(late.DAY))
+
+
+@register("stream_live_hours", writes=True)
+def q_stream_live_hours(spark, sf_dir):
+    """Hourly windows in update mode, open ones included, over two batches
+    that part an hour between them, folded after the first (X6)."""
+    base = shared_dir(spark, "live")
+    spool = f"{base}/spool"
+    rows = cleaned(spark, sf_dir)
+    seconds = F.unix_timestamp("datetime")
+    cut = rows.agg((F.min(seconds) + F.max(seconds)) / 2).first()[0]  # one number; NULL without rows
+    first = F.coalesce(seconds < F.lit(cut), F.lit(False))
+    table = None
+    for part in (rows.filter(first), rows.filter(~first)):
+        _publish(part, spool)
+        parsed = clean.clean_stream(_parsed(spark, spool))
+        table = table or live.live_table(spark, f"{base}/table", parsed.schema)
+        live.start_live_windows(table, parsed, f"{base}/checkpoint", trigger=AVAILABLE_NOW).awaitTermination()
+        live.fold(table)
+    return checked(live.current(table))
+
+
+@register("stream_alerts", writes=True)
+def q_stream_alerts(spark, sf_dir):
+    """Three batches of readings, each hourly load judged by the baseline of
+    the batches before (X3)."""
+    base = shared_dir(spark, "alerts")
+    spool = f"{base}/spool"
+    rows = readings(spark, sf_dir)
+    tables = None
+    for i in range(3):
+        _publish(rows.filter(F.col("event_id") % 3 == i), spool)
+        parsed = clean.clean_stream(_parsed(spark, spool))
+        tables = tables or alerts.AlertTables(spark, f"{base}/tables", parsed.schema)
+        alerts.start_alerts(tables, parsed, f"{base}/checkpoint", k=1.5, trigger=AVAILABLE_NOW, fold_at=2).awaitTermination()
+    return checked(tables.alerts.read())
+
+
+@register("publish_twice", writes=True)
+def q_publish_twice(spark, sf_dir):
+    """The raw files published by a job that was run twice, read back with
+    repeats dropped by message id (K4, X7): each line once."""
+    spool = f"{shared_dir(spark, 'published')}/spool"
+    for _ in range(2):
+        jobs.publish_job(spark, raw_text_file(spark, sf_dir), spool)
+    carry = [T.StructField(jobs.MESSAGE_ID, T.StringType())]
+    parsed = src_messages.parse_json(src_messages.read_spool(spark, spool, stream=False), carry=carry)
+    return checked(aggregates.drop_repeats(parsed).drop(jobs.MESSAGE_ID))

@@ -31,9 +31,11 @@ def message_value(meter: Meter = METER, carry: Sequence[str] = ()) -> Column:
     return F.to_json(F.struct(datetime_text(t).alias("datetime"), *[F.col(m) for m in (*meter.measures, *carry)]))
 
 
-def to_messages(df: DataFrame, meter: Meter = METER, carry: Sequence[str] = ()) -> DataFrame:
-    """Readings → ``value`` column of JSON messages (K4)."""
-    return df.select(message_value(meter, carry).alias("value"))
+def to_messages(df: DataFrame, meter: Meter = METER, carry: Sequence[str] = (), key: str | None = None) -> DataFrame:
+    """Readings → ``value`` column of JSON messages (K4), with the text of the
+    column ``key`` as message key if one is named."""
+    keys = [F.col(key).cast("string").alias("key")] if key else []
+    return df.select(*keys, message_value(meter, carry).alias("value"))
 
 
 def legacy_message_value(meter: Meter = METER) -> Column:
@@ -53,9 +55,10 @@ def write_spool(messages: DataFrame, path: str, mode: str = "append") -> None:
 
 
 def publish_kafka(messages: DataFrame, settings: Settings, topic: str | None = None) -> None:
-    """Batch-publish ``value`` rows to a topic (needs the Kafka connector)."""
+    """Batch-publish ``value`` rows, by ``key`` where there is one, to a topic
+    (needs the Kafka connector)."""
     (
-        messages.select("value")
+        messages.select(*[c for c in ("key", "value") if c in messages.columns])
         .write.format("kafka")
         .option("kafka.bootstrap.servers", ",".join(settings.brokers))
         .option("topic", topic or settings.kafka_topic)

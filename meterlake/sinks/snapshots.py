@@ -23,7 +23,7 @@ import json
 import time
 import uuid
 from collections.abc import Callable, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
@@ -45,12 +45,14 @@ class Conflict(RuntimeError):
 @dataclass(frozen=True)
 class Record:
     """One version: the live directories, how far each stream's batches are
-    in the table, and which directories have left it (with the time)."""
+    in the table, which directories have left it (with the time), and what
+    each stream noted with its last batch."""
 
     version: int = 0
     live: tuple[str, ...] = ()
     landed: dict[str, int] = field(default_factory=dict)
     left: dict[str, float] = field(default_factory=dict)
+    notes: dict[str, str] = field(default_factory=dict)
 
 
 class SnapshotTable:
@@ -80,7 +82,7 @@ class SnapshotTable:
         finally:
             stream.close()
         raw = json.loads(text)
-        return Record(found, tuple(raw["live"]), raw["landed"], raw["left"])
+        return Record(found, tuple(raw["live"]), raw["landed"], raw["left"], raw.get("notes", {}))
 
     def _publish(self, record: Record) -> bool:
         """Make ``record`` its version, or return False if that is taken."""
@@ -88,7 +90,7 @@ class SnapshotTable:
         own = self._path(f"{self.root}/commits/.{uuid.uuid4().hex}")
         out = self._files.create(own, False)
         try:
-            out.write(bytearray(json.dumps({"live": record.live, "landed": record.landed, "left": record.left}).encode()))
+            out.write(bytearray(json.dumps({"live": record.live, "landed": record.landed, "left": record.left, "notes": record.notes}).encode()))
         finally:
             out.close()
         rename = jvm.org.apache.hadoop.fs.Options.Rename
@@ -111,7 +113,7 @@ class SnapshotTable:
             new = change(now)
             if new is None:
                 return now
-            new = Record(now.version + 1, new.live, new.landed, new.left)
+            new = replace(new, version=now.version + 1)
             if self._publish(new):
                 return new
 
@@ -131,8 +133,9 @@ class SnapshotTable:
 
     # --- writing ---------------------------------------------------------------
 
-    def land(self, batch: DataFrame, batch_id: int, stream: str = "stream") -> bool:
-        """Write one micro-batch and commit it; False if it is there already."""
+    def land(self, batch: DataFrame, batch_id: int, stream: str = "stream", note: str | None = None) -> bool:
+        """Write one micro-batch and commit it, with a short ``note`` that the
+        stream needs for its next one; False if it is there already."""
         if batch_id <= self.record().landed.get(stream, -1):
             return False
         name = f"{_DIRECTORY}={stream}-{batch_id}-{uuid.uuid4().hex[:8]}"
@@ -141,7 +144,8 @@ class SnapshotTable:
         def add(now: Record) -> Record | None:
             if batch_id <= now.landed.get(stream, -1):
                 return None  # another attempt was faster; this one's directory is no part of the table
-            return Record(0, (*now.live, name), {**now.landed, stream: batch_id}, now.left)
+            notes = now.notes if note is None else {**now.notes, stream: note}
+            return replace(now, live=(*now.live, name), landed={**now.landed, stream: batch_id}, notes=notes)
 
         return name in self.commit(add).live
 
@@ -161,7 +165,7 @@ class SnapshotTable:
             if not gone <= set(now.live):
                 raise Conflict(f"directories of version {before.version} have been replaced by another fold")
             when = time.time()
-            return Record(0, (name, *(d for d in now.live if d not in gone)), now.landed, {**now.left, **dict.fromkeys(gone, when)})
+            return replace(now, live=(name, *(d for d in now.live if d not in gone)), left={**now.left, **dict.fromkeys(gone, when)})
 
         return self.commit(switch)
 
@@ -174,7 +178,7 @@ class SnapshotTable:
         for d in old:
             self._files.delete(self._path(f"{self.root}/data/{d}"), True)
         if set(old) & set(now.left):
-            self.commit(lambda r: Record(0, r.live, r.landed, {d: t for d, t in r.left.items() if d not in old}))
+            self.commit(lambda r: replace(r, left={d: t for d, t in r.left.items() if d not in old}))
         return sorted(old)
 
 

@@ -56,16 +56,20 @@ def read_spool(
     return reader.text(path)
 
 
-def parse_json(df: DataFrame, column: str = "value", meter: Meter = METER, carry: Sequence[T.StructField] = ()) -> DataFrame:
+def parse_json(
+    df: DataFrame, column: str = "value", meter: Meter = METER, carry: Sequence[T.StructField] = (), raw: str | None = None
+) -> DataFrame:
     """JSON message values → typed readings (P7-P9), with the fields
-    ``carry`` that a publisher added (a message id, a meter key).
+    ``carry`` that a publisher added (a message id, a meter key) and, on request, the
+    text itself in the column ``raw``.
 
     PERMISSIVE parsing: a malformed document gives all NULLs, a field of the
     wrong type gives NULL for that field only; the datetime text is converted
     with ``try_cast``. Batch or stream.
     """
     data = F.from_json(binary_text(F.col(column)), wire_schema(meter, carry))
-    out = df.select(data.alias("_m")).select("_m.*").withColumn("datetime", iso_datetime(F.col("datetime")))
+    text = [binary_text(F.col(column)).alias(raw)] if raw else []
+    out = df.select(data.alias("_m"), *text).select("_m.*", *([raw] if raw else [])).withColumn("datetime", iso_datetime(F.col("datetime")))
     return out if meter.time == "datetime" else out.withColumnRenamed("datetime", meter.time)
 
 

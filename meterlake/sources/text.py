@@ -9,7 +9,9 @@ with ``try_`` functions so ``?`` and junk become NULL instead of failing.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from meterlake.functions.parse import raw_datetime, to_number
@@ -19,12 +21,13 @@ RAW_DDL = ", ".join(f"{name} STRING" for name in RAW_HEADER)
 CSV_OPTIONS = {"sep": RAW_SEPARATOR, "header": "true", "mode": "PERMISSIVE"}
 
 
-def parse_raw_columns(df: DataFrame, meter: Meter = METER) -> DataFrame:
-    """Raw text columns → ``datetime`` + seven doubles, lower-case names."""
+def parse_raw_columns(df: DataFrame, meter: Meter = METER, carry: Sequence[str] = ()) -> DataFrame:
+    """Raw text columns → ``datetime`` + seven doubles, lower-case names
+    (P1-P6), and the columns ``carry`` as they are."""
     date, time, *measures = RAW_HEADER
     cols: list[Column] = [raw_datetime(F.col(date), F.col(time)).alias(meter.time)]
     cols += [to_number(F.col(src)).alias(dst) for src, dst in zip(measures, meter.measures)]
-    return df.select(*cols)
+    return df.select(*cols, *carry)
 
 
 def read_raw(spark: SparkSession, path: str, meter: Meter = METER) -> DataFrame:
@@ -43,6 +46,41 @@ def read_raw_lines(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path)
 
 
+def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
+    """Raw lines with the file they are in and their number there (``value,
+    file, line``, from 0, blank and header lines counted).
+
+    A first scan counts the lines of each split, a running sum over the splits
+    of a file tells where each begins, and a second scan adds the place in
+    the split. The numbers do not depend on how files are split; a window
+    holds one row a split of one file, never lines. Should the second scan be
+    split otherwise than the first, it fails instead of numbering wrongly.
+    """
+    lines = spark.read.text(path).select(
+        "value",
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("_start"),
+        F.monotonically_increasing_id().alias("_id"),
+    )
+    before = Window.partitionBy("file").orderBy("_start").rowsBetween(Window.unboundedPreceding, -1)
+    splits = (
+        lines.groupBy("file", "_start")
+        .agg(F.count(F.lit(1)).alias("_n"), F.min("_id").alias("_first"))
+        .withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0).cast("long")))
+    )
+    place = F.col("_id") - F.col("_first")
+    checked = F.when((place >= 0) & (place < F.col("_n")), F.col("_before") + place).otherwise(
+        F.raise_error(F.lit("the files were split otherwise than when their lines were counted")).cast("long")
+    )
+    return lines.join(splits, ["file", "_start"]).select("value", "file", checked.alias("line"))
+
+
+def line_id() -> Column:
+    """File, number and hash of a numbered line: the same whenever the same
+    file is published, and different for equal lines at two places."""
+    return F.concat_ws(":", F.col("file"), F.col("line").cast("string"), F.hex(F.xxhash64("value")))
+
+
 def write_raw(df: DataFrame, path: str, meter: Meter = METER) -> None:
     """Readings as raw text files (M1) in the frame's own partitioning, each
     file with the header line. The line is the only column, so the separator
@@ -58,15 +96,15 @@ def is_data_line(line: Column) -> Column:
     return (text != F.lit("")) & ~text.startswith(RAW_HEADER[0] + RAW_SEPARATOR)
 
 
-def parse_raw_lines(df: DataFrame, column: str = "value", meter: Meter = METER) -> DataFrame:
+def parse_raw_lines(df: DataFrame, column: str = "value", meter: Meter = METER, carry: Sequence[str] = ()) -> DataFrame:
     """Lines of raw text (file lines or message values) → typed readings.
 
     Works on batch and streaming frames alike.
     """
     line = F.col(column).cast("string")
     parsed = F.from_csv(line, F.lit(RAW_DDL), {"sep": RAW_SEPARATOR})
-    fields = df.filter(is_data_line(line)).select(parsed.alias("_raw")).select("_raw.*")
-    return parse_raw_columns(fields, meter)
+    fields = df.filter(is_data_line(line)).select(parsed.alias("_raw"), *carry).select("_raw.*", *carry)
+    return parse_raw_columns(fields, meter, carry)
 
 
 def raw_line(meter: Meter = METER) -> Column:

@@ -515,6 +515,58 @@ SELECT event_id AS message_id, meter_id, datetime, {rounded_measures()}
 FROM readings WHERE datetime IS NOT NULL"""
 
 
+_LACKS = ", ".join(
+    ["CASE WHEN datetime IS NULL THEN 'missing_datetime' END"]
+    + [f"CASE WHEN {m} IS NULL OR isnan({m}) THEN 'missing_{m}' END" for m in MEASURES]
+)
+_REJECTED = f"""rejected AS (
+  SELECT *, concat_ws(',', {_LACKS}) AS reasons FROM readings WHERE NOT ({_NOT_MISSING})
+)"""
+
+SQL["stream_screened"] = f"""{BASE}, {_REJECTED}
+SELECT event_id, datetime, {rounded_measures()}, '' AS reasons, zone, 'stored' AS outcome, year, month, day, hour FROM clean
+UNION ALL
+SELECT event_id, datetime, {rounded_measures()}, reasons, NULL, 'rejected',
+  CAST(year(datetime) AS INTEGER), CAST(month(datetime) AS INTEGER), CAST(day(datetime) AS INTEGER), CAST(hour(datetime) AS INTEGER)
+FROM rejected"""
+
+SQL["stream_reject_counts"] = f"""{BASE}, {_REJECTED}
+SELECT reason, count(*) AS rejected
+FROM (SELECT unnest(string_split(reasons, ',')) AS reason FROM rejected) GROUP BY reason"""
+
+SQL["stream_late_rows"] = f"""{BASE}
+SELECT event_id, datetime, {rounded_measures()},
+  coalesce(event_id % 2 <> 0
+    AND datetime <= (SELECT max(datetime) FROM readings WHERE event_id % 2 = 0) - INTERVAL 1 DAY, false) AS late
+FROM readings"""
+
+SQL["stream_live_hours"] = f"""{BASE},
+h AS (
+  SELECT date_trunc('hour', datetime) AS window_start,
+    avg(global_active_power) AS a, max(global_active_power) AS mx, sum(global_active_power) AS s, count(*) AS n
+  FROM clean GROUP BY 1
+)
+SELECT window_start, window_start + INTERVAL 1 HOUR AS window_end,
+  {r('a', 'avg_active_power')}, {r('mx', 'max_active_power')}, {r('s', 'sum_active_power')}, n AS record_count
+FROM h"""
+
+SQL["stream_alerts"] = f"""{BASE},
+loads AS (
+  SELECT event_id % 3 AS b, date_trunc('hour', datetime) AS hour_start, avg(global_active_power) AS load
+  FROM clean GROUP BY 1, 2
+),
+base AS (
+  SELECT now.b, hour(l.hour_start) AS hour, count(*) AS n, avg(l.load) AS m, stddev_samp(l.load) AS s
+  FROM (VALUES (1), (2)) now(b) JOIN loads l ON l.b < now.b GROUP BY 1, 2
+)
+SELECT l.hour_start, CAST(base.hour AS INTEGER) AS hour, {r('l.load', 'load')}, base.n AS baseline_n,
+  {r('base.m', 'baseline_mean')}, {r('base.s', 'baseline_std')}, {r('base.m + 1.5 * base.s', 'threshold')},
+  CAST(l.b AS BIGINT) AS batch
+FROM loads l JOIN base ON base.b = l.b AND base.hour = hour(l.hour_start)
+WHERE base.n >= 2 AND l.load > base.m + 1.5 * base.s"""
+
+SQL["publish_twice"] = SQL["parse_raw"]
+
 SQL["quality_by_meter"] = f"""{BASE}
 SELECT meter_id, count(*) AS total_records,
   CAST(count_if(datetime IS NULL) AS BIGINT) AS missing_datetime,
