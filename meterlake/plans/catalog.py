@@ -41,11 +41,15 @@ def create_table(
     partition_by: Sequence[str] = PARTITION_COLUMNS,
 ) -> None:
     """External partitioned Parquet table at ``location``. A table of the
-    name at the same location is left as it is; one elsewhere is an error."""
+    name at the same location is left as it is; one elsewhere is an error, and
+    so is one that lacks columns of ``schema`` (they would stay unseen)."""
     known = table_location(spark, name)
     if known is not None:
         if known != qualified(spark, location):
             raise ValueError(f"table {name} is at {known}, not at {location}")
+        lacking = set(schema.names) - set(read_table(spark, name).columns)
+        if lacking:
+            raise ValueError(f"table {name} has no columns {sorted(lacking)}")
         return
     parts = f" PARTITIONED BY ({', '.join(map(quoted, partition_by))})" if partition_by else ""
     spark.sql(f"CREATE TABLE {quoted(name)} ({_ddl_columns(schema)}) USING parquet{parts} LOCATION {_text(location)}")

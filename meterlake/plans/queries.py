@@ -301,6 +301,31 @@ def q_stream_ingest(spark, sf_dir):
     return checked(spark.read.parquet(f"{base}/data"))
 
 
+@register("stream_zone", writes=True)
+def q_stream_zone(spark, sf_dir):
+    """Legacy messages of all labelled readings as a stream: spool → parse →
+    Parquet (S5)."""
+    base = shared_dir(spark, "zone-stream")
+    legacy = cleaned(spark, sf_dir).select(sink_messages.legacy_message_value().alias("value"))
+    sink_messages.write_spool(legacy, f"{base}/spool")
+    parsed = ingest.parse_wire(src_messages.read_spool(spark, f"{base}/spool", max_bytes_per_trigger=BATCH_BYTES), "zone")
+    ingest.start_parquet_sink(parsed, f"{base}/data", f"{base}/checkpoint", (), AVAILABLE_NOW).awaitTermination()
+    return checked(spark.read.parquet(f"{base}/data"))
+
+
+@register("stream_ingest_by_meter", writes=True)
+def q_stream_ingest_by_meter(spark, sf_dir):
+    """Messages that carry a meter key → stream → stored form with the key;
+    returns what the sink stored."""
+    base = shared_dir(spark, "ingest-meter")
+    data = readings(spark, sf_dir, keep_meter=True)
+    sink_messages.write_spool(sink_messages.to_messages(data, carry=METER_KEY), f"{base}/spool")
+    source = src_messages.read_spool(spark, f"{base}/spool", max_bytes_per_trigger=BATCH_BYTES)
+    parsed = ingest.parse_wire(source, "json", carry=[data.schema[c] for c in METER_KEY])
+    ingest.start_ingest(spark, parsed, f"{base}/data", f"{base}/checkpoint", trigger=AVAILABLE_NOW, by=METER_KEY).awaitTermination()
+    return checked(spark.read.parquet(f"{base}/data"))
+
+
 @register("stream_hourly", writes=True)
 def q_stream_hourly(spark, sf_dir):
     """Hourly tumbling windows with a 1 h watermark over the message stream

@@ -85,12 +85,18 @@ WIRE_LEGACY = T.StructType(
     ]
 )
 
-# M3: stored reading (partition columns last).
-STORED = T.StructType(
-    [
-        T.StructField("datetime", T.TimestampType(), True),
-        *_doubles(METER.measures),
-        T.StructField("zone", T.StringType(), True),
-        *[T.StructField(p, T.IntegerType(), True) for p in PARTITION_COLUMNS],
-    ]
-)
+def stored_schema(meter: Meter = METER, keys=()) -> T.StructType:
+    """M3: stored reading of a meter, with the fields ``keys`` (a meter id)
+    after the zone and the partition columns last."""
+    return T.StructType(
+        [
+            T.StructField(meter.time, T.TimestampType(), True),
+            *_doubles(meter.measures),
+            T.StructField("zone", T.StringType(), True),
+            *keys,
+            *[T.StructField(p, T.IntegerType(), True) for p in PARTITION_COLUMNS],
+        ]
+    )
+
+
+STORED = stored_schema()

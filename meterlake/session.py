@@ -49,6 +49,11 @@ LARGE_CLUSTER_CONF: dict[str, str] = {
 }
 
 
+# Tables that outlive the application: the catalog is the cluster's Hive
+# metastore (its address comes from hive-site.xml or spark.hadoop.* settings).
+HIVE_CONF: dict[str, str] = {"spark.sql.catalogImplementation": "hive"}
+
+
 def build_session(app_name: str = "meterlake", conf: dict[str, str] | None = None) -> SparkSession:
     """Return (or reuse) a session with the library defaults applied.
 

@@ -17,7 +17,7 @@ ENV_NAMES = {
     "checkpoint_path": "SPARK_CHECKPOINT_LOCATION",
     "table_name": "HIVE_TABLE_NAME",
     "trigger_seconds": "SPARK_PROCESSING_INTERVAL",
-    "latest_limit": "LATEST_LIMIT",
+    "latest_limit": "DASHBOARD_LATEST_LIMIT",
     "starting_offsets": "KAFKA_STARTING_OFFSETS",
     "fail_on_data_loss": "KAFKA_FAIL_ON_DATA_LOSS",
     "max_offsets_per_trigger": "KAFKA_MAX_OFFSETS_PER_TRIGGER",

@@ -7,7 +7,7 @@ sends its own partition, unlike a row loop on one machine.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -70,3 +70,20 @@ def result_json(df: DataFrame, column: str = "json") -> DataFrame:
     """Any result → one JSON object per row (K6): ISO timestamps, NULLs kept,
     every Spark type serialisable (decimals included)."""
     return df.select(F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns]), RESULT_JSON_OPTIONS).alias(column))
+
+
+def json_array(df: DataFrame) -> Iterator[str]:
+    """A result as the lines of one JSON array, an object a line, fetched
+    partition by partition; an empty result is ``[]``. A failing query raises
+    at its first line, before any bracket is given."""
+    rows = result_json(df).toLocalIterator()
+    line = next(rows, None)
+    if line is None:
+        yield "[]"
+        return
+    yield "["
+    for following in rows:
+        yield line.json + ","
+        line = following
+    yield line.json
+    yield "]"

@@ -17,6 +17,8 @@ from meterlake.schema import METER, WIRE_LEGACY, Meter, wire_schema
 from meterlake.settings import Settings
 
 MESSAGE_SCHEMA = "value string"
+# Fixed value: topic of the legacy messages.
+LEGACY_TOPIC = "energy-data"
 
 
 def kafka_options(settings: Settings, topic: str | None = None, starting_offsets: str | None = None) -> dict[str, str]:

@@ -14,20 +14,26 @@ import logging
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from meterlake.operators.clean import clean_stream
 from meterlake.plans import catalog
-from meterlake.schema import METER, PARTITION_COLUMNS, Meter
+from meterlake.schema import METER, PARTITION_COLUMNS, Meter, stored_schema
 from meterlake.settings import Settings
-from meterlake.sources.messages import parse_json, read_kafka
+from meterlake.sources.messages import parse_json, parse_json_zone, read_kafka
 from meterlake.sources.text import parse_raw_lines
 
 log = logging.getLogger(__name__)
 
 
-def stored_columns(meter: Meter = METER) -> list[str]:
-    return [meter.time, *meter.measures, "zone", *PARTITION_COLUMNS]
+# Files a batch may write into one partition directory.
+FILES_PER_PARTITION = 4
+
+
+def stored_columns(meter: Meter = METER, by: Sequence[str] = ()) -> list[str]:
+    return [meter.time, *meter.measures, "zone", *by, *PARTITION_COLUMNS]
 
 
 def with_trigger(writer: DataStreamWriter, trigger: dict | None) -> DataStreamWriter:
@@ -40,9 +46,21 @@ def interval(seconds: int) -> dict:
     return {"processingTime": f"{int(seconds)} seconds"}
 
 
-def to_stored(parsed: DataFrame, meter: Meter = METER) -> DataFrame:
-    """The stateless chain shared with batch, projected to the stored form."""
-    return clean_stream(parsed, meter).select(*stored_columns(meter))
+def to_stored(parsed: DataFrame, meter: Meter = METER, by: Sequence[str] = ()) -> DataFrame:
+    """The stateless chain shared with batch, projected to the stored
+    form, with the key columns ``by`` (a meter id; NULL stays NULL)."""
+    return clean_stream(parsed, meter).select(*stored_columns(meter, by))
+
+
+def deal_by_partition(df: DataFrame, partition_by: Sequence[str], files: int) -> DataFrame:
+    """Rows of one partition directory in at most ``files`` tasks, so that a
+    batch writes that many files into it however many tasks have read it. A
+    hot hour is spread by the hash of its other columns over all of them;
+    give more files where one hour holds most of a batch."""
+    if files < 1:
+        raise ValueError("files must be at least 1")
+    others = [c for c in df.columns if c not in partition_by]
+    return df.repartition(*partition_by, F.pmod(F.xxhash64(*others), F.lit(files)))
 
 
 def start_parquet_sink(
@@ -52,11 +70,16 @@ def start_parquet_sink(
     partition_by: Sequence[str] = PARTITION_COLUMNS,
     trigger: dict | None = None,
     query_name: str | None = None,
+    files_per_partition: int | None = None,
 ) -> StreamingQuery:
     """K1 + W2: append to partitioned Parquet with a checkpoint (required:
-    there is no default location, G12)."""
+    there is no default location, G12). With ``files_per_partition`` a batch
+    writes at most so many files into a directory, for one shuffle; without,
+    each task writes one into each directory it has rows for."""
     if not checkpoint:
         raise ValueError("a checkpoint location is required")
+    if partition_by and files_per_partition is not None:
+        df = deal_by_partition(df, partition_by, files_per_partition)
     writer = (
         df.writeStream.format("parquet")
         .outputMode("append")
@@ -91,23 +114,34 @@ def start_ingest(
     trigger: dict | None = None,
     meter: Meter = METER,
     partition_by: Sequence[str] = PARTITION_COLUMNS,
+    by: Sequence[str] = (),
+    files_per_partition: int | None = FILES_PER_PARTITION,
 ) -> StreamingQuery:
     """Set up the catalog table first (G18), then start the sink.
 
     ``parsed`` is a streaming frame of typed readings (from ``parse_json``,
-    ``parse_raw_lines`` …). The caller awaits or stops the returned query.
+    ``parse_raw_lines`` …); its columns ``by`` (a meter id) are stored as
+    well. The caller awaits or stops the returned query.
     """
     if table:
-        catalog.create_table(spark, table, path, partition_by=partition_by)
-    return start_parquet_sink(to_stored(parsed, meter), path, checkpoint, partition_by, trigger)
-
-
-def parse_wire(messages: DataFrame, wire: str = "json", meter: Meter = METER) -> DataFrame:
-    """Message values → typed readings: ``json`` (M2) or ``raw`` ``;`` lines (M5)."""
+        schema = stored_schema(meter, [parsed.schema[c] for c in by])
+        catalog.create_table(spark, table, path, schema, partition_by)
+    stored = to_stored(parsed, meter, by)
+    return start_parquet_sink(stored, path, checkpoint, partition_by, trigger, files_per_partition=files_per_partition)
+
+
+def parse_wire(messages: DataFrame, wire: str = "json", meter: Meter = METER, carry: Sequence[T.StructField] = ()) -> DataFrame:
+    """Message values → typed readings: ``json`` (M2, with the fields
+    ``carry`` of the publisher) or ``raw`` ``;`` lines (M5); ``zone`` (M4)
+    gives the legacy time text, zone and power, which are not readings."""
+    if carry and wire != "json":
+        raise ValueError(f"{wire} messages carry no further fields")
     if wire == "json":
-        return parse_json(messages, "value", meter)
+        return parse_json(messages, "value", meter, carry)
     if wire == "raw":
         return parse_raw_lines(messages, "value", meter)
+    if wire == "zone":
+        return parse_json_zone(messages, "value")
     raise ValueError(f"unknown wire format {wire!r}")
 
 
@@ -120,11 +154,28 @@ def start_kafka_ingest(
     wire: str = "json",
     trigger: dict | None = None,
     meter: Meter = METER,
+    carry: Sequence[T.StructField] = (),
 ) -> StreamingQuery:
     """The deployed pipeline: Kafka topic → parse → clean_stream → Parquet,
-    every ``settings.trigger_seconds`` unless another trigger is given."""
-    parsed = parse_wire(read_kafka(spark, settings), wire, meter)
-    return start_ingest(spark, parsed, path, checkpoint, table, trigger or interval(settings.trigger_seconds), meter)
+    every ``settings.trigger_seconds`` unless another trigger is given, with
+    the key fields ``carry`` of the messages in the stored form."""
+    if wire == "zone":
+        raise ValueError("legacy messages are no readings: they can be watched, not stored")
+    parsed = parse_wire(read_kafka(spark, settings), wire, meter, carry)
+    keys = [f.name for f in carry]
+    return start_ingest(spark, parsed, path, checkpoint, table, trigger or interval(settings.trigger_seconds), meter, by=keys)
+
+
+def start_watch(
+    spark: SparkSession,
+    messages: DataFrame,
+    wire: str = "zone",
+    meter: Meter = METER,
+    trigger: dict | None = None,
+) -> StreamingQuery:
+    """A stream of messages of any wire, parsed and printed batch by
+    batch. A message that cannot be parsed shows as a row of NULLs."""
+    return start_console_sink(parse_wire(messages, wire, meter), trigger=trigger)
 
 
 def run_until_stopped(query: StreamingQuery, on_stop: Callable[[], None] | None = None) -> None:

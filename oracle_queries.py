@@ -234,6 +234,11 @@ STORED_COLUMNS = f"datetime, {rounded_measures()}, zone, year, month, day, hour"
 SQL["stream_ingest"] = f"""{BASE}
 SELECT {STORED_COLUMNS} FROM clean"""
 
+SQL["stream_zone"] = SQL["parse_json_zone"]
+
+SQL["stream_ingest_by_meter"] = f"""{BASE}
+SELECT {STORED_COLUMNS}, meter_id FROM clean"""
+
 SQL["stream_hourly"] = f"""{BASE},
 h AS (
   SELECT date_trunc('hour', datetime) AS window_start,

@@ -141,4 +141,4 @@ def test_command_line_ingest_needs_kafka(spark, tmp_path):
     from meterlake.__main__ import main
 
     with pytest.raises(Exception, match="(?i)kafka"):
-        main(["ingest", "--path", str(tmp_path / "p"), "--checkpoint", str(tmp_path / "c")])
+        main(["ingest", "--path", str(tmp_path / "p"), "--checkpoint", str(tmp_path / "c"), "--table", ""])
