@@ -1,10 +1,13 @@
-"""An FM-index over many short word strings, searched in lockstep.
+"""A compressed FM-index over many short word strings, searched in lockstep.
 
 The strings are joined with separators that sort below every word, each its
-own. The suffix array comes from prefix doubling; the Burrows-Wheeler
-transform is held as a wavelet tree in matrix form (one bit vector a level,
-packed in 64-bit words with running counts), on which backward search takes
-two ranks a word. All strings advance by one word at a time together.
+own. The suffix array comes from prefix doubling and is let go once the index
+stands, with the ranks and the text. What stays is the Burrows-Wheeler
+transform as a wavelet tree in matrix form (one bit vector a level, packed in
+64-bit words with running counts), on which backward search takes two ranks a
+word, and one byte or two a row: how long a prefix it shares with the row
+before, counted up to a window. All strings searched advance by one word at a
+time together.
 """
 
 from __future__ import annotations
@@ -21,13 +24,13 @@ class _Bits:
         padded[:n] = bits
         self.words = np.packbits(padded, bitorder="little").view(np.uint64)
         ones = np.bitwise_count(self.words).astype(np.int64)
-        self.before = np.cumsum(ones) - ones
+        self.before = (np.cumsum(ones) - ones).astype(np.uint32 if n < 1 << 32 else np.int64)
         self.zeros = n - int(ones.sum())
 
     def rank1(self, i: np.ndarray) -> np.ndarray:
         word = i >> 6
         mask = (np.uint64(1) << (i & 63).astype(np.uint64)) - np.uint64(1)
-        return self.before[word] + np.bitwise_count(self.words[word] & mask)
+        return self.before[word].astype(np.int64) + np.bitwise_count(self.words[word] & mask)
 
 
 class FMIndex:
@@ -38,36 +41,22 @@ class FMIndex:
         ends = np.cumsum(lens + 1) - 1
         is_sep = np.zeros(n, bool)
         is_sep[ends] = True
-        rank = np.empty(n, np.int64)
-        rank[~is_sep] = symbols + n_str
-        rank[is_sep] = np.arange(n_str)
-        self.starts = ends - lens
-        text = np.where(is_sep, 0, rank - n_str + 1)  # all separators look alike to the wavelet tree
-        power, span = 1, 1
-        while power * 2 <= window:
-            power *= 2
-        at_power = rank if power == 1 else None
+        own = np.empty(n, np.int64)
+        own[~is_sep] = symbols + n_str
+        own[is_sep] = np.arange(n_str)
+        rank, span, order = own, 1, None
         longest = int(lens.max(initial=0)) + 1
         while span < longest:
             rank, order = self._double(rank, span)
             span *= 2
-            if span == power:
-                at_power = rank
-        if span < power:  # no string is as long as a window
-            at_power = rank
-        if span == 1:
+        if order is None:
             order = np.argsort(rank, kind="stable")
-        self.order = order
-        # neighbours that share a whole window belong to one interval
-        shift = window - power
-        tail = np.full(n, -1, np.int64)
-        tail[: n - shift] = at_power[shift:] if shift else at_power
-        a, b = order[:-1], order[1:]
-        same = (at_power[a] == at_power[b]) & (tail[a] == tail[b])
-        self.interval = np.concatenate([[0], np.cumsum(~same)])
-        edge = np.flatnonzero(np.concatenate([[True], ~same, [True]]))
-        self.low, self.high = edge[:-1], edge[1:]
+        del rank
+        self.n, self.window = n, window
+        self.shared = self._shared(own, order)
+        text = np.where(is_sep, 0, own - n_str + 1)  # all separators look alike to the wavelet tree
         bwt = text[order - 1]
+        del own, order
         self.n_symbols = int(text.max(initial=0)) + 1
         self.levels: list[_Bits] = []
         for level in range(max(1, (self.n_symbols - 1).bit_length()) - 1, -1, -1):
@@ -78,7 +67,32 @@ class FMIndex:
         self.first = np.cumsum(counts) - counts
         # where the leaf of each symbol begins, for ranks counted from there
         self.leaf = self._down(np.arange(self.n_symbols), np.zeros(self.n_symbols, np.int64))
-        self.text = text
+        self._begins: dict[int, np.ndarray] = {}
+        self.n_intervals = len(self.begins(window))
+
+    def _shared(self, own: np.ndarray, order: np.ndarray) -> np.ndarray:
+        """Words each row has in common with the row before, at most a window."""
+        shared = np.zeros(self.n, np.min_scalar_type(self.window))
+        alike = np.arange(1, self.n)
+        for depth in range(self.window):
+            # every separator is its own, so no comparison passes the end of a string
+            alike = alike[own[order[alike - 1] + depth] == own[order[alike] + depth]]
+            if not len(alike):
+                break
+            shared[alike] = depth + 1
+        return shared
+
+    def begins(self, length: int) -> np.ndarray:
+        """First rows of the intervals of rows that agree in ``length`` words."""
+        if length not in self._begins:
+            self._begins[length] = np.flatnonzero(np.concatenate([np.ones(min(self.n, 1), bool), self.shared[1:] < length]))
+        return self._begins[length]
+
+    def interval(self, row: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Number, first row and end of the intervals of ``length`` words that hold ``row``."""
+        begins = self.begins(length)
+        number = np.searchsorted(begins, row, side="right") - 1
+        return number, begins[number], np.append(begins, self.n)[number + 1]
 
     @staticmethod
     def _double(rank: np.ndarray, span: int) -> tuple[np.ndarray, np.ndarray]:
@@ -104,25 +118,59 @@ class FMIndex:
         base = self.first[symbol] - self.leaf[symbol]
         return base + both[: len(symbol)], base + both[len(symbol) :]
 
-    def windows(self, symbols: np.ndarray, lens: np.ndarray, window: int) -> np.ndarray:
-        """Backward search of strings (longest first): for each place of
-        each string, the number of the interval of the window that begins
-        there, or -1 where the string has no whole window or it does not
-        occur. Beyond a window's length a match is shortened to the window,
-        so the matching statistic of every place is counted up to there."""
+    def match(self, symbols: np.ndarray, lens: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Backward search of any strings. For each place of each string: the
+        matching statistic (words from there on that occur in the index, at
+        most a window, and not beyond the string), and the number of the
+        window's interval where that is a whole window, else -1.
+
+        A word that cannot be put before the match shortens it to the longest
+        prefix that it can precede, found by halving, and is tried again; a
+        word that the index does not hold starts anew. Symbols are those of
+        the index; -1 and numbers it does not have are unknown words."""
         begin = np.cumsum(lens) - lens
-        out = np.full(len(symbols), -1, np.int64)
-        low, high = np.zeros(len(lens), np.int64), np.full(len(lens), len(self.text), np.int64)
+        statistic, out = np.zeros(len(symbols), np.int64), np.full(len(symbols), -1, np.int64)
+        by_length = np.argsort(-lens, kind="stable")
+        begin, lens = begin[by_length], lens[by_length]
+        low, high = np.zeros(len(lens), np.int64), np.full(len(lens), self.n, np.int64)
         matched = np.zeros(len(lens), np.int64)
         for back in range(1, int(lens.max(initial=0)) + 1):
             active = int(np.searchsorted(-lens, -back, side="right"))
             at = begin[:active] + lens[:active] - back
-            l, h = self.step(symbols[at] + 1, low[:active], high[:active])
-            found = h > l
-            matched[:active] = np.where(found, matched[:active] + 1, 0)
-            whole = found & (matched[:active] >= window)
-            number = self.interval[np.minimum(l, len(self.interval) - 1)]
-            out[at[whole]] = number[whole]
-            low[:active] = np.where(whole, self.low[number], np.where(found, l, 0))
-            high[:active] = np.where(whole, self.high[number], np.where(found, h, len(self.text)))
-        return out
+            symbol = symbols[at] + 1
+            known = (symbol > 0) & (symbol < self.n_symbols)
+            symbol = np.where(known, symbol, 0)
+            l, h = self.step(symbol, low[:active], high[:active])
+            found = known & (h > l)
+            m = np.where(found, matched[:active] + 1, 0)
+            l, h = np.where(found, l, 0), np.where(found, h, self.n)
+            again = np.flatnonzero(known & ~found & (matched[:active] > 0))
+            if len(again):
+                l[again], h[again], m[again] = self._shorten(symbol[again], low[again], matched[again])
+            m = np.minimum(m, self.window)
+            whole = np.flatnonzero(m == self.window)
+            number, l[whole], h[whole] = self.interval(l[whole], self.window)
+            out[at[whole]] = number
+            statistic[at] = m
+            low[:active], high[:active], matched[:active] = l, h, m
+        return statistic, out
+
+    def _shorten(self, symbol: np.ndarray, row: np.ndarray, length: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Intervals of ``symbol`` before the longest prefix, shorter than
+        ``length``, of the row ``row`` that it precedes somewhere, and their
+        lengths (0, and all rows, where it precedes none)."""
+        good, bad = np.full(len(row), -1, np.int64), length.copy()
+        low, high = np.zeros(len(row), np.int64), np.full(len(row), self.n, np.int64)
+        while True:
+            open_ = np.flatnonzero(bad - good > 1)
+            if not len(open_):
+                return low, high, good + 1
+            middle = (good[open_] + bad[open_]) // 2
+            l, h = np.zeros(len(open_), np.int64), np.full(len(open_), self.n, np.int64)
+            for k in np.unique(middle[middle > 0]):
+                of = np.flatnonzero(middle == k)
+                _, l[of], h[of] = self.interval(row[open_[of]], int(k))
+            l, h = self.step(symbol[open_], l, h)
+            hit = h > l
+            good[open_[hit]], bad[open_[~hit]] = middle[hit], middle[~hit]
+            low[open_[hit]], high[open_[hit]] = l[hit], h[hit]

@@ -10,9 +10,9 @@ shard, and the work grows in proportion to the corpus:
 1. each block of documents reports its distinct minimisers, and learns which
    of them the corpus has more than once;
 2. it sends the distinct segments of those to their shards. A shard builds a
-   compressed FM-index of its distinct segments, streams every segment
-   through it by backward search, and reports for each window whether an
-   earlier place exists in its interval;
+   compressed FM-index of its distinct segments, streams the segments of all
+   blocks through it by backward search, and reports for each window whether
+   an earlier place exists in its interval;
 3. each block takes the reports and drops the covered words.
 
 The three passes share one shuffle of the texts, by block. A minimiser that
@@ -24,7 +24,9 @@ Defined cases: null, empty and short texts have no window and lose nothing;
 rows of one key are one document in the order of their texts (windows do not
 cross rows, and a repeated row is the later one); rows without a key come
 last, and of two of those the one whose window starts nearer to the
-beginning counts as earlier.
+beginning counts as earlier. An empty table gives an empty one. A very long
+text is one row of its block, read in pieces; columns of ``docs`` other than
+those named are left out, whatever their names.
 """
 
 from __future__ import annotations
@@ -41,6 +43,7 @@ from meterlake.llm.fm_index import FMIndex
 from meterlake.llm.words import SPACED, Words, mix, pieces, ragged, tidy, words_of
 
 GRAM = 5
+_CHUNK = 1 << 19  # words that stream through an index together
 _LAST = np.iinfo(np.int64).max
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _UNDO = np.uint64(pow(int(_ODD), -1, 1 << 64))
@@ -150,37 +153,43 @@ def _shard_of(names: np.ndarray, shards: int) -> np.ndarray:
 
 def _earlier(words: np.ndarray, lens: np.ndarray, key: np.ndarray, place: np.ndarray, window: int) -> np.ndarray:
     """For strings sent to one shard: for each of their windows, string by
-    string, whether the shard knows an earlier place."""
+    string, whether the shard knows an earlier place.
+
+    The index holds the distinct strings. All strings stream through it, a
+    chunk at a time, and what is kept of them is the number of each window's
+    interval; the earliest place of an interval is the least over the chunks,
+    so no place is looked up in the index."""
     begin = np.cumsum(lens) - lens
-    name = _string_hash(words, begin, lens)
-    # distinct strings, the earliest place of each, longest first
-    chosen = _distinct(name, key, place)
-    chosen = chosen[np.argsort(-lens[chosen], kind="stable")]
-    own = np.argsort(name[chosen])
-    string = own[np.searchsorted(name[chosen], name, sorter=own)]
+    chosen = _distinct(_string_hash(words, begin, lens), key, place)
     _, symbols = np.unique(words, return_inverse=True)
-    d_lens, d_begin = lens[chosen], np.cumsum(lens[chosen]) - lens[chosen]
-    d_symbols = symbols[ragged(begin[chosen], d_lens)]
-    index = FMIndex(d_symbols, d_lens, window)
-    interval = index.windows(d_symbols, d_lens, window)
-    n_win = np.maximum(d_lens - window + 1, 0)
-    at = ragged(d_begin, n_win)
-    of = np.repeat(np.arange(len(chosen)), n_win)
-    w_key, w_place = key[chosen][of], place[chosen][of] + at - d_begin[of]
-    # the earliest place of each interval
-    order = np.lexsort((w_place, w_key, interval[at]))
-    lead = np.ones(len(order), bool)
-    lead[1:] = interval[at][order][1:] != interval[at][order][:-1]
-    best = np.zeros(len(index.low), np.int64)
-    best[interval[at][order[lead]]] = order[lead]
-    # back to every string that was sent
-    w_begin = np.cumsum(n_win) - n_win
-    sent = ragged(w_begin[string], n_win[string])
-    offset = at[sent] - d_begin[of[sent]]
-    who = np.repeat(np.arange(len(lens)), n_win[string])
-    first = best[interval[at[sent]]]
-    my_key, my_place = key[who], place[who] + offset
-    return (w_key[first] < my_key) | ((w_key[first] == my_key) & (w_place[first] < my_place))
+    index = FMIndex(symbols[ragged(begin[chosen], lens[chosen])], lens[chosen], window)
+    best_key, best_place = np.full(index.n_intervals, _LAST), np.full(index.n_intervals, _LAST)
+    n_win = np.maximum(lens - window + 1, 0)
+    numbers = np.empty(int(n_win.sum()), np.int32 if index.n < 1 << 31 else np.int64)
+    win_begin = np.cumsum(n_win) - n_win
+    cuts = np.append(np.unique(np.searchsorted(begin, np.arange(0, len(words), _CHUNK))), len(lens))
+    spans = [(x, y) for x, y in zip(cuts[:-1], cuts[1:]) if y > x]
+
+    def places(x: int, y: int) -> tuple[slice, np.ndarray, np.ndarray, np.ndarray]:
+        offset = ragged(np.zeros(y - x, np.int64), n_win[x:y])
+        own = slice(int(win_begin[x]), int(win_begin[x] + n_win[x:y].sum()))
+        return own, offset, np.repeat(key[x:y], n_win[x:y]), np.repeat(place[x:y], n_win[x:y]) + offset
+
+    for x, y in spans:
+        _, found = index.match(symbols[begin[x] : begin[y - 1] + lens[y - 1]], lens[x:y])
+        own, offset, k, p = places(x, y)
+        number = found[np.repeat(begin[x:y] - begin[x], n_win[x:y]) + offset]
+        numbers[own] = number
+        lead = _distinct(number, k, p)
+        number, k, p = number[lead], k[lead], p[lead]
+        less = (k < best_key[number]) | ((k == best_key[number]) & (p < best_place[number]))
+        best_key[number[less]], best_place[number[less]] = k[less], p[less]
+    earlier = np.empty(len(numbers), bool)
+    for x, y in spans:
+        own, _, k, p = places(x, y)
+        number = numbers[own]
+        earlier[own] = (best_key[number] < k) | ((best_key[number] == k) & (best_place[number] < p))
+    return earlier
 
 
 def substring_dedup(
@@ -210,14 +219,14 @@ def substring_dedup(
         return pa.table({
             "shard": pa.array(some, pa.int64()), "block": pa.array(np.full(len(some), table["block"][0].as_py()), pa.int64()),
             "names": pa.array([names[edges[s] : edges[s + 1]].tobytes() for s in some], pa.binary()),
-            "counts": pa.array([np.minimum(counts[edges[s] : edges[s + 1]], 255).astype(np.uint8).tobytes() for s in some], pa.binary()),
+            "counts": pa.array([counts[edges[s] : edges[s + 1]].astype("<u4").tobytes() for s in some], pa.binary()),
         })
 
     @tidy
     def count(table: pa.Table) -> pa.Table:
         raw = [np.frombuffer(x.as_buffer(), np.uint64) for x in table["names"]]
         names, inverse = np.unique(np.concatenate(raw), return_inverse=True)
-        total = np.bincount(inverse, weights=np.concatenate([np.frombuffer(x.as_buffer(), np.uint8) for x in table["counts"]]))
+        total = np.bincount(inverse, weights=np.concatenate([np.frombuffer(x.as_buffer(), "<u4") for x in table["counts"]]))
         state = np.where(total >= hot, 2, np.where(total > 1, 1, 0)).astype(np.uint8)[inverse]
         cuts = np.cumsum([len(x) for x in raw])[:-1]
         return pa.table({"block": table["block"].combine_chunks(), "shard": table["shard"].combine_chunks(), "state": pa.array([x.tobytes() for x in np.split(state, cuts)], pa.binary())})

@@ -68,21 +68,71 @@ def test_edge_rows(llm_spark, edge):
     assert substring_dedup(edge.where("false")).count() == 0
 
 
-def test_index_finds_windows_of_other_strings():
-    rng = random.Random(5)
-    strings = [[rng.randrange(4) for _ in range(rng.randrange(1, 15))] for _ in range(30)]
-    index = FMIndex(np.concatenate([np.array(s, np.int64) for s in strings]), np.array([len(s) for s in strings]), 3)
-    have = {tuple(s[i : i + 3]) for s in strings for i in range(len(s) - 2)}
-    queries = sorted(strings, key=len, reverse=True)
-    got = index.windows(np.concatenate([np.array(s, np.int64) for s in queries]), np.array([len(s) for s in queries]), 3)
-    seen, at = {}, 0
-    for s in queries:
-        for i in range(len(s)):
-            number = got[at + i]
-            if i + 3 <= len(s):
-                assert tuple(s[i : i + 3]) in have
-                assert seen.setdefault(tuple(s[i : i + 3]), number) == number >= 0
-            else:
-                assert number == -1
-        at += len(s)
-    assert len(set(seen.values())) == len(seen)
+def _index(strings, window):
+    flat = [np.array(x, np.int64) for x in strings]
+    return FMIndex(np.concatenate([np.zeros(0, np.int64), *flat]), np.array([len(x) for x in strings], np.int64), window)
+
+
+def _match(index, strings):
+    flat = [np.array(x, np.int64) for x in strings]
+    return index.match(np.concatenate([np.zeros(0, np.int64), *flat]), np.array([len(x) for x in strings], np.int64))
+
+
+def _statistics(have, strings, window):
+    grams = {tuple(x[i : i + k]) for x in have for k in range(1, window + 1) for i in range(len(x) - k + 1)}
+    return [max([k for k in range(1, min(window, len(x) - i) + 1) if tuple(x[i : i + k]) in grams], default=0) for x in strings for i in range(len(x))]
+
+
+def test_a_failed_word_shortens_the_match():
+    statistic, number = _match(_index([[0, 1, 2], [2, 3, 5]], 3), [[0, 1, 2, 3]])
+    assert statistic.tolist() == [3, 2, 2, 1]
+    assert (number >= 0).tolist() == [True, False, False, False]
+
+
+@pytest.mark.parametrize("seed,alphabet,window", [(1, 4, 3), (2, 2, 6), (3, 3, 5), (4, 9, 2), (5, 2, 20), (6, 3, 1)])
+def test_index_matches_strings_that_it_does_not_hold(seed, alphabet, window):
+    rng = random.Random(seed)
+    string = lambda extra: [rng.randrange(alphabet) - extra for _ in range(rng.randrange(0, 30))]
+    strings = [string(0) for _ in range(25)]
+    index = _index(strings, window)
+    foreign = [string(extra) for extra in (0, 0, 1) for _ in range(30)]  # -1: a word unknown to the index
+    foreign += [strings[3] + strings[4], strings[5][2:] + [alphabet + 7] + strings[6]]
+    for queries in (foreign, strings):
+        statistic, number = _match(index, queries)
+        assert statistic.tolist() == _statistics(strings, queries, window)
+        places = [tuple(x[i : i + window]) for x in queries for i in range(len(x))]
+        named = {}
+        for gram, m, at in zip(places, statistic.tolist(), number.tolist()):
+            assert (at >= 0) == (m == window)
+            if at >= 0:
+                assert named.setdefault(gram, at) == at < index.n_intervals
+        assert len(set(named.values())) == len(named)
+
+
+def test_index_keeps_neither_text_nor_suffix_array():
+    rng = random.Random(9)
+    strings = [[rng.randrange(1000) for _ in range(25)] for _ in range(4000)]
+    index = _index(strings, 20)
+    vectors = [b.words.nbytes + b.before.nbytes for b in index.levels]
+    # ten levels of a bit a row with counts, a byte a row, the intervals' first rows
+    assert sum(vectors) + index.shared.nbytes < 4 * index.n
+    arrays = [k for k, v in vars(index).items() if isinstance(v, np.ndarray) and len(v) >= index.n and k != "shared"]
+    assert arrays == []
+
+
+def test_strings_in_small_chunks(monkeypatch):
+    from meterlake.llm import substring_dedup as module
+
+    rng = np.random.default_rng(3)
+    lens = rng.integers(4, 12, 300)
+    words = rng.integers(0, 3, int(lens.sum())).astype(np.uint64)
+    key, place = rng.permutation(300).astype(np.int64), rng.integers(0, 50, 300)
+    whole = module._earlier(words, lens, key, place, 4)
+    monkeypatch.setattr(module, "_CHUNK", 17)
+    assert (module._earlier(words, lens, key, place, 4) == whole).all()
+    begin = np.cumsum(lens) - lens
+    wins = [(tuple(words[begin[i] + j : begin[i] + j + 4].tolist()), (int(key[i]), int(place[i] + j))) for i in range(300) for j in range(int(lens[i]) - 3)]
+    first = {}
+    for gram, at in wins:
+        first[gram] = min(first.get(gram, at), at)
+    assert whole.tolist() == [first[gram] < at for gram, at in wins]
