@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window
 
 from meterlake.llm.encode import encoder
-from meterlake.llm.words import pieces
+from meterlake.llm.words import pieces, tidy_batches
 
 BLOCK_IDS = 1 << 18
 _BLOCK = "shard int, block int, first long, n_ids long, width int, keys array<bigint>, lens array<bigint>, packed binary"
@@ -59,6 +59,7 @@ def write_tokens(docs: DataFrame, path: str, *, tokenizer: str, end_id: int, id_
     rows = docs.select(F.col(id_col).cast("long").alias("key"), F.col(text_col).alias("text"))
     dealt = rows.repartitionByRange("key").sortWithinPartitions("key", "text")
 
+    @tidy_batches
     def run(batches):
         enc = encoder(tokenizer)
         width = max(1, int(max(enc.size - 1, end_id)).bit_length())
@@ -104,6 +105,7 @@ def read_documents(spark: SparkSession, path: str, *, ids: bool = True) -> DataF
     ids_crc32 (of its ids as little-endian 32-bit integers) and, with
     ``ids``, the ids themselves."""
 
+    @tidy_batches
     def run(batches):
         for batch in batches:
             for r in batch.to_pylist():

@@ -6,6 +6,7 @@ import random
 import re
 import zlib
 from collections import defaultdict
+from types import SimpleNamespace
 
 import numpy as np
 import pyarrow as pa
@@ -14,7 +15,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
-from meterlake.llm import packing, token_files
+from meterlake.llm import packing, token_files, words
 from meterlake.llm.decontaminate import decontaminate
 from meterlake.llm.encode import encoder
 from meterlake.llm.queries import tokenizer_path
@@ -76,6 +77,21 @@ def test_token_files_of_nothing(llm_spark, edge):
     assert token_files.read_documents(llm_spark, path).count() == 0
 
 
+def test_token_file_workers_give_back_memory(llm_spark, edge, monkeypatch):
+    """Spark keeps its Python workers, so each task returns what it freed."""
+    tasks, freed = [], []
+    of = type(edge).mapInArrow
+    monkeypatch.setattr(type(edge), "mapInArrow", lambda self, fn, *a, **k: (tasks.append(fn), of(self, fn, *a, **k))[1])
+    path = shared_dir(llm_spark, "test-tokens")
+    token_files.write_tokens(edge, path, tokenizer=PATH, end_id=2)
+    assert token_files.read_documents(llm_spark, path).count() == len(edge.collect())
+    monkeypatch.setattr(token_files, "TaskContext", SimpleNamespace(get=lambda: SimpleNamespace(partitionId=lambda: 0)))
+    monkeypatch.setattr(words, "give_back", lambda: freed.append(1))
+    for n, task in enumerate(tasks, 1):
+        assert list(task(iter([]))) == [] and len(freed) == n
+    assert len(tasks) == 2
+
+
 def _check_plan(histogram, capacity):
     table = packing.plan(histogram, capacity)
     filled = defaultdict(list)
