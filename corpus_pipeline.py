@@ -42,10 +42,10 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     dropped = found.where(~F.col("kept")).select(F.col("doc_id").alias("key")).distinct()
     several = found.where("doc_id is not null").groupBy(F.col("doc_id").alias("key")).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key")
     # most rows are in neither list and stay where they are; the joins see the rest
-    concerned = F.coalesce(near_dedup.key_filter(dropped.union(several))(F.col("doc_id")), F.lit(False))
-    rest = docs.where(concerned & F.col("doc_id").isNotNull()).withColumn("key", F.col("doc_id"))
+    concerned = near_dedup.key_filter(dropped.union(several))
+    rest = concerned(docs.where(F.col("doc_id").isNotNull()), "doc_id").withColumn("key", F.col("doc_id"))
     rest = rest.join(dropped, "key", "left_anti").dropDuplicates(["key"])
-    clear = docs.where(~concerned | F.col("doc_id").isNull())
+    clear = concerned(docs, "doc_id", others=True)
     return clear.select(*docs.columns).union(rest.select(*docs.columns))
 
 

@@ -31,9 +31,8 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -240,23 +239,25 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.mapInArrow(run, "a_rep bigint, b_rep bigint").withColumnsRenamed({"a_rep": "a", "b_rep": "b"})
 
 
-def key_filter(keys: DataFrame, bits: int = 1 << 23) -> Callable[[Column], Column]:
-    """A test that is true for every key of ``keys`` (a column ``key``) and
-    false for most others, as a bitmap of ``bits`` hash slots, whatever their
-    number: rows that fail it need no join. With very many keys it passes
-    all, and the join behind it decides alone, as it always does."""
+def key_filter(keys: DataFrame, bits: int = 1 << 23) -> Callable[..., DataFrame]:
+    """A function that keeps the rows of a frame whose column is one of
+    ``keys`` (a column ``key``), and few others, or with ``others`` the rest
+    (with the nulls). It looks keys up in a bitmap of ``bits`` hash slots,
+    whatever their number: rows that fail need no shuffle. With very many keys
+    it passes all, and the join behind it decides alone, as it always does.
+    The look-up is a join with the bitmap's words, so that a task that runs
+    Python behind it has one Python worker and not two."""
     slot = lambda key: F.pmod(F.xxhash64(key), F.lit(bits)).cast("int")
-    taken = keys.select(slot(F.col("key")).alias("slot")).distinct().toArrow().column("slot").to_numpy()
-    bitmap = np.zeros(bits, bool)
-    bitmap[taken] = True
-    held = keys.sparkSession.sparkContext.broadcast(np.packbits(bitmap))  # bits / 8 bytes
+    own = keys.select(slot(F.col("key")).alias("slot"))
+    words = own.groupBy(F.shiftright("slot", 6).alias("__word")).agg(F.bit_or(F.expr("shiftleft(1L, slot & 63)")).alias("__bits"))
+    bitmap = keys.sparkSession.createDataFrame(words.toArrow(), "__word int, __bits bigint")  # bits / 64 rows at most
 
-    @F.pandas_udf("boolean")
-    def known(slots: pd.Series) -> pd.Series:
-        at = slots.to_numpy()
-        return pd.Series((held.value[at >> 3] >> (7 - (at & 7)) & 1).astype(bool))
+    def known(rows: DataFrame, key: str, *, others: bool = False) -> DataFrame:
+        at = slot(F.col(key))
+        taken = (F.shiftright(at, 6) == F.col("__word")) & (F.getbit("__bits", at.bitwiseAND(F.lit(63))) == 1)
+        return rows.join(F.broadcast(bitmap), F.col(key).isNotNull() & taken, "left_anti" if others else "left_semi")
 
-    return lambda key: known(slot(key))
+    return known
 
 
 def near_duplicates(docs: DataFrame, *, percent: int = 80, size: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -278,7 +279,7 @@ def near_duplicates(docs: DataFrame, *, percent: int = 80, size: int = 5, id_col
 
     wanted = own.select("hi", "lo", "key").join(shared.select("hi").distinct(), "hi", "left_semi")
     needed = wanted.select("key").distinct()
-    texts = rows.where(key_filter(needed)(F.col("key"))).join(needed, "key", "left_semi")
+    texts = key_filter(needed)(rows, "key").join(needed, "key", "left_semi")
     sets = _sets_of(texts, size, full=True).join(wanted, ["key", "hi", "lo"], "left_semi").dropDuplicates(["hi"]).select("hi", F.col("key").alias("rep"), "sig", "members").checkpoint()
     release(docs.sparkSession)
 

@@ -40,7 +40,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
 from meterlake.llm.fm_index import FMIndex
-from meterlake.llm.words import SPACED, Words, mix, pieces, ragged, tidy, words_of
+from meterlake.llm.words import SPACED, mix, pieces, ragged, tidy, words_of
 
 GRAM = 5
 _CHUNK = 1 << 19  # words that stream through an index together
@@ -78,7 +78,6 @@ class _Block:
         # rows of one key in the order of their texts
         order = pc.sort_indices(table, sort_keys=[("key", "ascending"), ("text", "ascending")])
         self.table = table.take(order)
-        self.parts: list[tuple[Words, np.ndarray, np.ndarray, np.ndarray, np.ndarray]] = []
         n_words, at, lens, minimisers, hashes, base = [], [], [], [], [], 0
         words = []
         for batch in self.table.to_batches():
@@ -118,7 +117,6 @@ class _Block:
                 if text[i].as_py() == text[i - 1].as_py() and nulls[i - 1]:
                     start[i] = start[i - 1]
         self.key, self.place = keys[doc], self.at - start[doc]
-        self.first_order = np.lexsort((self.place, self.key))
 
     def split(self, rows: np.ndarray) -> tuple[np.ndarray, ...]:
         """Single windows of the segments ``rows``: their segment, place in
@@ -314,12 +312,11 @@ def substring_dedup(
             for part in pieces(rb, "text"):
                 w = words_of(part.column("text"), SPACED, lower=False)
                 raw, stay = w.data.tobytes(), ~gone[base : base + len(w.hash)]
-                a, z = w.start.tolist(), w.end.tolist()
                 texts: list[bytes] = []
                 for i in range(part.num_rows):
                     x, y = int(w.first[i]), int(w.first[i + 1])
                     own = np.flatnonzero(stay[x:y]) + x
-                    texts.append(b" ".join([raw[a[j] : z[j]] for j in own.tolist()]))
+                    texts.append(b" ".join([raw[a:z] for a, z in zip(w.start[own].tolist(), w.end[own].tolist())]))
                 kept.append(pa.array(texts, pa.binary()).cast(pa.string()))
                 base += len(w.hash)
         cols = {"key": b.table["key"], "n_words": pa.array(b.n_words), "n_removed": pa.array(removed), "kept_text": pa.chunked_array(kept, pa.string()), "rest": b.table["rest"]}

@@ -160,7 +160,7 @@ def fit_toxicity(
     ``min_texts`` toxic texts at least) on all of them."""
     texts = docs.select(F.col(id_col).alias("__id"), F.coalesce(F.col(text_col), F.lit("")).alias("__text"))
     rows = labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull()).select(F.col(id_col).cast(docs.schema[id_col].dataType).alias("__id"), F.col(label_col).cast("double").alias("__label"))
-    texts = texts.where(key_filter(rows.select(F.col("__id").alias("key")))(F.col("__id")))
+    texts = key_filter(rows.select(F.col("__id").alias("key")))(texts, "__id")
     held = [taught := rows.join(texts.select("__id"), "__id", "left_semi").persist()]
     try:
         kinds = {r["__label"]: (r["n"], r["ids"]) for r in taught.groupBy("__label").agg(F.count(F.lit(1)).alias("n"), F.countDistinct("__id").alias("ids")).collect()}

@@ -7,6 +7,7 @@ import random
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from meterlake.llm import near_dedup
 from meterlake.llm.components import components
@@ -88,3 +89,20 @@ def test_signatures_keep_pairs_at_the_threshold(percent):
     n, p = near_dedup.MINIMA, percent / 100
     least = percent / 100 - near_dedup.SLACK
     assert sum(math.comb(n, k) * p**k * (1 - p) ** (n - k) for k in range(n + 1) if k / n < least) < 1e-6
+
+
+def test_key_filter_keeps_the_keys_without_a_python_worker(llm_spark, capsys):
+    keys = llm_spark.range(0, 30_000, 7).select(F.col("id").alias("key"))
+    rows = llm_spark.range(30_000).select(F.when(F.col("id") != 14, F.col("id")).alias("k"))
+    for bits in (1 << 23, 1 << 14, 64):
+        known = near_dedup.key_filter(keys, bits)
+        among, others = known(rows, "k"), known(rows, "k", others=True)
+        got = {r.k for r in among.collect()}
+        assert got >= {k for k in range(0, 30_000, 7) if k != 14} and None not in got
+        assert sorted(map(str, [*got, *(r.k for r in others.collect())])) == sorted(str(r.k) for r in rows.collect())
+        assert bits < 1 << 20 or len(got) < 4400
+    among.explain()
+    plan = capsys.readouterr().out
+    assert "BroadcastHashJoin" in plan and "Python" not in plan
+    none = near_dedup.key_filter(keys.where("false"))
+    assert none(rows, "k").count() == 0 and none(rows, "k", others=True).count() == 30_000
