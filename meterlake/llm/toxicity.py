@@ -111,14 +111,34 @@ def fold(key: str) -> Column:
     return F.pmod(F.xxhash64(key, F.lit("part")), F.lit(FOLDS)).cast("int")
 
 
+def distinct_words(text_col: str) -> Column:
+    """The distinct words of a text, and "", which every text has."""
+    return F.array_distinct(F.concat(F.array(F.lit("")), F.transform(F.split(F.lower(text_col), r"\s+"), lambda w: F.regexp_replace(w, r"^[^\p{L}\p{N}]+|[^\p{L}\p{N}]+$", ""))))
+
+
 def count_words(labelled: DataFrame, text_col: str, label_col: str, fold_col: str) -> DataFrame:
     """For each word, the toxic (``t0`` ...) and clean (``c0`` ...) texts of
     each fold that have it; the word "" stands for all texts."""
-    words = F.array_distinct(F.concat(F.array(F.lit("")), F.transform(F.split(F.lower(text_col), r"\s+"), lambda w: F.regexp_replace(w, r"^[^\p{L}\p{N}]+|[^\p{L}\p{N}]+$", ""))))
-    one = labelled.select(F.col(label_col).alias("y"), F.col(fold_col).alias("f"), F.explode(words).alias("word"))
+    return _count(labelled.select(F.col(label_col).alias("y"), F.col(fold_col).alias("f"), F.explode(distinct_words(text_col)).alias("word")))
+
+
+def _count(one: DataFrame) -> DataFrame:
     return one.groupBy("word").agg(*(F.sum(F.when(F.col("f") == f, n).otherwise(0.0)).alias(f"{s}{f}") for s, n in (("t", F.col("y")), ("c", 1 - F.col("y"))) for f in range(FOLDS)))
 
 
+def count_toxic_words(texts: DataFrame, taught: DataFrame, min_texts: int) -> DataFrame:
+    """What ``count_words`` gives for all labelled texts, of the words that
+    ``min_texts`` toxic ones have, and "". The toxic texts tell those words
+    (and few others, as ``key_filter`` does), and only those are counted in
+    all; a text travels as its distinct words."""
+    enough = " + ".join(f"t{f}" for f in range(FOLDS)) + f" >= {min_texts} or word = ''"
+    worded = texts.select("__id", F.array_join(distinct_words("__text"), " ").alias("__words"))  # words hold no blank
+    one = lambda rows, labels: rows.join(labels, "__id").select(F.col("__label").alias("y"), fold("__id").alias("f"), F.explode(F.split("__words", " ")).alias("word"))
+    toxic = taught.where("__label > 0") if min_texts > 0 else taught
+    seen = _count(one(key_filter(toxic.select(F.col("__id").alias("key")))(worded, "__id"), toxic)).where(enough)
+    return _count(key_filter(seen.select(F.col("word").alias("key")))(one(worded, taught), "word")).where(enough)
+
+
 def learn_lexicon(counts: DataFrame, *, without: int | None = None, max_words: int = 10_000, min_texts: int = 5) -> dict[str, float]:
     """Words that more toxic than clean texts of all folds (but ``without``)
     have: log odds, for the ``max_words`` words surest to have them (4
@@ -168,7 +188,7 @@ def fit_toxicity(
         mean = kinds.get(1.0, (0, 0))[0] / total if total else 0.0
         if len(kinds) < 2 or min(ids for _, ids in kinds.values()) < 2:
             return ToxicityModel({}, None, None, mean)
-        held.append(counts := count_words(texts.join(taught, "__id").withColumn("__fold", fold("__id")), "__text", "__label", "__fold").where(" + ".join(f"t{f}" for f in range(FOLDS)) + f" >= {min_texts} or word = ''").persist())
+        held.append(counts := count_toxic_words(texts, taught, min_texts).persist())
         learned = learn_lexicon(counts, max_words=max_words, min_texts=min_texts)
         others = [learn_lexicon(counts, without=f, max_words=max_words, min_texts=min_texts) for f in range(FOLDS)]
         sample = None

@@ -80,3 +80,22 @@ def test_fits_are_repeatable(llm_spark):
         model = tox.fit_toxicity(docs.repartition(n), labels.repartition(n), rounds=8)
         runs.append({r.doc_id: r.score for r in model.score(docs).collect()})
     assert runs[0] == runs[1] == runs[2] and len(set(runs[0].values())) > 2
+
+
+def test_words_are_counted_as_in_all_texts_and_texts_do_not_travel(llm_spark, capsys):
+    texts = llm_spark.range(4000).select(
+        F.col("id").alias("__id"),
+        F.when(F.col("id") % 9 == 0, "").otherwise(F.concat(F.lit(" (Some) text\n"), F.col("id") % 50, F.lit(" w"), F.col("id") % 97, F.lit("! clean"), F.col("id"), F.lit(" İ text"))).alias("__text"),
+    )
+    taught = texts.where("__id % 3 = 0").select("__id", (F.col("__id") % 2 == 0).cast("double").alias("__label"))
+    taught = taught.union(taught.where("__id < 90")).union(taught.where("__id = 33").withColumn("__label", F.lit(0.0)))
+    whole = tox.count_words(texts.join(taught, "__id").withColumn("f", tox.fold("__id")), "__text", "__label", "f")
+    enough = " + ".join(f"t{f}" for f in range(tox.FOLDS)) + " >= 3 or word = ''"
+    got = tox.count_toxic_words(texts, taught, 3)
+    want = sorted(map(tuple, whole.where(enough).collect()))
+    assert sorted(map(tuple, got.collect())) == want and len(want) > 50
+    capsys.readouterr()
+    got.explain("formatted")
+    plan = capsys.readouterr().out
+    exchanges = [p for p in plan.split("\n\n") if "Exchange" in p.split("\n")[0]]
+    assert exchanges and not any("__text" in e for e in exchanges)
