@@ -166,7 +166,11 @@ def main(argv: Sequence[str] | None = None, out=None) -> int:
         for item in args.view:
             name, _, path = item.partition("=")
             views[name] = spark.read.parquet(path)
-        return _print_result(lambda: run_sql(spark, args.text, views), args.array, out)
+        try:
+            return _print_result(lambda: run_sql(spark, args.text, views), args.array, out)
+        finally:  # in a shared session they would shadow stored tables
+            for name in views:
+                spark.catalog.dropTempView(name)
     return 0
 
 

@@ -135,6 +135,18 @@ def test_command_line_clean_features_sql(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "d")).count() == days
 
 
+def test_sql_command_leaves_no_view(spark, tmp_path):
+    import io
+    import json
+
+    from meterlake.__main__ import main
+
+    spark.range(3).write.parquet(str(tmp_path / "t"))
+    buf = io.StringIO()
+    assert main(["sql", "--view", f"left_behind={tmp_path / 't'}", "SELECT COUNT(*) AS n FROM left_behind"], out=buf) == 0
+    assert json.loads(buf.getvalue()) == {"n": 3} and not spark.catalog.tableExists("left_behind")
+
+
 def test_command_line_ingest_needs_kafka(spark, tmp_path):
     import pytest
 
