@@ -44,6 +44,8 @@ from meterlake.llm.words import SPACED, mix, pieces, ragged, tidy, words_of
 
 GRAM = 5
 _CHUNK = 1 << 19  # words that stream through an index together
+_PIECE = 1 << 18  # bytes of a block's texts that become words together
+_WINDOWS = 1 << 16  # windows of a block that are looked up together
 _LAST = np.iinfo(np.int64).max
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _UNDO = np.uint64(pow(int(_ODD), -1, 1 << 64))
@@ -74,14 +76,13 @@ class _Block:
     hash; and for every text its key, words and order."""
 
     def __init__(self, table: pa.Table, window: int, gram: int):
-        table = table.combine_chunks()
         # rows of one key in the order of their texts
         order = pc.sort_indices(table, sort_keys=[("key", "ascending"), ("text", "ascending")])
-        self.table = table.take(order)
+        self.table = table.take(order).combine_chunks()
         n_words, at, lens, minimisers, hashes, base = [], [], [], [], [], 0
         words = []
         for batch in self.table.to_batches():
-            for part in pieces(batch, "text"):
+            for part in pieces(batch, "text", _PIECE):
                 w = words_of(part.column("text"), SPACED, lower=False)
                 n_words.append(np.diff(w.first))
                 grams = mix(w.ngrams(gram)[0] if gram > 1 else w.hash)
@@ -119,11 +120,12 @@ class _Block:
         self.key, self.place = keys[doc], self.at - start[doc]
 
     def split(self, rows: np.ndarray) -> tuple[np.ndarray, ...]:
-        """Single windows of the segments ``rows``: their segment, place in
-        the block, and hash."""
+        """Single windows of the segments ``rows`` (ascending): their segment,
+        place in the block, and hash."""
         seg = np.repeat(rows, self.lens[rows])
         at = ragged(self.at[rows], self.lens[rows])
-        return seg, at, _string_hash(self.words, at, np.full(len(at), self.window, np.int64))
+        low, high = (int(at[0]), int(at[-1]) + self.window) if len(at) else (0, 0)
+        return seg, at, _string_hash(self.words[low:high], at - low, np.full(len(at), self.window, np.int64))
 
 
 def _distinct(names: np.ndarray, key: np.ndarray, place: np.ndarray) -> np.ndarray:
@@ -149,6 +151,56 @@ def _shard_of(names: np.ndarray, shards: int) -> np.ndarray:
     return (names >> np.uint64(64 - shards.bit_length() + 1)).astype(np.int64) if shards > 1 else np.zeros(len(names), np.int64)
 
 
+def _spans(lens: np.ndarray, limit: int) -> list[tuple[int, int]]:
+    """Stretches of strings with about ``limit`` words together."""
+    cuts = np.append(np.unique(np.searchsorted(np.cumsum(lens) - lens, np.arange(0, int(lens.sum()), limit))), len(lens))
+    return [(x, y) for x, y in zip(cuts[:-1], cuts[1:]) if y > x]
+
+
+def _covered(b: _Block, reports: pa.Table) -> np.ndarray:
+    """Whether each word of a block is in a window that starts earlier too,
+    by the shards' reports. Windows are looked up a stretch at a time: a
+    worker holds few arrays as long as the block's words."""
+    edge = np.zeros(len(b.words) + 1, np.int32)
+
+    def cover(starts: np.ndarray, n: np.ndarray | int) -> None:
+        """The words of ``n`` windows in a row from each start on."""
+        np.add.at(edge, starts, 1)
+        np.add.at(edge, starts + (n + b.window - 1), -1)
+
+    for single in (0, 1):
+        some = reports.filter(pc.equal(reports["single"], single)) if reports.num_rows else reports
+        if not some.num_rows:
+            continue
+        lens = [np.frombuffer(x.as_buffer(), "<u4").astype(np.int64) - b.window + 1 for x in some["lens"]]
+        flags = np.concatenate([np.unpackbits(np.frombuffer(x.as_buffer(), np.uint8), count=int(k.sum())) for x, k in zip(some["earlier"], lens)]).view(bool)
+        names, n = np.concatenate([np.frombuffer(x.as_buffer(), np.uint64) for x in some["names"]]), np.concatenate(lens)
+        begin = np.cumsum(n) - n
+        order = np.argsort(names)
+        names, n, begin = names[order], n[order], begin[order]
+        known = lambda own: names[np.minimum(np.searchsorted(names, own), len(names) - 1)] == own
+        if single:
+            cols = []
+            for x, y in _spans(b.lens, _WINDOWS):
+                seg, at, own = b.split(np.arange(x, y))
+                hit = known(own)
+                cols.append((seg[hit], at[hit], own[hit]))
+            seg, at, own = (np.concatenate(c) for c in zip(*cols)) if cols else (b.at[:0], b.at[:0], b.hash[:0])
+            key, place, size = b.key[seg], b.place[seg] + at - b.at[seg], np.ones(len(at), np.int64)
+        else:
+            hit = known(b.hash)
+            at, own, key, place, size = b.at[hit], b.hash[hit], b.key[hit], b.place[hit], b.lens[hit]
+        lead = _distinct(own, key, place)
+        later = np.setdiff1d(np.arange(len(own)), lead, assume_unique=True)
+        cover(at[later], size[later])  # an equal string starts earlier in this block
+        spot = np.searchsorted(names, own[lead])
+        at, size = at[lead], size[lead]
+        for x, y in _spans(size, _WINDOWS):
+            mine = ragged(begin[spot[x:y]], n[spot[x:y]])
+            cover(ragged(at[x:y], size[x:y])[flags[mine]], 1)
+    return np.cumsum(edge, out=edge)[:-1] > 0
+
+
 def _earlier(words: np.ndarray, lens: np.ndarray, key: np.ndarray, place: np.ndarray, window: int) -> np.ndarray:
     """For strings sent to one shard: for each of their windows, string by
     string, whether the shard knows an earlier place.
@@ -165,8 +217,7 @@ def _earlier(words: np.ndarray, lens: np.ndarray, key: np.ndarray, place: np.nda
     n_win = np.maximum(lens - window + 1, 0)
     numbers = np.empty(int(n_win.sum()), np.int32 if index.n < 1 << 31 else np.int64)
     win_begin = np.cumsum(n_win) - n_win
-    cuts = np.append(np.unique(np.searchsorted(begin, np.arange(0, len(words), _CHUNK))), len(lens))
-    spans = [(x, y) for x, y in zip(cuts[:-1], cuts[1:]) if y > x]
+    spans = _spans(lens, _CHUNK)
 
     def places(x: int, y: int) -> tuple[slice, np.ndarray, np.ndarray, np.ndarray]:
         offset = ragged(np.zeros(y - x, np.int64), n_win[x:y])
@@ -277,39 +328,12 @@ def substring_dedup(
         if not left.num_rows:
             return empty
         b = _Block(left, window, gram)
-        edge = np.zeros(len(b.words) + 1, np.int64)
-
-        def cover(starts: np.ndarray) -> None:
-            np.add.at(edge, starts, 1)
-            np.add.at(edge, starts + window, -1)
-
-        for single in (0, 1):
-            some = right.filter(pc.equal(right["single"], single)) if right.num_rows else right
-            if not some.num_rows:
-                continue
-            lens = [np.frombuffer(x.as_buffer(), "<u4").astype(np.int64) - window + 1 for x in some["lens"]]
-            flags = np.concatenate([np.unpackbits(np.frombuffer(x.as_buffer(), np.uint8), count=int(k.sum())) for x, k in zip(some["earlier"], lens)])
-            names, n = np.concatenate([np.frombuffer(x.as_buffer(), np.uint64) for x in some["names"]]), np.concatenate(lens)
-            begin = np.cumsum(n) - n
-            order = np.argsort(names)
-            names, n, begin = names[order], n[order], begin[order]
-            if single:
-                seg, at, own = b.split(np.arange(len(b.at)))
-                key, place, size = b.key[seg], b.place[seg] + at - b.at[seg], np.ones(len(at), np.int64)
-            else:
-                at, own, key, place, size = b.at, b.hash, b.key, b.place, b.lens
-            spot = np.minimum(np.searchsorted(names, own), len(names) - 1)
-            hit = np.flatnonzero(names[spot] == own)
-            lead = hit[_distinct(own[hit], key[hit], place[hit])]
-            later = np.setdiff1d(hit, lead, assume_unique=True)
-            cover(ragged(at[later], size[later]))  # an equal string starts earlier in this block
-            mine = ragged(begin[spot[lead]], n[spot[lead]])
-            cover(ragged(at[lead], size[lead])[flags[mine].astype(bool)])
-        gone = np.cumsum(edge)[:-1] > 0
+        gone = _covered(b, right)
         removed = np.diff(np.concatenate([[0], np.cumsum(gone)])[b.first])
-        base = 0
-        for rb in b.table.to_batches():
-            for part in pieces(rb, "text"):
+        table, n_words, base = b.table, b.n_words, 0
+        del b  # its arrays make room for the texts that stay
+        for rb in table.to_batches():
+            for part in pieces(rb, "text", _PIECE):
                 w = words_of(part.column("text"), SPACED, lower=False)
                 raw, stay = w.data.tobytes(), ~gone[base : base + len(w.hash)]
                 texts: list[bytes] = []
@@ -319,8 +343,8 @@ def substring_dedup(
                     texts.append(b" ".join([raw[a:z] for a, z in zip(w.start[own].tolist(), w.end[own].tolist())]))
                 kept.append(pa.array(texts, pa.binary()).cast(pa.string()))
                 base += len(w.hash)
-        cols = {"key": b.table["key"], "n_words": pa.array(b.n_words), "n_removed": pa.array(removed), "kept_text": pa.chunked_array(kept, pa.string()), "rest": b.table["rest"]}
-        return pa.table(cols | ({"text": b.table["text"]} if text_col in keep else {}))
+        cols = {"key": table["key"], "n_words": pa.array(n_words), "n_removed": pa.array(removed), "kept_text": pa.chunked_array(kept, pa.string()), "rest": table["rest"]}
+        return pa.table(cols | ({"text": table["text"]} if text_col in keep else {}))
 
     names = by_block.applyInArrow(report, "shard long, block long, names binary, counts binary")
     states = names.groupBy("shard").applyInArrow(count, "block long, shard long, state binary")

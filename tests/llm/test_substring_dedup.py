@@ -136,3 +136,40 @@ def test_strings_in_small_chunks(monkeypatch):
     for gram, at in wins:
         first[gram] = min(first.get(gram, at), at)
     assert whole.tolist() == [first[gram] < at for gram, at in wins]
+
+
+def test_a_block_takes_few_arrays_as_long_as_its_words():
+    """A task holds a block of texts: what it computes along the way goes a
+    piece of the texts, or a stretch of windows, at a time."""
+    import tracemalloc
+
+    import pyarrow as pa
+
+    from meterlake.llm import substring_dedup as module
+
+    rng = np.random.default_rng(4)
+    common = [" ".join(f"w{x}" for x in rng.integers(0, 5000, 300)) for _ in range(200)]
+    texts = [common[int(i)] for i in rng.integers(0, 200, 2500)]
+    table = pa.table({"key": pa.array(range(len(texts)), pa.int64()), "text": texts})
+    size = sum(map(len, texts))
+
+    def peak(fn):
+        tracemalloc.start()
+        out = fn()
+        most = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        return out, most
+
+    block, most = peak(lambda: module._Block(table, 20, 5))
+    assert most < 6 * size
+    # a shard reports all segments as new here, so only those that the block itself has earlier go
+    first = module._distinct(block.hash, block.key, block.place)
+    lens = block.lens[first] + 19
+    reports = pa.table({"single": pa.array([0], pa.int32()), "lens": [lens.astype("<u4").tobytes()], "names": [block.hash[first].tobytes()], "earlier": [np.packbits(np.zeros(int(block.lens[first].sum()), bool)).tobytes()]})
+    gone, most = peak(lambda: module._covered(block, reports))
+    assert most < 6 * size
+    seen, want = set(), []
+    for text in texts:
+        want.append(0 if text not in seen else 300)
+        seen.add(text)
+    assert np.diff(np.concatenate([[0], np.cumsum(gone)])[block.first]).tolist() == want
