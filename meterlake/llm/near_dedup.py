@@ -32,7 +32,7 @@ from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -239,7 +239,15 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.mapInArrow(run, "a_rep bigint, b_rep bigint").withColumnsRenamed({"a_rep": "a", "b_rep": "b"})
 
 
-def key_filter(keys: DataFrame, bits: int = 1 << 23) -> Callable[..., DataFrame]:
+#: Hash slots of the bitmaps that keys are looked up in.
+BITS = 1 << 23
+
+
+def slot(key: Column | str, bits: int = BITS) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(bits)).cast("int")
+
+
+def key_filter(keys: DataFrame, bits: int = BITS) -> Callable[..., DataFrame]:
     """A function that keeps the rows of a frame whose column is one of
     ``keys`` (a column ``key``), and few others, or with ``others`` the rest
     (with the nulls). It looks keys up in a bitmap of ``bits`` hash slots,
@@ -247,13 +255,12 @@ def key_filter(keys: DataFrame, bits: int = 1 << 23) -> Callable[..., DataFrame]
     it passes all, and the join behind it decides alone, as it always does.
     The look-up is a join with the bitmap's words, so that a task that runs
     Python behind it has one Python worker and not two."""
-    slot = lambda key: F.pmod(F.xxhash64(key), F.lit(bits)).cast("int")
-    own = keys.select(slot(F.col("key")).alias("slot"))
+    own = keys.select(slot(F.col("key"), bits).alias("slot"))
     words = own.groupBy(F.shiftright("slot", 6).alias("__word")).agg(F.bit_or(F.expr("shiftleft(1L, slot & 63)")).alias("__bits"))
     bitmap = keys.sparkSession.createDataFrame(words.toArrow(), "__word int, __bits bigint")  # bits / 64 rows at most
 
     def known(rows: DataFrame, key: str, *, others: bool = False) -> DataFrame:
-        at = slot(F.col(key))
+        at = slot(F.col(key), bits)
         taken = (F.shiftright(at, 6) == F.col("__word")) & (F.getbit("__bits", at.bitwiseAND(F.lit(63))) == 1)
         return rows.join(F.broadcast(bitmap), F.col(key).isNotNull() & taken, "left_anti" if others else "left_semi")
 

@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from meterlake.llm.near_dedup import key_filter
+from meterlake.llm.near_dedup import BITS, key_filter, slot
 from meterlake.llm.words import add_columns
 
 # Common insults.
@@ -126,17 +126,44 @@ def _count(one: DataFrame) -> DataFrame:
     return one.groupBy("word").agg(*(F.sum(F.when(F.col("f") == f, n).otherwise(0.0)).alias(f"{s}{f}") for s, n in (("t", F.col("y")), ("c", 1 - F.col("y"))) for f in range(FOLDS)))
 
 
-def count_toxic_words(texts: DataFrame, taught: DataFrame, min_texts: int) -> DataFrame:
+def by_label(texts: DataFrame, taught: DataFrame, bits: int = BITS) -> tuple[DataFrame, DataFrame]:
+    """``texts`` in two parts: those that get their ``__label`` where they
+    are, and the rest, whose labels a join must tell.
+
+    Keys alone are joined with their labels. A hash slot is settled when all
+    texts in it have one label each, and the same: that fits a bitmap of
+    ``bits`` slots, whatever the number of keys. With very many keys few
+    slots are settled, and the join behind decides for most texts."""
+    labels = taught.groupBy("__id").agg(F.count(F.lit(1)).alias("n"), F.max("__label").alias("label"))
+    label = F.when((F.col("n") == 1) & F.col("label").isin(0.0, 1.0), F.col("label")).otherwise(-1.0)
+    slots = texts.select("__id").join(labels, "__id", "left").select(slot("__id", bits).alias("slot"), label.alias("label")).groupBy("slot").agg(F.min("label").alias("low"), F.max("label").alias("high"))
+    bit = F.expr("shiftleft(1L, slot & 63)")
+    words = slots.where("low = high and low >= 0").groupBy(F.shiftright("slot", 6).alias("__word")).agg(F.bit_or(bit).alias("__settled"), F.bit_or(F.when(F.col("low") == 1, bit).otherwise(F.lit(0))).alias("__toxic"))
+    bitmap = F.broadcast(texts.sparkSession.createDataFrame(words.toArrow(), "__word int, __settled bigint, __toxic bigint"))  # bits / 64 rows at most
+    at = slot("__id", bits)
+    settled = (F.shiftright(at, 6) == F.col("__word")) & (F.getbit("__settled", at.bitwiseAND(F.lit(63))) == 1)
+    here = texts.join(bitmap, settled).withColumn("__label", F.getbit("__toxic", at.bitwiseAND(F.lit(63))).cast("double"))
+    return here.select(*texts.columns, "__label"), texts.join(bitmap, settled, "left_anti")
+
+
+def count_toxic_words(texts: DataFrame, taught: DataFrame, min_texts: int, bits: int = BITS) -> DataFrame:
     """What ``count_words`` gives for all labelled texts, of the words that
     ``min_texts`` toxic ones have, and "". The toxic texts tell those words
     (and few others, as ``key_filter`` does), and only those are counted in
-    all; a text travels as its distinct words."""
+    all. Words are counted where their text is; a text whose label is not
+    settled there (``by_label``) travels as its distinct words."""
     enough = " + ".join(f"t{f}" for f in range(FOLDS)) + f" >= {min_texts} or word = ''"
-    worded = texts.select("__id", F.array_join(distinct_words("__text"), " ").alias("__words"))  # words hold no blank
-    one = lambda rows, labels: rows.join(labels, "__id").select(F.col("__label").alias("y"), fold("__id").alias("f"), F.explode(F.split("__words", " ")).alias("word"))
-    toxic = taught.where("__label > 0") if min_texts > 0 else taught
-    seen = _count(one(key_filter(toxic.select(F.col("__id").alias("key")))(worded, "__id"), toxic)).where(enough)
-    return _count(key_filter(seen.select(F.col("word").alias("key")))(one(worded, taught), "word")).where(enough)
+    here, others = by_label(texts, taught, bits)
+    worded = others.select("__id", F.array_join(distinct_words("__text"), " ").alias("__words"))  # words hold no blank
+    kind = "__label > 0" if min_texts > 0 else "true"
+    toxic = taught.where(kind)
+
+    def one(own: DataFrame, sent: DataFrame, labels: DataFrame) -> DataFrame:
+        rows = lambda df, words: df.select(F.col("__label").alias("y"), fold("__id").alias("f"), F.explode(words).alias("word"))
+        return rows(own, distinct_words("__text")).union(rows(sent.join(labels, "__id"), F.split("__words", " ")))
+
+    seen = _count(one(here.where(kind), key_filter(toxic.select(F.col("__id").alias("key")))(worded, "__id"), toxic)).where(enough)
+    return _count(key_filter(seen.select(F.col("word").alias("key")))(one(here, worded, taught), "word")).where(enough)
 
 
 def learn_lexicon(counts: DataFrame, *, without: int | None = None, max_words: int = 10_000, min_texts: int = 5) -> dict[str, float]:

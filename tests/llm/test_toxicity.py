@@ -99,3 +99,27 @@ def test_words_are_counted_as_in_all_texts_and_texts_do_not_travel(llm_spark, ca
     plan = capsys.readouterr().out
     exchanges = [p for p in plan.split("\n\n") if "Exchange" in p.split("\n")[0]]
     assert exchanges and not any("__text" in e for e in exchanges)
+
+
+def test_texts_with_a_settled_label_stay_where_they_are(llm_spark):
+    """Labelled twice, both ways, with another number, or in one slot with a
+    text of another label: the join tells. All others are counted in place,
+    and the counts are the same."""
+    texts = llm_spark.range(3000).select(F.col("id").alias("__id"), F.concat(F.lit("Some text w"), F.col("id") % 97, F.lit("! clean"), F.col("id")).alias("__text"))
+    texts = texts.union(texts.where("__id in (3, 6)")).union(texts.where("__id < 3").withColumn("__id", F.lit(None).cast("long")))
+    taught = texts.where("__id % 3 = 0").select("__id", (F.col("__id") % 2 == 0).cast("double").alias("__label")).distinct()
+    odd = [(30, 0.0), (33, 1.0), (36, 1.0), (900_000, 1.0)]
+    taught = taught.union(llm_spark.createDataFrame(odd, taught.schema)).union(llm_spark.createDataFrame([(1, 0.5)], taught.schema))
+    own = texts.where("__id % 3 = 0 or __id = 1")
+    here, others = tox.by_label(own, taught)
+    label = {r["__id"]: r["__label"] for r in here.collect()}
+    kept, sent = set(label), {r["__id"] for r in others.collect()}
+    assert {1, 30, 33, 36} <= sent and len(sent) < 40 and not kept & sent and len(kept | sent) == 1001
+    assert all(label[i] == (i % 2 == 0) for i in kept) and here.where("__id in (3, 6)").count() == 4
+
+    whole = tox.count_words(own.join(taught, "__id").withColumn("f", tox.fold("__id")), "__text", "__label", "f")
+    enough = " + ".join(f"t{f}" for f in range(tox.FOLDS)) + " >= 3 or word = ''"
+    want = sorted(map(tuple, whole.where(enough).collect()))
+    for bits, some in ((tox.BITS, own), (tox.BITS, texts.where("__id is not null")), (4096, own), (64, own)):
+        assert sorted(map(tuple, tox.count_toxic_words(some, taught, 3, bits).collect())) == want and len(want) > 50
+    assert 40 < tox.by_label(own, taught, 4096)[1].count() < 900
