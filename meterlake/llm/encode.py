@@ -4,10 +4,10 @@ For tokenizers that drop white space and never join across it, the ids of a
 text are the ids of its space-separated chunks in order. Each task then
 encodes a distinct chunk once and looks the rest up: words are hashed and
 made unique with numpy, and letters-only cores (lower-cased, the marks after
-them set apart) share one entry. Other tokenizers encode each whole text.
-The tables are kept per Python worker and cleared when they reach
-``MAX_WORDS`` entries, so their memory is bounded; results never depend on
-what a table holds.
+them set apart) are encoded once a call. Other tokenizers encode each whole
+text. The tables are numpy arrays of about 36 bytes a word, kept per Python
+worker and cleared when they reach ``MAX_WORDS`` entries or ``MAX_IDS`` ids,
+so their memory is bounded; results never depend on what a table holds.
 """
 
 from __future__ import annotations
@@ -22,6 +22,7 @@ from tokenizers import Tokenizer
 from meterlake.llm.words import SPACED, ragged, words_of
 
 MAX_WORDS = 1_500_000
+MAX_IDS = 8_000_000
 _CORE = re.compile(r"([^\W\d_]+)([.,;:!?*#$%&|)]*)\Z")
 _LOADED: dict[str, Encoder] = {}
 
@@ -50,23 +51,25 @@ class Encoder:
         self._clear()
 
     def _clear(self) -> None:
+        """``known`` has the words' hashes, ascending; word i has the ids
+        ``pool[at[i] : at[i] + len[i]]``."""
         self.known = np.zeros(0, np.uint64)
-        self.slot = np.zeros(0, np.int64)
         self.at = np.zeros(0, np.int64)
-        self.len = np.zeros(0, np.int64)
+        self.len = np.zeros(0, np.int32)
         self.pool = np.zeros(0, np.uint32)
-        self.cores: dict[str, bytes] = {}
 
     def _raw(self, texts: list[str]) -> list[np.ndarray]:
         return [np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _learn_cores(self, cores: list[str]) -> None:
+    def _encode_cores(self, cores: list[str]) -> dict[str, bytes]:
+        made = {}
         for i in range(0, len(cores), 512):
             part = cores[i : i + 512]
             ids = np.array(self.tokenizer.encode(" ".join(part), add_special_tokens=False).ids, np.uint32)
             cuts = np.flatnonzero(self.ends[ids]) + 1
             each = np.split(ids, cuts[:-1]) if len(cuts) == len(part) else self._raw(part)
-            self.cores.update((c, x.tobytes()) for c, x in zip(part, each))
+            made.update((c, x.tobytes()) for c, x in zip(part, each))
+        return made
 
     def _encode_chunks(self, chunks: list[str]) -> list[bytes]:
         """Ids of each chunk, as bytes of unsigned 32-bit integers."""
@@ -76,12 +79,11 @@ class Encoder:
             # lower case by character: not where it depends on the place or adds a mark
             low = m[1].lower() if m and "Σ" not in c else ""
             split.append((low, m[2]) if low and len(low) == len(m[1]) else None)
-        new = dict.fromkeys(x for s in split if s for x in s[:1] if x not in self.cores)
-        self._learn_cores(list(new))
-        marks = [m for m in dict.fromkeys(s[1] for s in split if s and s[1]) if m not in self.cores]
-        self.cores.update((m, x.tobytes()) for m, x in zip(marks, self._raw(marks) if marks else []))
+        cores = self._encode_cores(list(dict.fromkeys(s[0] for s in split if s)))
+        marks = list(dict.fromkeys(s[1] for s in split if s and s[1]))
+        cores.update((m, x.tobytes()) for m, x in zip(marks, self._raw(marks) if marks else []))
         odd = iter(self._raw([c for c, s in zip(chunks, split) if s is None]) if None in split else [])
-        get = self.cores.__getitem__
+        get = cores.__getitem__
         return [next(odd).tobytes() if s is None else get(s[0]) + get(s[1]) if s[1] else get(s[0]) for s in split]
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -93,7 +95,7 @@ class Encoder:
         w = words_of(texts, SPACED, lower=False)
         if not len(w.hash):
             return np.zeros(0, np.uint32), np.zeros(len(w.first), np.int64)
-        if len(self.known) > MAX_WORDS or len(self.cores) > MAX_WORDS:
+        if len(self.known) > MAX_WORDS or len(self.pool) > MAX_IDS:
             self._clear()
         unique, index, inverse = np.unique(w.hash, return_index=True, return_inverse=True)
         place = np.searchsorted(self.known, unique)
@@ -104,14 +106,12 @@ class Encoder:
             raw = w.data.tobytes()
             made = self._encode_chunks([raw[a:b].decode("utf-8", "replace") for a, b in zip(w.start[index[fresh]].tolist(), w.end[index[fresh]].tolist())])
             lens = np.array([len(x) // 4 for x in made], np.int64)
-            self.at = np.concatenate([self.at, len(self.pool) + np.cumsum(lens) - lens])
-            self.pool = np.concatenate([self.pool, np.frombuffer(b"".join(made), np.uint32)])
-            slots = len(self.len) + np.arange(len(made))
-            self.len = np.concatenate([self.len, lens])
-            self.slot = np.insert(self.slot, place[fresh], slots)
+            self.at = np.insert(self.at, place[fresh], len(self.pool) + np.cumsum(lens) - lens)
+            self.len = np.insert(self.len, place[fresh], lens)
             self.known = np.insert(self.known, place[fresh], unique[fresh])
+            self.pool = np.concatenate([self.pool, np.frombuffer(b"".join(made), np.uint32)])
             place = np.searchsorted(self.known, unique)
-        slot = self.slot[place][inverse]
-        lens = self.len[slot]
+        slot = place[inverse]
+        lens = self.len[slot].astype(np.int64)
         ids = self.pool[ragged(self.at[slot], lens)]
         return ids, np.concatenate([[0], np.cumsum(lens)])[w.first]

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import gc
 import random
 import re
+import tracemalloc
 import zlib
 from collections import defaultdict
 from types import SimpleNamespace
@@ -15,9 +17,9 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
-from meterlake.llm import packing, token_files, words
+from meterlake.llm import encode, packing, token_files, words
 from meterlake.llm.decontaminate import decontaminate
-from meterlake.llm.encode import encoder
+from meterlake.llm.encode import Encoder, encoder
 from meterlake.llm.queries import tokenizer_path
 from meterlake.session import shared_dir
 
@@ -47,6 +49,30 @@ def test_whole_text_tokenizer(plain):
     assert offsets[1] == offsets[2]
 
 
+def test_word_tables_stay_small():
+    """A worker keeps its tables between tasks: some 50 bytes a word here."""
+    rng = random.Random(5)
+    texts = pa.array([" ".join("".join(rng.choices("abcdefghij", k=8)) + rng.choice(["", ","]) for _ in range(500)) for _ in range(100)])
+    enc = Encoder(PATH)
+    tracemalloc.start()
+    try:
+        enc.encode(texts)
+        gc.collect()
+        assert tracemalloc.get_traced_memory()[0] < 100 * len(enc.known)
+    finally:
+        tracemalloc.stop()
+
+
+def test_word_tables_are_bounded_by_their_ids(plain, monkeypatch):
+    monkeypatch.setattr(encode, "MAX_IDS", 1000)
+    enc = Encoder(PATH)
+    for i in range(20):
+        text = " ".join(f"{chr(97 + i)}{'xqzj' * 30}{j}" for j in range(10))
+        ids, _ = enc.encode(pa.array([text]))
+        assert ids.tolist() == plain(text)
+        assert len(enc.pool) <= 1000 + len(ids)
+
+
 @given(st.integers(1, 32), st.lists(st.integers(0, 2**32 - 1), max_size=70), st.integers(0, 70), st.integers(0, 70))
 def test_bit_packing_round_trip(width, ids, a, b):
     ids = np.array([x % 2**width for x in ids], np.uint32)
