@@ -12,7 +12,7 @@ from __future__ import annotations
 
 import gc
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from meterlake.session import checkpoint_root
@@ -26,8 +26,13 @@ def release(spark: SparkSession) -> None:
     spark.sparkContext._jvm.System.gc()
 
 
+def _ends(edges: DataFrame, *two: Column) -> DataFrame:
+    """Two rows of each edge, of which the edges are read once."""
+    return edges.select(F.inline(F.array(*two)))
+
+
 def _large_star(edges: DataFrame) -> DataFrame:
-    both = edges.union(edges.select("v", "u"))
+    both = _ends(edges, F.struct("u", "v"), F.struct(F.col("v").alias("u"), F.col("u").alias("v")))
     least = both.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("u", "m"))
     return both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u != v")
 
@@ -41,7 +46,8 @@ def _small_star(down: DataFrame) -> DataFrame:
 
 def _stars(edges: DataFrame) -> bool:
     """Whether every node has one edge at most or only edges from larger nodes."""
-    ends = edges.select(F.col("u").alias("x"), F.lit(1).alias("up"), F.lit(0).alias("down")).union(edges.select("v", F.lit(0), F.lit(1)))
+    row = lambda x, up: F.struct(F.col(x).alias("x"), F.lit(up).alias("up"), F.lit(1 - up).alias("down"))
+    ends = _ends(edges, row("u", 1), row("v", 0))
     sides = ends.groupBy("x").agg(F.sum("up").alias("up"), F.max("down").alias("down"))
     return not sides.where("up > 1 OR (up = 1 AND down = 1)").take(1)
 

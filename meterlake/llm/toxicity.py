@@ -229,8 +229,10 @@ def fit_toxicity(
         joined = texts.join(F.broadcast(sample), "__id").withColumn("__fold", fold("__id"))
         # in one order, whatever the input's partitions, as the trees draw rows by their place; and in two
         # tasks, as two sums of doubles add up alike in either order: a stage that runs again must come
-        # to the same model
-        rows_in_order = with_features(joined, "__text", others).drop("__text").repartition(2, "__id").sortWithinPartitions("__id", "__label", "__level", "__weight", "__features")
+        # to the same model. The partition is named for each row: the trees pass over these few rows some
+        # hundred times, and a session that deals rows out more widely would start as many tasks each time
+        half = F.pmod(F.hash("__id"), F.lit(2))
+        rows_in_order = with_features(joined, "__text", others).drop("__text").repartitionById(2, half).sortWithinPartitions("__id", "__label", "__level", "__weight", "__features")
         held.append(featured := rows_in_order.persist())
         grower = GBTClassifier(featuresCol="__vector", labelCol="__label", predictionCol="__class", maxIter=rounds, maxDepth=depth, stepSize=0.2, maxBins=64, minInstancesPerNode=10, subsamplingRate=0.8, seed=7)
         grower.setProbabilityCol("__probability").setRawPredictionCol("__raw")

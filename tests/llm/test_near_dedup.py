@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from meterlake.llm import near_dedup
-from meterlake.llm.components import components
+from meterlake.llm.components import _large_star, _stars, components
 
 
 def _brute(rows, percent, size=5):
@@ -83,6 +83,17 @@ def test_components(llm_spark):
     assert got == {x: find(x) for x in up if find(x) != x}
 
 
+def test_a_step_reads_its_edges_once_for_both_ends(llm_spark, capsys):
+    """A union of the edges with themselves reads, and starts as tasks, all of
+    their partitions twice."""
+    edges = llm_spark.createDataFrame([(5, 1), (5, 2), (9, 5), (3, None)], "u long, v long")
+    step = _large_star(edges)
+    assert sorted(map(tuple, step.collect())) == [(5, 1), (5, 2), (9, 1)]
+    step.explain()
+    assert "Union" not in capsys.readouterr().out
+    assert [_stars(edges.where(c)) for c in ("v < 5", "u = 9", "u > 3")] == [False, True, False]
+
+
 @pytest.mark.parametrize("percent", [80, 85])
 def test_signatures_keep_pairs_at_the_threshold(percent):
     """Fewer than one in a million pairs at the threshold fail the signature test."""

@@ -82,6 +82,21 @@ def test_fits_are_repeatable(llm_spark):
     assert runs[0] == runs[1] == runs[2] and len(set(runs[0].values())) > 2
 
 
+def test_trees_keep_to_two_tasks_where_rows_are_dealt_widely(llm_spark, monkeypatch):
+    """Hundreds of passes over a bounded sample do not start a task for each
+    of a session's many partitions, and the model is the same."""
+    docs = llm_spark.createDataFrame([(i, f"you are an idiot number {i}" if i % 3 == 0 else f"kind words number {i}") for i in range(600)], "doc_id long, text string")
+    labels = docs.select("doc_id", (F.col("doc_id") % 3 == 0).cast("int").alias("toxic"))
+    parts, frame = [], type(docs)
+    fit, deal = tox.GBTClassifier.fit, frame.repartition
+    monkeypatch.setattr(tox.GBTClassifier, "fit", lambda self, df: parts.append(df.rdd.getNumPartitions()) or fit(self, df))
+    trees = [tox.fit_toxicity(docs, labels, rounds=3).trees.toDebugString]
+    monkeypatch.setattr(frame, "repartition", lambda self, n, *cols: deal(self, max(n, 40) if cols and isinstance(n, int) else n, *cols))
+    trees.append(tox.fit_toxicity(docs, labels, rounds=3).trees.toDebugString)
+    plain = [t.split("\n", 1)[1] for t in trees]  # without the model's name
+    assert parts == [2, 2] and plain[0] == plain[1]
+
+
 def test_words_are_counted_as_in_all_texts_and_texts_do_not_travel(llm_spark, capsys):
     texts = llm_spark.range(4000).select(
         F.col("id").alias("__id"),
